@@ -212,7 +212,10 @@ def _tables(rows: pa.Table) -> int:
 
 
 def prints_of(hashes: np.ndarray) -> np.ndarray:
-    return hashes >> np.uint64(64 - PRINT_BITS)
+    """Fingerprints to exchange. Anchors have the least hashes of their windows, so they are mixed again to fill all ranges alike."""
+    with np.errstate(over="ignore"):
+        mixed = (hashes ^ (hashes >> np.uint64(33))) * STEP
+        return (mixed ^ (mixed >> np.uint64(29))) * MIX >> np.uint64(64 - PRINT_BITS)
 
 
 def print_runs(chunk: Chunk, sampler: Sampler, ranges: int) -> Iterator[tuple[int, bytes]]:
@@ -528,7 +531,7 @@ def remove_repeated(
     *,
     length: int = 50,
     gram: int = 26,
-    chunk_bytes: int = 4_000_000,
+    chunk_bytes: int = 1_500_000,
     crowd: int = 20_000,
     keep_text: bool = False,
     id_col: str = "doc_id",
