@@ -32,6 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import fresh_path, keyed_texts, partitions
 
@@ -39,7 +40,7 @@ MIX, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 1 << 16
 #: Fingerprints exchanged have so many bits.
 PRINT_BITS = 48
-RESULT = "doc_id long, sha binary, n_removed long, n_spans long, kept_sha256 string, kept binary"
+RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
 class Sampler:
@@ -198,8 +199,10 @@ class Chunk:
         leaders = {b for k, b in zip(kinds, blobs, strict=True) if k == 0}
         self.blobs = [b for k, b in zip(kinds, blobs, strict=True) if k == 1]
         own: dict[bytes, bytes] = {}
+        self.rows: list[tuple[bytes, bytes]] = []
         for doc_id, sha, text in zip(rows["doc_id"].to_pylist(), rows["sha"].to_pylist(), rows["text"].cast(pa.binary()).to_pylist(), strict=True):
             key = struct.pack(">q", doc_id) + sha
+            self.rows.append((key, text))
             if key in leaders:
                 own[key] = text
         self.keys = sorted(own)
@@ -534,10 +537,11 @@ def remove_repeated(
     chunk_bytes: int = 1_500_000,
     crowd: int = 20_000,
     keep_text: bool = False,
+    carry: bool = False,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept binary]) of each row.
+    """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept binary][, rest struct]) of each row.
 
     Texts count as UTF-8 bytes, null as empty. Rows with a null id come after all
     others; rows with one id do not remove from each other, whatever their texts.
@@ -546,13 +550,16 @@ def remove_repeated(
     ``crowd``: suffixes whose prefix more documents have are exchanged as plain strings
     of ``length`` bytes, which are combined in each chunk, so that a passage found
     almost everywhere is spread over many ranges. The table of texts is written
-    once, bucketed by chunk, and read again without a shuffle.
+    once, bucketed by chunk, and read again without a shuffle. ``keep_text`` adds what is
+    left of each text, ``carry`` the other columns of docs in a struct.
     """
     spark = docs.sparkSession
     parts = partitions(spark)
     last = (1 << 63) - 1
-    base = keyed_texts(docs, id_col, text_col).select(F.coalesce("doc_id", F.lit(last)).alias("doc_id"), "text", F.sha2("text", 256).alias("sha"))
-    base = base.select("doc_id", "text", F.unhex("sha").alias("sha"))
+    others = [docs.schema[c] for c in docs.columns if c != text_col] if carry else []
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rest = [F.struct(*(F.col(f.name) for f in others)).alias("rest")] if carry else []
+    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("doc_id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("sha"), *rest)
     total = keyed_texts(docs, id_col, text_col).agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks = max(1, -(-total // chunk_bytes))
     chunk = F.pmod(F.xxhash64("sha", "doc_id"), F.lit(chunks)).cast("int")
@@ -572,9 +579,10 @@ def remove_repeated(
     sampler, shape = Sampler(length, gram), Shape(length, gram)
     notes = "chunk int, kind int, blob binary"
 
-    def with_notes(extra: DataFrame | None, apply, schema: str) -> DataFrame:
+    def with_notes(extra: DataFrame | None, apply, schema: str | T.StructType, *more: str) -> DataFrame:
         right = leaders if extra is None else leaders.unionByName(extra.select("chunk", F.lit(1).alias("kind"), "blob"))
-        return texts.groupBy("chunk").cogroup(right.groupBy("chunk")).applyInArrow(apply, schema)
+        rows = texts.select("chunk", "doc_id", "sha", "text", *more)
+        return rows.groupBy("chunk").cogroup(right.groupBy("chunk")).applyInArrow(apply, schema)
 
     def columns(rows: Iterable[tuple], names: list[str], types: list[pa.DataType]) -> pa.Table:
         lists = list(zip(*rows, strict=True)) or [()] * len(names)
@@ -616,33 +624,35 @@ def remove_repeated(
     marks = runs.groupBy("part").applyInArrow(merge_range, "chunk int, blob binary")
     packed = np.dtype([("doc", "<u4"), ("start", "<u8"), ("end", "<u8")])
 
+    schema = T.StructType.fromDDL(RESULT)
+    if not keep_text:
+        schema = T.StructType(schema.fields[:-1])
+    if carry:
+        schema = schema.add("rest", T.StructType(others))
+
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
+        """Every row of a chunk: leaders without their spans, copies without anything."""
+        own = Chunk(left, right)
+        spans = np.frombuffer(b"".join(own.blobs), packed)
+        spans = spans[np.argsort(spans["doc"], kind="stable")]
+        where = np.searchsorted(spans["doc"], np.arange(len(own.keys) + 1))
+        number = {key: k for k, key in enumerate(own.keys)}
         rows = []
-        if left.num_rows:
-            own = Chunk(left, right)
-            spans = np.frombuffer(b"".join(own.blobs), packed)
-            spans = spans[np.argsort(spans["doc"], kind="stable")]
-            where = np.searchsorted(spans["doc"], np.arange(len(own.keys) + 1))
-            for k, (key, text) in enumerate(zip(own.keys, own.texts, strict=True)):
-                kept, removed, runs_ = without(text, spans[where[k] : where[k + 1]]) if where[k + 1] > where[k] else (text, 0, 0)
-                rows.append((int(own.ids[k]), key[8:], removed, runs_, hashlib.sha256(kept).hexdigest(), kept if keep_text else None))
-        names = ["doc_id", "sha", "n_removed", "n_spans", "kept_sha256", "kept"]
-        return columns(rows, names, [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.binary()])
-
-    led = with_notes(marks, cut, RESULT)
-    sized = base.select("doc_id", "sha", F.octet_length("text").cast("long").alias("n_bytes"), "text" if keep_text else F.lit(None).alias("text"))
-    copy = F.col("n_removed").isNull()
-    gone = copy & (F.col("n_bytes") >= length)
-    joined = sized.join(led, ["doc_id", "sha"], "left")
-    out = joined.select(
-        F.nullif(F.col("doc_id"), F.lit(last)).alias("doc_id"),
-        "n_bytes",
-        F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
-        F.when(gone, 1).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(gone, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("sha")))).alias("kept_sha256"),
-        F.when(gone, F.lit(b"")).otherwise(F.coalesce("kept", F.col("text").cast("binary"))).alias("kept"),
-    )
-    return out if keep_text else out.drop("kept")
+        for key, text in own.rows:
+            k = number.get(key)
+            if k is None:
+                kept, removed, runs_ = (b"", len(text), 1) if len(text) >= length else (text, 0, 0)
+            elif where[k + 1] > where[k]:
+                kept, removed, runs_ = without(text, spans[where[k] : where[k + 1]])
+            else:
+                kept, removed, runs_ = text, 0, 0
+            rows.append((struct.unpack(">q", key[:8])[0], len(text), removed, runs_, hashlib.sha256(kept).hexdigest(), kept if keep_text else None))
+        out = columns(rows, [c.split()[0] for c in RESULT.split(", ")], [pa.int64()] * 4 + [pa.string(), pa.binary()])
+        out = out if keep_text else out.drop_columns(["kept"])
+        return out.append_column("rest", left["rest"]) if carry else out
+
+    done = with_notes(marks, cut, schema, *(["rest"] if carry else []))
+    return done.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(last)))
 
 
 def range_splitters(texts: DataFrame, sampler: Sampler, ranges: int, sample: int = 400) -> list[bytes]:
