@@ -11,6 +11,8 @@ Conventions for every operator of this subpackage:
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import re
 import tempfile
 import uuid
@@ -64,6 +66,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: Python workers outlive their tasks, and the next task may need it elsewhere."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def map_slices(
     df: DataFrame, setup: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str, size_of: str = "text"
 ) -> DataFrame:
@@ -80,6 +89,7 @@ def map_slices(
                 out = apply(part)
                 if out is not None:
                     yield out
+            give_back()
 
     return df.mapInArrow(run, schema)
 

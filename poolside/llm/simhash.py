@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, keyed_texts, map_slices, partitions, utf8_values
+from .common import checkpointed, give_back, keyed_texts, map_slices, partitions, utf8_values
 from .components import components
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -174,6 +174,7 @@ def near_links(fps: DataFrame, *, distance: int = 4, leading: int | None = None,
         for parts, own, place in _whole_groups(batches):
             a, b = balls.links(parts, own, None if place < 0 else place)
             yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+        give_back()
 
     met = places.repartition(partitions(fps.sparkSession), "part", "place").sortWithinPartitions("place", "part")
     return met.mapInArrow(meet, "a long, b long").distinct()

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh_path, keyed_texts, partitions
+from .common import fresh_path, give_back, keyed_texts, partitions
 
 MIX, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 1 << 16
@@ -586,6 +586,7 @@ def remove_repeated(
 
     def columns(rows: Iterable[tuple], names: list[str], types: list[pa.DataType]) -> pa.Table:
         lists = list(zip(*rows, strict=True)) or [()] * len(names)
+        give_back()
         return pa.table({n: pa.array(v, t) for n, v, t in zip(names, lists, types, strict=True)})
 
     def exchange_prints(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -22,8 +22,10 @@ LEADING_SPACE_PIECES = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 #: Characters that str.split() takes for white space and Unicode does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 WORDS = re.compile(f"[^{SPACE}]+")
+#: Both vocabularies also cut between letters and what is neither letter, digit nor space; the apostrophe has rules of its own.
+PARTS = re.compile(f"[{SPACE}]*+[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[!-&(-/:-@[-`{{-~])|(?s:.)+")
 
-CACHE_ENTRIES = 700_000
+CACHE_ENTRIES = 400_000
 
 
 def space_words(text: str) -> list[str]:
@@ -50,6 +52,8 @@ class PieceEncoder:
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.entries = entries
         self.cache: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self.pieces(t) for t in texts]
@@ -57,12 +61,23 @@ class PieceEncoder:
         if len(self.cache) + len(missing) > self.entries:
             self.cache.clear()
             missing = list(set().union(*split))
-        for i in range(0, len(missing), 20_000):
-            some = missing[i : i + 20_000]
-            for piece, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.cache[piece] = np.array(found.ids, self.dtype).tobytes()
+        self._learn(missing)
         return [b"".join(map(self.cache.__getitem__, pieces)) for pieces in split]
 
+    def _learn(self, pieces: list[str]) -> None:
+        """Encode new pieces, by parts that other pieces may share."""
+        parts = [[p] if self.special.search(p) else PARTS.findall(p) for p in pieces]
+        new = list(set().union(*parts) - self.parts.keys())
+        if len(self.parts) + len(new) > self.entries:
+            self.parts.clear()
+            new = list(set().union(*parts))
+        for i in range(0, len(new), 20_000):
+            some = new[i : i + 20_000]
+            for part, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
+                self.parts[part] = np.array(found.ids, self.dtype).tobytes()
+        for piece, own in zip(pieces, parts, strict=True):
+            self.cache[piece] = b"".join(map(self.parts.__getitem__, own))
+
 
 _ENCODERS: dict[str, PieceEncoder] = {}
 

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed_texts, map_slices
+from .common import give_back, keyed_texts, map_slices, slices
 
 OTHER, INSULT, HARM, TARGET, NEGATION, REPORT = range(6)
 
@@ -98,7 +98,7 @@ class Grammar:
 class Lexicon(dict):
     """Word to (class, weight), remembering at most so many words."""
 
-    def __init__(self, insults: dict[str, float], entries: int = 300_000):
+    def __init__(self, insults: dict[str, float], entries: int = 60_000):
         super().__init__()
         self.insults, self.entries = insults, entries
         self.fixed = {w: c for c, words in WORDS.items() for w in words.split()}
@@ -211,6 +211,7 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = 24_000, insults:
         for frame in frames:
             x = np.array([features(t, lexicon, grammar) for t in frame["text"]], np.float32).reshape(-1, FEATURES)
             yield pd.DataFrame({"doc_id": frame["doc_id"], "toxic": frame["toxic"], "x": list(map(bytes, x))})
+            give_back()
 
     seen = sorted((r["doc_id"], bytes(r["x"]), r["toxic"]) for r in rows.where(F.col("place") % 2 == 1).select("doc_id", "text", "toxic").mapInPandas(look, "doc_id long, toxic int, x binary").collect())
     x = np.array([np.frombuffer(b, np.float32) for _, b, _ in seen], float).reshape(-1, FEATURES)
@@ -240,10 +241,14 @@ def score_texts(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.7
 def reject_toxic(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
     """The rows of docs that score below the threshold, in a filter without a shuffle."""
 
-    @F.pandas_udf("double")
-    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    width = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, grammar = Lexicon(model.insults), Grammar()
-        for some in texts:
-            yield pd.Series(model.probability(np.array([features(t or "", lexicon, grammar) for t in some]).reshape(-1, FEATURES)))
+        for batch in batches:
+            for rows in slices(batch, text_col):
+                x = np.array([features(t or "", lexicon, grammar) for t in rows.column(width).to_pylist()]).reshape(-1, FEATURES)
+                yield rows.filter(pa.array(model.probability(x) < threshold))
+            give_back()
 
-    return docs.where(score(F.col(text_col)) < threshold)
+    return docs.mapInArrow(keep, docs.schema)
