@@ -19,13 +19,14 @@ from tokenizers import Tokenizer
 SPACE = "\t-\r \x85\xa0  -     　"
 #: A run of white space and what follows it: a token may start with the run, never hold it inside.
 LEADING_SPACE_PIECES = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+ASCII_PIECES = re.compile(r"[\t-\r ]*[^\t-\r ]+|[\t-\r ]+")
 #: Characters that str.split() takes for white space and Unicode does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 WORDS = re.compile(f"[^{SPACE}]+")
 #: Both vocabularies also cut between letters and what is neither letter, digit nor space; the apostrophe has rules of its own.
 PARTS = re.compile(f"[{SPACE}]*+[A-Za-zÀ-ÖØ-öø-ÿ]++(?=[!-&(-/:-@[-`{{-~])|(?s:.)+")
 
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 900_000
 
 
 def space_words(text: str) -> list[str]:
@@ -35,7 +36,7 @@ def space_words(text: str) -> list[str]:
 
 def leading_space_pieces(text: str) -> list[str]:
     """Pieces for tokenizers that keep white space before a word."""
-    return LEADING_SPACE_PIECES.findall(text)
+    return (ASCII_PIECES if text.isascii() else LEADING_SPACE_PIECES).findall(text)
 
 
 class PieceEncoder:
