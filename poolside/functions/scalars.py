@@ -11,6 +11,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 TIME = "decimal(10,2)"
 #: Results without a time, each with the meaning of its time of zero.
@@ -153,7 +154,7 @@ def folded_name(text: Column) -> Column:
 _GERMAN = (("ä", "ae"), ("ö", "oe"), ("ü", "ue"), ("ß", "ss"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _without_marks(texts: pd.Series) -> pd.Series:
     def strip(t: str | None) -> str | None:
         return None if t is None else "".join(c for c in unicodedata.normalize("NFD", t) if not unicodedata.combining(c))
@@ -161,7 +162,7 @@ def _without_marks(texts: pd.Series) -> pd.Series:
     return texts.map(strip)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _ascii(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKD", t).encode("ascii", "ignore").decode())
 

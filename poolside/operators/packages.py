@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .delta import set_digest
@@ -69,6 +69,11 @@ RULES = {
 }
 
 
+def _strangers(values: Column, known: Column) -> Column:
+    """How many of the values that are not null are not known."""
+    return F.size(F.filter(values, lambda v: v.isNotNull() & ~F.array_contains(known, v)))
+
+
 def package_issues(documents: DataFrame, key: str = "meet_id") -> DataFrame:
     """DQ1: (meet_id, part, issue, n): repeated keys and foreign keys without a parent, in nested documents.
 
@@ -85,7 +90,7 @@ def package_issues(documents: DataFrame, key: str = "meet_id") -> DataFrame:
         for field, (parent, parent_key) in foreign.items():
             if field in fields and parent in documents.columns:
                 known = ids(parent, parent_key)
-                checks.append((part, f"no_{parent}", F.size(F.filter(ids(part, field), lambda v, known=known: v.isNotNull() & ~F.array_contains(known, v)))))
+                checks.append((part, f"no_{parent}", _strangers(ids(part, field), known)))
     rows = F.array(*(F.struct(F.lit(p).alias("part"), F.lit(i).alias("issue"), n.alias("n")) for p, i, n in checks))
     return documents.select(key, F.explode(rows).alias("c")).select(key, "c.*").where("n > 0")
 
