@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from .common import keyed_texts, map_slices
-from .tokens import CACHE_ENTRIES, leading_space_pieces, space_words
+from .tokens import CACHE_ENTRIES, folded, leading_space_pieces, lowers, space_words
 
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -38,6 +39,8 @@ class ForcedBoundaryBPE:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [t["content"] for t in spec["added_tokens"]]
+        self.special = re.compile("|".join(map(re.escape, self.added)) or r"(?!)")
+        self.lowers = lowers(spec)
         self.decoder = spec["decoder"]
         keeps_space = spec["pre_tokenizer"]["type"] == "ByteLevel" and spec["pre_tokenizer"].get("use_regex", True)
         self.pieces = leading_space_pieces if keeps_space else space_words
@@ -124,6 +127,8 @@ class ForcedBoundaryBPE:
     def encoded_and_decoded(self, text: str) -> tuple[bytes, bytes]:
         """The ids as little-endian unsigned 32-bit integers, and the decoded text in UTF-8."""
         get, make = self.words.get, self._word
+        if self.lowers:
+            text = folded(text, self.special)
         found = [get(p) or make(p) for p in self.pieces(text)]
         ids = b"".join([f[0] for f in found])
         if self.decoder is not None:

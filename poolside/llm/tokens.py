@@ -39,6 +39,24 @@ def leading_space_pieces(text: str) -> list[str]:
     return (ASCII_PIECES if text.isascii() else LEADING_SPACE_PIECES).findall(text)
 
 
+def folded(text: str, special: re.Pattern) -> str:
+    """text in lower case, for tokenizers that lower it themselves: more pieces are then alike.
+
+    Only texts of Latin-1 letters, which no normal form changes, and only if that makes up no special token.
+    """
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    low = text.lower()
+    return text if special.search(low) else low
+
+
+def lowers(spec: dict) -> bool:
+    """Does this tokenizers file lower its texts?"""
+    return '"Lowercase"' in json.dumps(spec["normalizer"])
+
+
 class PieceEncoder:
     """Texts to little-endian id bytes with a tokenizers file."""
 
@@ -55,8 +73,11 @@ class PieceEncoder:
         self.cache: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.special = re.compile("|".join(re.escape(t["content"]) for t in spec["added_tokens"]) or r"(?!)")
+        self.lowers = lowers(spec)
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if self.lowers:
+            texts = [folded(t, self.special) for t in texts]
         split = [self.pieces(t) for t in texts]
         missing = list(set().union(*split) - self.cache.keys())
         if len(self.cache) + len(missing) > self.entries:

@@ -167,7 +167,7 @@ def test_shards_round_trip(docs, nothing, spark, tmp_path):
 @pytest.mark.parametrize("path", [WORD, BYTE])
 def test_bpe_equals_the_library(docs, nothing, path):
     tokenizer = Tokenizer.from_file(path)
-    texts = [t or "" for _, t in ROWS] + ["don't I'LL 12½", "  a  b\n\n c\t\td ", "\x85a b", "é ́x", "👩‍👩‍👧 🏳️‍🌈"]
+    texts = [t or "" for _, t in ROWS] + ["don't I'LL 12½", "  a  b\n\n c\t\td ", "\x85a b", "é ́x", "👩‍👩‍👧 🏳️‍🌈", "ÄÖÜ ÑANDÚ I'M <|ENDOFTEXT|> \xb5\xa0H\u0331 X", "<|EndOfText|> UPPER case <|endoftext|>", "H\u0331 ΣΑΣ İ"]
     model = bpe.ForcedBoundaryBPE(path)
     for text, ids in zip(texts, encoder(path).encode(texts), strict=True):
         want = tokenizer.encode(text, add_special_tokens=False).ids
