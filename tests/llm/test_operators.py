@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from poolside.llm import bpe, line_quality, media, packing, pii, simhash, sstable, suffixes, toxicity, urls
+from poolside.llm import bpe, line_quality, media, near_sets, packing, pii, simhash, sstable, suffixes, toxicity, urls
 from poolside.llm.components import components
 from poolside.llm.files import open_input
 from poolside.llm.tokens import encoder
@@ -97,6 +97,34 @@ def test_ball_hashing_links_all_within_four_bits(spark, hot):
     assert len({next(iter(g)) for g in groups.values()}) == len(groups)
 
 
+@pytest.mark.parametrize("options", [{}, {"small": 3, "leaders": 1}])
+def test_near_copies_equal_brute_force_over_jaccard(spark, options):
+    import corpus_pipeline
+
+    rng = np.random.default_rng(8)
+    texts = []
+    for _ in range(12):
+        words = [f"w{x}" for x in rng.integers(0, 4000, 120)]
+        for k in range(8):
+            own = list(words)
+            for at in rng.choice(120, k // 2, replace=False):
+                own[at] = f"v{rng.integers(0, 4000)}"
+            texts.append(" ".join(own) + (" common closing words of every text here" if k % 2 else ""))
+    sets = [{tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for t in texts]
+    root = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    table = spark.createDataFrame(list(enumerate(texts)), EMPTY)
+    assert {r.doc_id: r.component_id for r in near_sets.near_copies(table, **options).collect()} == dict(enumerate(root))
+    assert 12 <= len(set(root)) < 40
+    if not options:
+        assert {r.doc_id for r in corpus_pipeline.without_near_duplicates(spark, table, "").collect()} == set(root)
+        assert near_sets.first_of_each_group(table.limit(0)).collect() == []
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (5, 5)], "a long, b long")
     got = {r.node: r.root for r in components(chain).collect()}
