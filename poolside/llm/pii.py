@@ -84,12 +84,15 @@ def joined(spans: list[Span]) -> str:
 # --- candidates and labelers ---------------------------------------------------
 
 CANDIDATES = re.compile(
-    r"(?P<secret>(?<![A-Za-z0-9_])[A-Za-z0-9_/+=-]{24,128}(?![A-Za-z0-9_]))"
+    r"(?P<secret>(?<![A-Za-z0-9_])[A-Za-z0-9_/+=-]{24,}(?![A-Za-z0-9_]))"
     r"|(?P<national_id>(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-]))"
     r"|(?P<local_phone>(?<![0-9+.-])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9.-]))"
     r"|(?P<spoken_email>[A-Za-z0-9._%+-]{1,64} ?[\[(]at[\])] ?[A-Za-z0-9-]{1,63} ?(?:\.|[\[(]dot[\])]) ?[A-Za-z]{2,10})"
-    r"|(?P<iban>(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?![A-Z0-9]))"
+    r"|(?P<iban>(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?:(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?|(?: ?[A-Z0-9]{4}){2} ?[A-Z0-9]{3})(?![A-Z0-9]))"
 )
+#: Where an IBAN can begin, and how far it can go: groups of four, of which the last may be shorter.
+IBAN_START = re.compile(r"(?<![A-Za-z0-9_])(?=[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4})")
+IBAN_GROUPS = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")
 #: Some character without which a text has no candidate.
 HINT = re.compile(r"[0-9]|[\[(]at[\])]")
 #: Gazetteer: words that announce each kind.
@@ -104,6 +107,27 @@ WRONG_CUES = ("version", "isbn", "page", "build", "commit", "checksum", "figure"
 LABELERS = 5
 
 
+def is_iban(value: str) -> bool:
+    compact = value.replace(" ", "")
+    return 15 <= len(compact) <= 34 and int("".join(str(int(c, 36)) for c in compact[4:] + compact[:4])) % 97 == 1
+
+
+def ibans(text: str) -> list[tuple[int, int]]:
+    """Spans with the check digits of an IBAN, the longest at each place."""
+    out, after = [], 0
+    for at in IBAN_START.finditer(text):
+        start = at.start()
+        m = IBAN_GROUPS.match(text, start) if start >= after else None
+        if not m:
+            continue
+        for end in range(m.end(), start + 14, -1):
+            if text[end - 1] != " " and not re.match(r"[A-Za-z0-9_]", text[end : end + 1]) and is_iban(text[start:end]):
+                out.append((start, end))
+                after = end
+                break
+    return out
+
+
 def _shape_vote(kind: str, value: str) -> int:
     """1 for, -1 against, 0 abstains."""
     if kind == "secret":
@@ -115,8 +139,7 @@ def _shape_vote(kind: str, value: str) -> int:
         digits = re.sub(r"\D", "", value)
         return -1 if digits[0] in "01" or digits[3] in "01" else 1
     if kind == "iban":
-        compact = value.replace(" ", "")
-        return 1 if int("".join(str(int(c, 36)) for c in compact[4:] + compact[:4])) % 97 == 1 else -1
+        return 1 if is_iban(value) else -1
     return 1
 
 
@@ -134,14 +157,20 @@ def votes(text: str, kind: str, start: int, end: int, near: bool) -> tuple[int,
 
 
 def candidates(text: str, base: list[Span]) -> list[tuple[Span, tuple[int, ...]]]:
-    """Candidate spans that touch no base span, with their votes."""
+    """Candidate spans with their votes: whole IBANs, and what else touches no base span."""
     if not HINT.search(text):
         return []
-    out = []
+    whole = ibans(text)
+    spans = [(s, e, "iban") for s, e in whole]
     for m in CANDIDATES.finditer(text):
         kind, (start, end) = m.lastgroup, m.span()
         if any(start < e and s < end for s, e, _ in base):
             continue
+        if any((start < e and s < end) if kind == "iban" else (s <= start and end <= e) for s, e in whole):
+            continue
+        spans.append((start, end, kind))
+    out = []
+    for start, end, kind in spans:
         out.append(((start, end, kind), votes(text, kind, start, end, any(abs(s - end) < 200 or abs(start - e) < 200 for s, e, _ in base))))
     return out
 
@@ -168,6 +197,8 @@ class SpanClassifier:
     reliability: np.ndarray  # P(vote | class), (labelers, classes, votes)
 
     def accepts(self, kind: str, vote: tuple[int, ...], least: float = 0.5) -> bool:
+        if kind == "iban":  # its check digits decide
+            return vote[0] > 0
         return self.weights[pattern_of(kind, vote)] >= least
 
 

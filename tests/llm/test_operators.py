@@ -267,6 +267,22 @@ def test_personal_data(docs, nothing):
     assert pii.find_personal_data(nothing).collect() == []
 
 
+@pytest.mark.parametrize("iban", ["DE89370400440532013000", "FR1420041010050500013M02606", "GB82WEST12345698765432", "CH9300762011623852957", "ES9121000418450200051332", "NO9386011117947", "MT84MALT011000012345MTLCAST001S", "BE68539007547034"])
+def test_ibans_of_any_length_are_redacted_whole(iban):
+    model = pii.fit_classifier({})
+    for shape in (iban, " ".join(iban[i : i + 4] for i in range(0, len(iban), 4))):
+        for text in ("pay to {} today", "account {}", "iban={}.", "{} IS THE BANK ACCOUNT", "AB12 3456 7890 1234 {}"):
+            assert pii.redacted(text.format(shape), model) == text.format("[IBAN]"), text.format(shape)
+    wrong = iban[:-1] + ("1" if iban[-1] != "1" else "2")
+    assert "[IBAN]" not in pii.redacted(f"pay to {wrong} today", model)
+
+
+def test_long_secrets_are_candidates():
+    token = "aB3dE5gH1jK0" * 17
+    text = f"token = {token} end"
+    assert [s for s, _ in pii.candidates(text, [])] == [(8, 8 + len(token), "secret")] and len(token) > 200
+
+
 def test_line_quality(docs, nothing, spark):
     def plain_repeats(words):
         seen = {}
