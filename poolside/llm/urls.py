@@ -14,6 +14,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import fresh_path
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NUMBERS = ["url_length", "host_length", "path_length", "depth", "labels", "digit_ratio", "host_digits", "entropy", "parameters", "hyphens", "is_https", "has_fragment", "path_digits"]
 
@@ -97,27 +99,27 @@ class UrlModel:
     def features(self, urls: DataFrame) -> DataFrame:
         """Suffix statistics joined on, and all features in one vector."""
         for key, table in self.rates.items():
-            urls = urls.join(F.broadcast(table), key, "left").withColumn(f"{key}_rate", F.coalesce(f"{key}_rate", F.lit(self.base)))
+            urls = urls.join(table, key, "left").withColumn(f"{key}_rate", F.coalesce(f"{key}_rate", F.lit(self.base)))
         return VectorAssembler(inputCols=[*NUMBERS, *(f"{k}_rate" for k in self.rates)], outputCol="features").transform(urls)
 
 
-def train(labelled: DataFrame, *, sample: int = 50_000, suffixes: int = 1000, trees: int = 8, depth: int = 3, seed: int = 3) -> UrlModel:
-    """Fit to URLs with a verdict in ``ruled``, about ``sample`` of them by a hash of the URL.
+def train(labelled: DataFrame, *, sample: int = 50_000, trees: int = 8, depth: int = 3, seed: int = 3) -> UrlModel:
+    """Fit the trees to URLs with a verdict in ``ruled``, about ``sample`` of them by a hash of the URL.
 
-    Suffix statistics are the shares of allowed URLs of the ``suffixes`` most frequent
-    suffixes, domains and first folders, so what is broadcast is bounded.
+    Suffix statistics are the shares of allowed URLs of every suffix, domain and first
+    folder, counted over all URLs with a verdict.
     """
-    known = labelled.where("ruled is not null")
-    size = known.count()
-    share = min(1.0, sample / max(1, size))
-    some = known.where(F.pmod(F.xxhash64("host", "path", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000)).withColumn("label", (F.col("ruled") == "allow").cast("double"))
-    totals = some.agg(F.avg("label").alias("rate"), F.count("label").alias("n")).first()
-    base = totals["rate"] if totals["rate"] is not None else 1.0
+    known = labelled.where("ruled is not null").withColumn("label", (F.col("ruled") == "allow").cast("double"))
+    totals = known.agg(F.avg("label").alias("rate"), F.count("label").alias("n")).first()
+    base, size = totals["rate"] if totals["rate"] is not None else 1.0, totals["n"]
     rates = {}
     for key in ("suffix", "domain", "folder"):
-        counted = some.groupBy(key).agg(F.sum("label").alias("good"), F.count("label").alias("n")).orderBy(F.desc("n"), key).limit(suffixes)
-        rows = [(r[key], (r["good"] + 5 * base) / (r["n"] + 5)) for r in counted.collect()]
-        rates[key] = labelled.sparkSession.createDataFrame(rows, f"{key} string, {key}_rate double")
+        counted = known.groupBy(key).agg(F.sum("label").alias("good"), F.count("label").alias("n"))
+        path = fresh_path(labelled.sparkSession, f"rates-{key}")  # written, so that Spark knows the size and decides on the join
+        counted.select(key, ((F.col("good") + 5 * base) / (F.col("n") + 5)).alias(f"{key}_rate")).write.parquet(path)
+        rates[key] = labelled.sparkSession.read.parquet(path)
+    share = min(1.0, sample / max(1, size))
+    some = known.where(F.pmod(F.xxhash64("host", "path", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))
     model = UrlModel(None, rates, base)
     if not 0 < base < 1:
         return model

@@ -348,6 +348,14 @@ def test_url_rules(spark):
     assert urls.judge_urls(pages.limit(0)).collect() == []
 
 
+def test_url_rates_cover_every_ruled_url(spark):
+    rows = [(i, f"http://site{i}.com/{'fr' if i % 2 else 'de'}/{i}") for i in range(1500)]
+    pages = spark.createDataFrame(rows, "page_id long, url string")
+    model = urls.train(urls.with_features(urls.with_rule(urls.with_parts(pages))), sample=100, trees=1)
+    rates = {r.domain: r.domain_rate for r in model.rates["domain"].collect()}
+    assert model.base == 0.5 and rates == {f"site{i}.com": (i % 2 + 2.5) / 6 for i in range(1500)}
+
+
 def test_media_copies(spark):
     rng = np.random.default_rng(3)
     rows = [(i, rng.normal(size=64).tolist()) for i in range(30)] + [(30, None), (31, rows_like := rng.normal(size=64).tolist()), (32, rows_like)]
