@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from ..functions.scalars import calendar_age, centiseconds, gender, serial_date, stroke_code
 
 ROWS = "file string, sheet string, row_no int, epoch_1904 boolean, cells map<string,string>"
+#: Most bytes of a workbook, as it is and unpacked.
+MOST_BYTES = 50 << 20
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
 
 
@@ -48,16 +50,23 @@ def _sheet_rows(content: bytes) -> Iterator[tuple[str, int, bool, dict[str, str]
                 yield sheet.get("name", ""), int(row.get("r", "0")), epoch, cells
 
 
-def workbook_rows(files: DataFrame, most_bytes: int = 20 << 20) -> DataFrame:
-    """SRC22: (file, sheet, row_no, epoch_1904, cells) of workbooks read by binary_files()."""
+def workbook_rows(files: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
+    """SRC22: (file, sheet, row_no, epoch_1904, cells) of workbooks read by binary_files().
+
+    A workbook of more bytes, packed or unpacked, fails the read.
+    """
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for name, content in zip(frame["file_name"], frame["content"], strict=True):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    if sum(i.file_size for i in z.infolist()) > most_bytes:
+                        raise ValueError(f"workbook too large: {name}")
                 rows = [(name, *r) for r in _sheet_rows(bytes(content))]
                 yield pd.DataFrame(rows, columns=["file", "sheet", "row_no", "epoch_1904", "cells"])
 
-    return files.where(F.col("length") <= most_bytes).select("file_name", "content").mapInPandas(read, ROWS)
+    too_large = F.raise_error(F.concat(F.lit("workbook too large: "), F.col("file_name"))).cast("binary")
+    return files.select("file_name", F.when(F.col("length") > most_bytes, too_large).otherwise(F.col("content")).alias("content")).mapInPandas(read, ROWS)
 
 
 def export_swims(rows: DataFrame, ignored_sheet: str = "Top Results") -> DataFrame:

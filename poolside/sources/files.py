@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import gzip
+import io
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +46,18 @@ def file_register(files: DataFrame) -> DataFrame:
 
 
 def snapshots(spark: SparkSession, folder: str, schema: str, most_bytes: int = 256 << 20) -> DataFrame:
-    """SRC15: gzip JSON packages with a fixed schema; larger files are left out of the scan."""
-    reader = spark.read.schema(schema).option("pathGlobFilter", "*.json.gz").option("multiLine", "true")
-    return reader.json(folder).where(F.col("_metadata.file_size") <= most_bytes)
+    """SRC15: gzip JSON packages with a fixed schema; one of more unpacked bytes fails the read."""
+
+    def over(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            large = []
+            for name, content in zip(frame["file_name"], frame["content"], strict=True):
+                with gzip.open(io.BytesIO(content)) as f:
+                    if len(f.read(most_bytes + 1)) > most_bytes:
+                        large.append(name)
+            yield pd.DataFrame({"file_name": large}, dtype=object)
+
+    large = binary_files(spark, folder, "*.json.gz", recursive=False).select("file_name", "content").mapInPandas(over, "file_name string").first()
+    if large:
+        raise ValueError(f"package exceeds its unpacked limit: {large['file_name']}")
+    return spark.read.schema(schema).option("pathGlobFilter", "*.json.gz").option("multiLine", "true").json(folder)

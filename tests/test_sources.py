@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from poolside.operators import delta, packages, rankings
-from poolside.sources import lenex, pages, records, tables
+from poolside.sources import exports, files, lenex, pages, records, tables
 from poolside.streaming import observe
 
 MEET = """<LENEX><MEETS><MEET name=" Spring  Cup " nation="SUI" course="LCM"><FACILITY city="Bern"/><SESSIONS><SESSION date="2026-03-01"><EVENTS>
@@ -94,3 +94,29 @@ def test_replayed_batches_change_nothing(spark, tmp_path):
         observe.apply_batches(stream, lambda: tables.read(spark, root), lambda df, n: tables.publish(df, root), ["live_id", "key"], f"{tmp_path}/ck{k}").awaitTermination()
         assert sorted(map(tuple, tables.read(spark, root).collect())) == [("m", "1", 2, "lenex"), ("m", "2", 1, "pdf")]
     assert tables.current_version(spark, root) == 3
+
+
+def test_files_over_a_limit_fail_and_are_not_dropped(spark, tmp_path):
+    import gzip
+    import inspect
+    import io
+    import zipfile
+
+    import pytest
+
+    assert inspect.signature(exports.workbook_rows).parameters["most_bytes"].default == 50 * 1024 * 1024
+    zipped = io.BytesIO()
+    with zipfile.ZipFile(zipped, "w") as z:
+        space = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+        z.writestr("xl/workbook.xml", f'<workbook {space}><sheets><sheet name="A"/></sheets></workbook>')
+        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet {space}><sheetData><row r="1"><c r="A1"><v>5</v></c></row></sheetData></worksheet>')
+    content = zipped.getvalue()
+    table = spark.createDataFrame([("a.xlsx", len(content), bytearray(content))], "file_name string, length long, content binary")
+    assert [(r.sheet, r.row_no, r.cells) for r in exports.workbook_rows(table).collect()] == [("A", 1, {"A": "5"})]
+    for most in (len(content) - 1, 300):
+        with pytest.raises(Exception, match="too large"):
+            exports.workbook_rows(table, most).collect()
+    (tmp_path / "p.json.gz").write_bytes(gzip.compress(b'{"a":\n"' + b"x" * 5000 + b'"}'))
+    assert len(files.snapshots(spark, f"file://{tmp_path}", "a string").collect()[0].a) == 5000
+    with pytest.raises(Exception, match="unpacked limit"):
+        files.snapshots(spark, f"file://{tmp_path}", "a string", 4000).collect()
