@@ -198,8 +198,8 @@ def content_share(text: bytes, field: LineField) -> float:
     return float((sizes * labels).sum() / sizes.sum())
 
 
-def train(docs: DataFrame, labels: DataFrame, *, sample: int = 1000, lines: int = 40, seed: int = 11, id_col: str = "doc_id", text_col: str = "text") -> LineField:
-    """Fit the field to at most ``sample`` labelled documents, at most ``lines`` lines of each.
+def train(docs: DataFrame, labels: DataFrame, *, sample: int = 1000, seed: int = 11, id_col: str = "doc_id", text_col: str = "text") -> LineField:
+    """Fit the field to at most ``sample`` labelled documents, all lines of each.
 
     Rows are chosen by a seeded hash of their id. Only line features come to the driver.
     """
@@ -209,7 +209,7 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = 1000, lines: int
 
     def look(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [line_features([x for x in t.encode().split(b"\n") if x.strip()][:lines]) for t in frame["text"]]
+            found = [line_features([x for x in t.encode().split(b"\n") if x.strip()]) for t in frame["text"]]
             yield pd.DataFrame({"label": frame["label"], "lines": [f.astype(np.uint8).tobytes() for f in found]})
 
     seen = sorted((bytes(r["lines"]), r["label"]) for r in rows.mapInPandas(look, "label int, lines binary").collect())

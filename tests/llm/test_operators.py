@@ -306,6 +306,14 @@ def test_line_quality(docs, nothing, spark):
     assert line_quality.judge(nothing, line_quality.train(nothing, labels.limit(0))).collect() == []
 
 
+def test_line_quality_learns_from_all_lines(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(line_quality, "fit_field", lambda rows: seen.extend(rows))
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    line_quality.train(spark.createDataFrame([(1, "A line of words.\n" * 90)], EMPTY), labels)
+    assert [len(features) for features, _ in seen] == [90]
+
+
 def test_toxicity(docs, nothing, spark):
     rows = [(i, "the weather is fine today. " * 3 + ("you are such a clown and an idiot. " if i % 3 == 0 else "they walk home. ") * 2) for i in range(240)]
     labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(240)], "doc_id long, quality int, toxic int")
