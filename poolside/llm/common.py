@@ -20,7 +20,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Texts are handed to Python code in slices of about this many bytes.
@@ -35,6 +35,11 @@ def keyed_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     )
 
 
+def mark_of(text: Column) -> Column:
+    """A digest of a text, null as empty."""
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -24,8 +24,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, give_back, keyed_texts, map_slices, partitions, utf8_values
-from .components import components
+from .common import checkpointed, give_back, keyed_texts, map_slices, mark_of, partitions, utf8_values
+from .components import least_labels, one_of_each
 
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: For a byte, eight bytes that hold its bits, the lowest bit first.
@@ -65,9 +65,7 @@ def bits_over_half(hashes: np.ndarray) -> int:
     return sum(1 << int(i) for i in np.flatnonzero(2 * counts > n))
 
 
-def fingerprints(docs: DataFrame, *, words: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fp long) of each row; fp is the fingerprint as a signed long."""
-
+def _prints(texts: DataFrame, words: int, seed: int, schema: str) -> DataFrame:
     def setup():
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             fps = np.array([fingerprint(t, words, seed) for t in utf8_values(batch.column(1))], np.uint64).view(np.int64)
@@ -75,7 +73,12 @@ def fingerprints(docs: DataFrame, *, words: int = 4, seed: int = 42, id_col: str
 
         return run
 
-    return map_slices(keyed_texts(docs, id_col, text_col), setup, "doc_id long, fp long")
+    return map_slices(texts, setup, schema)
+
+
+def fingerprints(docs: DataFrame, *, words: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, fp long) of each row; fp is the fingerprint as a signed long."""
+    return _prints(keyed_texts(docs, id_col, text_col), words, seed, "doc_id long, fp long")
 
 
 def flips(bits: list[int], most: int) -> np.ndarray:
@@ -220,20 +223,17 @@ def near_duplicates(
     """
     prints = checkpointed(fingerprints(docs, words=words, seed=seed, id_col=id_col, text_col=text_col))
     distinct = checkpointed(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(near_links(distinct, distance=distance, leading=leading, hot=hot))
-    grouped = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    of_print = grouped.join(least, "root").select("fp", "component_id")
-    return prints.join(of_print, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
-
+    links = near_links(distinct, distance=distance, leading=leading, hot=hot)
+    least = least_labels(distinct.withColumnRenamed("fp", "node"), links, "first_id").select(F.col("node").alias("fp"), F.col("least").alias("component_id"))
+    return prints.join(least, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
-def first_of_each_group(docs: DataFrame, *, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of docs, one for each group of near-duplicates: that with the smallest id.
 
-    Of rows that repeat the smallest id one stays; rows with a null id stay only if
-    their whole group has null ids.
-    """
-    found = near_duplicates(docs, id_col=id_col, **options)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("component_id").alias("_kept_id")).distinct()
-    kept = docs.join(keep, docs[id_col].cast("long").eqNullSafe(keep["_kept_id"]), "left_semi")
-    return kept.dropDuplicates([id_col])
+def first_of_each_group(
+    docs: DataFrame, *, words: int = 4, seed: int = 42, distance: int = 4, leading: int | None = None, hot: int = 50_000, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of docs, one for each group of near-duplicates, as ``one_of_each`` says."""
+    marked = keyed_texts(docs, id_col, text_col).select(F.struct("doc_id", mark_of(F.col("text")).alias("mark")).alias("doc_id"), "text")
+    prints = checkpointed(_prints(marked, words, seed, "doc_id struct<doc_id: bigint, mark: binary>, fp long"))
+    nodes = prints.select("doc_id.doc_id", "doc_id.mark", F.col("fp").alias("node"))
+    links = near_links(nodes.select(F.col("node").alias("fp")).distinct(), distance=distance, leading=leading, hot=hot)
+    return one_of_each(docs, nodes, links, id_col, text_col)

@@ -67,7 +67,21 @@ def test_fingerprints_and_groups(docs, nothing):
     group = {r.doc_id: r.component_id for r in found}
     assert group[1] == group[2] == 1 and group[4] == group[5] == 4 and group[9] == 9
     assert simhash.near_duplicates(nothing).collect() == []
-    assert sorted(r.doc_id for r in simhash.first_of_each_group(docs).collect() if r.doc_id) == [1, 3, 4, 6, 7, 8, 9, 11]
+    kept = simhash.first_of_each_group(docs)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 3, 4, 6, 7, 8, 9, 11]
+    assert simhash.first_of_each_group(nothing).collect() == []
+
+
+@pytest.mark.parametrize("operator", [simhash.first_of_each_group, near_sets.first_of_each_group])
+def test_each_group_keeps_a_row_whatever_its_ids(spark, operator):
+    texts = [" ".join(f"{w}{k}" for k in range(30)) for w in "abcdef"]
+    rows = [(None, texts[0]), (None, texts[1]), (7, texts[2]), (7, texts[3]), (7, texts[3]), (None, texts[4]), (3, texts[4]), (9, texts[5]), (8, texts[5] + " ")]
+    table = spark.createDataFrame(rows, EMPTY).withColumns({"id": F.lit(1), "mark": F.lit(2), "row": F.lit("x")})
+    kept = operator(table)
+    assert kept.columns == table.columns
+    want = [(0, texts[0]), (0, texts[1]), (3, texts[4]), (7, texts[2]), (7, texts[3]), (8, texts[5] + " ")]
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == want
 
 
 @pytest.mark.parametrize("hot", [50_000, 3])
