@@ -56,11 +56,11 @@ def least_labels(nodes: DataFrame, links: DataFrame, label: str, *, places: int
     nodes without a link take no part in them.
     """
     roots = components(links)
-    rows = nodes.join(roots, "node", "left").select("node", label, F.coalesce("root", "node").alias("root"), F.pmod(F.xxhash64("node"), F.lit(places)).cast("int").alias("place"))
+    rows = nodes.join(roots, "node", "left").select("node", F.col(label).alias("label"), F.coalesce("root", "node").alias("root"), F.pmod(F.xxhash64("node"), F.lit(places)).cast("int").alias("place"))
     several = roots.select("root").distinct()
-    least = rows.groupBy("root").agg(F.min(label).alias("least")).join(several, "root", "left_semi")
+    least = rows.groupBy("root").agg(F.min("label").alias("least")).join(several, "root", "left_semi")
     dealt = least.select("root", "least", F.explode(F.sequence(F.lit(0), F.lit(places - 1))).alias("place"))
-    return rows.join(dealt, ["root", "place"], "left").select("node", F.coalesce("least", label).alias("least"))
+    return rows.join(dealt, ["root", "place"], "left").select("node", F.coalesce("least", "label").alias("least"))
 
 
 def one_of_each(docs: DataFrame, nodes: DataFrame, links: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -1,29 +1,31 @@
 """Finding cropped and edited copies of images by local descriptors.
 
 Corners are found at several scales; each gets an orientation from the centre of
-mass of its patch, and binary brightness tests turned to that orientation. Tests
-are cut into bands, and descriptors that agree in a whole band meet in a join.
-Those within a few bits match. A pair of images is linked if enough matches agree
-on one change of scale, rotation and place.
+mass of its patch, and binary brightness tests turned to that orientation. Six
+tables are keyed by two quarters of the tests, and corners that meet in a table and
+differ in few bits match. Two images are linked if enough matches agree on one
+change of scale, rotation and place.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed
-from .components import components
+from .common import checkpointed, give_back, partitions
+from .components import components, least_labels
 
 RADIUS, TESTS = 9, 128
-POINT = "struct<x: float, y: float, scale: float, angle: float, d0: bigint, d1: bigint>"
+POINT = "struct<place: bigint, d0: bigint, d1: bigint>"
 
 
 # --- images made from vectors ---------------------------------------------------
@@ -70,21 +72,22 @@ def images_of(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "
 # --- descriptors ------------------------------------------------------------------
 
 
-def _blur(image: np.ndarray) -> np.ndarray:
-    p = np.pad(image, 1, mode="edge")
-    rows = p[:-2] + 2 * p[1:-1] + p[2:]
-    return (rows[:, :-2] + 2 * rows[:, 1:-1] + rows[:, 2:]) / 16
+def _blur(images: np.ndarray) -> np.ndarray:
+    """A small binomial blur of a stack of pictures."""
+    p = np.pad(images, ((0, 0), (1, 1), (1, 1)), mode="edge")
+    rows = p[:, :-2] + 2 * p[:, 1:-1] + p[:, 2:]
+    return (rows[:, :, :-2] + 2 * rows[:, :, 1:-1] + rows[:, :, 2:]) / 16
 
 
-def _resized(image: np.ndarray, scale: float) -> np.ndarray:
+def _resized(images: np.ndarray, scale: float) -> np.ndarray:
     """Bilinear, scale below one."""
-    h, w = int(image.shape[0] * scale), int(image.shape[1] * scale)
-    y, x = np.minimum(np.arange(h) / scale, image.shape[0] - 1), np.minimum(np.arange(w) / scale, image.shape[1] - 1)
+    h, w = int(images.shape[1] * scale), int(images.shape[2] * scale)
+    y, x = np.minimum(np.arange(h) / scale, images.shape[1] - 1), np.minimum(np.arange(w) / scale, images.shape[2] - 1)
     y0, x0 = y.astype(int), x.astype(int)
-    y1, x1 = np.minimum(y0 + 1, image.shape[0] - 1), np.minimum(x0 + 1, image.shape[1] - 1)
+    y1, x1 = np.minimum(y0 + 1, images.shape[1] - 1), np.minimum(x0 + 1, images.shape[2] - 1)
     fy, fx = (y - y0)[:, None], (x - x0)[None, :]
-    top = image[y0][:, x0] * (1 - fx) + image[y0][:, x1] * fx
-    return top * (1 - fy) + (image[y1][:, x0] * (1 - fx) + image[y1][:, x1] * fx) * fy
+    top, bottom = images[:, y0], images[:, y1]
+    return (top[:, :, x0] * (1 - fx) + top[:, :, x1] * fx) * (1 - fy) + (bottom[:, :, x0] * (1 - fx) + bottom[:, :, x1] * fx) * fy
 
 
 @lru_cache(1)
@@ -96,149 +99,279 @@ def _tests() -> tuple[np.ndarray, np.ndarray]:
     return draw[:, 0], draw[:, 1]
 
 
-def keypoints(image: np.ndarray, most: int = 20, scales: tuple[float, ...] = (1.0, 0.75)) -> list[tuple[float, float, float, float, bytes]]:
-    """(x, y, scale, angle, descriptor) of the strongest corners, ``most`` at each scale."""
-    out = []
+def keypoints(images: np.ndarray, *, apart: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of the picture, (x, y, level, angle), descriptor bytes) of every corner of a stack of pictures of one size.
+
+    Each level is smaller than the one before by a half octave, down to the last that
+    has room for a patch. A corner is the strongest place within ``apart`` pixels, so
+    their number grows with the area of a picture and none is left out.
+    """
     a, b = _tests()
     grid = np.arange(-RADIUS, RADIUS + 1)
     disc = (grid[:, None] ** 2 + grid[None, :] ** 2 <= RADIUS**2).astype(float)
-    for scale in scales:
-        level = _blur(image.astype(float) if scale == 1 else _resized(image.astype(float), scale))
-        h, w = level.shape
-        if min(h, w) < 2 * RADIUS + 4:
-            continue
-        gy, gx = np.gradient(level)
+    found = [(np.zeros(0, int), np.zeros((0, 4)), np.zeros((0, TESTS // 8), np.uint8))]
+    plain, number = images.astype(float), 0
+    while min(int(n * 2 ** (-number / 2)) for n in images.shape[1:]) >= 2 * RADIUS + 4:
+        scale = 2 ** (-number / 2)
+        level = _blur(plain if number == 0 else _resized(plain, scale))
+        gy, gx = np.gradient(level, axis=(1, 2))
         xx, yy, xy = _blur(gx * gx), _blur(gy * gy), _blur(gx * gy)
         corner = xx * yy - xy * xy - 0.05 * (xx + yy) ** 2
-        inner = corner[RADIUS + 1 : h - RADIUS - 1, RADIUS + 1 : w - RADIUS - 1]
-        around = np.stack([corner[RADIUS + 1 + dy : h - RADIUS - 1 + dy, RADIUS + 1 + dx : w - RADIUS - 1 + dx] for dy in (-1, 0, 1) for dx in (-1, 0, 1)]).max(axis=0)
-        ys, xs = np.nonzero((inner >= around) & (inner > 1e-3))
-        best = np.argsort(-inner[ys, xs], kind="stable")[:most]
-        ys, xs = ys[best] + RADIUS + 1, xs[best] + RADIUS + 1
-        if not len(ys):
-            continue
-        patches = level[ys[:, None, None] + grid[None, :, None], xs[:, None, None] + grid[None, None, :]] * disc
-        angle = np.arctan2((patches * grid[None, :, None]).sum((1, 2)), (patches * grid[None, None, :]).sum((1, 2)))
-        cos, sin = np.cos(angle)[:, None], np.sin(angle)[:, None]
+        h, w = corner.shape[1:]
+        around = np.pad(corner, ((0, 0), (apart, apart), (apart, apart)), constant_values=-np.inf)
+        around = np.maximum.reduce([around[:, k : k + h] for k in range(2 * apart + 1)])
+        around = np.maximum.reduce([around[:, :, k : k + w] for k in range(2 * apart + 1)])
+        inner = (slice(None), slice(RADIUS + 1, h - RADIUS - 1), slice(RADIUS + 1, w - RADIUS - 1))
+        of, ys, xs = np.nonzero((corner[inner] >= around[inner]) & (corner[inner] > 1e-3))
+        for at in range(0, len(of), 20_000):
+            i, y0, x0 = of[at : at + 20_000], ys[at : at + 20_000] + RADIUS + 1, xs[at : at + 20_000] + RADIUS + 1
+            patches = level[i[:, None, None], y0[:, None, None] + grid[None, :, None], x0[:, None, None] + grid[None, None, :]] * disc
+            angle = np.arctan2((patches * grid[None, :, None]).sum((1, 2)), (patches * grid[None, None, :]).sum((1, 2)))
+            cos, sin = np.cos(angle)[:, None], np.sin(angle)[:, None]
+
+            def turned(p: np.ndarray, level=level, i=i, y0=y0, x0=x0, cos=cos, sin=sin) -> np.ndarray:
+                x, y = p[None, :, 0] * cos - p[None, :, 1] * sin, p[None, :, 0] * sin + p[None, :, 1] * cos
+                return level[i[:, None], y0[:, None] + np.rint(y).astype(int), x0[:, None] + np.rint(x).astype(int)]
+
+            bits = np.packbits(turned(a) < turned(b), axis=1)
+            found.append((i, np.stack([x0 / scale, y0 / scale, np.full(len(i), number), angle], axis=1), bits))
+        number += 1
+    return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
 
-        def at(p: np.ndarray, level=level, ys=ys, xs=xs, cos=cos, sin=sin) -> np.ndarray:
-            x, y = p[None, :, 0] * cos - p[None, :, 1] * sin, p[None, :, 0] * sin + p[None, :, 1] * cos
-            return level[ys[:, None] + np.rint(y).astype(int), xs[:, None] + np.rint(x).astype(int)]
+#: A place is one long: x and y in quarter pixels, the level, and the angle in 1024ths of a turn.
+X, Y, LEVEL, ANGLE = (0, 20), (20, 20), (40, 5), (45, 10)
+MOST_PIXELS = 1 << 18
 
-        bits = np.packbits(at(a) < at(b), axis=1)
-        out += [(x / scale, y / scale, scale, t, d.tobytes()) for x, y, t, d in zip(xs.tolist(), ys.tolist(), angle.tolist(), bits, strict=True)]
-    return out
+
+def _field(place: np.ndarray, field: tuple[int, int]) -> np.ndarray:
+    return (place >> field[0]) & ((1 << field[1]) - 1)
+
+
+def places(points: np.ndarray) -> np.ndarray:
+    """Rows of (x, y, level, angle) as longs."""
+    x, y, level, angle = points.T
+    turn = np.rint(angle / (2 * np.pi) * 1024).astype(np.int64) % 1024
+    return np.rint(4 * x).astype(np.int64) | (np.rint(4 * y).astype(np.int64) << Y[0]) | (level.astype(np.int64) << LEVEL[0]) | (turn << ANGLE[0])
 
 
 def described(images: DataFrame) -> DataFrame:
     """(image_id, content, points) of (image_id, height, width, pixels): its digest and the corners of each picture.
 
-    Pictures are described where they are read, so that pixels are never shuffled.
+    Pictures are described where they are read, so that pixels are never shuffled;
+    those of one size together, about a million pixels at a time. A picture may have
+    up to 262,143 pixels a side.
     """
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.struct([("x", pa.float32()), ("y", pa.float32()), ("scale", pa.float32()), ("angle", pa.float32()), ("d0", pa.int64()), ("d1", pa.int64())])
         for batch in batches:
-            digests, points, ends = [], [], [0]
-            for h, w, pixels in zip(*(batch.column(c).to_pylist() for c in ("height", "width", "pixels")), strict=True):
-                digests.append(bytes.fromhex(content_of(h, w, pixels or b"")))
-                points += keypoints(np.frombuffer(pixels, np.uint8).reshape(h, w)) if pixels else []
-                ends.append(len(points))
-            numbers = np.array([p[:4] for p in points], np.float32).reshape(-1, 4)
-            bits = np.frombuffer(b"".join(p[4] for p in points), ">i8").astype(np.int64).reshape(-1, 2)
-            fields = [*(pa.array(numbers[:, i]) for i in range(4)), *(pa.array(bits[:, i]) for i in range(2))]
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(fields, fields=list(kind)))
-            yield pa.RecordBatch.from_arrays([batch.column("image_id"), pa.array(digests, pa.binary()), lists], names=["image_id", "content", "points"])
+            rows = list(zip(*(batch.column(c).to_pylist() for c in ("height", "width", "pixels")), strict=True))
+            sizes: dict[tuple[int, int], list[int]] = {}
+            for k, (h, w, pixels) in enumerate(rows):
+                if pixels:
+                    if max(h, w) >= MOST_PIXELS:
+                        raise ValueError(f"a picture of {h} x {w} pixels")
+                    sizes.setdefault((h, w), []).append(k)
+            owner, points, bits = [np.zeros(0, int)], [np.zeros((0, 4))], [np.zeros((0, TESTS // 8), np.uint8)]
+            for (h, w), own in sizes.items():
+                step = max(1, 1_000_000 // (h * w))
+                for at in range(0, len(own), step):
+                    some = own[at : at + step]
+                    which, where, tests = keypoints(np.stack([np.frombuffer(rows[k][2], np.uint8).reshape(h, w) for k in some]))
+                    owner.append(np.array(some)[which])
+                    points.append(where)
+                    bits.append(tests)
+            order = np.argsort(np.concatenate(owner), kind="stable")
+            ends = np.searchsorted(np.concatenate(owner)[order], np.arange(len(rows) + 1)).astype(np.int32)
+            tests = np.ascontiguousarray(np.concatenate(bits)[order]).view(">i8").astype(np.int64).reshape(-1, 2)
+            fields = {"place": places(np.concatenate(points)[order]), "d0": tests[:, 0], "d1": tests[:, 1]}
+            structs = pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(v)) for v in fields.values()], names=list(fields))
+            digests = pa.array([bytes.fromhex(content_of(h, w, pixels or b"")) for h, w, pixels in rows], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("image_id"), digests, pa.ListArray.from_arrays(pa.array(ends), structs)], names=["image_id", "content", "points"])
+            give_back()
 
     picked = images.select(F.col("image_id").cast("long").alias("image_id"), F.col("height").cast("int").alias("height"), F.col("width").cast("int").alias("width"), F.col("pixels").cast("binary").alias("pixels"))
     return picked.mapInArrow(look, f"image_id long, content binary, points array<{POINT}>")
 
 
-def banded(contents: DataFrame) -> DataFrame:
-    """(band, p): four rows for each corner of (node, points); band is a quarter of the descriptor with its place."""
-    corners = contents.select("node", F.explode("points").alias("p")).select(F.struct("node", "p.*").alias("p"))
+# --- tables of quarters -------------------------------------------------------------
+
+#: The quarters of a descriptor, two by two: a table for each pair.
+PAIRS = tuple(combinations(range(4), 2))
+ROWS = "key long, node long, place long, d0 long, d1 long, pair int"
+
+
+def tabled(contents: DataFrame) -> DataFrame:
+    """Six rows for each corner of (node, points): in each table its key is two quarters of the descriptor."""
+    corners = contents.select("node", F.explode("points").alias("p")).select("node", "p.*")
     low = F.lit(0xFFFFFFFF).cast("long")
-    quarters = [F.shiftrightunsigned("p.d0", 32), F.col("p.d0").bitwiseAND(low), F.shiftrightunsigned("p.d1", 32), F.col("p.d1").bitwiseAND(low)]
-    return corners.select(F.explode(F.array(*(q.bitwiseOR(F.lit(i << 32).cast("long")) for i, q in enumerate(quarters)))).alias("band"), "p")
+    quarter = [F.shiftrightunsigned("d0", 32), F.col("d0").bitwiseAND(low), F.shiftrightunsigned("d1", 32), F.col("d1").bitwiseAND(low)]
+    keys = F.array(*(F.shiftleft(quarter[i], 32).bitwiseOR(quarter[j]) for i, j in PAIRS))
+    return corners.select(F.posexplode(keys).alias("pair", "key"), "node", "place", "d0", "d1").select(*(c.split()[0] for c in ROWS.split(", ")))
 
 
-def _apart(a: str, b: str) -> Column:
-    """Differing bits of two descriptors."""
-    return F.bit_count(F.col(f"{a}.d0").bitwiseXOR(F.col(f"{b}.d0"))) + F.bit_count(F.col(f"{a}.d1").bitwiseXOR(F.col(f"{b}.d1")))
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns in blocks that end with a group of (key, pair); rows come sorted by them."""
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if not len(new[0]):
+            continue
+        key, pair = new[0], new[5]
+        change = np.flatnonzero((key[1:] != key[:-1]) | (pair[1:] != pair[:-1]))
+        cut = int(change[-1]) + 1 if len(change) else 0
+        if not cut and held and (held[-1][0][-1], held[-1][5][-1]) != (key[0], pair[0]):
+            yield [np.concatenate(x) for x in zip(*held, strict=True)]
+            held = []
+        if cut:
+            held.append([c[:cut] for c in new])
+            yield [np.concatenate(x) for x in zip(*held, strict=True)]
+            held = []
+        held.append([c[cut:] for c in new])
+    if held:
+        yield [np.concatenate(x) for x in zip(*held, strict=True)]
+
+
+def _starts(key: np.ndarray, pair: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (pair[1:] != pair[:-1])]) if len(key) else np.zeros(0, int)
+
+
+def met(rows: DataFrame) -> DataFrame:
+    """Rows whose key two or more contents have, with the number ``n`` of rows of the key."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _blocks(batches):
+            start = _starts(block[0], block[5])
+            size = np.diff(np.r_[start, len(block[0])])
+            several = np.minimum.reduceat(block[1], start) < np.maximum.reduceat(block[1], start)
+            keep, n = np.repeat(several, size), np.repeat(size, size)
+            yield pa.RecordBatch.from_arrays([*(pa.array(c[keep]) for c in block), pa.array(n[keep].astype(np.int32))], names=[*(c.split()[0] for c in ROWS.split(", ")), "n"])
+        give_back()
+
+    dealt = rows.repartition(partitions(rows.sparkSession), "key").sortWithinPartitions("key", "pair")
+    return dealt.mapInArrow(run, ROWS + ", n int")
 
 
-def matches(points: DataFrame, *, distance: int = 12, small: int = 20, leaders: int = 16) -> DataFrame:
-    """(a, b): pairs of corners that share a band and differ in at most ``distance`` bits.
+MATCHES = "a long, b long, at_a long, at_b long"
 
-    Bands with up to ``small`` corners are compared in all pairs. In crowded ones every
-    corner is held against the band's leaders, one from each of ``leaders`` hashed parts;
-    those near none get new leaders in the next round, twice as many, until none is left.
-    So a large group of copies costs one round, and no corner is left without a leader.
+
+def _first_pair(x0: np.ndarray, x1: np.ndarray) -> np.ndarray:
+    """The first table in which two descriptors meet, given the bits in which they differ."""
+    same = [(x0 >> np.uint64(32)) == 0, (x0 & np.uint64(0xFFFFFFFF)) == 0, (x1 >> np.uint64(32)) == 0, (x1 & np.uint64(0xFFFFFFFF)) == 0]
+    return np.argmax(np.stack([same[i] & same[j] for i, j in PAIRS]), axis=0)
+
+
+def matched(rows: DataFrame, *, distance: int, small: int, leaders: int | None) -> DataFrame:
+    """(a, b, at_a, at_b): corners of contents a < b that share a key, differ in at most ``distance`` bits, and have different roots.
+
+    rows: as met() gives them, with ``root``. A match is given once, in the first table
+    that both are in. With ``leaders``, keys of over ``small`` rows match each corner
+    only with those of one content of each root, of at most so many roots: the ones whose
+    mixed names are smallest, so that keys with the same contents have the same leaders.
     """
-    busy = points.groupBy("band").agg(F.min("p.node").alias("least"), F.max("p.node").alias("most"), F.count("p").alias("n")).where("least < most")
-    rows = checkpointed(points.join(busy.select("band", (F.col("n") > small).alias("crowded")), "band").select("band", "crowded", "p"))
-    few = rows.where(~F.col("crowded"))
-    pairs = few.select("band", F.col("p").alias("a")).join(few.select("band", F.col("p").alias("b")), "band")
-    found = pairs.where(F.col("a.node") < F.col("b.node")).where(_apart("a", "b") <= distance).select("a", "b")
-    left = rows.where("crowded").select("band", "p")
-    while not left.isEmpty():
-        part = F.pmod(F.xxhash64("p.d0", "p.d1"), F.lit(leaders))
-        first = left.groupBy("band", part.alias("part")).agg(F.min("p").alias("a")).select("band", "a")
-        held = left.join(first, "band").select("band", "p", F.when(_apart("a", "p") <= distance, F.col("a")).alias("a"))
-        # a corner goes with its nearest leader; the least decides among equals
-        best = F.min(F.when(F.col("a").isNotNull(), F.struct(_apart("a", "p").alias("apart"), "a")))
-        held = checkpointed(held.groupBy("band", "p").agg(best.alias("best")))
-        found = found.unionByName(held.where("best is not null and best.a.node != p.node").select(F.col("best.a").alias("a"), F.col("p").alias("b")))
-        left = held.where("best is null").select("band", "p")
-        leaders *= 2
-    return found
-
-
-def linked(pairs: DataFrame, *, agree: int = 4) -> DataFrame:
-    """(a, b, votes): pairs of contents with at least ``agree`` matches on one change of scale, rotation and place.
+
+    def of_group(node, place, d0, d1, root, pair) -> Iterator[np.ndarray]:  # noqa: ANN001
+        lead = np.arange(len(node))
+        if leaders is not None and len(node) > small:
+            names, of = np.unique(node, return_inverse=True)
+            mixed = (names.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
+            by_name = np.argsort(mixed, kind="stable")
+            roots = root[np.unique(of, return_index=True)[1]][by_name]
+            chosen = by_name[np.sort(np.unique(roots, return_index=True)[1])[:leaders]]
+            lead = np.flatnonzero(np.isin(of, chosen))
+        step = max(1, 500_000 // len(lead))
+        for at in range(0, len(node), step):
+            x = slice(at, at + step)
+            i, j = np.nonzero(root[x][:, None] != root[lead][None, :])
+            i, j = i + at, lead[j]
+            x0, x1 = d0[i] ^ d0[j], d1[i] ^ d1[j]
+            ok = (np.bitwise_count(x0) + np.bitwise_count(x1) <= distance) & (_first_pair(x0, x1) == pair)
+            i, j = i[ok], j[ok]
+            swap = node[i] > node[j]
+            i, j = np.where(swap, j, i), np.where(swap, i, j)
+            yield np.stack([node[i], node[j], place[i], place[j]], axis=1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for key, node, place, d0, d1, pair, root in _blocks(batches):
+            ends = [*_starts(key, pair)[1:].tolist(), len(key)]
+            d0, d1 = d0.view(np.uint64), d1.view(np.uint64)
+            found, size, start = [np.zeros((0, 4), np.int64)], 0, 0
+            for end in ends:
+                own = slice(start, end)
+                if (root[own] != root[start]).any():
+                    for pairs in of_group(node[own], place[own], d0[own], d1[own], root[own], pair[start]):
+                        found.append(pairs)
+                        size += len(pairs)
+                if size > 100_000 or end == ends[-1]:
+                    out = np.unique(np.concatenate(found), axis=0)
+                    found, size = [np.zeros((0, 4), np.int64)], 0
+                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(out[:, k])) for k in range(4)], names=["a", "b", "at_a", "at_b"])
+                start = end
+        give_back()
+
+    picked = rows.select(*(c.split()[0] for c in ROWS.split(", ")), "root")
+    dealt = picked.repartition(partitions(rows.sparkSession), "key").sortWithinPartitions("key", "pair")
+    return dealt.mapInArrow(run, MATCHES)
+
+
+def linked(matches: DataFrame, *, agree: int = 4) -> DataFrame:
+    """(a, b): pairs of contents with at least ``agree`` matches on one change of scale, rotation and place.
 
     Changes are counted in overlapping boxes, each match in the nearest box and its
-    neighbour, so that a border does not part matches that agree.
+    neighbour, so that a border does not part matches that agree. Corners of a that
+    lie at one place count once.
+    """
+    field = lambda c, f: F.shiftright(c, f[0]).bitwiseAND(F.lit((1 << f[1]) - 1).cast("long"))
+    of = {f"{s}{n}": field(f"at_{s}", f) for s in "ab" for n, f in (("x", X), ("y", Y), ("level", LEVEL), ("angle", ANGLE))}
+    parts = matches.distinct().select("a", "b", *((v / 4 if k[1:] in ("x", "y") else v).alias(f"_{k}") for k, v in of.items()))
+    turn = F.pmod(F.col("_bangle") - F.col("_aangle"), F.lit(1024)) * (2 * math.pi / 1024)
+    ratio = F.pow(F.lit(2.0), (F.col("_blevel") - F.col("_alevel")) / 2)
+    # a place in a, turned and scaled, lies at a shifted place in b
+    dx = F.col("_bx") - ratio * (F.col("_ax") * F.cos(turn) - F.col("_ay") * F.sin(turn))
+    dy = F.col("_by") - ratio * (F.col("_ax") * F.sin(turn) + F.col("_ay") * F.cos(turn))
+    both = lambda v: F.array(F.floor(v / 8), F.floor(v / 8 + 0.5) + 10_000_000)
+    moved = parts.select("a", "b", (F.col("_blevel") - F.col("_alevel")).alias("zoom"), F.pmod(F.round(turn / 0.26), F.lit(24)).alias("turn"), dx.alias("dx"), dy.alias("dy"), F.round("_ax").alias("x"), F.round("_ay").alias("y"))
+    boxed = moved.select("a", "b", "zoom", "turn", F.explode(both(F.col("dx"))).alias("dx"), "dy", "x", "y").select("a", "b", "zoom", "turn", "dx", F.explode(both(F.col("dy"))).alias("dy"), "x", "y")
+    spots = boxed.distinct()
+    counted = spots.groupBy("a", "b", "zoom", "turn", "dx", "dy").agg(F.count("x").alias("n")).where(F.col("n") >= agree)
+    return counted.select("a", "b").distinct()
+
+
+def image_links(contents: DataFrame, *, distance: int = 12, agree: int = 4, small: int = 16, leaders: int = 4) -> DataFrame:
+    """(a, b): links between contents (node, points), enough of them to connect all that ``agree`` matches link.
+
+    Keys of over ``small`` rows are first matched with leaders, twice; what is connected
+    then need not be compared again. All other pairs are, and their matches are
+    counted together with those found before, so no link between components is lost.
     """
-    turn = F.col("b.angle") - F.col("a.angle")
-    ratio = F.col("b.scale") / F.col("a.scale")
-    dx = F.col("b.x") - (F.col("a.x") * F.cos(turn) - F.col("a.y") * F.sin(turn))
-    dy = F.col("b.y") - (F.col("a.x") * F.sin(turn) + F.col("a.y") * F.cos(turn))
-    boxed = pairs.select(
-        F.col("a.node").alias("a"),
-        F.col("b.node").alias("b"),
-        F.round(F.log2(ratio) * 2).alias("zoom"),
-        F.pmod(F.round(turn / 0.26), F.lit(24)).alias("turn"),
-        *(F.explode(F.array(F.floor(v / 8), F.floor(v / 8 + 0.5) + 1_000_000)).alias(n) for n, v in (("dx", dx),)),
-        F.col("a.x").alias("x"),
-        F.col("a.y").alias("y"),
-        dy.alias("dy"),
-    ).select("a", "b", "zoom", "turn", "dx", F.explode(F.array(F.floor(F.col("dy") / 8), F.floor(F.col("dy") / 8 + 0.5) + 1_000_000)).alias("dy"), "x", "y")
-    spots = boxed.dropDuplicates(["a", "b", "zoom", "turn", "dx", "dy", "x", "y"])
-    counted = spots.groupBy("a", "b", "zoom", "turn", "dx", "dy").agg(F.count("x").alias("n"))
-    best = counted.groupBy("a", "b").agg(F.max("n").alias("votes"))
-    return best.where(F.col("votes") >= agree)
-
-
-def image_classes(images: DataFrame, *, distance: int = 12, agree: int = 4, id_col: str = "image_id") -> DataFrame:
-    """(image_id, content_sha256, n_links, class_id) of each row.
-
-    Equal pixels are one content, and corners of a content are compared once, however many rows have it.
-    class_id is the smallest image_id reachable over links; n_links counts other
-    contents that the row's content was verified against. Null or empty pictures are one class of their own
-    content and have no links. Repeated rows and null ids are kept; an empty table gives no rows.
+    rows = checkpointed(met(tabled(contents)))
+    found = checkpointed(matched(rows.withColumn("root", F.col("node")), distance=distance, small=small, leaders=leaders))
+    links = checkpointed(linked(found, agree=agree))
+    crowded = rows.where(F.col("n") > small)
+    if not crowded.isEmpty():
+        for most in (leaders, None):
+            rooted = crowded.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+            found = found.unionByName(checkpointed(matched(rooted, distance=distance, small=small, leaders=most)))
+            links = checkpointed(linked(found, agree=agree))
+    return links
+
+
+def image_classes(images: DataFrame, *, id_col: str = "image_id", **options) -> DataFrame:
+    """(image_id, content_sha256, class_id) of each row.
+
+    Two contents are linked if at least four of their corners match and agree on one
+    change; corners match that share two quarters of the descriptor and differ in at
+    most 12 of 128 bits. class_id is the smallest image_id reachable over links. Equal pixels
+    are one content, compared once, however many rows have it. Null or empty pictures
+    are one content without links. Repeated rows and null ids are kept (a null id is a class_id
+    only if the class has no other); an empty table gives no rows.
     """
     seen = checkpointed(described(images.select(F.col(id_col).alias("image_id"), "height", "width", "pixels")))
     per = seen.groupBy("content").agg(F.min("image_id").alias("least"), F.first("points").alias("points"))
-    # a content is named by its least id; one that only null ids have, by a hash
-    contents = checkpointed(per.select("content", "least", F.coalesce("least", F.xxhash64("content")).alias("node"), "points"))
-    links = checkpointed(linked(matches(banded(contents), distance=distance), agree=agree).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    degree = links.select("a").unionByName(links.select(F.col("b").alias("a"))).groupBy("a").agg(F.count("a").alias("n_links"))
-    roots = components(links)
-    grouped = contents.select("content", "least", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    classes = grouped.join(grouped.groupBy("root").agg(F.min("least").alias("class_id")), "root")
-    known = classes.join(degree, classes["node"] == degree["a"], "left").select("content", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
-    return seen.select("image_id", "content").join(known, "content").select("image_id", F.lower(F.hex("content")).alias("content_sha256"), "n_links", "class_id")
+    contents = checkpointed(per.select("content", "least", F.xxhash64("content").alias("node"), "points"))
+    classes = least_labels(contents.select("node", "least"), image_links(contents.select("node", "points"), **options), "least").withColumnRenamed("least", "class_id")
+    known = contents.select("content", "node").join(classes, "node").select("content", "class_id")
+    return seen.select("image_id", "content").join(known, "content").select("image_id", F.lower(F.hex("content")).alias("content_sha256"), "class_id")
 
 
 def content_of(height: int | None, width: int | None, pixels: bytes) -> str:

@@ -378,18 +378,74 @@ def test_url_rates_cover_every_ruled_url(spark):
     assert model.base == 0.5 and rates == {f"site{i}.com": (i % 2 + 2.5) / 6 for i in range(1500)}
 
 
+def _edited(image, rng):
+    """Copies of a picture: cropped, changed in brightness, noisy, turned, and half as large."""
+    yield image[6:58, 9:60]
+    yield np.clip(image * 0.8 + 25, 0, 255).astype(np.uint8)
+    yield np.clip(image + rng.normal(0, 5, image.shape), 0, 255).astype(np.uint8)
+    yield np.rot90(image).copy()
+
+
+def _pictures(spark, pictures):
+    rows = [(k, *p.shape, bytearray(np.ascontiguousarray(p).tobytes())) for k, p in enumerate(pictures)]
+    return spark.createDataFrame(rows, "image_id long, height int, width int, pixels binary").withColumns({"key": F.lit("x"), "node": F.lit(1), "content": F.lit(0)})
+
+
+def _agreement(a, b, distance=12):
+    """The most matches of two described pictures on one change, counted corner by corner."""
+    best = {}
+    for pa, qa in zip(*a, strict=True):
+        for pb, qb in zip(*b, strict=True):
+            same = sum(qa[4 * k : 4 * k + 4] == qb[4 * k : 4 * k + 4] for k in range(4))
+            if same < 2 or sum((x ^ y).bit_count() for x, y in zip(qa, qb, strict=True)) > distance:
+                continue
+            (xa, ya, la, ta), (xb, yb, lb, tb) = ([v[0] / 4, v[1] / 4, v[2], v[3]] for v in (pa, pb))
+            turn, zoom = (tb - ta) % 1024 * 2 * np.pi / 1024, lb - la
+            dx = xb - 2 ** (zoom / 2) * (xa * np.cos(turn) - ya * np.sin(turn))
+            dy = yb - 2 ** (zoom / 2) * (xa * np.sin(turn) + ya * np.cos(turn))
+            for hx in (0, 0.5):
+                for hy in (0, 0.5):
+                    box = zoom, int(turn / 0.26 + 0.5) % 24, hx, np.floor(dx / 8 + hx), hy, np.floor(dy / 8 + hy)
+                    best.setdefault(box, set()).add((int(xa + 0.5), int(ya + 0.5)))
+    return max(map(len, best.values()), default=0)
+
+
+@pytest.mark.parametrize("options", [{}, {"small": 2, "leaders": 1}])
+def test_media_classes_equal_brute_force(spark, options):
+    rng = np.random.default_rng(5)
+    originals = [media.drawn(rng.normal(size=64)) for _ in range(5)]
+    big = rng.integers(20, 236, (24, 24), dtype=np.uint8).repeat(6, 0).repeat(6, 1)
+    pictures = [p for o in originals for p in (o, *_edited(o, rng))] + [originals[0][:, : 30 + k] for k in range(14)]
+    pictures += [big, big[::2, ::2].copy(), big[20:120, 10:140], np.zeros((0, 0), np.uint8), np.full((40, 40), 7, np.uint8)]
+    seen = []
+    for p in pictures:
+        _, where, tests = media.keypoints(p[None]) if p.size else (None, np.zeros((0, 4)), np.zeros((0, 16), np.uint8))
+        at = media.places(where)
+        seen.append(([tuple(int(media._field(x, f)) for f in (media.X, media.Y, media.LEVEL, media.ANGLE)) for x in at], [bytes(t) for t in tests]))
+    root = list(range(len(pictures)))
+    for i in range(len(pictures)):
+        for j in range(i):
+            if root[i] != root[j] and _agreement(seen[j], seen[i]) >= 4:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    found = {r.image_id: r.class_id for r in media.image_classes(_pictures(spark, pictures), **options).collect()}
+    assert found == dict(enumerate(root))
+    assert root[:25] == [5 * (k // 5) for k in range(25)] and set(root[25:39]) <= {0, *range(25, 39)} and root[39:42] == [39] * 3
+
+
 def test_media_copies(spark):
     rng = np.random.default_rng(3)
-    rows = [(i, rng.normal(size=64).tolist()) for i in range(30)] + [(30, None), (31, rows_like := rng.normal(size=64).tolist()), (32, rows_like)]
+    rows = [(i, rng.normal(size=64).tolist()) for i in range(30)] + [(30, None), (31, rows_like := rng.normal(size=64).tolist()), (32, rows_like), (32, rows_like), (None, rows_like)]
     images = media.images_of(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
-    found = media.image_classes(images).toPandas().set_index("image_id")
+    rows = media.image_classes(images).collect()
+    assert len(rows) == images.count()
+    found = {r.image_id: r.class_id for r in rows}
     for i in range(30):
         for k, there in ((1, i % 10 == 0), (2, i % 10 == 5)):
-            if there:
-                assert found.class_id[4 * i + k] == 4 * i and found.n_links[4 * i + k] >= 1
-    assert found.class_id[4 * 31] == found.class_id[4 * 32] == 4 * 31
-    assert found.class_id.nunique() == 32 and found.n_links[120] == 0
-    assert len(media.image_classes(images.limit(0)).collect()) == 0
+            assert found.get(4 * i + k) == (4 * i if there else None)
+    assert found[4 * 31] == found[4 * 32] == found[None] == 4 * 31
+    assert len(set(found.values())) == 32 and found[120] == 120
+    assert media.image_classes(images.limit(0)).collect() == []
 
 
 def test_pipeline_on_a_small_table(spark, tmp_path):
