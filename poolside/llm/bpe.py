@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import re
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +18,7 @@ from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
 from .common import keyed_texts, map_slices
-from .tokens import CACHE_ENTRIES, folded, leading_space_pieces, lowers, space_words
+from .tokens import CACHE_ENTRIES, TOKEN_SLICE, Pieces, Remembered, joined
 
 DIGESTS = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -39,14 +38,11 @@ class ForcedBoundaryBPE:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.added = [t["content"] for t in spec["added_tokens"]]
-        self.special = re.compile("|".join(map(re.escape, self.added)) or r"(?!)")
-        self.lowers = lowers(spec)
         self.decoder = spec["decoder"]
-        keeps_space = spec["pre_tokenizer"]["type"] == "ByteLevel" and spec["pre_tokenizer"].get("use_regex", True)
-        self.pieces = leading_space_pieces if keeps_space else space_words
+        self.pieces = Pieces(spec)
         self.token_of = {i: t for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
         self.entries = entries
-        self.words: dict[str, tuple[bytes, bytes]] = {}
+        self.known = Remembered(lambda pieces: [self._word(p) for p in pieces], entries)
         self.fragments: dict[tuple[str, ...], list[int]] = {}
 
     def units(self, token: str) -> list[str]:
@@ -109,7 +105,7 @@ class ForcedBoundaryBPE:
         return ids
 
     def encode(self, text: str) -> list[int]:
-        return [i for piece in self.pieces(text) for i in self.word_ids(piece)]
+        return [i for piece in self.pieces.of_unusual(text) for i in self.word_ids(piece)]
 
     def decode(self, ids: list[int]) -> str:
         """As decode(ids, skip_special_tokens=False): without a decoder, tokens joined by blanks."""
@@ -118,22 +114,21 @@ class ForcedBoundaryBPE:
         return " ".join(self.token_of[i] for i in ids if i in self.token_of)
 
     def _word(self, piece: str) -> tuple[bytes, bytes]:
+        """The ids of a piece, and its tokens with a blank before each."""
         ids = self.word_ids(piece)
-        if len(self.words) >= self.entries:
-            self.words.clear()
-        self.words[piece] = out = (np.array(ids, "<u4").tobytes(), b"" if self.decoder else self.decode(ids).encode())
-        return out
-
-    def encoded_and_decoded(self, text: str) -> tuple[bytes, bytes]:
-        """The ids as little-endian unsigned 32-bit integers, and the decoded text in UTF-8."""
-        get, make = self.words.get, self._word
-        if self.lowers:
-            text = folded(text, self.special)
-        found = [get(p) or make(p) for p in self.pieces(text)]
-        ids = b"".join([f[0] for f in found])
+        tokens = "" if self.decoder is not None else "".join(f" {self.token_of[i]}" for i in ids if i in self.token_of)
+        return np.array(ids, "<u4").tobytes(), tokens.encode()
+
+    def encoded_and_decoded(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """For each text its ids as little-endian unsigned 32-bit integers, and the decoded text in UTF-8."""
+        if not texts:
+            return []
+        pieces, ends = self.pieces(texts)
+        found = self.known.values(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = joined([f[0] for f in found], pieces.indices, ends)
         if self.decoder is not None:
-            return ids, self.decode(np.frombuffer(ids, "<u4").tolist()).encode()
-        return ids, b" ".join([f[1] for f in found if f[1]])
+            return [(x, self.decode(np.frombuffer(x, "<u4").tolist()).encode()) for x in ids]
+        return list(zip(ids, (x[1:] for x in joined([f[1] for f in found], pieces.indices, ends)), strict=True))
 
 
 _MODELS: dict[str, ForcedBoundaryBPE] = {}
@@ -175,7 +170,7 @@ def bpe_digests(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text
         codec = model(tokenizer)
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            both = [codec.encoded_and_decoded(t) for t in batch.column(1).to_pylist()]
+            both = codec.encoded_and_decoded(batch.column(1).to_pylist())
             return pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -188,4 +183,4 @@ def bpe_digests(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text
 
         return run
 
-    return map_slices(keyed_texts(docs, id_col, text_col), setup, DIGESTS)
+    return map_slices(keyed_texts(docs, id_col, text_col), setup, DIGESTS, limit=TOKEN_SLICE)

@@ -79,7 +79,7 @@ def give_back() -> None:
 
 
 def map_slices(
-    df: DataFrame, setup: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str, size_of: str = "text"
+    df: DataFrame, setup: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | None]], schema: str, size_of: str = "text", limit: int = SLICE_BYTES
 ) -> DataFrame:
     """Apply a function to Arrow slices of bounded size.
 
@@ -90,7 +90,7 @@ def map_slices(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         apply = setup()
         for batch in batches:
-            for part in slices(batch, size_of):
+            for part in slices(batch, size_of, limit):
                 out = apply(part)
                 if out is not None:
                     yield out

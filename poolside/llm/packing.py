@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import keyed_texts, map_slices
-from .tokens import encoder
+from .tokens import TOKEN_SLICE, encoder
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
@@ -152,7 +152,7 @@ def pack_documents(
         return tokenise
 
     width = 2 if _small_vocabulary(tokenizer) else 4
-    ids = map_slices(base.select(F.pmod(spread, F.lit(groups)).alias("bunch"), "doc_id", "text"), setup, "bunch long, doc_id long, ids binary")
+    ids = map_slices(base.select(F.pmod(spread, F.lit(groups)).alias("bunch"), "doc_id", "text"), setup, "bunch long, doc_id long, ids binary", limit=TOKEN_SLICE)
 
     def pack_bunch(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.assign(check=[zlib.crc32(x) for x in rows["ids"]]).sort_values(["doc_id", "check"], kind="stable")

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import fresh_path, keyed_texts, partitions, slices
 from .files import make_folder, open_input, open_output, rename
-from .tokens import encoder
+from .tokens import TOKEN_SLICE, encoder
 
 MAGIC = b"PSST0001"
 FOOTER = struct.Struct("<QQQQQQIIq8s")
@@ -187,7 +187,7 @@ def write_shards(
         shard = TaskContext.get().partitionId()
         writer, stream, part = None, None, f"{folder}/.{shard}-{uuid.uuid4().hex}"
         for batch in batches:
-            for rows in slices(batch, "text"):
+            for rows in slices(batch, "text", TOKEN_SLICE):
                 if writer is None:
                     make_folder(folder)
                     stream = open_output(part)
