@@ -198,29 +198,45 @@ def described(images: DataFrame) -> DataFrame:
 
 #: The quarters of a descriptor, two by two: a table for each pair.
 PAIRS = tuple(combinations(range(4), 2))
-ROWS = "key long, node long, place long, d0 long, d1 long, pair int"
+OTHERS = tuple(tuple(k for k in range(4) if k not in pair) for pair in PAIRS)
+PAIR = (55, 3)
+ROWS = "key long, node long, place long, rest long"
+
+
+def _first_tables() -> np.ndarray:
+    """The first table in which two descriptors meet, by a table that they meet in and whether either of the other quarters is equal too."""
+    out = np.zeros((len(PAIRS), 2, 2), int)
+    for p, (pair, (k, m)) in enumerate(zip(PAIRS, OTHERS, strict=True)):
+        for x in (0, 1):
+            for y in (0, 1):
+                equal = {*pair, *([k] if x else []), *([m] if y else [])}
+                out[p, x, y] = next(i for i, q in enumerate(PAIRS) if set(q) <= equal)
+    return out
+
+
+FIRST_TABLE = _first_tables()
 
 
 def tabled(contents: DataFrame) -> DataFrame:
-    """Six rows for each corner of (node, points): in each table its key is two quarters of the descriptor."""
+    """Six rows for each corner of (node, points): in each table its key is two quarters of the descriptor, rest the others; place says which."""
     corners = contents.select("node", F.explode("points").alias("p")).select("node", "p.*")
     low = F.lit(0xFFFFFFFF).cast("long")
     quarter = [F.shiftrightunsigned("d0", 32), F.col("d0").bitwiseAND(low), F.shiftrightunsigned("d1", 32), F.col("d1").bitwiseAND(low)]
-    keys = F.array(*(F.shiftleft(quarter[i], 32).bitwiseOR(quarter[j]) for i, j in PAIRS))
-    return corners.select(F.posexplode(keys).alias("pair", "key"), "node", "place", "d0", "d1").select(*(c.split()[0] for c in ROWS.split(", ")))
+    both = lambda i, j: F.shiftleft(quarter[i], 32).bitwiseOR(quarter[j])
+    tables = (F.struct(both(*pair).alias("key"), both(*other).alias("rest"), F.col("place").bitwiseOR(F.lit(k << PAIR[0]).cast("long")).alias("place")) for k, (pair, other) in enumerate(zip(PAIRS, OTHERS, strict=True)))
+    return corners.select("node", F.explode(F.array(*tables)).alias("t")).select("t.key", "node", "t.place", "t.rest")
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """The columns in blocks that end with a group of (key, pair); rows come sorted by them."""
+    """The columns in blocks that end with a group of one key; rows come sorted by it."""
     held: list[list[np.ndarray]] = []
     for batch in batches:
         new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         if not len(new[0]):
             continue
-        key, pair = new[0], new[5]
-        change = np.flatnonzero((key[1:] != key[:-1]) | (pair[1:] != pair[:-1]))
+        change = np.flatnonzero(new[0][1:] != new[0][:-1])
         cut = int(change[-1]) + 1 if len(change) else 0
-        if not cut and held and (held[-1][0][-1], held[-1][5][-1]) != (key[0], pair[0]):
+        if not cut and held and held[-1][0][-1] != new[0][0]:
             yield [np.concatenate(x) for x in zip(*held, strict=True)]
             held = []
         if cut:
@@ -232,86 +248,74 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
         yield [np.concatenate(x) for x in zip(*held, strict=True)]
 
 
-def _starts(key: np.ndarray, pair: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (pair[1:] != pair[:-1])]) if len(key) else np.zeros(0, int)
-
-
-def met(rows: DataFrame) -> DataFrame:
-    """Rows whose key two or more contents have, with the number ``n`` of rows of the key."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in _blocks(batches):
-            start = _starts(block[0], block[5])
-            size = np.diff(np.r_[start, len(block[0])])
-            several = np.minimum.reduceat(block[1], start) < np.maximum.reduceat(block[1], start)
-            keep, n = np.repeat(several, size), np.repeat(size, size)
-            yield pa.RecordBatch.from_arrays([*(pa.array(c[keep]) for c in block), pa.array(n[keep].astype(np.int32))], names=[*(c.split()[0] for c in ROWS.split(", ")), "n"])
-        give_back()
-
-    dealt = rows.repartition(partitions(rows.sparkSession), "key").sortWithinPartitions("key", "pair")
-    return dealt.mapInArrow(run, ROWS + ", n int")
-
-
-MATCHES = "a long, b long, at_a long, at_b long"
-
-
-def _first_pair(x0: np.ndarray, x1: np.ndarray) -> np.ndarray:
-    """The first table in which two descriptors meet, given the bits in which they differ."""
-    same = [(x0 >> np.uint64(32)) == 0, (x0 & np.uint64(0xFFFFFFFF)) == 0, (x1 >> np.uint64(32)) == 0, (x1 & np.uint64(0xFFFFFFFF)) == 0]
-    return np.argmax(np.stack([same[i] & same[j] for i, j in PAIRS]), axis=0)
-
-
-def matched(rows: DataFrame, *, distance: int, small: int, leaders: int | None) -> DataFrame:
-    """(a, b, at_a, at_b): corners of contents a < b that share a key, differ in at most ``distance`` bits, and have different roots.
-
-    rows: as met() gives them, with ``root``. A match is given once, in the first table
-    that both are in. With ``leaders``, keys of over ``small`` rows match each corner
-    only with those of one content of each root, of at most so many roots: the ones whose
-    mixed names are smallest, so that keys with the same contents have the same leaders.
+def _in_group(node: np.ndarray, place: np.ndarray, rest: np.ndarray, root: np.ndarray, distance: int, leaders: int | None) -> Iterator[np.ndarray]:
+    """(a, b, at_a, at_b) in rows: the matches among corners of one key, in blocks."""
+    lead = np.arange(len(node))
+    if leaders is not None:
+        names, of = np.unique(node, return_inverse=True)
+        mixed = (names.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
+        by_name = np.argsort(mixed, kind="stable")
+        roots = root[np.unique(of, return_index=True)[1]][by_name]
+        chosen = by_name[np.sort(np.unique(roots, return_index=True)[1])[:leaders]]
+        lead = np.flatnonzero(np.isin(of, chosen))
+    pair = _field(place, PAIR)
+    where = place & ((1 << PAIR[0]) - 1)
+    step = max(1, 500_000 // len(lead))
+    for at in range(0, len(node), step):
+        x = slice(at, at + step)
+        i, j = np.nonzero((root[x][:, None] != root[lead][None, :]) & (pair[x][:, None] == pair[lead][None, :]))
+        i, j = i + at, lead[j]
+        differ = rest[i] ^ rest[j]
+        first = FIRST_TABLE[pair[i], ((differ >> np.uint64(32)) == 0).astype(int), ((differ & np.uint64(0xFFFFFFFF)) == 0).astype(int)]
+        ok = (np.bitwise_count(differ) <= distance) & (first == pair[i])
+        i, j = i[ok], j[ok]
+        i, j = np.where(node[i] > node[j], j, i), np.where(node[i] > node[j], i, j)
+        yield np.stack([node[i], node[j], where[i], where[j]], axis=1)
+
+
+def matched(rows: DataFrame, *, distance: int, small: int, leaders: int | None, keep_crowded: bool = False) -> DataFrame:
+    """(crowded false, a, b, at_a, at_b): corners of contents a < b that share a key, differ in at most ``distance`` bits, and have different roots.
+
+    rows: (key, node, place, rest), and ``root``, else each node is its own. A match is
+    given once, in the first table that both are in. With ``leaders``, keys of over
+    ``small`` rows match each corner only with those of one content of each root, of at
+    most so many roots: the ones whose mixed names are smallest, so that keys with the
+    same contents have the same leaders. ``keep_crowded`` gives the rows of such keys besides, as
+    (crowded true, key, node, place, rest).
     """
+    has_root = "root" in rows.columns
 
-    def of_group(node, place, d0, d1, root, pair) -> Iterator[np.ndarray]:  # noqa: ANN001
-        lead = np.arange(len(node))
-        if leaders is not None and len(node) > small:
-            names, of = np.unique(node, return_inverse=True)
-            mixed = (names.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
-            by_name = np.argsort(mixed, kind="stable")
-            roots = root[np.unique(of, return_index=True)[1]][by_name]
-            chosen = by_name[np.sort(np.unique(roots, return_index=True)[1])[:leaders]]
-            lead = np.flatnonzero(np.isin(of, chosen))
-        step = max(1, 500_000 // len(lead))
-        for at in range(0, len(node), step):
-            x = slice(at, at + step)
-            i, j = np.nonzero(root[x][:, None] != root[lead][None, :])
-            i, j = i + at, lead[j]
-            x0, x1 = d0[i] ^ d0[j], d1[i] ^ d1[j]
-            ok = (np.bitwise_count(x0) + np.bitwise_count(x1) <= distance) & (_first_pair(x0, x1) == pair)
-            i, j = i[ok], j[ok]
-            swap = node[i] > node[j]
-            i, j = np.where(swap, j, i), np.where(swap, i, j)
-            yield np.stack([node[i], node[j], place[i], place[j]], axis=1)
+    def batch_of(found: list[np.ndarray], crowded: bool) -> pa.RecordBatch:
+        out = np.concatenate([np.zeros((0, 4), np.int64), *found])
+        out = out if crowded else np.unique(out, axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(out), crowded)), *(pa.array(np.ascontiguousarray(out[:, k])) for k in range(4))], names=["crowded", "a", "b", "at_a", "at_b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for key, node, place, d0, d1, pair, root in _blocks(batches):
-            ends = [*_starts(key, pair)[1:].tolist(), len(key)]
-            d0, d1 = d0.view(np.uint64), d1.view(np.uint64)
-            found, size, start = [np.zeros((0, 4), np.int64)], 0, 0
-            for end in ends:
-                own = slice(start, end)
-                if (root[own] != root[start]).any():
-                    for pairs in of_group(node[own], place[own], d0[own], d1[own], root[own], pair[start]):
-                        found.append(pairs)
-                        size += len(pairs)
-                if size > 100_000 or end == ends[-1]:
-                    out = np.unique(np.concatenate(found), axis=0)
-                    found, size = [np.zeros((0, 4), np.int64)], 0
-                    yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(out[:, k])) for k in range(4)], names=["a", "b", "at_a", "at_b"])
-                start = end
+        for block in _blocks(batches):
+            key, node, place, rest = block[:4]
+            root = block[4] if has_root else node
+            ends = [*(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+            starts = np.array([0, *ends[:-1]])
+            several = np.minimum.reduceat(root, starts) < np.maximum.reduceat(root, starts)
+            found, kept, size = [], [], 0
+            for k in np.flatnonzero(several).tolist():
+                own = slice(int(starts[k]), ends[k])
+                many = ends[k] - starts[k] > small
+                for pairs in _in_group(node[own], place[own], rest[own].view(np.uint64), root[own], distance, leaders if many else None):
+                    found.append(pairs)
+                    size += len(pairs)
+                if many and keep_crowded:
+                    kept.append(np.stack([key[own], node[own], place[own], rest[own]], axis=1))
+                if size > 100_000:
+                    yield batch_of(found, False)
+                    found, size = [], 0
+            yield batch_of(found, False)
+            yield batch_of(kept, True)
         give_back()
 
-    picked = rows.select(*(c.split()[0] for c in ROWS.split(", ")), "root")
-    dealt = picked.repartition(partitions(rows.sparkSession), "key").sortWithinPartitions("key", "pair")
-    return dealt.mapInArrow(run, MATCHES)
+    picked = rows.select("key", "node", "place", "rest", *(["root"] if has_root else []))
+    dealt = picked.repartition(partitions(rows.sparkSession), "key").sortWithinPartitions("key")
+    return dealt.mapInArrow(run, "crowded boolean, a long, b long, at_a long, at_b long")
 
 
 def linked(matches: DataFrame, *, agree: int = 4) -> DataFrame:
@@ -344,14 +348,14 @@ def image_links(contents: DataFrame, *, distance: int = 12, agree: int = 4, smal
     then need not be compared again. All other pairs are, and their matches are
     counted together with those found before, so no link between components is lost.
     """
-    rows = checkpointed(met(tabled(contents)))
-    found = checkpointed(matched(rows.withColumn("root", F.col("node")), distance=distance, small=small, leaders=leaders))
+    both = checkpointed(matched(tabled(contents), distance=distance, small=small, leaders=leaders, keep_crowded=True))
+    found = both.where("not crowded").drop("crowded")
+    crowded = both.where("crowded").select(F.col("a").alias("key"), F.col("b").alias("node"), F.col("at_a").alias("place"), F.col("at_b").alias("rest"))
     links = checkpointed(linked(found, agree=agree))
-    crowded = rows.where(F.col("n") > small)
     if not crowded.isEmpty():
         for most in (leaders, None):
             rooted = crowded.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-            found = found.unionByName(checkpointed(matched(rooted, distance=distance, small=small, leaders=most)))
+            found = found.unionByName(checkpointed(matched(rooted, distance=distance, small=small, leaders=most)).drop("crowded"))
             links = checkpointed(linked(found, agree=agree))
     return links
 
