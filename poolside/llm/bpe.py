@@ -10,6 +10,7 @@ each on its own, and their ids are put one after the other.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 
 import numpy as np
@@ -72,7 +73,15 @@ class ForcedBoundaryBPE:
         found = self.fragments.get(fragment)
         if found is not None:
             return found
-        symbols, rank, none = list(fragment), self.rank, len(self.rank)
+        symbols = self._merged(list(fragment)) if len(fragment) <= 64 else self._merged_by_heap(list(fragment))
+        ids = [self.vocab[s] for s in symbols if s in self.vocab]
+        if len(self.fragments) >= self.entries:
+            self.fragments.clear()
+        self.fragments[fragment] = ids
+        return ids
+
+    def _merged(self, symbols: list[str]) -> list[str]:
+        rank, none = self.rank, len(self.rank)
         while len(symbols) > 1:
             best, at = none, -1
             for i in range(len(symbols) - 1):
@@ -82,11 +91,26 @@ class ForcedBoundaryBPE:
             if at < 0:
                 break
             symbols[at : at + 2] = [symbols[at] + symbols[at + 1]]
-        ids = [self.vocab[s] for s in symbols if s in self.vocab]
-        if len(self.fragments) >= self.entries:
-            self.fragments.clear()
-        self.fragments[fragment] = ids
-        return ids
+        return symbols
+
+    def _merged_by_heap(self, symbols: list[str]) -> list[str]:
+        """The same for long fragments, with the pairs in a heap by rank and place."""
+        n, rank = len(symbols), self.rank
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, a, b) for i, (a, b) in enumerate(self._neighbours(symbols)) if (r := rank.get((a, b))) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, i, a, b = heapq.heappop(heap)
+            k = after[i]
+            if symbols[i] != a or k >= n or symbols[k] != b:
+                continue  # one of the two has been merged since
+            symbols[i], symbols[k], after[i] = a + b, "", after[k]
+            if after[i] < n:
+                before[after[i]] = i
+            for left, right in ((before[i], i), (i, after[i])):
+                if left >= 0 and right < n and (r := rank.get((symbols[left], symbols[right]))) is not None:
+                    heapq.heappush(heap, (r, left, symbols[left], symbols[right]))
+        return [s for s in symbols if s]
 
     def word_ids(self, piece: str) -> list[int]:
         """The ids of a piece between white space."""

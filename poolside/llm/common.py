@@ -61,8 +61,36 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+#: Folders and tables that operators of this session have made; clean_up() removes them.
+_MADE: dict[str, list[str]] = {"folders": [], "tables": []}
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _MADE["folders"].append(path := f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
+    return path
+
+
+def fresh_table(spark: SparkSession, name: str) -> str:
+    _MADE["tables"].append(table := f"{name}_{uuid.uuid4().hex}")
+    return table
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Remove the tables and folders that operators of this session have made, and say how many.
+
+    Results are lazy and may read them: call it when what is wanted has been written.
+    """
+    removed = 0
+    for table in _MADE["tables"]:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        removed += 1
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path  # noqa: SLF001
+    for folder in _MADE["folders"]:
+        path = hadoop(folder)
+        removed += int(path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True))  # noqa: SLF001
+    _MADE["tables"].clear()
+    _MADE["folders"].clear()
+    return removed
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

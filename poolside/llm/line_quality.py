@@ -3,8 +3,9 @@
 A linear-chain conditional random field marks each line of a document as content
 or boilerplate; Viterbi decoding finds the likeliest marks, and the share of
 characters in content lines decides. The field is fitted to a bounded sample of
-documents with a quality label: lines of good documents count as content, those of
-bad ones as boilerplate.
+documents with a quality label. Its targets are lines: in good documents those that
+show weak signs of boilerplate (notices, many symbols, a line said before) count as
+boilerplate and all others as content; bad documents have no content.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import keyed_texts, map_slices, utf8_values
 
-SYMBOLS = b"[#*$%&|<>]"
+SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 VERDICTS = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, content_share double, kept boolean"
 
@@ -84,6 +85,8 @@ def counts(text: bytes) -> Counts:
 #: Words that often stand in notices; matched without regard to case.
 NOTICE = re.compile(rb"licen[cs]e|copyright|cookie|all rights|subscribe|sign in|privacy|terms of|click here|share this", re.I)
 FEATURES = 14
+#: Features that are weak signs of boilerplate: many symbols, notices, lines said before.
+SIGNS = [4, 8, 9]
 
 
 def line_features(lines: list[bytes]) -> np.ndarray:
@@ -139,8 +142,13 @@ class LineField:
         return np.array(out[::-1])
 
 
+def line_targets(features: np.ndarray, good: int) -> np.ndarray:
+    """1 for lines of content: those of good documents without a weak sign of boilerplate."""
+    return (features[:, SIGNS].max(axis=1) < 0.5).astype(np.int64) * good if len(features) else np.zeros(0, np.int64)
+
+
 def fit_field(documents: list[tuple[np.ndarray, int]], steps: int = 80, rate: float = 0.15, ridge: float = 1e-3) -> LineField:
-    """Maximum likelihood by Adam; forward-backward runs over all documents side by side."""
+    """Maximum likelihood of the line targets by Adam; forward-backward runs over all documents side by side."""
     emit, move = np.zeros((FEATURES, 2)), np.eye(2) * 0.5
     documents = [d for d in documents if len(d[0])]
     if len({label for _, label in documents}) < 2:
@@ -148,12 +156,14 @@ def fit_field(documents: list[tuple[np.ndarray, int]], steps: int = 80, rate: fl
     longest = max(len(f) for f, _ in documents)
     x = np.zeros((len(documents), longest, FEATURES))
     here = np.zeros((len(documents), longest), bool)
-    gold = np.array([label for _, label in documents])
-    for i, (f, _) in enumerate(documents):
+    good = np.array([label for _, label in documents])
+    gold = np.zeros((len(documents), longest), np.int64)
+    for i, (f, label) in enumerate(documents):
         x[i, : len(f)] = f
         here[i, : len(f)] = True
+        gold[i, : len(f)] = line_targets(f, label)
     # documents of either label weigh the same together
-    weight = np.where(gold == 1, 0.5 / max(1, (gold == 1).sum()), 0.5 / max(1, (gold == 0).sum()))
+    weight = np.where(good == 1, 0.5 / max(1, (good == 1).sum()), 0.5 / max(1, (good == 0).sum()))
     moments = [np.zeros_like(p) for p in (emit, emit, move, move)]
     for step in range(1, steps + 1):
         scores = x @ emit
@@ -168,8 +178,7 @@ def fit_field(documents: list[tuple[np.ndarray, int]], steps: int = 80, rate: fl
         node = np.exp(forward + backward - total[:, None, None]) * here[:, :, None]
         lengths = here.sum(axis=1)
         w = weight / lengths
-        target = np.zeros_like(node)
-        target[np.arange(len(gold)), :, gold] = here
+        target = np.stack([here & (gold == 0), here & (gold == 1)], axis=2).astype(float)
         g_emit = np.einsum("ntf,ntl,n->fl", x, target - node, w) - ridge * emit
         g_move = -ridge * move
         for t in range(longest - 1):
@@ -178,7 +187,7 @@ def fit_field(documents: list[tuple[np.ndarray, int]], steps: int = 80, rate: fl
                 break
             edge = np.exp(forward[both, t][:, :, None] + move[None] + (scores[both, t + 1] + backward[both, t + 1])[:, None, :] - total[both][:, None, None])
             want = np.zeros_like(edge)
-            want[np.arange(len(edge)), gold[both], gold[both]] = 1
+            want[np.arange(len(edge)), gold[both, t], gold[both, t + 1]] = 1
             g_move += np.einsum("nij,n->ij", want - edge, w[both])
         for k, (p, g) in enumerate(((emit, g_emit), (move, g_move))):
             m, v = moments[2 * k], moments[2 * k + 1]

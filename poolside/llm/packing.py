@@ -1,6 +1,6 @@
 """Packing tokenised documents into training sequences.
 
-Documents are dealt by a seeded hash of their id into groups of a few thousand.
+Documents are dealt by a seeded hash into groups of a few thousand.
 Each group is packed on its own: what a document has beyond whole sequences goes
 to the bins by first-fit decreasing, with a tournament tree over the bins' free
 space, so that each document costs one walk from root to leaf. Then the emptiest
@@ -18,9 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed_texts, map_slices
+from .common import keyed_texts, map_slices, partitions
 from .tokens import TOKEN_SLICE, encoder
 
+#: Text of so many bytes is packed in one task.
+TASK_BYTES = 64_000_000
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
@@ -122,6 +124,7 @@ def pack_documents(
     size: int = 2048,
     least: int = 16,
     group_docs: int = 4096,
+    group_bytes: int = 16_000_000,
     seed: int = 7,
     id_col: str = "doc_id",
     text_col: str = "text",
@@ -134,12 +137,17 @@ def pack_documents(
     up to ``size``, or its length is a power of two, or it lacks fewer than
     ``least`` tokens. An empty table gives no rows.
 
-    Only ids move in the shuffle, and a group has about ``group_docs`` documents
-    however large or skewed the table is.
+    Only ids move in the shuffle. A group has about ``group_docs`` documents or
+    ``group_bytes`` of text, whichever is less, and groups are dealt to as many tasks as the
+    text asks for. Rows are dealt by id, text and a thousand rows of their partition, so
+    neither a repeated id nor repeated rows meet in one group; docs should come from files,
+    whose partitions are the same when a lost task runs again.
     """
     base = keyed_texts(docs, id_col, text_col)
-    groups = max(1, -(-docs.count() // group_docs))
-    spread = F.xxhash64(F.coalesce("doc_id", F.xxhash64("text")), F.lit(seed))
+    seen = base.agg(F.count("text").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    groups = max(1, -(-seen["n"] // group_docs), -(-seen["bytes"] // group_bytes))
+    tasks = max(partitions(docs.sparkSession), -(-seen["bytes"] // TASK_BYTES))
+    spread = F.xxhash64("doc_id", "text", F.shiftright(F.monotonically_increasing_id(), 10), F.lit(seed))
 
     def setup():
         codec = encoder(tokenizer)
@@ -177,7 +185,7 @@ def pack_documents(
         frame["doc_tokens"] = [lengths[d] for d in docs_]
         return frame[["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]]
 
-    return ids.groupBy("bunch").applyInPandas(pack_bunch, PIECES)
+    return ids.repartition(tasks, "bunch").groupBy("bunch").applyInPandas(pack_bunch, PIECES)
 
 
 def _small_vocabulary(tokenizer: str) -> bool:

@@ -10,6 +10,7 @@ trains a logistic classifier, which decides.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -29,7 +30,8 @@ Span = tuple[int, int, str]
 
 LOCAL = re.compile(r"[A-Za-z0-9._%+-]*\Z")
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+#: Groups of digits with single dots between them; four in a row are a match of [0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+).
+DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
@@ -59,13 +61,25 @@ def _emails(text: str) -> Iterator[Span]:
         at = text.find("@", max(after, at + 1))
 
 
+def _ips(text: str) -> Iterator[Span]:
+    """Fours of the groups of each dotted chain, one after the other, so that long runs of digits are read once."""
+    for m in DOTTED.finditer(text):
+        if m.group().count(".") < 3:
+            continue
+        start, groups = m.start(), m.group().split(".")
+        for k in range(0, len(groups) - 3, 4):
+            four = groups[k : k + 4]
+            end = start + sum(map(len, four)) + 3
+            if all(len(g.lstrip("0")) <= 3 and int(g[-3:]) <= 255 for g in four):
+                yield start, end, "ip"
+            start = end + 1
+
+
 def base_spans(text: str) -> list[Span]:
     """Spans of the fixed patterns by start, then by kind as listed."""
     found = list(_emails(text)) if "@" in text else []
     if DIGIT.search(text):
-        for m in IP.finditer(text):
-            if all(len(p.lstrip("0")) <= 3 and int(p[-3:] if p.lstrip("0") else "0") <= 255 for p in m.group().split(".")):
-                found.append((m.start(), m.end(), "ip"))
+        found += _ips(text)
         for m in CARD.finditer(text):
             digits = m.group().replace(" ", "").replace("-", "")
             if 14 <= len(digits) <= 19 and luhn(digits):
@@ -156,23 +170,45 @@ def votes(text: str, kind: str, start: int, end: int, near: bool) -> tuple[int,
     )
 
 
+class _Intervals:
+    """Spans that can be asked what they touch, in logarithmic time."""
+
+    def __init__(self, spans: list[tuple[int, int]]):
+        self.starts, self.ends = sorted(s for s, _ in spans), sorted(e for _, e in spans)
+        merged: list[list[int]] = []
+        for s, e in sorted(spans):
+            if merged and s < merged[-1][1]:
+                merged[-1][1] = max(merged[-1][1], e)
+            else:
+                merged.append([s, e])
+        self.merged, self.firsts = merged, [s for s, _ in merged]
+
+    def touches(self, start: int, end: int) -> bool:
+        k = bisect.bisect_left(self.firsts, end) - 1
+        return k >= 0 and self.merged[k][1] > start
+
+    def holds(self, start: int, end: int) -> bool:
+        k = bisect.bisect_right(self.firsts, start) - 1
+        return k >= 0 and self.merged[k][1] >= end
+
+    def near(self, start: int, end: int, reach: int = 200) -> bool:
+        within = lambda places, at: bisect.bisect_right(places, at - reach) < bisect.bisect_left(places, at + reach)
+        return within(self.starts, end) or within(self.ends, start)
+
+
 def candidates(text: str, base: list[Span]) -> list[tuple[Span, tuple[int, ...]]]:
     """Candidate spans with their votes: whole IBANs, and what else touches no base span."""
     if not HINT.search(text):
         return []
     whole = ibans(text)
+    fixed, accounts = _Intervals([(s, e) for s, e, _ in base]), _Intervals(whole)
     spans = [(s, e, "iban") for s, e in whole]
     for m in CANDIDATES.finditer(text):
         kind, (start, end) = m.lastgroup, m.span()
-        if any(start < e and s < end for s, e, _ in base):
-            continue
-        if any((start < e and s < end) if kind == "iban" else (s <= start and end <= e) for s, e in whole):
+        if fixed.touches(start, end) or (accounts.touches(start, end) if kind == "iban" else accounts.holds(start, end)):
             continue
         spans.append((start, end, kind))
-    out = []
-    for start, end, kind in spans:
-        out.append(((start, end, kind), votes(text, kind, start, end, any(abs(s - end) < 200 or abs(start - e) < 200 for s, e, _ in base))))
-    return out
+    return [((start, end, kind), votes(text, kind, start, end, fixed.near(start, end))) for start, end, kind in spans]
 
 
 def pattern_of(kind: str, vote: tuple[int, ...]) -> int:

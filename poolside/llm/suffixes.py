@@ -25,7 +25,6 @@ from __future__ import annotations
 
 import hashlib
 import struct
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -34,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh_path, give_back, keyed_texts, partitions
+from .common import fresh_path, fresh_table, give_back, keyed_texts, partitions
 
 MIX, STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x9E3779B97F4A7C15)
 BLOCK = 1 << 16
@@ -535,6 +534,7 @@ def remove_repeated(
     length: int = 50,
     gram: int = 26,
     chunk_bytes: int = 1_500_000,
+    range_bytes: int = 64_000_000,
     crowd: int = 20_000,
     keep_text: bool = False,
     carry: bool = False,
@@ -544,7 +544,7 @@ def remove_repeated(
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept binary][, rest struct]) of each row.
 
     Texts count as UTF-8 bytes, null as empty. Rows with a null id come after all
-    others; rows with one id do not remove from each other, whatever their texts.
+    others but those of the greatest long, which count as of one id with them; rows with one id do not remove from each other, whatever their texts.
     Texts shorter than ``length`` lose nothing. An empty table gives no rows.
 
     ``crowd``: suffixes whose prefix more documents have are exchanged as plain strings
@@ -554,16 +554,18 @@ def remove_repeated(
     left of each text, ``carry`` the other columns of docs in a struct.
     """
     spark = docs.sparkSession
-    parts = partitions(spark)
     last = (1 << 63) - 1
     others = [docs.schema[c] for c in docs.columns if c != text_col] if carry else []
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rest = [F.struct(*(F.col(f.name) for f in others)).alias("rest")] if carry else []
-    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("doc_id"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("sha"), *rest)
+    base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("doc_id"), F.col(id_col).isNotNull().alias("known"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("sha"), *rest)
     total = keyed_texts(docs, id_col, text_col).agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    # ranges follow the data, and so do chunks, up to a bound, for every chunk sends a run to every range
+    parts = max(partitions(spark), -(-total // range_bytes))
+    chunk_bytes = min(4 * chunk_bytes, max(chunk_bytes, total // 8192))
     chunks = max(1, -(-total // chunk_bytes))
     chunk = F.pmod(F.xxhash64("sha", "doc_id"), F.lit(chunks)).cast("int")
-    table = "texts_" + uuid.uuid4().hex
+    table = fresh_table(spark, "texts")
     (
         base.withColumn("chunk", chunk)
         .repartition(parts, "chunk")
@@ -628,6 +630,7 @@ def remove_repeated(
     schema = T.StructType.fromDDL(RESULT)
     if not keep_text:
         schema = T.StructType(schema.fields[:-1])
+    schema = schema.add("known", "boolean")
     if carry:
         schema = schema.add("rest", T.StructType(others))
 
@@ -650,10 +653,11 @@ def remove_repeated(
             rows.append((struct.unpack(">q", key[:8])[0], len(text), removed, runs_, hashlib.sha256(kept).hexdigest(), kept if keep_text else None))
         out = columns(rows, [c.split()[0] for c in RESULT.split(", ")], [pa.int64()] * 4 + [pa.string(), pa.binary()])
         out = out if keep_text else out.drop_columns(["kept"])
+        out = out.append_column("known", left["known"])
         return out.append_column("rest", left["rest"]) if carry else out
 
-    done = with_notes(marks, cut, schema, *(["rest"] if carry else []))
-    return done.withColumn("doc_id", F.nullif(F.col("doc_id"), F.lit(last)))
+    done = with_notes(marks, cut, schema, "known", *(["rest"] if carry else []))
+    return done.withColumn("doc_id", F.when(F.col("known"), F.col("doc_id"))).drop("known")
 
 
 def range_splitters(texts: DataFrame, sampler: Sampler, ranges: int, sample: int = 400) -> list[bytes]:

@@ -35,6 +35,7 @@ WORDS = {
 CLAUSE = re.compile(r"[.!?;\n]+")
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 STEM = 6
+LEAST_EVIDENCE = 6.0
 FEATURES = 7
 
 
@@ -122,7 +123,7 @@ def features(text: str, lexicon: Lexicon, grammar: Grammar) -> list[float]:
     """What the clauses of a text score together."""
     words = matched = clauses = 0
     total = most = insults = 0.0
-    kinds: set[str] = set()
+    kinds: dict[str, float] = {}
     for clause in CLAUSE.split(text.lower()):
         found = WORD.findall(clause)
         if not found:
@@ -134,14 +135,17 @@ def features(text: str, lexicon: Lexicon, grammar: Grammar) -> list[float]:
         if not own and not any(c == HARM for c, _ in read):
             continue
         score = grammar.score(read)
-        kinds.update(own)
-        insults += len(own)
+        # what the grammar leaves of the clause's insults: little if they are denied, less than all if reported
+        strength = min(1.0, score / max(1e-9, sum(w for _, w in read))) if own else 0.0
+        for w in own:
+            kinds[w] = max(kinds.get(w, 0.0), strength)
+        insults += len(own) * strength
         if score > 0:
             matched += 1
             total += score
             most = max(most, score)
     n = max(1, words)
-    return [np.log1p(total), min(20.0, 100 * total / n), min(10.0, most), np.log1p(matched), np.log1p(len(kinds)), min(10.0, 100 * insults / n), matched / max(1, clauses)]
+    return [np.log1p(total), min(20.0, 100 * total / n), min(10.0, most), np.log1p(matched), np.log1p(sum(kinds.values())), min(10.0, 100 * insults / n), matched / max(1, clauses)]
 
 
 @dataclass(frozen=True)
@@ -179,12 +183,13 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.n
     return w, mean, spread
 
 
-def train(docs: DataFrame, labels: DataFrame, *, sample: int = 24_000, insults: int = 600, seed: int = 5, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
+def train(docs: DataFrame, labels: DataFrame, *, sample: int = 24_000, least: float = LEAST_EVIDENCE, seed: int = 5, id_col: str = "doc_id", text_col: str = "text") -> ToxicityModel:
     """Learn insults and weights from about ``sample`` labelled rows outside the held-out ones.
 
     Half of the rows, by a seeded hash of the id, give the insults, and the other half
     the weights, so that words which only the first half makes look bad get no credit.
-    Counts by word are made by Spark; the driver gets the ``insults`` best words and
+    Counts by word are made by Spark; the driver gets the words and beginnings whose evidence
+    (log odds by the root of the count) is ``least`` or more, which the sample bounds, and
     seven numbers for each row of the second half.
     """
     ids = F.col("doc_id")
@@ -203,7 +208,7 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = 24_000, insults:
     if toxic and clean:
         counts = first.select("toxic", F.explode(F.array_union(words, F.array_distinct(stems))).alias("word")).groupBy("word").agg(F.sum("toxic").alias("t"), F.count("toxic").alias("n"))
         odds = F.log((F.col("t") + 0.3) / (toxic + 1)) - F.log((F.col("n") - F.col("t") + 0.3) / (clean + 1))
-        ranked = counts.where("t >= 2").withColumn("odds", odds).where("odds > 1.5").orderBy(F.desc(F.col("odds") * F.sqrt("t")), "word").limit(insults)
+        ranked = counts.where("t >= 2").withColumn("odds", odds).where("odds > 1.5").where(F.col("odds") * F.sqrt("t") >= least).orderBy("word")
         found = {r["word"]: float(min(r["odds"], 6.0)) / 4 for r in ranked.collect() if r["word"] not in {w for ws in WORDS.values() for w in ws.split()}}
 
     def look(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -142,3 +143,23 @@ def judge_urls(pages: DataFrame, *, rules: tuple[Rule, ...] = RULES, id_col: str
     else:
         judged = model.trees.transform(model.features(ruled)).withColumn("score", vector_to_array("probability")[1])
     return judged.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(F.col("score") >= 0.5, "allow").otherwise("block")).alias("verdict"), "score")
+
+
+def held_out_auc(pages: DataFrame, *, rules: tuple[Rule, ...] = RULES, url_col: str = "url", **training) -> dict[str, float]:
+    """The area under the ROC curve on a fifth of the ruled URLs that the trees and rates did not see.
+
+    By all features, and by the lexical numbers alone: the rates of suffix, domain and
+    folder state much of the rules themselves.
+    """
+    ruled = with_features(with_rule(with_parts(pages.select(F.col(url_col).cast("string").alias("url"))), rules)).where("ruled is not null")
+    place = F.pmod(F.xxhash64("host", "path", F.lit(17)), F.lit(5))
+    model = train(ruled.where(place > 0), **training)
+    if model.trees is None:
+        return {"all": 0.5, "numbers": 0.5}
+    labelled = lambda df: df.withColumn("label", (F.col("ruled") == "allow").cast("double"))
+    area = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="rawPrediction")
+    out = {"all": area.evaluate(model.trees.transform(labelled(model.features(ruled.where(place == 0)))))}
+    plain = VectorAssembler(inputCols=NUMBERS, outputCol="features")
+    trees = GBTClassifier(labelCol="label", featuresCol="features", maxIter=8, maxDepth=3, stepSize=0.4, seed=3)
+    out["numbers"] = area.evaluate(trees.fit(plain.transform(labelled(ruled.where(place > 0)))).transform(plain.transform(labelled(ruled.where(place == 0)))))
+    return out

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import re
+import time
 import zlib
 
 import numpy as np
@@ -167,10 +169,12 @@ def _removed(rows):
 
 
 @pytest.mark.parametrize("options", [{}, {"chunk_bytes": 300, "crowd": 2}, {"gram": 38, "chunk_bytes": 2000}])
-def test_repeated_passages_against_brute_force(docs, nothing, options):
+def test_repeated_passages_against_brute_force(spark, docs, nothing, options):
     found = suffixes.remove_repeated(docs, **options).collect()
     assert sorted((tuple(r) for r in found), key=str) == _removed(ROWS)
     assert suffixes.remove_repeated(nothing, **options).collect() == []
+    most = spark.createDataFrame([(2**63 - 1, PASSAGE), (None, "other " + PASSAGE)], EMPTY)
+    assert sorted((r.doc_id or 0, r.n_removed) for r in suffixes.remove_repeated(most, **options).collect()) == [(0, 0), (2**63 - 1, 0)]
 
 
 def test_merge_never_loses_order():
@@ -239,6 +243,12 @@ def test_packing_holds_each_id_once(docs, nothing):
         assert s.offset.tolist() == [0, *s.length.cumsum()[:-1].tolist()] and s.length.sum() <= 2048
 
 
+def test_packing_deals_repeated_rows_over_groups(spark):
+    table = spark.range(6000).select(F.lit(7).cast("long").alias("doc_id"), F.lit("some words of one text").alias("text")).repartition(4)
+    out = packing.pack_documents(table, BYTE, group_docs=1500).groupBy((F.col("sequence_id") / 2**32).cast("int").alias("bunch")).agg(F.sum("length").alias("n")).collect()
+    assert len(out) > 1 and sum(r.n for r in out) == 6000 * (len(Tokenizer.from_file(BYTE).encode("some words of one text").ids) + 1)
+
+
 def test_packing_wastes_little():
     rng = np.random.default_rng(2)
     lengths = np.maximum(1, rng.lognormal(6, 1.5, 3000)).astype(int).tolist()
@@ -297,6 +307,83 @@ def test_long_secrets_are_candidates():
     assert [s for s, _ in pii.candidates(text, [])] == [(8, 8 + len(token), "secret")] and len(token) > 200
 
 
+@pytest.mark.parametrize("text", ["7" * 1_000_000, "1." * 500_000, "1.2.3.4 " * 60_000, "a@b.c " * 100_000, "+1 (" * 250_000, "aB3/" * 250_000, "ann[at]" * 140_000, "123-45-6789 x@y.z " * 50_000])
+def test_personal_data_in_long_texts_takes_linear_time(text):
+    began = time.process_time()
+    pii.all_spans(text, pii.fit_classifier({}))
+    assert time.process_time() - began < 20
+
+
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_long_words_merge_alike(path):
+    rng, codec = np.random.default_rng(9), bpe.ForcedBoundaryBPE(path)
+    for n in (65, 200, 3000):
+        for letters in ("x", "ab", "etaoin"):
+            word = list("".join(rng.choice(list(letters), n)))
+            assert codec._merged_by_heap(list(word)) == codec._merged(list(word))
+
+
+def test_very_long_texts(spark):
+    """One word, one line, many lines and many digits, of 200 KB each, through every operator."""
+    texts = ["x" * 200_000, "two words " * 20_000, "a line of words here\n" * 10_000, "12 " * 66_000]
+    table = spark.createDataFrame(list(enumerate(texts)), EMPTY)
+    labels = spark.createDataFrame([(0, 1, 0), (1, 0, 1)], "doc_id long, quality int, toxic int")
+    began = time.time()
+    assert [r.component_id for r in simhash.near_duplicates(table).orderBy("doc_id").collect()] == [0, 1, 2, 3]
+    assert near_sets.first_of_each_group(table).count() == 4
+    assert all(r.n_bytes == len(texts[r.doc_id]) for r in suffixes.remove_repeated(table).collect())
+    assert sstable.token_shards(table, WORD).count() == 4 and bpe.bpe_digests(table, WORD).count() == 4
+    assert toxicity.score_texts(table, toxicity.train(table, labels)).count() == 4
+    assert pii.find_personal_data(table).count() == 4
+    assert {r.kept for r in line_quality.judge(table, line_quality.train(table, labels)).collect()} == {False}
+    assert packing.pack_documents(table, BYTE).agg(F.countDistinct("doc_id")).first()[0] == 4
+    assert time.time() - began < 240
+
+
+def test_viterbi_equals_enumeration():
+    from itertools import product
+
+    rng = np.random.default_rng(6)
+    for n in range(1, 9):
+        field = line_quality.LineField(rng.normal(size=(line_quality.FEATURES, 2)), rng.normal(size=(2, 2)))
+        x = rng.integers(0, 2, (n, line_quality.FEATURES)).astype(float)
+        score = x @ field.emit
+        total = lambda y: sum(score[k, v] for k, v in enumerate(y)) + sum(field.move[a, b] for a, b in zip(y, y[1:], strict=False))  # noqa: B023, E731
+        assert tuple(field.viterbi(x)) == max(product((0, 1), repeat=n), key=total)
+
+
+def test_line_quality_marks_lines_of_mixed_documents(spark):
+    rng = np.random.default_rng(7)
+    plain = lambda: " ".join(f"w{x}" for x in rng.integers(0, 500, 12)) + "."
+    notice, signs = "All rights reserved, see the terms of use and the privacy policy.", "### *** $$$ | %%%"
+    good = ["\n".join([plain() for _ in range(6)] + [notice] * (k % 2)) for k in range(30)]
+    bad = ["\n".join([signs, notice] * 3) for _ in range(30)]
+    table = spark.createDataFrame(list(enumerate(good + bad)), EMPTY)
+    labels = spark.createDataFrame([(k, int(k < 30), 0) for k in range(60)], "doc_id long, quality int, toxic int")
+    field = line_quality.train(table, labels)
+    lines = [plain(), plain(), plain(), notice, signs, plain()]
+    assert field.viterbi(line_quality.line_features([x.encode() for x in lines])).tolist() == [1, 1, 1, 0, 0, 1]
+    assert 0.02 < line_quality.content_share("\n".join(lines).encode(), field) < 0.98
+
+
+def test_base_counts_equal_sql(spark):
+    import duckdb
+
+    rows = [(1, "[a] b # * [c] <d>|&%$ x"), (2, None), (3, "one\ntwo\n\none\n one\n\n"), (4, "ä [é]\u00a0b\x0bc\td"), *[(5 + k, t) for k, (_, t) in enumerate(ROWS)]]
+    path = "/root/testdata/sf0.001/documents.parquet"
+    given = [(r.doc_id + 1000, r.text) for r in spark.read.parquet(path).select("doc_id", "text").collect()] if os.path.exists(path) else []
+    rows += given
+    found = line_quality.judge(spark.createDataFrame(rows, EMPTY), line_quality.LineField(np.zeros((line_quality.FEATURES, 2)), np.zeros((2, 2))))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE d (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO d VALUES (?, ?)", rows)
+    want = con.execute(r"""WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM d),
+        l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM w),
+        s AS (SELECT doc_id, CAST(sum(n - 1) AS BIGINT) AS dups FROM (SELECT doc_id, line, count(*) AS n FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY ALL) GROUP BY 1)
+        SELECT doc_id, len(words), coalesce(list_sum(list_transform(words, x -> length(x))), 0), len(regexp_extract_all(t, '[#*$%&|<>]')), coalesce(dups, 0) FROM w LEFT JOIN s USING (doc_id)""").fetchall()
+    assert sorted(tuple(r) for r in found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines").collect()) == sorted(tuple(map(int, r)) for r in want)
+
+
 def test_line_quality(docs, nothing, spark):
     def plain_repeats(words):
         seen = {}
@@ -346,6 +433,29 @@ def test_toxicity(docs, nothing, spark):
     assert score("you clown") > score("a clown") > score("not a clown") and score("kill you") > 0 and score("he said a clown") < score("a clown")
 
 
+def test_grammar_equals_its_machines_side_by_side():
+    """Every clause of up to five classes: the composed machine against the separate ones."""
+    from itertools import product
+
+    grammar = toxicity.Grammar()
+    for n in range(1, 6):
+        for classes in product(range(6), repeat=n):
+            states, total = [0] * 6, 0.0
+            for c in classes:
+                steps = [m.step(s, c) for m, s in zip(toxicity.machines(), states, strict=True)]
+                factor = np.prod([f for _, f, _ in steps])
+                total += (1.0 if c == toxicity.INSULT else 0.0) * factor + sum(b for *_, b in steps)
+                states = [s for s, *_ in steps]
+            assert abs(grammar.score([(c, 1.0 if c == toxicity.INSULT else 0.0) for c in classes]) - total) < 1e-9
+
+
+def test_denied_and_reported_insults_count_less():
+    grammar, lexicon = toxicity.Grammar(), toxicity.Lexicon({"clown": 1.0})
+    plain, denied, reported = (toxicity.features(t, lexicon, grammar) for t in ("he is a clown.", "he is not a clown.", "she said he is a clown."))
+    for k in (0, 2, 4, 5):
+        assert plain[k] > reported[k] > denied[k]
+
+
 def _judged(url):
     host = path = ""
     m = re.search(r"://([^/?#]*)([^?#]*)", url or "", re.S)
@@ -370,6 +480,14 @@ def test_url_rules(spark):
     assert urls.judge_urls(pages.limit(0)).collect() == []
 
 
+def test_trees_rank_urls_that_they_have_not_seen(spark):
+    rows = [(i, f"http://site{i % 40}.{'org' if i % 2 else 'com'}/{'en' if i % 2 else 'de'}/{'a' * (i % 7)}{'?x=1&y=2' if i % 2 == 0 else ''}") for i in range(800)]
+    auc = urls.held_out_auc(spark.createDataFrame(rows, "page_id long, url string"), trees=3)
+    assert auc["all"] > 0.95 and auc["numbers"] > 0.95
+    clash = spark.createDataFrame([(1, "http://b.net/x", "h", 2), (1, "http://b.net/x", "h", 2)], "page_id long, url string, host string, score int")
+    assert [(r.page_id, r.host) for r in urls.judge_urls(clash).collect()] == [(1, "b.net")] * 2
+
+
 def test_url_rates_cover_every_ruled_url(spark):
     rows = [(i, f"http://site{i}.com/{'fr' if i % 2 else 'de'}/{i}") for i in range(1500)]
     pages = spark.createDataFrame(rows, "page_id long, url string")
@@ -448,6 +566,14 @@ def test_media_copies(spark):
     assert media.image_classes(images.limit(0)).collect() == []
 
 
+def test_clean_up_removes_what_operators_made(spark, docs):
+    from poolside.llm import common
+
+    suffixes.remove_repeated(docs).collect()
+    assert common.clean_up(spark) > 0 and common.clean_up(spark) == 0
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("texts_")]
+
+
 def test_pipeline_on_a_small_table(spark, tmp_path):
     import corpus_pipeline
 
