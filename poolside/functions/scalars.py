@@ -48,9 +48,9 @@ def centiseconds(text: Column) -> Column:
 
 
 def serial_date(serial: Column, epoch_1904: bool = False) -> Column:
-    """A spreadsheet's day number as a date, if whole and not beyond 150000."""
+    """A spreadsheet's day number as a date, if whole and from 1 to 150000."""
     n = serial.try_cast("double")
-    day = F.when((n == F.floor(n)) & (n >= 0) & (n <= 150_000), n.cast("int"))
+    day = F.when((n == F.floor(n)) & (n >= 1) & (n <= 150_000), n.cast("int"))
     return F.date_add(F.lit("1904-01-01" if epoch_1904 else "1899-12-30").cast("date"), day)
 
 
@@ -75,8 +75,9 @@ def clean_text(text: Column) -> Column:
 
 
 def gender(text: Column, fallback: str = "U") -> Column:
+    """M, F, X or U; an explicit U stays, anything else is the fallback."""
     code = F.upper(F.trim(text))
-    return F.when(code.isin("M", "F", "X"), code).otherwise(F.lit(fallback))
+    return F.when(code.isin("M", "F", "X", "U"), code).otherwise(F.lit(fallback))
 
 
 def pool_length(course: Column) -> Column:
@@ -122,23 +123,30 @@ def age_band(least: Column, most: Column) -> Column:
 
 
 def record_age_key(least: Column, most: Column) -> Column:
-    """12, 11u, 60-64 or open."""
-    low, high = F.when(least > 0, least), F.when(most > 0, most)
+    """12, 11u, 60-64 or open; without an upper bound always open."""
+    return _record_age(least, most, "", "u", "open")
+
+
+def record_age_label(least: Column, most: Column) -> Column:
+    """12 years, 11 years and younger, 60-64 years or Open."""
+    return _record_age(least, most, " years", " years and younger", "Open")
+
+
+def _record_age(least: Column, most: Column, years: str, younger: str, without: str) -> Column:
     return (
-        F.when(low.isNull() & high.isNull(), "open")
-        .when(low.isNull(), F.concat(high, F.lit("u")))
-        .when(high.isNull(), F.concat(low, F.lit("+")))
-        .when(low == high, low.cast("string"))
-        .otherwise(F.concat_ws("-", low, high))
+        F.when(least == most, F.concat(least, F.lit(years)))
+        .when(most.isNotNull() & (F.coalesce(least, F.lit(0)) <= 0), F.concat(most, F.lit(younger)))
+        .when(least.isNotNull() & most.isNotNull(), F.concat(F.concat_ws("-", least, most), F.lit(years)))
+        .otherwise(without)
     )
 
 
 # FN16-FN22: names and keys
 
 
-def canonical_swimmer_id(first: Column, last: Column, birth_year: Column, country: Column) -> Column:
-    """A hash of the identity; nulls are spelled out, for concat_ws would skip them."""
-    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in (last, first, birth_year, country)]
+def canonical_swimmer_id(nation: Column, sex: Column, birth_year: Column, first: Column, last: Column) -> Column:
+    """A hash of the identity in this order; nulls are spelled out, for concat_ws would skip them."""
+    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in (nation, sex, birth_year, first, last)]
     return F.concat(F.lit("CANON::"), F.substring(F.sha1(F.concat_ws("|", *parts)), 1, 32))
 
 
@@ -202,7 +210,8 @@ def event_descriptor(text: Column) -> Column:
     """struct(kind lap|relay|individual, legs, distance, stroke) of texts like '4x100m Freestyle' or '50m Fly Lap'."""
     pattern = r"(?i)^\s*(?:(\d+)\s*x\s*)?(\d+)\s*m?\s+(.+?)(\s+lap)?\s*$"
     legs, distance, stroke, lap = (F.regexp_extract(text, pattern, i) for i in (1, 2, 3, 4))
-    kind = F.when(distance == "", None).when(lap != "", "lap").when(legs != "", "relay").otherwise("individual")
+    # a lap of a relay is ambiguous, and a stroke nobody knows is no event
+    kind = F.when((distance == "") | ((lap != "") & (legs != "")) | stroke_code(stroke).isNull(), None).when(lap != "", "lap").when(legs != "", "relay").otherwise("individual")
     return F.struct(kind.alias("kind"), F.coalesce(legs.try_cast("int"), F.lit(1)).alias("legs"), distance.try_cast("int").alias("distance"), stroke_code(stroke).alias("stroke"))
 
 
@@ -212,14 +221,23 @@ def composite_key(*columns: Column) -> Column:
 
 #: Stroke names in several languages.
 STROKE_NAMES = {
-    "FREE": "free freestyle freistil libre crawl fr",
+    "FREE": "free freestyle freistil libre crawl fr freestyle_relay",
     "BACK": "back backstroke rücken dos espalda bk",
     "BREAST": "breast breaststroke brust brasse braza br",
-    "FLY": "fly butterfly schmetterling delfin papillon mariposa fl",
-    "MEDLEY": "medley im lagen 4n estilos individual_medley",
+    "FLY": "fly butterfly schmetterling delfin papillon mariposa fl bu",
+    "MEDLEY": "medley im lagen 4n estilos individual_medley me medley_relay",
 }
 
 
+#: Gender names of event titles.
+GENDER_NAMES = {"M": "men herren knaben messieurs", "F": "women damen mädchen dames", "X": "mixed"}
+
+
+def gender_code(text: Column) -> Column:
+    pairs = [F.lit(v) for code, names in GENDER_NAMES.items() for name in names.split() for v in (name, code)]
+    return F.try_element_at(F.create_map(*pairs), F.lower(F.trim(text)))
+
+
 def stroke_code(text: Column) -> Column:
     pairs = [F.lit(v) for code, names in STROKE_NAMES.items() for name in names.split() for v in (name.replace("_", " "), code)]
     return F.try_element_at(F.create_map(*pairs), F.lower(F.trim(text)))
@@ -247,23 +265,42 @@ def city_country(text: Column) -> Column:
 # FN29-FN36: states and checks
 
 
-def record_scope(kind: Column, nation: Column, age_key: Column, name: Column, handicap: Column | None = None) -> Column:
-    """struct(scope, reason) of a record list's header."""
-    text = F.lower(F.coalesce(name, F.lit("")))
-    code = F.upper(F.coalesce(kind, F.lit("")))
-    barred = F.lit(False) if handicap is None else F.coalesce(handicap, F.lit("")) != ""
-    masters = F.contains(text, F.lit("master"))
+#: Words in a list's name that keep it out of comparisons.
+HISTORICAL = ("until ", "archiv", "former ")
+RESTRICTED = ("championship", "olympic", "games", "world cup", "regio", "provincial", "para record")
+
+
+def record_scope(kind: Column, nation: Column, least: Column, most: Column, name: Column, *restrictions: Column) -> Column:
+    """struct(scope, reason) of a record list's header; restrictions are its region, handicap and club.
+
+    A list is national only if its type is its nation's own (the Faroese one is FAR), or an
+    age type of that nation with bounds; types that merely begin with a nation are for review.
+    """
+    text, code, home = (f(F.coalesce(c, F.lit(""))) for f, c in ((F.lower, name), (F.upper, kind), (F.upper, nation)))
+    restricted = F.concat(*(F.coalesce(c, F.lit("")) for c in (*restrictions, F.lit("")))) != ""
+    has = lambda words: F.greatest(*(F.contains(text, F.lit(w)) for w in words))
+    bounded = (F.coalesce(least, F.lit(0)) > 0) | (F.coalesce(most, F.lit(0)) > 0)
+    own = (home != "") & ((code == home) | ((home == "FRO") & (code == "FAR")))
+    of_age = (home != "") & code.isin(F.concat(home, F.lit(".JR")), F.concat(home, F.lit(".MS"))) & bounded
+    reason = F.when(restricted, "restricted").when(has(HISTORICAL), "historical").when(has(RESTRICTED), "competition or regional")
     scope = (
-        F.when(barred | masters, "excluded").when(code.isin("WR", "WORLD"), "world").when(code.isin("ER", "EUROPE"), "europe")
-        .when(nation.isNotNull() & (age_key == "open"), "national").when(nation.isNotNull(), "age").otherwise("unmapped")
+        F.when(reason.isNotNull(), "excluded").when(code.isin("WR", "ER") & ~bounded, F.when(code == "WR", "world").otherwise("europe"))
+        .when(own | of_age, F.when(bounded, "age").otherwise("national")).otherwise("unmapped")
     )
-    reason = F.when(barred, "handicap").when(masters, "masters").when(scope == "unmapped", "no nation")
-    return F.struct(scope.alias("scope"), reason.alias("reason"))
+    return F.struct(scope.alias("scope"), F.coalesce(reason, F.when(scope == "unmapped", "for review")).alias("reason"))
+
+
+#: Continental record codes and their scopes.
+CONTINENTS = {"AM": "americas", "AF": "africa", "AS": "asia", "OC": "oceania"}
 
 
 def approval_scope(status: Column, approved: Column) -> Column:
-    """The approved scope, or pending."""
-    return F.when(F.upper(F.coalesce(status, F.lit("APPROVED"))).isin("APPROVED", "RATIFIED", ""), approved).otherwise("pending")
+    """The approved scope for status 2 alone; anything else is pending."""
+    return F.when(status.cast("string").try_cast("int") == 2, approved).otherwise("pending")
+
+
+def continent(code: Column) -> Column:
+    return F.try_element_at(F.create_map(*(F.lit(v) for pair in CONTINENTS.items() for v in pair)), code)
 
 
 def kept_score(score: Column, old_time: Column, new_time: Column, old_status: Column, new_status: Column) -> Column:
@@ -298,7 +335,28 @@ def schedule_state(today: Column, start: Column, end: Column) -> Column:
     return F.when(today < start, "upcoming").when(today <= end, "ongoing").otherwise("ended_unverified")
 
 
-def relay_legs(text: Column, is_relay: Column) -> Column:
-    """struct(legs, distance, consistent) of '4x100' or '200'."""
-    legs, distance = F.regexp_extract(text, r"^(\d+)x(\d+)$", 1).try_cast("int"), F.regexp_extract(text, r"(\d+)$", 1).try_cast("int")
-    return F.struct(F.coalesce(legs, F.lit(1)).alias("legs"), distance.alias("distance"), (legs.isNotNull() == is_relay).alias("consistent"))
+def relay_legs(name: Column, distance: Column, is_relay: Column) -> Column:
+    """struct(legs, distance, consistent) of a discipline's name like '4x100' and its distance a leg."""
+    legs, each = (F.regexp_extract(F.coalesce(name, F.lit("")), r"^(\d+)x(\d+)$", i).try_cast("int") for i in (1, 2))
+    ok = (legs.isNotNull() == F.coalesce(is_relay, F.lit(False))) & (legs.isNull() | F.coalesce(each == distance, F.lit(False)))
+    return F.struct(F.coalesce(legs, F.lit(1)).alias("legs"), distance.alias("distance"), ok.alias("consistent"))
+
+
+# FN22: keys
+
+
+def race_key(swimmer: Column, event: Column, day: Column, stage: Column, heat: Column, lane: Column) -> Column:
+    """What makes a race the same one in another source."""
+    return digest(*(c.cast("string").alias(n) for c, n in ((swimmer, "swimmer"), (event, "event"), (day, "day"), (stage, "stage"), (heat, "heat"), (lane, "lane"))))
+
+
+def identity_key(first: Column, last: Column, birth_year: Column, sex: Column) -> Column:
+    return composite_key(folded_name(first), folded_name(last), birth_year.cast("string"), sex)
+
+
+def performance_key(person: Column, event: Column, day: Column, time_cs: Column) -> Column:
+    return digest(*(c.cast("string").alias(n) for c, n in ((person, "person"), (event, "event"), (day, "day"), (time_cs, "time"))))
+
+
+def source_key(source: Column, source_id: Column) -> Column:
+    return F.concat_ws("/", source, source_id.cast("string"))

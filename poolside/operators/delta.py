@@ -11,6 +11,9 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .dedup import pick_first
+from .match import adopt
+
 OVERWRITE, KEEP_IF_NULL, NEVER, FILL_NULL, GREATEST, LEAST = "overwrite", "keep_if_null", "never", "fill_null", "greatest", "least"
 
 
@@ -49,8 +52,16 @@ def upsert(target: DataFrame, incoming: DataFrame, keys: list[str], policy: Mapp
 
 
 def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """SNK1, SNK3, SNK10, SNK13: target and the incoming rows with new keys (one of each)."""
-    new = incoming.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti")
+    """SNK1, SNK3, SNK10, SNK13: target and the incoming rows with new keys, of each the first by the other columns.
+
+    Rows with a null in a key are all new, as a database would have it.
+    """
+    whole = F.lit(True)
+    for k in keys:
+        whole = whole & F.col(k).isNotNull()
+    order = [F.asc_nulls_last(c) for c in incoming.columns if c not in keys] or [F.lit(1)]
+    first = pick_first(incoming.where(whole), keys, order).unionByName(incoming.where(~whole))
+    new = first.join(target.select(*keys), keys, "left_anti")
     return target.unionByName(new.select(*target.columns))
 
 
@@ -68,9 +79,13 @@ def replace_partitions(target: DataFrame, incoming: DataFrame, keys: list[str],
 
 
 def set_digest(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    """A15, UPS9, UPS12: a content hash of the set of rows of each key, whatever their order."""
+    """A15, UPS9, UPS12: a content hash of the multiset of rows of each key, whatever their order.
+
+    Row hashes are added up in four 64-bit parts, so a key of any size costs five numbers.
+    """
     row = F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
-    return rows.groupBy(*keys).agg(F.sha2(F.concat_ws(",", F.sort_array(F.collect_list(row))), 256).alias("digest"))
+    part = lambda k: F.sum(F.conv(F.substring(row, 1 + 16 * k, 15), 16, 10).cast("decimal(38,0)"))
+    return rows.groupBy(*keys).agg(F.sha2(F.concat_ws(",", F.count(F.lit(1)), *(part(k) for k in range(4))), 256).alias("digest"))
 
 
 def compare(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -156,10 +171,27 @@ def apply_plan(target: DataFrame, plan: DataFrame, keys: list[str], columns: lis
     return upsert(target, rows, keys, policy)
 
 
-def apply_snapshot(target: DataFrame, snapshot: DataFrame, scope: list[str], keys: list[str]) -> DataFrame:
-    """UPS7, J16: a complete snapshot replaces its scope: rows update, appear, or go; other scopes stay."""
-    scopes = snapshot.select(*scope).distinct()
-    return target.join(scopes, scope, "left_anti").unionByName(snapshot.dropDuplicates(keys).select(*target.columns))
+def apply_snapshot(target: DataFrame, snapshot: DataFrame, scopes: DataFrame, keys: list[str]) -> DataFrame:
+    """UPS7, J16: complete snapshots replace their scopes: rows update, appear, or go; other scopes stay.
+
+    scopes names what the snapshots cover, so that an empty one clears its scope. A
+    key that a snapshot has twice, or a row outside the scopes, is an error.
+    """
+    scope = scopes.columns
+    if not snapshot.groupBy(*keys).count().where("count > 1").isEmpty():
+        raise ValueError("the snapshot repeats a key")
+    if not snapshot.join(scopes, scope, "left_anti").isEmpty():
+        raise ValueError("the snapshot has rows outside its scope")
+    return target.join(scopes, scope, "left_anti").unionByName(snapshot.select(*target.columns))
+
+
+def adopted_snapshot(target: DataFrame, snapshot: DataFrame, scopes: DataFrame, mapped: DataFrame, signature: list[str]) -> DataFrame:
+    """UPS7, J20: the same, with the ids of target kept by the source's map, else by signature; new rows get a hash as id."""
+    scope = scopes.columns
+    stored = target.join(scopes, scope, "left_semi")
+    known = adopt(snapshot, mapped, stored, signature)
+    named = known.withColumn("id", F.coalesce("id", F.xxhash64("source_id")))
+    return apply_snapshot(target, named, scopes, ["id"])
 
 
 def chain_status(packages: DataFrame, ledger: DataFrame, key: str = "meet_id") -> DataFrame:
@@ -184,12 +216,9 @@ def prefer_value(target: DataFrame, incoming: DataFrame, key: str, column: str,
 def pending_batch(ledger: DataFrame) -> DataFrame:
     """UPS15: dirty meets as one batch: how many, from which date, and a digest."""
     unknown = F.count_if(F.col("affected_from").isNull()) > 0
-    dirty = ledger.where("dirty")
-    return dirty.agg(
-        F.count(F.lit(1)).alias("meets"),
-        F.when(unknown, F.lit(None)).otherwise(F.min("affected_from")).alias("affected_from"),
-        F.sha2(F.concat_ws(",", F.sort_array(F.collect_list(F.concat_ws(":", "meet_id", "revision")))), 256).alias("batch_id"),
-    )
+    dirty = ledger.where("dirty").withColumn("_all", F.lit(1))
+    counted = dirty.groupBy("_all").agg(F.count(F.lit(1)).alias("meets"), F.when(unknown, F.lit(None)).otherwise(F.min("affected_from")).alias("affected_from"))
+    return counted.join(set_digest(dirty, ["_all"], ["meet_id", "revision"]), "_all").select("meets", "affected_from", F.col("digest").alias("batch_id"))
 
 
 def to_retry(receipts: DataFrame) -> DataFrame:

@@ -38,10 +38,11 @@ def rank_breaks(rows: DataFrame, keys: list[str], value: str = "time_cs", rank:
 
 
 def page_breaks(pages: DataFrame, keys: list[str], total: str = "total") -> DataFrame:
-    """Pages that leave a gap after them; the last one may overlap the one before."""
+    """Pages that do not begin where the one before ended, the first at 1, and last ones that do not reach the total."""
     w = Window.partitionBy(*keys).orderBy("offset")
     end = F.col("offset") + F.col("count")
-    return pages.withColumn("next_offset", F.coalesce(F.lead("offset").over(w), F.col(total))).where(F.col("next_offset") > end)
+    seen = pages.withColumns({"expected_offset": F.coalesce(F.lag(end).over(w), F.lit(1)), "_last": F.lead("offset").over(w).isNull()})
+    return seen.where((F.col("offset") != F.col("expected_offset")) | (F.col("_last") & (end != F.col(total) + 1))).drop("_last")
 
 
 def chain_breaks(packages: DataFrame, key: str = "meet_id") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import canonical_swimmer_id, folded_name
@@ -14,8 +14,9 @@ def cascade(athletes: DataFrame, aliases: DataFrame, swimmers: DataFrame, overri
     """Athletes with swimmer_id and how it was found: override, alias, identity or new.
 
     An alias counts only if all identity fields agree. Athletes of one identity that
-    nobody knows get one hashed id, so a batch needs no order and no loop. Aliases and
-    identities that name several swimmers decide nothing.
+    nobody knows get one hashed id, so a batch needs no order and no loop. Of several
+    swimmers of one identity the least id counts; an alias of several decides nothing. An override
+    counts only if name, birth year and gender of its swimmer agree.
     """
     s = swimmers.select("swimmer_id", *IDENTITY)
     alias = aliases.select("source_swimmer_id", "source_country_code", F.col("swimmer_id").alias("_alias")).join(
@@ -27,25 +28,51 @@ def cascade(athletes: DataFrame, aliases: DataFrame, swimmers: DataFrame, overri
     for c in IDENTITY:
         agrees = agrees & F.col(c).eqNullSafe(F.col(f"_{c}"))
     out = out.withColumn("_alias", F.when(agrees, F.col("_alias"))).drop(*(f"_{c}" for c in IDENTITY))
-    identity = s.groupBy(*IDENTITY).agg(F.min("swimmer_id").alias("_same"), F.count(F.lit(1)).alias("_n")).where("_n = 1").drop("_n")
+    identity = s.groupBy(*IDENTITY).agg(F.min("swimmer_id").alias("_same"))
     out = out.join(identity, IDENTITY, "left")
     if overrides is None:
         out = out.withColumn("_fixed", F.lit(None).cast("string"))
     else:
-        out = out.join(overrides.select("identity_key", F.col("swimmer_id").alias("_fixed")), "identity_key", "left")
-    new = canonical_swimmer_id(F.col("first_name"), F.col("last_name"), F.col("birth_year"), F.col("country_code"))
+        named = s.select(F.col("swimmer_id").alias("_fixed"), _name_key().alias("_name"), F.col("birth_year").alias("_year"), F.col("gender").alias("_sex"))
+        checked = overrides.select("identity_key", F.col("swimmer_id").alias("_fixed")).join(named, "_fixed")
+        out = out.join(checked, "identity_key", "left")
+        same = (_name_key() == F.col("_name")) & F.col("birth_year").eqNullSafe(F.col("_year")) & F.col("gender").eqNullSafe(F.col("_sex"))
+        out = out.withColumn("_fixed", F.when(same, F.col("_fixed"))).drop("_name", "_year", "_sex")
+    new = canonical_swimmer_id(*(F.col(c) for c in ("country_code", "gender", "birth_year", "first_name", "last_name")))
     how = F.when(F.col("_fixed").isNotNull(), "override").when(F.col("_alias").isNotNull(), "alias").when(F.col("_same").isNotNull(), "identity").otherwise("new")
     return out.withColumns({"resolution": how, "swimmer_id": F.coalesce("_fixed", "_alias", "_same", new)}).drop("_fixed", "_alias", "_same")
 
 
-def candidates(athletes: DataFrame, swimmers: DataFrame) -> DataFrame:
-    """Athletes by how many swimmers have their folded name, birth year and gender: create, link or hold."""
-    key = F.concat_ws("|", folded_name(F.col("first_name")), folded_name(F.col("last_name")))
-    s = swimmers.withColumn("_key", key).groupBy("_key", "birth_year", "gender").agg(F.count(F.lit(1)).alias("candidates"), F.min("swimmer_id").alias("_id"))
-    out = athletes.withColumn("_key", key).join(s, ["_key", "birth_year", "gender"], "left")
-    n = F.coalesce("candidates", F.lit(0))
-    route = F.when(n == 0, "create").when(n == 1, "link").otherwise("hold")
-    return out.withColumns({"candidates": n, "route": route, "swimmer_id": F.when(n == 1, F.col("_id"))}).drop("_key", "_id")
+def _name_key() -> Column:
+    return F.concat_ws("|", folded_name(F.col("first_name")), folded_name(F.col("last_name")))
+
+
+def candidates(athletes: DataFrame, swimmers: DataFrame, aliases: DataFrame | None = None) -> DataFrame:
+    """Athletes by how many swimmers have their folded name, birth year and gender: create, link or hold.
+
+    athletes have ``source_kind``. Those of LENEX files are looked for in their own
+    country, and an alias among several decides. Unknown athletes of printed lists are held, for a
+    list does not say enough to make a swimmer of them.
+    """
+    rows = athletes.withColumns({"_row": F.monotonically_increasing_id(), "_key": _name_key()})
+    known = swimmers.select("swimmer_id", _name_key().alias("_key"), "birth_year", "gender", F.col("country_code").alias("_country"))
+    lenex = F.col("source_kind") == "lenex"
+    pairs = rows.select("_row", "_key", "birth_year", "gender", "source_kind", "country_code", "source_swimmer_id").join(known, ["_key", "birth_year", "gender"])
+    pairs = pairs.where(~lenex | (F.col("country_code") == F.col("_country")))
+    if aliases is not None:
+        a = aliases.select("source_swimmer_id", F.col("source_country_code").alias("country_code"), "swimmer_id", F.lit(True).alias("_alias"))
+        pairs = pairs.join(a, ["source_swimmer_id", "country_code", "swimmer_id"], "left")
+    else:
+        pairs = pairs.withColumn("_alias", F.lit(None).cast("boolean"))
+    hit = lenex & F.coalesce("_alias", F.lit(False))
+    by = pairs.groupBy("_row").agg(F.count(F.lit(1)).alias("_all"), F.min("swimmer_id").alias("_any"), F.count_if(hit).alias("_hits"), F.min(F.when(hit, F.col("swimmer_id"))).alias("_hit"))
+    out = rows.join(by, "_row", "left")
+    one = F.col("_hits") == 1
+    n = F.when(one, 1).otherwise(F.coalesce("_all", F.lit(0)))
+    route = F.when(n == 1, "link").when((n == 0) & (F.col("source_kind") != "pdf"), "create").otherwise("hold")
+    reason = F.when(route == "hold", F.when(n == 0, "unknown_identity").otherwise("ambiguous_identity"))
+    found = F.when(n == 1, F.when(one, F.col("_hit")).otherwise(F.col("_any")))
+    return out.withColumns({"candidates": n, "route": route, "reason": reason, "swimmer_id": found}).drop("_row", "_key", "_all", "_any", "_hits", "_hit")
 
 
 def alias_conflicts(claims: DataFrame) -> DataFrame:

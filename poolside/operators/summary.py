@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.predicates import populations, valid_fina, valid_rudolph
+from ..functions.predicates import enough_career, populations, valid_fina, valid_rudolph
 from ..functions.scalars import clamped_age
 
 POINTS, RANK = "decimal(6,1)", "decimal(5,2)"
@@ -41,14 +41,17 @@ def season_points(swims: DataFrame) -> DataFrame:
 
 
 def meet_points(swims: DataFrame, by_event: bool = False) -> DataFrame:
-    """The same for each meet; a meet across two seasons is parted. first_date is the first race of the row."""
-    keys = ["season_end_year", "swimmer_id", "meet_id", "course"] + (["distance", "stroke"] if by_event else [])
-    return top3(swims, keys, [F.min("result_date").alias("first_date")])
+    """The same for each meet; a meet across two seasons is parted. first_date is the swimmer's first race there in the season and course, in whatever event."""
+    meet = ["season_end_year", "swimmer_id", "meet_id", "course"]
+    if not by_event:
+        return top3(swims, meet, [F.min("result_date").alias("first_date")])
+    dated = swims.withColumn("_first", F.min("result_date").over(Window.partitionBy(*meet)))
+    return top3(dated, [*meet, "distance", "stroke"], [F.min("_first").alias("first_date")])
 
 
-def career_best(points: DataFrame, keys: list[str], value: str = "avg_points") -> DataFrame:
-    """A5"""
-    return points.groupBy(*keys).agg(F.max(value).alias("career_best"))
+def career_best(points: DataFrame) -> DataFrame:
+    """A5: the best single score of each swimmer over all rows."""
+    return points.groupBy("swimmer_id").agg(F.max("best1").alias("career_best"))
 
 
 def percentiles(value: Column, bands: tuple[int, ...] = BANDS, prefix: str = "p") -> list[Column]:
@@ -57,10 +60,15 @@ def percentiles(value: Column, bands: tuple[int, ...] = BANDS, prefix: str = "p"
     return [values[i].alias(f"{prefix}{b}") for i, b in enumerate(bands)]
 
 
-def season_bands(points: DataFrame, nation: str) -> DataFrame:
-    """Bands of each population cell."""
+def eligible(points: DataFrame, threshold: float) -> DataFrame:
+    """FL4: rows of swimmers whose career best reaches the threshold."""
+    return enough_career(points, career_best(points), ["swimmer_id"], threshold)
+
+
+def season_bands(points: DataFrame, nation: str, threshold: float = 0) -> DataFrame:
+    """A3, A7, FL4: bands of each population cell."""
     cell = ["season_end_year", "course", "age_cell", "distance", "stroke", "country", "age_mode"]
-    return in_cells(points, nation).groupBy(*cell).agg(F.count(F.lit(1)).alias("population"), *percentiles(F.col("avg_points")))
+    return in_cells(eligible(points, threshold), nation).groupBy(*cell).agg(F.count(F.lit(1)).alias("population"), *percentiles(F.col("avg_points")))
 
 
 def in_cells(points: DataFrame, nation: str) -> DataFrame:
@@ -68,11 +76,22 @@ def in_cells(points: DataFrame, nation: str) -> DataFrame:
     return populations(points, nation).withColumn("age_cell", F.when(F.col("age_mode") == "AGE", F.col("age_group")).otherwise(0))
 
 
-def percentile_ranks(points: DataFrame, nation: str, key: list[str]) -> DataFrame:
-    """100 * percent_rank in each population cell."""
-    cell = Window.partitionBy("season_end_year", "course", "age_cell", "distance", "stroke", "country", "age_mode").orderBy("avg_points")
-    ranked = in_cells(points, nation).withColumn("percentile", (100 * F.percent_rank().over(cell)).cast(RANK))
-    return ranked.select(*key, "country", "age_mode", "percentile")
+def percentile_ranks(points: DataFrame, nation: str, key: list[str], threshold: float = 0) -> DataFrame:
+    """W5, FL4: 100 * percent_rank in each population cell.
+
+    A cell may hold every athlete of a season, but only so many distinct averages as its
+    decimals have. So rows are counted by cell and value, counts are summed up in order
+    of value, and the ranks are joined back; no window sees the rows of a cell.
+    """
+    cell = ["season_end_year", "course", "age_cell", "distance", "stroke", "country", "age_mode"]
+    rows = in_cells(eligible(points, threshold), nation)
+    counted = rows.groupBy(*cell, "avg_points").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.partitionBy(*cell)
+    below = F.sum("n").over(w.orderBy("avg_points").rowsBetween(Window.unboundedPreceding, -1))
+    total = F.sum("n").over(w)
+    share = F.when(total > 1, 100 * (F.coalesce(below, F.lit(0)) / (total - 1))).otherwise(0.0)
+    ranks = counted.select(*cell, "avg_points", share.cast(RANK).alias("percentile"))
+    return rows.join(ranks, [*cell, "avg_points"]).select(*key, "country", "age_mode", "percentile")
 
 
 def default_rank_copy(points: DataFrame, ranks: DataFrame, nation: str, key: list[str]) -> DataFrame:
@@ -82,18 +101,18 @@ def default_rank_copy(points: DataFrame, ranks: DataFrame, nation: str, key: lis
 
 
 def race_bands(swims: DataFrame, nation: str) -> DataFrame:
-    """A4, J3, FN13: bands and maxima of both measures by race cell.
+    """A4, J3, FN13: bands and maxima of both measures by race cell; swims as valid_race_band() keeps them.
 
-    Both measures are aggregated in one pass; a filter inside the aggregate stands for
-    the join of two aggregates.
+    Ages are filtered as they are, and clamped afterwards. Both measures are aggregated in
+    one pass; a filter inside the aggregate stands for the join of two aggregates.
     """
-    cells = populations(swims.withColumn("age_group", clamped_age(F.col("age_group"))), nation)
-    cells = cells.withColumn("age_cell", F.when(F.col("age_mode") == "AGE", F.col("age_group")).otherwise(0))
+    cells = populations(swims, nation)
+    cells = cells.withColumn("age_cell", F.when(F.col("age_mode") == "AGE", clamped_age(F.col("age_group"))).otherwise(0))
     fina = F.when(valid_fina(F.col("points_fina")), F.col("points_fina"))
     rudolph = F.when(valid_rudolph(F.col("points_rudolph")), F.col("points_rudolph"))
     out = cells.groupBy("distance", "stroke", "pool_length", "age_cell", "country", "age_mode").agg(
-        F.count(fina).alias("fina_count"), F.max(fina).alias("fina_max"), *percentiles(fina, (50, 90), "fina_p"),
-        F.count(rudolph).alias("rudolph_count"), F.max(rudolph).alias("rudolph_max"), *percentiles(rudolph, (50, 90), "rudolph_p"),
+        F.count(fina).alias("fina_count"), F.max(fina).alias("fina_max"), *percentiles(fina, prefix="fina_p"),
+        F.count(rudolph).alias("rudolph_count"), F.max(rudolph).alias("rudolph_max"), *percentiles(rudolph, prefix="rudolph_p"),
     )
     return out.where("fina_count > 0")
 

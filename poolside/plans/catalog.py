@@ -5,8 +5,6 @@ A query is registered together with its SQL; the SQL is DuckDB's dialect.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,21 +12,20 @@ from ..functions import predicates as P
 from ..functions import scalars as S
 from ..operators import dedup, delta, match, packages, quality, rankings, resolve, summary
 from ..sources import pages as html
+from . import checks, filters  # noqa: F401  they register their queries
 from . import views as V
-
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
+from .registry import oracle_sql, queries, query  # noqa: F401
 
 _R = """r AS (SELECT l_orderkey AS meet_id, l_linenumber AS line, l_partkey AS event_id, l_suppkey AS lane, o_custkey AS swimmer_id,
  CAST(l_extendedprice AS DECIMAL(12,2)) AS time_seconds, CAST(l_shipdate AS DATE) AS result_date, CAST(l_quantity*20 AS INT) AS points_fina,
  CAST(l_quantity AS INT) % 25 AS points_rudolph, CASE WHEN l_returnflag='R' THEN 'DSQ' END AS status, l_linestatus='O' AS is_relay,
  CASE WHEN l_linenumber % 2 = 0 THEN 25 ELSE 50 END AS pool_length FROM lineitem JOIN orders ON l_orderkey=o_orderkey)"""
-_S = """s AS (SELECT c_custkey AS swimmer_id, CAST(1980 + c_custkey % 15 AS INT) AS birth_year, n_name AS country_code, c_name AS name, c_mktsegment AS segment FROM customer LEFT JOIN nation ON c_nationkey=n_nationkey)"""
-_V = f"""{_R}, {_S}, v AS (SELECT r.*, p_size AS distance, p_type AS stroke, birth_year, country_code, sy AS season_end_year,
+_S = """s AS (SELECT c_custkey AS swimmer_id, CASE WHEN c_custkey % 6 <> 5 THEN CAST(1972 + c_custkey % 30 AS INT) END AS birth_year, n_name AS country_code, c_name AS name, c_mktsegment AS segment FROM customer LEFT JOIN nation ON c_nationkey=n_nationkey)"""
+_STROKE = "CASE p_type " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in V.STROKE_OF.items()) + " ELSE 'OTHER' END"
+_V = f"""{_R}, {_S}, v AS (SELECT r.*, p_size AS distance, {_STROKE} AS stroke, birth_year, country_code, sy AS season_end_year,
  CASE WHEN pool_length=25 THEN 'SCM' ELSE 'LCM' END AS course, CAST(sy-birth_year AS INT) AS age_group
  FROM (SELECT *, CAST(year(result_date) + CASE WHEN month(result_date)>=9 THEN 1 ELSE 0 END AS INT) AS sy FROM r) r JOIN part ON event_id=p_partkey JOIN s USING (swimmer_id)
- WHERE time_seconds>0 AND status IS NULL AND NOT is_relay AND points_fina BETWEEN 1 AND 1500 AND result_date IS NOT NULL)"""
+ WHERE time_seconds>0 AND status IS NULL AND NOT is_relay AND points_fina BETWEEN 1 AND 1500 AND result_date IS NOT NULL AND pool_length IN (25, 50) AND p_type <> 'MEDIUM')"""
 
 
 def _top3(keys: str, source: str = "v", extra: str = "") -> str:
@@ -46,24 +43,6 @@ _CELLS = f"""{_POINTS}, ages AS (SELECT pts.*, CAST(season_end_year-birth_year A
  JOIN (VALUES ('OPEN'),('AGE')) m(age_mode) ON age_mode='OPEN' OR age_group BETWEEN 8 AND 19)"""
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    def register(f: Query) -> Query:
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return register
-
-
-def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
-
-
-def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
-
-
 # --- summaries ------------------------------------------------------------------
 
 
@@ -88,34 +67,37 @@ def season_points_union(spark, sf):
     return summary.season_points(V.valid_swims(spark, sf))
 
 
-@query(f"WITH {_POINTS} SELECT swimmer_id, course, max(avg_points) AS career_best FROM pts WHERE distance=0 GROUP BY ALL HAVING max(avg_points) >= 500")
+@query(f"WITH {_POINTS} SELECT swimmer_id, max(best1) AS career_best FROM pts GROUP BY 1")
 def career_best(spark, sf):
-    best = summary.career_best(_points(spark, sf).where("distance = 0"), ["swimmer_id", "course"])
-    return best.where("career_best >= 500")
+    return summary.career_best(summary.season_points(V.valid_swims(spark, sf)))
+
+
+LEAST_CAREER = 900
+_ELIGIBLE = f"{_CELLS}, eligible AS (SELECT * FROM cells WHERE swimmer_id IN (SELECT swimmer_id FROM pts GROUP BY 1 HAVING max(best1) >= {LEAST_CAREER}))"
 
 
 _PCT = ", ".join(f"round(quantile_cont(CAST(avg_points AS DOUBLE), {b / 100}), 4) AS p{b}" for b in summary.BANDS)
 
 
-@query(f"WITH {_CELLS} SELECT season_end_year, course, age_cell, distance, stroke, country, age_mode, count(*) AS population, {_PCT} FROM cells GROUP BY ALL")
+@query(f"WITH {_ELIGIBLE} SELECT season_end_year, course, age_cell, distance, stroke, country, age_mode, count(*) AS population, {_PCT} FROM eligible GROUP BY ALL")
 def season_bands(spark, sf):
-    out = summary.season_bands(_points(spark, sf), V.HOME)
+    out = summary.season_bands(_points(spark, sf), V.HOME, LEAST_CAREER)
     return out.withColumns({f"p{b}": F.round(f"p{b}", 4) for b in summary.BANDS})
 
 
-_RANKS = f"""{_CELLS}, ranks AS (SELECT {_EVENT}, country, age_mode, CAST(100*percent_rank() OVER (PARTITION BY season_end_year, course, age_cell, distance, stroke, country, age_mode ORDER BY avg_points) AS DECIMAL(5,2)) AS percentile FROM cells)"""
+_RANKS = f"""{_ELIGIBLE}, ranks AS (SELECT {_EVENT}, country, age_mode, CAST(100*percent_rank() OVER (PARTITION BY season_end_year, course, age_cell, distance, stroke, country, age_mode ORDER BY avg_points) AS DECIMAL(5,2)) AS percentile FROM eligible)"""
 _KEY = ["season_end_year", "swimmer_id", "course", "distance", "stroke"]
 
 
 @query(f"WITH {_RANKS} SELECT * FROM ranks")
 def percentile_ranks(spark, sf):
-    return summary.percentile_ranks(_points(spark, sf), V.HOME, _KEY)
+    return summary.percentile_ranks(_points(spark, sf), V.HOME, _KEY, LEAST_CAREER)
 
 
 @query(f"WITH {_RANKS} SELECT {_EVENT}, avg_points, percentile AS default_percentile FROM pts LEFT JOIN (SELECT * FROM ranks WHERE country='{V.HOME}' AND age_mode='AGE') USING ({_EVENT})")
 def default_rank_copy(spark, sf):
     points = _points(spark, sf)
-    out = summary.default_rank_copy(points, summary.percentile_ranks(points, V.HOME, _KEY), V.HOME, _KEY)
+    out = summary.default_rank_copy(points, summary.percentile_ranks(points, V.HOME, _KEY, LEAST_CAREER), V.HOME, _KEY)
     return out.select(*_KEY, "avg_points", "default_percentile")
 
 
@@ -124,26 +106,27 @@ def meet_points(spark, sf):
     return summary.meet_points(V.valid_swims(spark, sf))
 
 
-@query(f"WITH {_V} {_top3('season_end_year, swimmer_id, meet_id, course, distance, stroke', extra=', min(result_date) AS first_date')}")
+@query(f"WITH {_V}, d AS (SELECT *, min(result_date) OVER (PARTITION BY swimmer_id, meet_id, season_end_year, course) AS meet_date FROM v) {_top3('season_end_year, swimmer_id, meet_id, course, distance, stroke', 'd', ', min(meet_date) AS first_date')}")
 def meet_points_event(spark, sf):
     return summary.meet_points(V.valid_swims(spark, sf), by_event=True)
 
 
-_RACE = f"""{_R}, {_S}, w AS (SELECT r.*, p_size AS distance, p_type AS stroke, country_code, least(19, greatest(8, CAST(year(result_date) + CASE WHEN month(result_date)>=9 THEN 1 ELSE 0 END - birth_year AS INT))) AS age_group
- FROM r JOIN part ON event_id=p_partkey JOIN s USING (swimmer_id) WHERE time_seconds>0 AND status IS NULL AND NOT is_relay AND result_date IS NOT NULL),
- c AS (SELECT *, CASE WHEN age_mode='AGE' THEN age_group ELSE 0 END AS age_cell FROM w JOIN (VALUES ('ALL'),('{V.HOME}')) c(country) ON country='ALL' OR country_code=country JOIN (VALUES ('OPEN'),('AGE')) m(age_mode) ON TRUE),
- k AS (SELECT distance, stroke, pool_length, age_cell, country, age_mode FROM c GROUP BY ALL)"""
+def _measure(name: str, column: str, most: int) -> str:
+    bands = ", ".join(f"round(quantile_cont(CAST({column} AS DOUBLE), {b / 100}), 4) AS {name}_p{b}" for b in summary.BANDS)
+    return f"{name} AS (SELECT {_RACE_KEYS}, count(*) AS {name}_count, max({column}) AS {name}_max, {bands} FROM grouped WHERE {column} BETWEEN 1 AND {most} GROUP BY ALL)"
+
+
 _RACE_KEYS = "distance, stroke, pool_length, age_cell, country, age_mode"
+_RACE = f"""{_R}, {_S}, base AS (SELECT p_size AS distance, {_STROKE} AS stroke, pool_length, points_fina, points_rudolph, country_code, year(result_date) + CASE WHEN month(result_date) >= 9 THEN 1 ELSE 0 END - birth_year AS season_age
+ FROM r JOIN part ON event_id=p_partkey JOIN s USING (swimmer_id) WHERE time_seconds>0 AND (status IS NULL OR trim(status)='') AND NOT is_relay AND result_date IS NOT NULL AND pool_length IN (25, 50) AND birth_year IS NOT NULL AND p_type <> 'MEDIUM'),
+ grouped AS (SELECT distance, stroke, pool_length, points_fina, points_rudolph, country, age_mode, CAST(CASE WHEN age_mode='AGE' THEN least(19, greatest(8, season_age)) ELSE 0 END AS INT) AS age_cell FROM base
+ JOIN (VALUES ('ALL'),('{V.HOME}')) c(country) ON country='ALL' OR country_code=country JOIN (VALUES ('OPEN'),('AGE')) m(age_mode) ON age_mode='OPEN' OR season_age BETWEEN 8 AND 19)"""
 
 
-@query(f"""WITH {_RACE}, f AS (SELECT {_RACE_KEYS}, count(*) AS fina_count, max(points_fina) AS fina_max, round(quantile_cont(CAST(points_fina AS DOUBLE), 0.5),4) AS fina_p50, round(quantile_cont(CAST(points_fina AS DOUBLE), 0.9),4) AS fina_p90 FROM c WHERE points_fina BETWEEN 1 AND 1500 GROUP BY ALL),
- u AS (SELECT {_RACE_KEYS}, count(*) AS n, max(points_rudolph) AS rudolph_max, round(quantile_cont(CAST(points_rudolph AS DOUBLE), 0.5),4) AS rudolph_p50, round(quantile_cont(CAST(points_rudolph AS DOUBLE), 0.9),4) AS rudolph_p90 FROM c WHERE points_rudolph BETWEEN 1 AND 20 GROUP BY ALL)
- SELECT f.*, coalesce(n,0) AS rudolph_count, rudolph_max, rudolph_p50, rudolph_p90 FROM f LEFT JOIN u USING ({_RACE_KEYS})""")
+@query(f"WITH {_RACE}, {_measure('fina', 'points_fina', 1500)}, {_measure('rudolph', 'points_rudolph', 20)} SELECT * REPLACE (coalesce(rudolph_count, 0) AS rudolph_count) FROM fina LEFT JOIN rudolph USING ({_RACE_KEYS})")
 def race_bands(spark, sf):
-    r = V.results(spark, sf).where("time_seconds > 0 and status is null and not is_relay and result_date is not null")
-    swims = r.join(V.events(spark, sf), "event_id").join(V.swimmers(spark, sf).select("swimmer_id", "birth_year", "country_code"), "swimmer_id")
-    out = summary.race_bands(swims.withColumn("age_group", S.season_age(F.col("result_date"), F.col("birth_year"))), V.HOME)
-    return out.withColumns({c: F.round(c, 4) for c in ("fina_p50", "fina_p90", "rudolph_p50", "rudolph_p90")})
+    out = summary.race_bands(V.swims(spark, sf).where(P.valid_race_band()), V.HOME)
+    return out.withColumns({f"{m}_p{b}": F.round(f"{m}_p{b}", 4) for m in ("fina", "rudolph") for b in summary.BANDS})
 
 
 @query(f"WITH {_CELLS} SELECT country, age_mode, count(*) AS n, count(DISTINCT swimmer_id) AS swimmers FROM cells GROUP BY ALL")
@@ -255,12 +238,28 @@ def plan_actions(spark, sf):
     return quality.counts(plan, "action")
 
 
-@query("""WITH s AS (SELECT * FROM lineitem WHERE l_orderkey % 10 = 3 AND l_linenumber > 2) SELECT l_orderkey, count(*) AS n, CAST(sum(l_quantity) AS DOUBLE) AS quantity FROM
- (SELECT l_orderkey, l_quantity FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM s) UNION ALL SELECT l_orderkey, l_quantity FROM s) GROUP BY 1""")
+_LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
+
+
+@query(f"SELECT {_LINE} FROM lineitem WHERE l_orderkey % 10 <> 3 OR l_linenumber > 2")
 def snapshot_apply(spark, sf):
-    rows = V.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate")
-    applied = delta.apply_snapshot(rows, rows.where("l_orderkey % 10 = 3 and l_linenumber > 2"), ["l_orderkey"], rows.columns)
-    return applied.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("quantity"))
+    """Orders of which the snapshot has no line left are emptied."""
+    rows = V.table(spark, sf, "lineitem").select(*_LINE.split(", "))
+    scopes = V.table(spark, sf, "orders").where("o_orderkey % 10 = 3").select(F.col("o_orderkey").alias("l_orderkey"))
+    return delta.apply_snapshot(rows, rows.where("l_orderkey % 10 = 3 and l_linenumber > 2"), scopes, rows.columns)
+
+
+@query("""WITH n AS (SELECT o_orderkey, o_custkey, o_orderdate, o_orderkey % 2 = 0 AS mapped, o_orderkey % 2 = 0 OR o_orderkey % 7 <> 0 AS known FROM orders WHERE o_custkey % 4 = 0 AND o_orderkey % 3 <> 0)
+ SELECT o_orderkey + 1000000000 AS source_id, CASE WHEN known THEN o_orderkey END AS id FROM n UNION ALL SELECT NULL, o_orderkey FROM orders WHERE o_custkey % 4 <> 0""")
+def snapshot_ids(spark, sf):
+    """Ids kept by the source's map or by signature; what is neither is new."""
+    o = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("meet_id"), F.col("o_orderkey").alias("race"), F.lit(None).cast("long").alias("source_id"))
+    race = F.when((F.col("id") % 2 != 0) & (F.col("id") % 7 == 0), -F.col("id")).otherwise(F.col("race"))
+    snap = o.where("meet_id % 4 = 0 and id % 3 <> 0").select((F.col("id") + 1_000_000_000).alias("source_id"), "meet_id", race.alias("race"))
+    mapped = o.where("id % 2 = 0").select((F.col("id") + 1_000_000_000).alias("source_id"), "id")
+    scopes = o.where("meet_id % 4 = 0").select("meet_id").distinct()
+    out = delta.adopted_snapshot(o, snap, scopes, mapped, ["meet_id", "race"])
+    return out.select("source_id", F.when(~F.col("id").eqNullSafe(F.xxhash64("source_id")), F.col("id")).alias("id"))
 
 
 @query("""WITH k AS (SELECT * FROM lineitem WHERE l_linenumber = 1 AND l_orderkey % 2 = 0) SELECT l_orderkey, count(*) AS n FROM
@@ -278,7 +277,10 @@ def partitions_replaced(spark, sf):
     return out.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
 
 
-@query("""SELECT l_orderkey AS meet_id, sha256(string_agg(h, ',' ORDER BY h)) AS digest FROM (SELECT l_orderkey, sha256('{"l_linenumber":' || l_linenumber || ',"l_partkey":' || l_partkey || '}') AS h FROM lineitem) GROUP BY 1""")
+_PARTS = ", ".join(f"CAST(sum(CAST(('0x' || substr(h, {1 + 16 * k}, 15)) AS BIGINT)) AS HUGEINT)" for k in range(4))
+
+
+@query(f"""SELECT l_orderkey AS meet_id, sha256(concat_ws(',', count(*), {_PARTS})) AS digest FROM (SELECT l_orderkey, sha256('{{"l_linenumber":' || l_linenumber || ',"l_partkey":' || l_partkey || '}}') AS h FROM lineitem) GROUP BY 1""")
 def set_digests(spark, sf):
     return delta.set_digest(V.table(spark, sf, "lineitem").withColumnRenamed("l_orderkey", "meet_id"), ["meet_id"], ["l_linenumber", "l_partkey"])
 
@@ -348,23 +350,35 @@ def fallback_lookup(spark, sf):
     return match.with_fallback(p.select("p_partkey", "p_size"), p.where("p_partkey % 3 = 0"), ["p_partkey"], default, ["p_size"], "brand").select("p_partkey", "brand")
 
 
-@query("""WITH k AS (SELECT s_suppkey, s_nationkey FROM supplier), c AS (SELECT c_custkey, c_nationkey, c_custkey % 4 AS q FROM customer)
- SELECT how, count(*) AS n FROM (SELECT CASE WHEN q=0 AND c_custkey IN (SELECT s_suppkey FROM k) THEN 'alias' WHEN c_custkey IN (SELECT s_suppkey FROM k) THEN 'identity' ELSE 'new' END AS how FROM c) GROUP BY 1""")
+@query("""WITH k AS (SELECT 'S' || s_suppkey AS id, s_suppkey, s_suppkey % 60 AS p FROM supplier), a AS (SELECT c_custkey, c_custkey % 90 AS p FROM customer), least AS (SELECT p, min(id) AS id FROM k GROUP BY 1)
+ SELECT CAST(c_custkey AS VARCHAR) AS source_swimmer_id, CASE WHEN k.id IS NOT NULL THEN 'alias' WHEN l.id IS NOT NULL THEN 'identity' ELSE 'new' END AS resolution,
+ coalesce(k.id, l.id, 'CANON::' || substr(sha1('SUI|F|' || (1980 + a.p % 15) || '|F' || a.p || '|L' || a.p), 1, 32)) AS swimmer_id
+ FROM a LEFT JOIN k ON s_suppkey=c_custkey AND s_suppkey % 4 = 0 AND k.p=a.p LEFT JOIN least l ON l.p=a.p""")
 def identity_cascade(spark, sf):
     person = lambda key: [F.concat(F.lit("F"), key).alias("first_name"), F.concat(F.lit("L"), key).alias("last_name"), (1980 + key % 15).cast("int").alias("birth_year"), F.lit("F").alias("gender"), F.lit("SUI").alias("country_code")]
-    known = V.table(spark, sf, "supplier").select(F.concat(F.lit("S"), F.col("s_suppkey")).alias("swimmer_id"), *person(F.col("s_suppkey")))
-    c = V.table(spark, sf, "customer")
-    athletes = c.select(F.col("c_custkey").cast("string").alias("source_swimmer_id"), F.lit("SUI").alias("source_country_code"), *person(F.col("c_custkey")))
-    aliases = V.table(spark, sf, "supplier").where("s_suppkey % 4 = 0").select(F.col("s_suppkey").cast("string").alias("source_swimmer_id"), F.lit("SUI").alias("source_country_code"), F.concat(F.lit("S"), F.col("s_suppkey")).alias("swimmer_id"))
-    return resolve.cascade(athletes, aliases, known).groupBy(F.col("resolution").alias("how")).agg(F.count(F.lit(1)).alias("n"))
-
-
-@query("""WITH k AS (SELECT c_mktsegment AS a, c_nationkey AS b, count(*) AS n FROM customer WHERE c_custkey % 50=0 GROUP BY ALL)
- SELECT route, count(*) AS n FROM (SELECT CASE WHEN k.n IS NULL THEN 'create' WHEN k.n=1 THEN 'link' ELSE 'hold' END AS route FROM customer LEFT JOIN k ON c_mktsegment=a AND c_nationkey=b) GROUP BY 1""")
+    s = V.table(spark, sf, "supplier")
+    known = s.select(F.concat(F.lit("S"), F.col("s_suppkey")).alias("swimmer_id"), *person(F.col("s_suppkey") % 60))
+    athletes = V.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("source_swimmer_id"), F.lit("SUI").alias("source_country_code"), *person(F.col("c_custkey") % 90))
+    aliases = s.where("s_suppkey % 4 = 0").select(F.col("s_suppkey").cast("string").alias("source_swimmer_id"), F.lit("SUI").alias("source_country_code"), F.concat(F.lit("S"), F.col("s_suppkey")).alias("swimmer_id"))
+    return resolve.cascade(athletes, aliases, known).select("source_swimmer_id", "resolution", "swimmer_id")
+
+
+@query("""WITH k AS (SELECT 'S' || s_suppkey AS id, s_suppkey % 9 AS f, s_suppkey % 3 AS y, s_suppkey % 2 AS n, CASE WHEN s_suppkey % 2 = 0 THEN s_suppkey * 3 + 1 END AS alias FROM supplier),
+ a AS (SELECT c_custkey, c_custkey % 7 AS f, c_custkey % 3 AS y, c_custkey % 2 AS n, CASE WHEN c_custkey % 5 = 0 THEN 'pdf' ELSE 'lenex' END AS kind FROM customer),
+ p AS (SELECT c_custkey, kind, k.id, kind='lenex' AND alias=c_custkey AND k.n=a.n AS hit FROM a JOIN k ON k.f=a.f AND k.y=a.y AND (kind='pdf' OR k.n=a.n)),
+ c AS (SELECT c_custkey, count(*) AS everyone, min(id) AS any_id, count(*) FILTER (WHERE hit) AS hits, min(id) FILTER (WHERE hit) AS hit_id FROM p GROUP BY 1),
+ n AS (SELECT a.c_custkey, kind, CASE WHEN hits=1 THEN 1 ELSE coalesce(everyone, 0) END AS candidates, CASE WHEN hits=1 THEN hit_id ELSE any_id END AS id FROM a LEFT JOIN c USING (c_custkey))
+ SELECT c_custkey, CAST(candidates AS BIGINT) AS candidates, CASE WHEN candidates=1 THEN 'link' WHEN candidates=0 AND kind='lenex' THEN 'create' ELSE 'hold' END AS route,
+ CASE WHEN candidates > 1 THEN 'ambiguous_identity' WHEN candidates=0 AND kind='pdf' THEN 'unknown_identity' END AS reason, CASE WHEN candidates=1 THEN id END AS swimmer_id FROM n""")
 def candidate_holds(spark, sf):
-    who = V.table(spark, sf, "customer").select("c_custkey", F.lower("c_mktsegment").alias("first_name"), F.lit(" X ").alias("last_name"), F.col("c_nationkey").alias("birth_year"), F.lit("F").alias("gender"))
-    known = who.where("c_custkey % 50 = 0").withColumns({"first_name": F.upper("first_name"), "swimmer_id": F.col("c_custkey").cast("string")})
-    return quality.counts(resolve.candidates(who, known.drop("c_custkey")), "route")
+    who = lambda k, f: [F.concat(F.lit("f"), F.col(k) % f).alias("first_name"), F.lit(" X ").alias("last_name"), (F.col(k) % 3).alias("birth_year"), F.lit("F").alias("gender"), F.concat(F.lit("N"), F.col(k) % 2).alias("country_code")]
+    s = V.table(spark, sf, "supplier")
+    known = s.select(F.concat(F.lit("S"), F.col("s_suppkey")).alias("swimmer_id"), *who("s_suppkey", 9)).withColumn("first_name", F.upper("first_name"))
+    kind = F.when(F.col("c_custkey") % 5 == 0, "pdf").otherwise("lenex").alias("source_kind")
+    athletes = V.table(spark, sf, "customer").select("c_custkey", F.col("c_custkey").cast("string").alias("source_swimmer_id"), kind, *who("c_custkey", 7))
+    aliases = s.where("s_suppkey % 2 = 0").select((F.col("s_suppkey") * 3 + 1).cast("string").alias("source_swimmer_id"), F.lit("N0").alias("source_country_code"), F.concat(F.lit("S"), F.col("s_suppkey")).alias("swimmer_id"))
+    out = resolve.candidates(athletes, known, aliases)
+    return out.select("c_custkey", F.col("candidates").cast("long").alias("candidates"), "route", "reason", "swimmer_id")
 
 
 @query("SELECT o_custkey AS swimmer_id, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS club_name FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1")
@@ -442,12 +456,24 @@ def status_counts(spark, sf):
     return V.table(spark, sf, "lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("l_suppkey").alias("suppliers"))
 
 
-@query("""SELECT p_partkey, CASE WHEN p_name LIKE '%master%' THEN 'excluded' WHEN p_type='PROMO' THEN 'world' WHEN p_type='LARGE' THEN 'europe' WHEN p_size > 5 AND p_size % 2=0 THEN 'national' WHEN p_size > 5 THEN 'age' ELSE 'unmapped' END AS scope FROM part""")
+_LISTS = """l AS (SELECT p_partkey, CASE p_size % 9 WHEN 0 THEN 'WR' WHEN 1 THEN 'ER' WHEN 2 THEN 'SUI' WHEN 3 THEN 'SUI.RZW' WHEN 4 THEN 'SUI.JR' WHEN 5 THEN 'FAR' WHEN 6 THEN 'SUI.MS' WHEN 7 THEN 'AUT' END AS kind,
+ CASE WHEN p_size % 9 = 5 THEN 'FRO' WHEN p_size % 9 < 8 THEN 'SUI' END AS nation, CASE WHEN p_partkey % 3 = 0 THEN 12 WHEN p_partkey % 3 = 1 THEN -1 END AS least, CASE WHEN p_partkey % 4 = 0 THEN 14 END AS most,
+ CASE p_brand WHEN 'Brand#1' THEN 'Olympic Records' WHEN 'Brand#2' THEN 'Archiv 1990' WHEN 'Brand#3' THEN 'REGIO list' ELSE p_name END AS name, CASE WHEN p_partkey % 17 = 0 THEN 'RZW' END AS region FROM part)"""
+
+
+@query(f"""WITH {_LISTS}, b AS (SELECT *, coalesce(least, 0) > 0 OR coalesce(most, 0) > 0 AS bounded FROM l)
+ SELECT p_partkey, CASE WHEN region IS NOT NULL OR regexp_matches(lower(name), 'until |archiv|former |championship|olympic|games|world cup|regio|provincial|para record') THEN 'excluded'
+ WHEN kind='WR' AND NOT bounded THEN 'world' WHEN kind='ER' AND NOT bounded THEN 'europe' WHEN kind=nation OR (nation='FRO' AND kind='FAR') OR (bounded AND kind IN (nation || '.JR', nation || '.MS')) THEN CASE WHEN bounded THEN 'age' ELSE 'national' END ELSE 'unmapped' END AS scope FROM b""")
 def scope_classify(spark, sf):
-    kind = F.when(F.col("p_type") == "PROMO", "WR").when(F.col("p_type") == "LARGE", "ER")
-    age = F.when(F.col("p_size") % 2 == 0, "open").otherwise("12")
-    scope = S.record_scope(kind, F.when(F.col("p_size") > 5, "SUI"), age, F.col("p_name"))
-    return V.table(spark, sf, "part").select("p_partkey", scope["scope"].alias("scope"))
+    lists = V.record_lists(spark, sf)
+    scope = S.record_scope(*(F.col(c) for c in ("kind", "nation", "least", "most", "name", "region")))
+    return lists.select("p_partkey", scope["scope"].alias("scope"))
+
+
+@query(f"""WITH {_LISTS} SELECT p_partkey, CASE WHEN least=most THEN CAST(least AS VARCHAR) WHEN most IS NOT NULL AND coalesce(least, 0) <= 0 THEN most || 'u' WHEN least IS NOT NULL AND most IS NOT NULL THEN least || '-' || most ELSE 'open' END AS age_key,
+ CASE WHEN least=most THEN least || ' years' WHEN most IS NOT NULL AND coalesce(least, 0) <= 0 THEN most || ' years and younger' WHEN least IS NOT NULL AND most IS NOT NULL THEN least || '-' || most || ' years' ELSE 'Open' END AS label FROM l""")
+def record_ages(spark, sf):
+    return V.record_lists(spark, sf).select("p_partkey", S.record_age_key(F.col("least"), F.col("most")).alias("age_key"), S.record_age_label(F.col("least"), F.col("most")).alias("label"))
 
 
 _CLOCK = "CASE WHEN o_orderkey % 4 = 0 THEN 'NT' WHEN o_orderkey % 4 = 1 THEN lpad(CAST(o_custkey % 60 AS VARCHAR), 2, '0') || '.50' ELSE CAST(o_orderkey % 3 AS VARCHAR) || ':' || lpad(CAST(o_custkey % 60 AS VARCHAR), 2, '0') || '.25' END"
@@ -461,10 +487,10 @@ def clock_parse(spark, sf):
     return V.table(spark, sf, "orders").select("o_orderkey", S.clock_strict(text).alias("strict"), S.clock_lenient(text).alias("lenient"), S.centiseconds(text).alias("cs"))
 
 
-@query("""SELECT c_custkey, 'CANON::' || substr(sha1('L' || c_custkey || '|' || c_name || '|' || coalesce(CAST(CASE WHEN c_custkey % 3 > 0 THEN c_nationkey END AS VARCHAR), '') || '|' || c_mktsegment), 1, 32) AS swimmer_id FROM customer""")
+@query("""SELECT c_custkey, 'CANON::' || substr(sha1(c_mktsegment || '|' || CASE WHEN c_custkey % 2 = 0 THEN 'F' ELSE 'M' END || '|' || coalesce(CAST(CASE WHEN c_custkey % 3 > 0 THEN c_nationkey END AS VARCHAR), '') || '|' || c_name || '|L' || c_custkey), 1, 32) AS swimmer_id FROM customer""")
 def canonical_ids(spark, sf):
-    year = F.when(F.col("c_custkey") % 3 > 0, F.col("c_nationkey"))
-    return V.table(spark, sf, "customer").select("c_custkey", S.canonical_swimmer_id(F.col("c_name"), F.concat(F.lit("L"), "c_custkey"), year, F.col("c_mktsegment")).alias("swimmer_id"))
+    year, sex = F.when(F.col("c_custkey") % 3 > 0, F.col("c_nationkey")), F.when(F.col("c_custkey") % 2 == 0, "F").otherwise("M")
+    return V.table(spark, sf, "customer").select("c_custkey", S.canonical_swimmer_id(F.col("c_mktsegment"), sex, year, F.col("c_name"), F.concat(F.lit("L"), "c_custkey")).alias("swimmer_id"))
 
 
 @query("""SELECT o_orderkey, CAST(year(o_orderdate) + CASE WHEN month(o_orderdate)>=9 THEN 1 ELSE 0 END AS INT) AS season, CASE WHEN o_custkey % 3=0 THEN CAST(o_custkey % 5 + 8 AS VARCHAR) || '-' || CAST(o_custkey % 5 + 9 AS VARCHAR) WHEN o_custkey % 3=1 THEN '>=' || CAST(o_custkey % 5 + 8 AS VARCHAR) ELSE '<=' || CAST(o_custkey % 5 + 9 AS VARCHAR) END AS band,
@@ -475,11 +501,12 @@ def season_and_keys(spark, sf):
     return V.table(spark, sf, "orders").select("o_orderkey", S.season_end_year(day).alias("season"), S.age_band(F.when(q <= 1, low), F.when(q != 1, low + 1)).alias("band"), S.meet_key(F.col("o_orderpriority"), day).alias("meet_key"))
 
 
-@query("SELECT o_orderpriority AS meet, DATE '1998-01-01' + CAST(i AS INT) AS day FROM (SELECT DISTINCT o_orderpriority FROM orders), range(0, 31) t(i) WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderpriority=orders.o_orderpriority AND o.o_orderdate::DATE = DATE '1998-01-01' + CAST(i AS INT) AND o_custkey % 9=0)".replace("(SELECT DISTINCT o_orderpriority FROM orders),", "(SELECT DISTINCT o_orderpriority FROM orders) orders,"))
+@query("""WITH o AS (SELECT o_custkey AS meet, CAST(o_orderdate AS DATE) AS day FROM orders), m AS (SELECT meet, min(day) AS a, max(day) AS b FROM o GROUP BY 1)
+ SELECT meet, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS day FROM m EXCEPT SELECT meet, day FROM o""")
 def days_without_results(spark, sf):
-    o = V.table(spark, sf, "orders").select(F.col("o_orderpriority").alias("meet"), F.to_date("o_orderdate").alias("result_date"), "o_custkey")
-    days = o.select("meet").distinct().withColumns({"start_date": F.lit("1998-01-01").cast("date"), "end_date": F.lit("1998-01-31").cast("date")})
-    return quality.days_without_results(days, o.where("o_custkey % 9 = 0"), "meet")
+    o = V.table(spark, sf, "orders").select(F.col("o_custkey").alias("meet"), F.to_date("o_orderdate").alias("result_date"))
+    days = o.groupBy("meet").agg(F.min("result_date").alias("start_date"), F.max("result_date").alias("end_date"))
+    return quality.days_without_results(days, o, "meet")
 
 
 # --- pages and texts ---------------------------------------------------------------------

@@ -6,9 +6,10 @@ events. Only columns that a query uses are read: every view is a lazy select.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.predicates import valid_swim
 from ..functions.scalars import course_code, season_end_year
 
 HOME = "NATION_1"
@@ -30,20 +31,42 @@ def results(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: The parts' types as strokes; one type is no stroke, so that the predicates have something to leave out.
+STROKE_OF = {"ECONOMY": "FREE", "STANDARD": "BACK", "SMALL": "BREAST", "LARGE": "FLY", "PROMO": "MEDLEY"}
+
+
+def _stroke() -> Column:
+    return F.coalesce(F.try_element_at(F.create_map(*(F.lit(v) for pair in STROKE_OF.items() for v in pair)), F.col("p_type")), F.lit("OTHER"))
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("event_id"), F.col("p_size").alias("distance"), F.col("p_type").alias("stroke"))
+    return table(spark, sf_dir, "part").select(F.col("p_partkey").alias("event_id"), F.col("p_size").alias("distance"), _stroke().alias("stroke"))
 
 
 def swimmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("country_code"))
     c = table(spark, sf_dir, "customer").join(nation, "c_nationkey", "left")
-    return c.select(F.col("c_custkey").alias("swimmer_id"), (1980 + F.col("c_custkey") % 15).cast("int").alias("birth_year"), "country_code", F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
+    return c.select(F.col("c_custkey").alias("swimmer_id"), F.when(F.col("c_custkey") % 6 != 5, (1972 + F.col("c_custkey") % 30).cast("int")).alias("birth_year"), "country_code", F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"))
 
 
-def valid_swims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Results that count, with season, course, event and age. Strokes here are the parts' types, so the rule on stroke names is left out."""
-    r = results(spark, sf_dir).where("time_seconds > 0 and status is null and not is_relay and points_fina between 1 and 1500 and result_date is not null")
+def swims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All results with event, season, course and age; every sixth swimmer's birth year is not known."""
     s = swimmers(spark, sf_dir).select("swimmer_id", "birth_year", "country_code")
-    out = r.join(events(spark, sf_dir), "event_id").join(s, "swimmer_id")
+    out = results(spark, sf_dir).join(events(spark, sf_dir), "event_id").join(s, "swimmer_id")
     season = season_end_year(F.col("result_date"))
     return out.withColumns({"season_end_year": season, "course": course_code(F.col("pool_length")), "age_group": season - F.col("birth_year")})
+
+
+def valid_swims(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Results that count (FL1)."""
+    return swims(spark, sf_dir).where(valid_swim())
+
+
+def record_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as record lists: type, nation, age bounds, name and region."""
+    by = lambda c, n, *values: F.element_at(F.array(*(F.lit(x) for x in values)), (F.col(c) % n + 1).cast("int"))
+    names = F.create_map(*(F.lit(x) for x in ("Brand#1", "Olympic Records", "Brand#2", "Archiv 1990", "Brand#3", "REGIO list")))
+    return table(spark, sf_dir, "part").select(
+        "p_partkey", by("p_size", 9, "WR", "ER", "SUI", "SUI.RZW", "SUI.JR", "FAR", "SUI.MS", "AUT", None).alias("kind"), by("p_size", 9, *["SUI"] * 5, "FRO", "SUI", "SUI", None).alias("nation"),
+        by("p_partkey", 3, 12, -1, None).alias("least"), F.when(F.col("p_partkey") % 4 == 0, 14).alias("most"), F.coalesce(F.try_element_at(names, F.col("p_brand")), "p_name").alias("name"), F.when(F.col("p_partkey") % 17 == 0, "RZW").alias("region"),
+    )

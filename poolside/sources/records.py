@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.scalars import approval_scope, clean_text, clock_lenient, record_age_key, record_scope, relay_legs, safe_int
+from ..functions.scalars import approval_scope, clean_text, clock_lenient, continent, record_age_key, record_scope, relay_legs, safe_int, stroke_code
 
 _RECORD = "_swimtime: string, _points: string, _status: string, SWIMSTYLE: struct<_distance: string, _stroke: string, _relaycount: string>, MEETINFO: struct<_date: string, _name: string, _city: string, _nation: string>, ATHLETE: struct<_athleteid: string, _firstname: string, _lastname: string, _birthdate: string, _gender: string, _nation: string>, CLUB: struct<_clubid: string, _code: string, _name: string>, SPLITS: struct<SPLIT: array<struct<_distance: string, _swimtime: string>>>"
-_LIST = f"_recordlistid: string, _name: string, _type: string, _nation: string, _course: string, _gender: string, _updated: string, _region: string, _handicap: string, AGEGROUP: struct<_agemin: string, _agemax: string>, RECORDS: struct<RECORD: array<struct<{_RECORD}>>>"
+_LIST = f"_recordlistid: string, _name: string, _type: string, _nation: string, _course: string, _gender: string, _updated: string, _region: string, _handicap: string, _clubid: string, AGEGROUP: struct<_agemin: string, _agemax: string>, RECORDS: struct<RECORD: array<struct<{_RECORD}>>>"
 SCHEMA = f"RECORDLISTS struct<RECORDLIST: array<struct<{_LIST}>>>"
 
 BUNDLE = (
     "provider string, code string, course string, downloads array<struct<gender: string, page: int, url: string, payload: struct<totalRowCount: int, generatedOn: string, "
-    "query: struct<page: int, current: boolean>, records: array<struct<id: string, recordName: string, pool: int, disciplineDistance: string, disciplineName: string, isRelay: boolean, time: string, date: string, recordStatus: string, preferredFirstName: string, preferredLastName: string, nationalityCode: string>>>>>"
+    "query: struct<page: int, current: boolean>, records: array<struct<id: string, recordName: string, pool: int, disciplineDistance: int, disciplineName: string, disciplineGroup: string, isRelay: boolean, time: string, date: string, recordStatus: int, preferredFirstName: string, preferredLastName: string, nationalityCode: string>>>>>"
 )
 
 
@@ -22,10 +22,11 @@ def record_rows(documents: DataFrame) -> DataFrame:
     d = documents.select("file_name", F.from_xml(F.col("xml"), SCHEMA).alias("d"))
     lists = d.select("file_name", F.posexplode("d.RECORDLISTS.RECORDLIST").alias("lp", "l"))
     rows = lists.select("file_name", "lp", "l", F.posexplode("l.RECORDS.RECORD").alias("rp", "r"))
-    age = record_age_key(safe_int(F.col("l.AGEGROUP._agemin")), safe_int(F.col("l.AGEGROUP._agemax")))
+    bounds = safe_int(F.col("l.AGEGROUP._agemin")), safe_int(F.col("l.AGEGROUP._agemax"))
+    age = record_age_key(*bounds)
     out = rows.select(
         "file_name", "lp", "rp", F.col("l._recordlistid").alias("record_list_id"), clean_text(F.col("l._name")).alias("list_name"), F.col("l._course").alias("course"), F.col("l._gender").alias("gender"), clean_text(F.col("l._nation")).alias("nation"),
-        age.alias("age_key"), record_scope(F.col("l._type"), clean_text(F.col("l._nation")), age, F.col("l._name"), F.col("l._handicap")).alias("s"),
+        age.alias("age_key"), record_scope(F.col("l._type"), clean_text(F.col("l._nation")), *bounds, F.col("l._name"), F.col("l._region"), F.col("l._handicap"), F.col("l._clubid")).alias("s"),
         safe_int(F.col("r.SWIMSTYLE._distance")).alias("distance"), F.upper("r.SWIMSTYLE._stroke").alias("stroke"), F.coalesce(safe_int(F.col("r.SWIMSTYLE._relaycount")), F.lit(1)).alias("relay_count"),
         clock_lenient(F.col("r._swimtime")).alias("time_seconds"), safe_int(F.col("r._points")).alias("points"), F.col("r.MEETINFO._date").try_cast("date").alias("record_date"), clean_text(F.col("r.MEETINFO._city")).alias("city"),
         clean_text(F.col("r.ATHLETE._firstname")).alias("first_name"), clean_text(F.col("r.ATHLETE._lastname")).alias("last_name"), clean_text(F.col("r.CLUB._name")).alias("club"), F.col("r.SPLITS.SPLIT").alias("splits"),
@@ -44,11 +45,11 @@ def bundle_rows(bundles: DataFrame) -> DataFrame:
     """SRC14, FN30, FN36: rows of JSON record bundles; a tie mark before the name is a column."""
     pages = bundles.select("provider", "code", "course", F.explode("downloads").alias("p"))
     rows = pages.select("provider", "code", "course", F.col("p.gender").alias("gender"), F.col("p.page").alias("page"), F.explode("p.payload.records").alias("r"))
-    legs = relay_legs(F.col("r.disciplineDistance"), F.col("r.isRelay"))
+    legs = relay_legs(F.col("r.disciplineName"), F.col("r.disciplineDistance"), F.col("r.isRelay"))
     return rows.select(
         "provider", "code", "course", "gender", "page", F.col("r.id").alias("record_id"), F.regexp_replace("r.recordName", "^=", "").alias("record_name"), F.col("r.recordName").startswith("=").alias("tied"),
-        legs["legs"].alias("legs"), legs["distance"].alias("distance"), legs["consistent"].alias("relay_ok"), F.col("r.disciplineName").alias("stroke_name"),
-        clock_lenient(F.col("r.time")).alias("time_seconds"), F.to_date(F.substring("r.date", 1, 10)).alias("record_date"), approval_scope(F.col("r.recordStatus"), F.lit("national")).alias("scope"),
+        legs["legs"].alias("legs"), legs["distance"].alias("distance"), legs["consistent"].alias("relay_ok"), stroke_code(F.col("r.disciplineGroup")).alias("stroke"),
+        clock_lenient(F.col("r.time")).alias("time_seconds"), F.to_date(F.substring("r.date", 1, 10)).alias("record_date"), approval_scope(F.col("r.recordStatus"), continent(F.col("code"))).alias("scope"),
         F.col("r.preferredFirstName").alias("first_name"), F.col("r.preferredLastName").alias("last_name"), F.col("r.nationalityCode").alias("nation"), F.when(F.col("r.pool") == 25, "SCM").otherwise("LCM").alias("record_course"),
     )
 

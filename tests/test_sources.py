@@ -76,7 +76,7 @@ def test_versions_and_upserts(spark, tmp_path):
 def test_population_and_package_issues(spark):
     row = "array<struct<athlete_id:string,time_cs:int,position:int>>"
     page = "array<struct<offset:int,count:int>>"
-    data = [("ok", 3, [("a", 5, 1), ("b", 5, 1), ("c", 6, 3)], [(0, 2), (2, 1)]), ("bad", 3, [("a", 5, 1), ("a", 6, 3)], [(0, 1)])]
+    data = [("ok", 3, [("a", 5, 1), ("b", 5, 1), ("c", 6, 3)], [(1, 2), (3, 1)]), ("bad", 3, [("a", 5, 1), ("a", 6, 3)], [(1, 1)])]
     issues = rankings.population_issues(spark.createDataFrame(data, f"key string, total int, rows {row}, pages {page}"))
     assert {(r.key, r.issue) for r in issues.collect()} == {("bad", "wrong_total"), ("bad", "repeated_athlete"), ("bad", "wrong_rank"), ("bad", "page_gap")}
     docs = spark.createDataFrame([(1, [("s1",)], [(1, "s1"), (1, "s2")])], "meet_id int, swimmers array<struct<swimmer_id:string>>, results array<struct<source_id:int,swimmer_key:string>>")
