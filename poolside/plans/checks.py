@@ -1,0 +1,138 @@
+"""Queries of plans, ledgers and quality checks over whole tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import delta, packages, quality, rankings
+from . import views as V
+from .registry import query
+
+_LEDGER = """h AS (SELECT c_custkey AS meet_id, CAST(c_custkey % 5 AS INT) AS rev, md5(CAST(c_custkey AS VARCHAR)) AS sha FROM customer WHERE c_custkey % 7 <> 0),
+ p AS (SELECT c_custkey AS meet_id, CAST(c_custkey % 5 + c_custkey % 4 - 1 AS INT) AS revision, md5(CAST(CASE WHEN c_custkey % 3 = 0 THEN c_custkey ELSE -c_custkey END AS VARCHAR)) AS sha256, CASE WHEN c_custkey % 2 = 0 THEN md5(CAST(c_custkey AS VARCHAR)) END AS previous FROM customer)"""
+
+
+@query(f"""WITH {_LEDGER} SELECT meet_id, CASE WHEN revision=rev AND sha256=sha THEN 'repeat' WHEN revision=rev THEN 'conflict' WHEN revision < rev THEN 'stale' WHEN revision = coalesce(rev, 0) + 1 AND previous IS NOT DISTINCT FROM sha THEN 'apply' ELSE 'gap' END AS status FROM p LEFT JOIN h USING (meet_id)""")
+def chain_states(spark, sf):
+    c, k = V.table(spark, sf, "customer"), F.col("c_custkey")
+    ledger = c.where("c_custkey % 7 <> 0").select(k.alias("meet_id"), (k % 5).cast("int").alias("revision"), F.md5(k.cast("string")).alias("sha256"))
+    sent = F.md5(F.when(k % 3 == 0, k).otherwise(-k).cast("string"))
+    found = c.select(k.alias("meet_id"), (k % 5 + k % 4 - 1).cast("int").alias("revision"), sent.alias("sha256"), F.when(k % 2 == 0, F.md5(k.cast("string"))).alias("previous"))
+    return delta.chain_status(found, ledger).select("meet_id", "status")
+
+
+@query("""WITH t AS (SELECT c_custkey, c_mktsegment AS s FROM customer WHERE c_custkey % 3 <> 0), i AS (SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'BUILDING' ELSE 'OTHER' END AS s FROM customer)
+ SELECT c_custkey, CASE WHEN t.s IS NULL OR (i.s='BUILDING' AND t.s <> 'BUILDING') THEN i.s ELSE t.s END AS segment FROM i LEFT JOIN t USING (c_custkey)""")
+def preferred_values(spark, sf):
+    c = V.table(spark, sf, "customer").select("c_custkey", F.col("c_mktsegment").alias("segment"))
+    new = c.withColumn("segment", F.when(F.col("c_custkey") % 2 == 0, "BUILDING").otherwise("OTHER"))
+    return delta.prefer_value(c.where("c_custkey % 3 <> 0"), new, "c_custkey", "segment", "BUILDING")
+
+
+@query("SELECT count(*) AS meets, min(CAST(o_orderdate AS DATE)) AS affected_from FROM orders WHERE o_orderstatus = 'O'")
+def pending_batch(spark, sf):
+    ledger = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("meet_id"), F.lit(1).alias("revision"), F.to_date("o_orderdate").alias("affected_from"), (F.col("o_orderstatus") == "O").alias("dirty"))
+    return delta.pending_batch(ledger).select("meets", "affected_from")
+
+
+@query("SELECT o_orderkey FROM orders WHERE CASE WHEN o_orderkey % 5 > 0 THEN o_orderstatus END IS DISTINCT FROM 'F'")
+def receipts_to_retry(spark, sf):
+    state = F.when(F.col("o_orderkey") % 5 > 0, F.when(F.col("o_orderstatus") == "F", "complete").otherwise("failed"))
+    return delta.to_retry(V.table(spark, sf, "orders").select("o_orderkey", state.alias("state"))).select("o_orderkey")
+
+
+@query("SELECT DISTINCT l_orderkey AS meet_id FROM lineitem WHERE l_linenumber = 3 AND l_partkey % 2 = 1")
+def drifted_meets(spark, sf):
+    """Meets of which a line was changed after the ledger was written."""
+    lines = V.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("meet_id"), "l_linenumber", "l_partkey")
+    ledger = delta.set_digest(lines, ["meet_id"], ["l_linenumber", "l_partkey"])
+    changed = lines.withColumn("l_partkey", F.when((F.col("l_linenumber") == 3) & (F.col("l_partkey") % 2 == 1), -F.col("l_partkey")).otherwise(F.col("l_partkey")))
+    return packages.drifted(changed, ledger, ["l_linenumber", "l_partkey"])
+
+
+@query("""SELECT c_custkey, c_name, CASE WHEN c_custkey % 3 = 0 AND c_custkey % 4 <> 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM customer WHERE c_custkey % 7 <> 0 OR c_custkey % 4 <> 0""")
+def applied_plan(spark, sf):
+    """A reviewed plan of inserts and updates; held rows stay as they are."""
+    c = V.table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    target = c.where("c_custkey % 7 <> 0").withColumn("strength", F.lit(1))
+    new = c.withColumns({"c_acctbal": F.when(F.col("c_custkey") % 3 == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")), "strength": F.lit(1), "held": F.col("c_custkey") % 4 == 0})
+    plan = delta.plan_actions(new, target, ["c_custkey"], ["c_name", "c_acctbal"])
+    reviewed = delta.plan_hash(plan, ["c_custkey", "c_name", "c_acctbal", "action"])
+    return delta.apply_plan(target.drop("strength"), plan, ["c_custkey"], ["c_name", "c_acctbal"], reviewed, severe=F.col("c_custkey") < 0)
+
+
+@query("""WITH h AS (SELECT l_partkey AS event, l_linenumber AS category, l_quantity AS t, l_suppkey FROM lineitem), b AS (SELECT event, category, min(t) AS best FROM h GROUP BY ALL)
+ SELECT DISTINCT category, event, CASE WHEN t <> best THEN 'holders_not_tied' WHEN l_suppkey % 5 = 0 THEN 'no_identity' WHEN 2000 - (1990 - l_suppkey % 2) <> 10 THEN 'wrong_age' END AS issue FROM h JOIN b USING (event, category)
+ WHERE t <> best OR l_suppkey % 5 = 0 OR l_suppkey % 2 <> 0""")
+def baseline_issues(spark, sf):
+    holder = F.struct(F.col("l_quantity").alias("time_cs"), F.when(F.col("l_suppkey") % 5 > 0, "A B").alias("full_name"), (1990 - F.col("l_suppkey") % 2).alias("birth_year"), F.lit("2000-05-01").cast("date").alias("date"))
+    lines = V.table(spark, sf, "lineitem").select(F.col("l_linenumber").alias("category"), F.col("l_partkey").alias("event"), holder.alias("h"))
+    return quality.baseline_issues(lines.groupBy("category", "event").agg(F.lit(10).alias("age"), F.collect_list("h").alias("holders")))
+
+
+@query("""WITH r AS (SELECT l_suppkey AS k, l_quantity AS time_cs, l_partkey AS who FROM lineitem), b AS (SELECT k, min(time_cs) AS time_cs FROM r GROUP BY 1), t AS (SELECT DISTINCT k, time_cs, who FROM r JOIN b USING (k, time_cs)), s AS (SELECT DISTINCT k, time_cs, who FROM r WHERE time_cs < 3 AND who % 3 > 0)
+ SELECT *, 'not_a_holder' AS issue FROM (SELECT * FROM s EXCEPT SELECT * FROM t) UNION ALL SELECT *, 'not_stated' FROM (SELECT * FROM t EXCEPT SELECT * FROM s)""")
+def export_issues(spark, sf):
+    rows = V.table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("k"), F.col("l_quantity").alias("time_cs"), F.col("l_partkey").alias("who"))
+    return rankings.export_issues(rows, rows.where("time_cs < 3 and who % 3 > 0").distinct(), ["k"], ["who"])
+
+
+@query("""WITH p AS (SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 0 ELSE 100 END AS t, CAST(o_orderdate AS DATE) AS d, CASE o_orderkey % 3 WHEN 0 THEN 'LCM' WHEN 1 THEN 'SCM' ELSE 'YDS' END AS c, 1985 + o_custkey % 12 AS b, CASE WHEN o_orderkey % 11 > 0 THEN 'x' END AS s FROM orders)
+ SELECT * FROM (SELECT o_orderkey, CASE WHEN t <= 0 THEN 'bad_time' WHEN d > DATE '1998-06-01' THEN 'bad_date' WHEN c='YDS' THEN 'bad_course' WHEN year(d) - b NOT BETWEEN 4 AND 110 THEN 'bad_age' WHEN s IS NULL THEN 'no_source' END AS issue FROM p) WHERE issue IS NOT NULL""")
+def performance_issues(spark, sf):
+    k = F.col("o_orderkey")
+    rows = V.table(spark, sf, "orders").select("o_orderkey", F.when(k % 7 == 0, 0).otherwise(100).alias("time_cs"), F.to_date("o_orderdate").alias("date"), F.element_at(F.array(F.lit("LCM"), F.lit("SCM"), F.lit("YDS")), (k % 3 + 1).cast("int")).alias("course"), (1985 + F.col("o_custkey") % 12).alias("birth_year"), F.when(k % 11 > 0, "x").alias("source_sha256"))
+    return quality.performance_issues(rows, "1998-06-01").select("o_orderkey", "issue")
+
+
+@query("""WITH l AS (SELECT s_suppkey AS id, 'LCM' AS course, 'ok' AS state, s_name AS h FROM supplier WHERE s_suppkey % 5 <> 0), o AS (SELECT s_suppkey AS id, 'LCM' AS course, CASE WHEN s_suppkey % 2 = 0 THEN 'failed' ELSE 'ok' END AS state, CASE WHEN s_suppkey % 2 = 1 THEN s_name || '!' END AS h FROM supplier WHERE s_suppkey % 3 <> 0)
+ SELECT coalesce(o.id, l.id) AS record_list_id, coalesce(o.course, l.course) AS course, coalesce(o.state, l.state) AS state, coalesce(o.h, l.h) AS last_good_hash FROM l FULL JOIN o ON l.id=o.id""")
+def refresh_health(spark, sf):
+    s = V.table(spark, sf, "supplier")
+    ledger = s.where("s_suppkey % 5 <> 0").select(F.col("s_suppkey").alias("record_list_id"), F.lit("LCM").alias("course"), F.lit("ok").alias("state"), F.col("s_name").alias("last_good_hash"))
+    odd = F.col("s_suppkey") % 2 == 1
+    outcomes = s.where("s_suppkey % 3 <> 0").select(F.col("s_suppkey").alias("record_list_id"), F.lit("LCM").alias("course"), F.when(odd, "ok").otherwise("failed").alias("state"), F.when(odd, F.concat("s_name", F.lit("!"))).alias("last_good_hash"))
+    return quality.refresh_health(ledger, outcomes)
+
+
+@query("SELECT 1 AS version, bool_and(p_size > 0) AS seeded, (SELECT count(*) FROM orders WHERE o_orderstatus='P') AS pending, bool_and(p_size > 0) AND (SELECT count(*) FROM orders WHERE o_orderstatus='P') = 0 AS ready FROM part")
+def projection_ready(spark, sf):
+    contract = V.table(spark, sf, "part").select(F.lit(1).alias("version"), (F.col("p_size") > 0).alias("seeded"))
+    return quality.projection_ready(contract, V.table(spark, sf, "orders").where("o_orderstatus = 'P'"))
+
+
+@query("""WITH n AS (SELECT o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS k, count(*) OVER (PARTITION BY o_custkey) AS total FROM orders), p AS (SELECT o_custkey, total, k AS o FROM n WHERE k % 3 = 1 AND NOT (o_custkey % 4 = 0 AND k = 4)),
+ q AS (SELECT *, least(3, total - o + 1) AS c FROM p), w AS (SELECT *, lag(o + c) OVER (PARTITION BY o_custkey ORDER BY o) AS due, lead(o) OVER (PARTITION BY o_custkey ORDER BY o) IS NULL AS final FROM q)
+ SELECT o_custkey, o AS "offset" FROM w WHERE o <> coalesce(due, 1) OR (final AND o + c <> total + 1)""")
+def page_breaks(spark, sf):
+    """Pages of three orders of each customer; of every fourth customer the second page is lost."""
+    from pyspark.sql import Window
+
+    w = Window.partitionBy("o_custkey")
+    n = V.table(spark, sf, "orders").select("o_custkey", F.row_number().over(w.orderBy("o_orderkey")).alias("offset"), F.count(F.lit(1)).over(w).alias("total"))
+    p = n.where("offset % 3 = 1 and not (o_custkey % 4 = 0 and offset = 4)").withColumn("count", F.least(F.lit(3), F.col("total") - F.col("offset") + 1))
+    return rankings.page_breaks(p, ["o_custkey"]).select("o_custkey", F.col("offset").cast("long").alias("offset"))
+
+
+@query("""SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(count(l_linenumber) AS BIGINT) AS splits, min(CAST(o_orderkey AS VARCHAR)) || '/' || min(o_orderpriority) AS place FROM orders LEFT JOIN lineitem ON l_orderkey=o_orderkey GROUP BY o_orderkey""")
+def result_payloads(spark, sf):
+    """The nested payload of each order as a result, read back from its JSON."""
+    o = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("meet_id"), F.col("o_orderpriority").alias("status"))
+    meets = V.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit("x").alias("city"), F.lit("SUI").alias("country_code"))
+    splits = V.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("result_id"), F.col("l_linenumber").alias("split_order"), F.col("l_partkey").alias("distance"), F.col("l_suppkey").alias("id"), F.col("l_quantity").alias("time_seconds"))
+    out = packages.result_payload(o, meets, splits)
+    body = F.from_json("payload", "status string, splits array<struct<distance: long, time_seconds: string>>")
+    return out.select(F.col("id").cast("string").alias("id"), F.coalesce(F.size(body["splits"]), F.lit(0)).cast("long").alias("splits"), F.concat_ws("/", "id", body["status"]).alias("place"))
+
+
+@query("SELECT o_orderkey FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F'")
+def payloads_that_differ(spark, sf):
+    rows = V.table(spark, sf, "orders").select("o_orderkey", F.to_json(F.struct(F.col("o_orderstatus").alias("status"))).alias("payload"))
+    return packages.field_differs(rows, "status", "F").select("o_orderkey")
+
+
+@query("""SELECT l_orderkey AS key, l_partkey AS athlete_id FROM (SELECT l_orderkey, l_partkey, min(l_quantity) AS old, min(l_quantity + CASE WHEN l_linenumber % 2 = 0 THEN 1 ELSE 0 END) FILTER (WHERE l_linenumber <> 5) AS new FROM lineitem GROUP BY ALL) WHERE new IS NULL OR new > old""")
+def athletes_regressed(spark, sf):
+    rows = V.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("key"), F.col("l_partkey").alias("athlete_id"), "l_linenumber", F.col("l_quantity").alias("time_cs"))
+    new = rows.where("l_linenumber <> 5").withColumn("time_cs", F.col("time_cs") + F.when(F.col("l_linenumber") % 2 == 0, 1).otherwise(0))
+    return rankings.athletes_regressed(rows, new).select("key", "athlete_id")
