@@ -123,7 +123,7 @@ def age_band(least: Column, most: Column) -> Column:
 
 
 def record_age_key(least: Column, most: Column) -> Column:
-    """12, 11u, 60-64 or open; without an upper bound always open."""
+    """12, 11u, 60-64 or open; without an upper bound always open. Bounds are taken as they are written, -1 too."""
     return _record_age(least, most, "", "u", "open")
 
 

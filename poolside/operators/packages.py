@@ -54,6 +54,11 @@ def packaged(documents: DataFrame, ledger: DataFrame, key: str = "meet_id") -> D
     return changed.select(key, (F.coalesce("_rev", F.lit(0)) + 1).alias("revision"), "previous", "sha256", "payload")
 
 
+def in_order(documents: DataFrame, key: str = "meet_id") -> DataFrame:
+    """T4: one order for whatever is written: by key, whole table, as a range sort over all executors."""
+    return documents.orderBy(key)
+
+
 def write_packages(packages: DataFrame, folder: str, key: str = "meet_id") -> None:
     """SNK8: gzip JSON, a folder for each key; earlier revisions stay."""
     packages.write.mode("append").partitionBy(key).option("compression", "gzip").json(folder)
@@ -71,7 +76,9 @@ RULES = {
 
 def _strangers(values: Column, known: Column) -> Column:
     """How many of the values that are not null are not known."""
-    return F.size(F.filter(values, lambda v: v.isNotNull() & ~F.array_contains(known, v)))
+    missing = F.array_except(F.array_compact(values), F.array_compact(known))
+    # only documents with a stranger are counted value by value
+    return F.when(F.size(missing) == 0, 0).otherwise(F.size(F.filter(values, lambda v: v.isNotNull() & F.array_contains(missing, v))))
 
 
 def package_issues(documents: DataFrame, key: str = "meet_id") -> DataFrame:

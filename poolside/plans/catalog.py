@@ -196,9 +196,9 @@ def insert_if_absent(spark, sf):
     return delta.insert_if_absent(*_two_versions(spark, sf), ["c_custkey"])
 
 
-@query(f"""WITH {_TWO} SELECT state, count(*) AS n FROM (SELECT CASE WHEN t.c_custkey IS NULL THEN 'added' WHEN i.c_custkey IS NULL THEN 'removed' WHEN t.c_name IS NOT DISTINCT FROM i.c_name AND t.c_acctbal=i.c_acctbal THEN 'unchanged' ELSE 'changed' END AS state FROM t FULL JOIN i ON t.c_custkey=i.c_custkey) GROUP BY 1""")
+@query(f"""WITH {_TWO} SELECT coalesce(t.c_custkey, i.c_custkey) AS c_custkey, CASE WHEN t.c_custkey IS NULL THEN 'added' WHEN i.c_custkey IS NULL THEN 'removed' WHEN t.c_name IS NOT DISTINCT FROM i.c_name AND t.c_acctbal=i.c_acctbal THEN 'unchanged' ELSE 'changed' END AS state FROM t FULL JOIN i ON t.c_custkey=i.c_custkey""")
 def snapshot_diff(spark, sf):
-    return quality.counts(delta.compare(*_two_versions(spark, sf), ["c_custkey"], ["c_name", "c_acctbal"]), "state")
+    return delta.compare(*_two_versions(spark, sf), ["c_custkey"], ["c_name", "c_acctbal"])
 
 
 @query("SELECT DISTINCT l_orderkey AS id FROM lineitem WHERE l_quantity > 49 UNION SELECT o_orderkey FROM orders WHERE o_totalprice > 490000")
@@ -230,12 +230,12 @@ def affected_from(spark, sf):
 
 
 @query(f"""WITH {_TWO}, x AS (SELECT i.*, t.c_custkey AS old, t.c_name AS on_, t.c_acctbal AS ob FROM i LEFT JOIN t USING (c_custkey))
- SELECT action, count(*) AS n FROM (SELECT CASE WHEN c_nationkey=0 THEN 'held' WHEN old IS NULL THEN 'insert' WHEN c_name IS NOT DISTINCT FROM on_ AND c_acctbal=ob THEN 'unchanged' WHEN c_custkey % 2 < 1 THEN 'protected' ELSE 'update' END AS action FROM x) GROUP BY 1""")
+ SELECT c_custkey, CASE WHEN c_nationkey=0 THEN 'held' WHEN old IS NULL THEN 'insert' WHEN c_name IS NOT DISTINCT FROM on_ AND c_acctbal=ob THEN 'unchanged' WHEN c_custkey % 2 < 1 THEN 'protected' ELSE 'update' END AS action FROM x""")
 def plan_actions(spark, sf):
     target, incoming = _two_versions(spark, sf)
     incoming = incoming.withColumns({"strength": F.col("c_custkey") % 2, "held": F.col("c_nationkey") == 0})
     plan = delta.plan_actions(incoming, target.withColumn("strength", F.lit(1)), ["c_custkey"], ["c_name", "c_acctbal"])
-    return quality.counts(plan, "action")
+    return plan.select("c_custkey", "action")
 
 
 _LINE = "l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice"
@@ -324,14 +324,13 @@ def nearest_match(spark, sf):
     return match.nearest_match(i, c, ["k"], value="v", tolerance=5000).select("row_id", "id")
 
 
-@query("""WITH b AS (SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_shipdate AS DATE) AS d, l_extendedprice AS v, CASE WHEN l_linenumber % 2 = 0 THEN l_linenumber END AS heat FROM lineitem),
- n AS (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_partkey, l_suppkey, l_linenumber, d, v) AS id FROM b), p AS (SELECT a.id AS row_id, c.id FROM n a JOIN n c ON a.l_orderkey=c.l_orderkey AND (a.heat=c.heat OR (a.heat IS NULL AND c.heat IS NULL AND a.d=c.d AND abs(a.v-c.v) < 0.0001)))
- SELECT heat_known, count(*) AS n FROM (SELECT row_id, min(heat IS NOT NULL) AS heat_known FROM p JOIN n ON n.id=row_id GROUP BY row_id HAVING count(*)=1) GROUP BY 1""")
+@query("""WITH n AS (SELECT l_orderkey, CAST(l_shipdate AS DATE) AS d, l_extendedprice AS v, CASE WHEN l_linenumber % 2 = 0 THEN l_linenumber END AS heat, concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber, CAST(l_shipdate AS DATE), CAST(l_quantity AS INT)) AS id FROM lineitem),
+ p AS (SELECT a.id AS row_id, c.id FROM n a JOIN n c ON a.l_orderkey=c.l_orderkey AND (a.heat=c.heat OR (a.heat IS NULL AND c.heat IS NULL AND a.d=c.d AND abs(a.v-c.v) < 0.0001))) SELECT row_id, min(id) AS id FROM p GROUP BY 1 HAVING count(*) = 1""")
 def theta_match(spark, sf):
-    heat = F.when(F.col("l_linenumber") % 2 == 0, F.col("l_linenumber"))
-    rows = V.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("meet_id"), heat.alias("heat"), F.to_date("l_shipdate").alias("result_date"), F.col("l_extendedprice").alias("time_seconds"), F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice").alias("id"))
-    pairs = match.theta_match(rows.withColumnRenamed("id", "row_id"), rows, ["meet_id"])
-    return pairs.join(rows.select("id", F.col("heat").isNotNull().alias("heat_known")), "id").groupBy("heat_known").agg(F.count(F.lit(1)).alias("n"))
+    heat, day = F.when(F.col("l_linenumber") % 2 == 0, F.col("l_linenumber")), F.to_date("l_shipdate")
+    id_ = F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", day, F.col("l_quantity").cast("int"))
+    rows = V.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("meet_id"), heat.alias("heat"), day.alias("result_date"), F.col("l_extendedprice").alias("time_seconds"), id_.alias("id"))
+    return match.theta_match(rows.withColumnRenamed("id", "row_id"), rows, ["meet_id"])
 
 
 @query("""WITH m AS (SELECT c_custkey, c_name, c_nationkey, CAST(NULL AS VARCHAR) AS city FROM customer), k AS (SELECT s_suppkey AS c_custkey, CASE WHEN s_suppkey % 3=0 THEN NULL ELSE s_nationkey END AS c_nationkey, s_name AS city FROM supplier),
@@ -549,8 +548,9 @@ def payload_fingerprints(spark, sf):
 
 
 @query("""WITH b AS (SELECT user_id, event_type, event_id FROM events WHERE event_id % 4 <> 0), n AS (SELECT user_id, event_type, event_id FROM events WHERE event_id % 9 <> 0)
- SELECT user_id, count(*) FILTER (WHERE b.event_id IS NULL) AS added, count(*) FILTER (WHERE n.event_id IS NULL) AS removed, count(*) FILTER (WHERE b.event_id=n.event_id) AS unchanged FROM b FULL JOIN n USING (user_id, event_id) GROUP BY 1""".replace("b.event_id IS NULL", "x IS NULL").replace("n.event_id IS NULL", "y IS NULL").replace("b.event_id=n.event_id", "x=y").replace("event_id % 4 <> 0)", "event_id % 4 <> 0)").replace("SELECT user_id, event_type, event_id FROM events WHERE event_id % 4", "SELECT user_id, event_id, 1 AS x FROM events WHERE event_id % 4").replace("SELECT user_id, event_type, event_id FROM events WHERE event_id % 9", "SELECT user_id, event_id, 1 AS y FROM events WHERE event_id % 9"))
+ SELECT user_id, count(*) FILTER (WHERE b.event_id IS NULL) AS added, count(*) FILTER (WHERE n.event_id IS NULL) AS removed, count(*) FILTER (WHERE b.event_id=n.event_id) AS unchanged,
+ CASE WHEN count(*) FILTER (WHERE n.event_id IS NULL) > 0 THEN 'held' WHEN count(*) FILTER (WHERE b.event_id=n.event_id) = 0 THEN 'new' WHEN count(*) FILTER (WHERE b.event_id IS NULL) > 0 THEN 'changed' ELSE 'unchanged' END AS decision FROM b FULL JOIN n USING (user_id, event_id) GROUP BY 1""".replace("b.event_id IS NULL", "x IS NULL").replace("n.event_id IS NULL", "y IS NULL").replace("b.event_id=n.event_id", "x=y").replace("event_id % 4 <> 0)", "event_id % 4 <> 0)").replace("SELECT user_id, event_type, event_id FROM events WHERE event_id % 4", "SELECT user_id, event_id, 1 AS x FROM events WHERE event_id % 4").replace("SELECT user_id, event_type, event_id FROM events WHERE event_id % 9", "SELECT user_id, event_id, 1 AS y FROM events WHERE event_id % 9"))
 def readiness(spark, sf):
     e = V.table(spark, sf, "events")
     out = quality.readiness(e.where("event_id % 4 <> 0"), e.where("event_id % 9 <> 0"), ["event_id"], ["event_type"], ["user_id"])
-    return out.select("user_id", "added", "removed", "unchanged")
+    return out.select("user_id", "added", "removed", "unchanged", "decision")

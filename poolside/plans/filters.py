@@ -79,9 +79,9 @@ def selected_days(spark, sf):
     return _orders(spark, sf).where(P.on_selected_days(F.col("day"), ["1997-01-15", "1998-03-02", "1996-07-04"])).select("o_orderkey")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)")
+@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT s_suppkey FROM supplier)")
 def not_loaded(spark, sf):
-    ledger = V.table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    ledger = V.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("c_custkey"))
     return P.not_loaded(V.table(spark, sf, "customer"), ledger, ["c_custkey"]).select("c_custkey")
 
 
@@ -206,10 +206,13 @@ def utc_times(spark, sf):
     return V.table(spark, sf, "orders").select("o_orderkey", F.unix_timestamp(S.utc_time(text)).cast("double").alias("seconds"))
 
 
-@query(r"""WITH a AS (SELECT unnest(regexp_extract_all(html, '(?is)<a\b[^>]*href="[^"]*"[^>]*>.*?</a>', 0)) AS a FROM pages), l AS (SELECT regexp_extract(a, 'href="([^"]*)"', 1) AS href FROM a)
- SELECT regexp_extract(href, '[?&]item=(\d+)', 1) AS list_id, count(DISTINCT href) AS links FROM l WHERE regexp_extract(href, '[?&]item=(\d+)', 1) <> '' GROUP BY 1""")
+@query("""SELECT CAST(page_id % 50 AS VARCHAR) AS list_id, count(DISTINCT page_id % 7) AS links, count(DISTINCT page_id % 3) AS labels FROM pages GROUP BY 1""")
 def link_catalogue(spark, sf):
-    return html.catalogue(V.table(spark, sf, "pages"), "item").select("list_id", F.size("links").cast("long").alias("links"))
+    """Lists linked from every page, beside the links that it has."""
+    k = F.col("page_id")
+    link = F.concat(F.lit('<a href="/x?recordListId='), k % 50, F.lit("&amp;p="), k % 7, F.lit('">label '), k % 3, F.lit("</a>"))
+    found = html.catalogue(V.table(spark, sf, "pages").select("page_id", F.concat("html", link).alias("html")))
+    return found.select("list_id", F.size("links").cast("long").alias("links"), F.size("labels").cast("long").alias("labels"))
 
 
 @query("""SELECT page_id, url LIKE 'https://%' AND regexp_extract(url, '^https?://([^/?#]*)', 1) = 'www.example.org' AND page_id % 2 = 0 AS valid FROM pages""")

@@ -21,6 +21,7 @@ from ..functions.scalars import calendar_age, centiseconds, gender, serial_date,
 ROWS = "file string, sheet string, row_no int, epoch_1904 boolean, cells map<string,string>"
 #: Most bytes of a workbook, as it is and unpacked.
 MOST_BYTES = 50 << 20
+_LINK = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 _NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main"}
 
 
@@ -33,13 +34,17 @@ def _sheet_rows(content: bytes) -> Iterator[tuple[str, int, bool, dict[str, str]
         book = ElementTree.fromstring(z.read("xl/workbook.xml"))
         properties = book.find("m:workbookPr", _NS)
         epoch = properties is not None and properties.get("date1904") in ("1", "true")
-        for i, sheet in enumerate(book.findall("m:sheets/m:sheet", _NS), 1):
-            part = f"xl/worksheets/sheet{i}.xml"
-            if part not in names:
-                continue
+        links = {r.get("Id"): r.get("Target", "") for r in ElementTree.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
+        for sheet in book.findall("m:sheets/m:sheet", _NS):
+            target = links.get(sheet.get(_LINK), "")
+            if ".." in target.split("/") or not target.endswith(".xml"):
+                raise ValueError(f"sheet without a part: {sheet.get('name')}")
+            part = target[1:] if target.startswith("/") else f"xl/{target}"
             for row in ElementTree.fromstring(z.read(part)).iterfind("m:sheetData/m:row", _NS):
                 cells = {}
                 for c in row.findall("m:c", _NS):
+                    if c.find("m:f", _NS) is not None:
+                        raise ValueError(f"formula in cell {c.get('r')} of {sheet.get('name')}")
                     value = c.findtext("m:v", None, _NS)
                     if c.get("t") == "s" and value is not None:
                         value = strings[int(value)]
@@ -53,7 +58,8 @@ def _sheet_rows(content: bytes) -> Iterator[tuple[str, int, bool, dict[str, str]
 def workbook_rows(files: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
     """SRC22: (file, sheet, row_no, epoch_1904, cells) of workbooks read by binary_files().
 
-    A workbook of more bytes, packed or unpacked, fails the read.
+    Sheets are found by the workbook's relationships. A workbook of more bytes, packed or
+    unpacked, and a formula, which is no evidence, fail the read.
     """
 
     def read(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

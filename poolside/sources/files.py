@@ -45,6 +45,13 @@ def file_register(files: DataFrame) -> DataFrame:
     return files.select("file_name", F.sha1("content").alias("file_fingerprint"), "length")
 
 
+def with_counts(register: DataFrame, athletes: DataFrame, results: DataFrame) -> DataFrame:
+    """SNK12: the register with how many athletes and results each file has."""
+    count = lambda rows, name: rows.groupBy("file_name").agg(F.count(F.lit(1)).alias(name))
+    out = register.join(count(athletes, "athlete_count"), "file_name", "left").join(count(results, "result_count"), "file_name", "left")
+    return out.fillna(0, ["athlete_count", "result_count"])
+
+
 def snapshots(spark: SparkSession, folder: str, schema: str, most_bytes: int = 256 << 20) -> DataFrame:
     """SRC15: gzip JSON packages with a fixed schema; one of more unpacked bytes fails the read."""
 

@@ -36,6 +36,26 @@ def publish(df: DataFrame, root: str, *, partition_by: list[str] | None = None,
     return {"version": version, "rows": spark.read.parquet(f"{root}/v={version}").count(), "written": True}
 
 
+def publish_partitions(changes: DataFrame, root: str, partition_by: list[str], gone: DataFrame | None = None) -> None:
+    """SNK6, UPS7: write only the partitions that changes holds rows of; the files of all others stay as they are.
+
+    changes has all rows of each partition that it touches (see touched()). ``gone``
+    names partitions of which nothing is left; their folders are removed.
+    """
+    spark = changes.sparkSession
+    changes.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(root)
+    if gone is not None:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path  # noqa: SLF001
+        for row in gone.select(*partition_by).distinct().toLocalIterator():
+            folder = path(root + "".join(f"/{k}={row[k]}" for k in partition_by))
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)  # noqa: SLF001
+
+
+def touched(target: DataFrame, changes: DataFrame, partition_by: list[str]) -> DataFrame:
+    """The rows of target in the partitions that changes touches: what an upsert must read, and no more."""
+    return target.join(changes.select(*partition_by).distinct(), partition_by, "left_semi")
+
+
 def log_status(ledger: DataFrame, entries: DataFrame) -> DataFrame:
     """SNK9: the ledger of files with new statuses merged in."""
     from ..operators.delta import upsert

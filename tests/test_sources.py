@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
-from poolside.operators import delta, packages, rankings
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from poolside.functions import predicates, scalars
+from poolside.operators import delta, packages, rankings, summary
 from poolside.sources import exports, files, lenex, pages, records, tables
 from poolside.streaming import observe
 
@@ -11,7 +17,7 @@ MEET = """<LENEX><MEETS><MEET name=" Spring  Cup " nation="SUI" course="LCM"><FA
 </EVENTS></SESSION></SESSIONS><CLUBS><CLUB name="A" code="AA" nation="SUI"><ATHLETES><ATHLETE athleteid="5" firstname="Mia" lastname="K" birthdate="2014-05-06" gender="f" nation="SUI"><RESULTS>
 <RESULT eventid="1" resultid="1" swimtime="00:01:05.20" heatid="2" lane="4"><SPLITS><SPLIT distance="50" swimtime="00:00:31.10"/><SPLIT distance="75" swimtime="NT"/></SPLITS></RESULT></RESULTS></ATHLETE></ATHLETES>
 <RELAYS><RELAY relayid="9"><RESULTS><RESULT eventid="1" resultid="3" swimtime="00:04:10.00"><RELAYPOSITIONS><RELAYPOSITION athleteid="5" number="1"/><RELAYPOSITION athleteid="6" number="2"/></RELAYPOSITIONS></RESULT></RESULTS></RELAY></RELAYS></CLUB></CLUBS></MEET></MEETS></LENEX>"""
-LISTS = """<LENEX><RECORDLISTS><RECORDLIST recordlistid="3" name="Open" nation="SUI" course="LCM" gender="M"><AGEGROUP agemin="-1" agemax="-1"/><RECORDS>
+LISTS = """<LENEX><RECORDLISTS><RECORDLIST recordlistid="3" name="Open" type="SUI" nation="SUI" course="LCM" gender="M"><AGEGROUP agemin="-1" agemax="-1"/><RECORDS>
 <RECORD swimtime="00:00:48.10"><SWIMSTYLE distance="100" stroke="FREE" relaycount="1"/></RECORD><RECORD swimtime="NT"><SWIMSTYLE distance="50" stroke="FREE" relaycount="1"/></RECORD></RECORDS></RECORDLIST></RECORDLISTS></LENEX>"""
 
 
@@ -44,18 +50,116 @@ def test_meet_documents(spark):
 def test_record_lists(spark):
     documents = spark.createDataFrame([("r.xml", LISTS)], "file_name string, xml string")
     rows = records.record_rows(documents)
-    assert [(r.source_order, r.scope, r.age_key) for r in rows.collect()] == [(1, "national", "open")]
+    assert [(r.source_order, r.scope, r.age_key) for r in rows.collect()] == [(1, "national", "-1")]
     assert records.inventory(rows).collect()[0].records == 1
     assert [r.issue for r in records.snapshot_issues(documents, rows).collect()] == ["parsed_count"]
 
 
-def test_printed_lists_and_pages(spark):
-    text = "Event 3 Women 100m Freestyle\n11 - 12\n1.  Mia K   2014  SC Bern   1:05.20  456\nDSQ Lea M   2013  SC Thun\n2. broken"
-    rows, held = pages.printed_results(spark.createDataFrame([(1, text)], "id long, text string"), ["id"])
-    got = {r.name: r for r in rows.collect()}
-    assert (got["Mia K"].number, got["Mia K"].age_band, float(got["Mia K"].time_seconds), got["Mia K"].club) == (3, "11 - 12", 65.2, "SC Bern")
-    assert got["Lea M"].status == "DSQ" and got["Lea M"].time_seconds == 0
-    assert [r.line for r in held.collect()] == ["2. broken"]
+LIST = """Frühlings-Cup Bern
+Wettkampf 3 Damen, 100m Freistil                       01.03.2026 - 10:15
+Rangliste                      Punkte: FINA 2025
+Rang            Jg.   Zeit     Pkt.  CLUB
+Jahrgänge 2013 - 2014
+1.   Keller, Mia          2014   1:05.20   456   SCBE
+2.   Meier, Lea           2013   58.90     501   LSZ
+disq. Roth, Eva           2013   1:02.00         SCT
+DNS  Frei, Ada            2012                   SCT
+3.   Keller, Mia          2014   1:06.00   440   SCBE
+4.   Broken line
+"""
+SCHEDULE = "<table>" + "".join(f"<tr><td>{a}</td><td>{b}</td><td>{c}</td><td>{d}</td></tr>" for a, b, c, d in [("3.", "Damen", "100m Freistil", "Direkter Endlauf"), ("4.", "Knaben", "50m Rücken", "Vorlauf"), ("5.", "Mädchen", "50m Kraulen", "Finale"), ("x", "Herren", "50m Brust", "Finale")]) + "</table>"
+
+
+def test_printed_lists_in_the_source_layout(spark):
+    schedule = pages.event_schedule(spark.createDataFrame([(k, SCHEDULE) for k in range(1, 8)], "id long, html string"), ["id"])
+    assert {(r.number, r.gender, r.distance, r.stroke, r.round) for r in schedule.where("id = 1").collect()} == {("3", "F", 100, "FREE", "TIM"), ("4", "M", 50, "BACK", "PRE")}
+    texts = [LIST, LIST.replace("Frühlings-Cup", "Anderer Cup"), LIST.replace("01.03.2026", "01.04.2026"), LIST.replace("Wettkampf 3", "Wettkampf 9"), "Wettkampf 3 Mixed, 4 x 50m Lagen", "nothing"]
+    lists = spark.createDataFrame(list(enumerate(texts, 1)), "id long, text string").selectExpr("id", "text", "'FRÜHLINGS-CUP  Bern' AS meet_name", "date'2026-02-28' AS start_date", "date'2026-03-02' AS end_date")
+    rows, held = pages.printed_results(lists, ["id"], schedule)
+    got = {(r.first_name, r.last_name): r for r in rows.collect()}
+    assert set(got) == {("Mia", "Keller"), ("Lea", "Meier"), ("Eva", "Roth")}
+    mia = got["Mia", "Keller"]
+    assert (mia.id, mia.number, mia.gender, mia.round, str(mia.day), mia.age_band, mia.position, float(mia.time_seconds), mia.points, mia.club, mia.status) == (1, "3", "F", "TIM", "2026-03-01", "Jahrgänge 2013 - 2014", 1, 65.2, 456, "SCBE", None)
+    assert float(got["Lea", "Meier"].time_seconds) == 58.9 and (got["Eva", "Roth"].status, got["Eva", "Roth"].position) == ("DSQ", None)
+    assert {(r.id, r.reason) for r in held.collect()} == {(1, "no time"), (1, "repeated swimmer"), (1, "unparsed line"), (2, "other meet"), (3, "day outside the meet"), (4, "round not known"), (5, "relay list"), (6, "unknown layout")}
+
+
+def test_ranking_pages(spark):
+    cells = ['<a href="?page=athleteDetail&amp;athleteId=55">Keller, Mia</a>', "2014", "SUI", "SC Bern", '<a href="?page=resultDetail&amp;id=901">1:05.20<sup>M</sup></a><img src="s.gif">', "", "", "456", "2.", "1 Mar 2026", '<a href="?meetId=77" title="Frühlings-Cup">Bern</a>']
+    html = "<table class='rankingList'><tr><th>x</th></tr><tr class='a'>" + "".join(f"<td>{c}</td>" for c in cells) + "</tr><tr class='b'><td>short</td></tr></table>"
+    (r,) = pages.ranking_rows(spark.createDataFrame([("k", html)], "key string, html string")).collect()
+    assert (r.position, r.athlete_id, r.result_id, r.first_name, r.last_name, r.birth_year, r.country_code, r.club, r.time_cs, r.time_annotation, r.is_split, str(r.date), r.meet, r.city, r.meet_id) == (2, "55", "901", "Mia", "Keller", 2014, "SUI", "SC Bern", 6520, "M", True, "2026-03-01", "Frühlings-Cup", "Bern", "77")
+
+
+def test_record_bundles(spark):
+    rows = [("1", "=a", "4x100", 100, "Freestyle Relay", True, "3:30.00", 2), ("2", "b", "100", 100, "Butterfly", False, "50.00", 1), ("3", "c", "4x50", 100, "Medley Relay", True, "1:40.00", None)]
+    fields = ("id", "recordName", "disciplineName", "disciplineDistance", "disciplineGroup", "isRelay", "time", "recordStatus")
+    bundle = {"provider": "p", "code": "AF", "course": "LCM", "downloads": [{"gender": "M", "page": 0, "url": "u", "payload": {"totalRowCount": 3, "records": [dict(zip(fields, r, strict=True)) | {"pool": 50, "date": "2026-03-01T00:00:00"} for r in rows]}}]}
+    table = spark.createDataFrame([(json.dumps(bundle),)], "j string").select(F.from_json("j", records.BUNDLE).alias("b")).select("b.*")
+    got = {r.record_id: (r.legs, r.distance, r.relay_ok, r.stroke, r.scope) for r in records.bundle_rows(table).collect()}
+    assert got == {"1": (4, 100, True, "FREE", "africa"), "2": (1, 100, True, "FLY", "pending"), "3": (4, 100, False, "MEDLEY", "pending")}
+    assert {r.issue for r in records.bundle_issues(table).collect()} == {"relay_mismatch"}
+
+
+def test_scopes_and_ages(spark):
+    row = "kind string, nation string, least int, most int, name string, region string"
+    data = [("SUI.RZW", "SUI", None, None, "x", None), ("WR", None, 12, 14, "x", None), ("WR", None, -1, -1, "x", None), ("SUI", "SUI", None, None, "x", "RZW"), ("FAR", "FRO", 0, 0, "x", None), ("SUI.JR", "SUI", None, 18, "x", None), ("SUI.JR", "SUI", None, None, "x", None), ("SUI", "SUI", 11, 11, "Archiv", None)]
+    found = [r.s for r in spark.createDataFrame(data, row).select(scalars.record_scope(*(F.col(c.split()[0]) for c in row.split(", "))).scope.alias("s")).collect()]
+    assert found == ["unmapped", "unmapped", "world", "excluded", "national", "age", "unmapped", "excluded"]
+    ages = spark.createDataFrame([(12, 12), (25, None), (None, 11), (-1, 11), (60, 64), (None, None)], "a int, b int").select(scalars.record_age_key(F.col("a"), F.col("b")).alias("k"))
+    assert [r.k for r in ages.collect()] == ["12", "open", "11u", "11u", "60-64", "open"]
+
+
+def test_race_bands_filter_ages_before_they_clamp(spark):
+    rows = [(2005, 1), (1965, 2), (None, 3), (1992, 4)]
+    table = spark.createDataFrame(rows, "birth_year int, swimmer_id int").selectExpr("*", "100 AS distance", "'FREE' AS stroke", "50 AS pool_length", "cast(60 as decimal(8,2)) AS time_seconds", "cast(null as string) AS status", "false AS is_relay", "date'2010-03-01' AS result_date", "500 AS points_fina", "5 AS points_rudolph", "'SUI' AS country_code", "2010 - birth_year AS age_group")
+    got = {(r.country, r.age_mode, r.age_cell): r.fina_count for r in summary.race_bands(table.where(predicates.valid_race_band()), "SUI").collect()}
+    assert got == {("ALL", "OPEN", 0): 3, ("SUI", "OPEN", 0): 3, ("ALL", "AGE", 18): 1, ("SUI", "AGE", 18): 1}
+
+
+def test_an_empty_snapshot_clears_its_scope(spark):
+    target = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "meet int, key string")
+    scopes = target.select("meet").where("meet = 1").distinct()
+    assert [tuple(r) for r in delta.apply_snapshot(target, target.limit(0), scopes, ["meet", "key"]).collect()] == [(2, "c")]
+    twice = spark.createDataFrame([(1, "a"), (1, "a")], "meet int, key string")
+    for snapshot in (twice, target):
+        with pytest.raises(ValueError):
+            delta.apply_snapshot(target, snapshot, scopes, ["meet", "key"])
+
+
+def test_only_touched_partitions_are_rewritten(spark, tmp_path):
+    import os
+
+    root = f"{tmp_path}/t"
+    table = spark.createDataFrame([(k % 4, k, 0) for k in range(40)], "part int, id int, v int")
+    tables.publish_partitions(table, root, ["part"])
+    times = lambda: {p: sorted(os.stat(f"{root}/part={p}/{f}").st_mtime_ns for f in os.listdir(f"{root}/part={p}") if f.startswith("part-")) for p in range(4) if os.path.isdir(f"{root}/part={p}")}
+    before = times()
+    old = spark.read.parquet(root).select("part", "id", "v")
+    changes = spark.createDataFrame([(2, 2, 9), (2, 99, 9)], "part int, id int, v int")
+    merged = delta.upsert(tables.touched(old, changes, ["part"]), changes, ["part", "id"])
+    tables.publish_partitions(spark.createDataFrame(merged.collect(), merged.schema), root, ["part"], gone=spark.createDataFrame([(3,)], "part int"))
+    after = times()
+    assert before[0] == after[0] and before[1] == after[1] and before[2] != after[2] and 3 not in after
+    assert {(r.id, r.v) for r in spark.read.parquet(root).where("part = 2").collect()} == {(k, 9 if k == 2 else 0) for k in range(2, 40, 4)} | {(99, 9)}
+
+
+def test_observed_changes_keep_state(spark, tmp_path):
+    """ST1 over two runs of one stream with the RocksDB store; a key that is missing later is not forgotten."""
+    schema = "live_id string, key string, hash string"
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    steps = [[("m", "1", "a"), ("m", "2", "b")], [("m", "1", "a2"), ("n", "1", "x")], [("m", "2", "b"), ("m", "1", "a2")]]
+    for k, rows in enumerate(steps):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        changes = observe.observed_changes(observe.observations(spark, f"{tmp_path}/in", schema))
+        write = lambda df, n: df.write.mode("append").parquet(f"{tmp_path}/out")
+        changes.writeStream.foreachBatch(write).option("checkpointLocation", f"{tmp_path}/ck").outputMode("append").trigger(availableNow=True).start().awaitTermination()
+        seen = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").collect())
+        assert len(seen) == (2, 4, 4)[k]
+    assert seen == [("m", "1", "added", "a"), ("m", "1", "changed", "a2"), ("m", "2", "added", "b"), ("n", "1", "added", "x")]
+
+
+def test_live_pages(spark):
     html = '<table><tr><td>5 - 7 Mar 2026</td><td>LCM</td><td>Bern (SUI)</td><td><a href="/live/77/">Cup &amp; Co</a></td></tr></table>'
     found = pages.live_meets(spark.createDataFrame([(1, html)], "id long, html string"), ["id"]).collect()[0]
     assert (found.live_id, str(found.start_date), str(found.end_date), found.country, found.name) == ("77", "2026-03-05", "2026-03-07", "SUI", "Cup & Co")
@@ -108,8 +212,9 @@ def test_files_over_a_limit_fail_and_are_not_dropped(spark, tmp_path):
     zipped = io.BytesIO()
     with zipfile.ZipFile(zipped, "w") as z:
         space = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
-        z.writestr("xl/workbook.xml", f'<workbook {space}><sheets><sheet name="A"/></sheets></workbook>')
-        z.writestr("xl/worksheets/sheet1.xml", f'<worksheet {space}><sheetData><row r="1"><c r="A1"><v>5</v></c></row></sheetData></worksheet>')
+        z.writestr("xl/workbook.xml", f'<workbook {space}><sheets><sheet name="A" r:id="rId7"/></sheets></workbook>'.replace("<workbook", '<workbook xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'))
+        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="rId7" Target="worksheets/other.xml"/></Relationships>')
+        z.writestr("xl/worksheets/other.xml", f'<worksheet {space}><sheetData><row r="1"><c r="A1"><v>5</v></c></row></sheetData></worksheet>')
     content = zipped.getvalue()
     table = spark.createDataFrame([("a.xlsx", len(content), bytearray(content))], "file_name string, length long, content binary")
     assert [(r.sheet, r.row_no, r.cells) for r in exports.workbook_rows(table).collect()] == [("A", 1, {"A": "5"})]
