@@ -380,7 +380,7 @@ def test_base_counts_equal_sql(spark):
     want = con.execute(r"""WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM d),
         l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM w),
         s AS (SELECT doc_id, CAST(sum(n - 1) AS BIGINT) AS dups FROM (SELECT doc_id, line, count(*) AS n FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY ALL) GROUP BY 1)
-        SELECT doc_id, len(words), coalesce(list_sum(list_transform(words, x -> length(x))), 0), len(regexp_extract_all(t, '[#*$%&|<>]')), coalesce(dups, 0) FROM w LEFT JOIN s USING (doc_id)""").fetchall()
+        SELECT doc_id, len(words), coalesce(list_sum([length(x) for x in words]), 0), len(regexp_extract_all(t, '[#*$%&|<>]')), coalesce(dups, 0) FROM w LEFT JOIN s USING (doc_id)""").fetchall()
     assert sorted(tuple(r) for r in found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines").collect()) == sorted(tuple(map(int, r)) for r in want)
 
 
@@ -451,7 +451,7 @@ def test_grammar_equals_its_machines_side_by_side():
 
 def test_denied_and_reported_insults_count_less():
     grammar, lexicon = toxicity.Grammar(), toxicity.Lexicon({"clown": 1.0})
-    plain, denied, reported = (toxicity.features(t, lexicon, grammar) for t in ("he is a clown.", "he is not a clown.", "she said he is a clown."))
+    plain, denied, reported = (toxicity.features("The sky is blue today. " * 10 + t, lexicon, grammar) for t in ("he is a clown.", "he is not a clown.", "she said he is a clown."))
     for k in (0, 2, 4, 5):
         assert plain[k] > reported[k] > denied[k]
 
