@@ -141,6 +141,22 @@ def test_near_copies_equal_brute_force_over_jaccard(spark, options):
         assert near_sets.first_of_each_group(table.limit(0)).collect() == []
 
 
+def test_bitmaps_rule_out_no_similar_sets():
+    rng = np.random.default_rng(11)
+    passed = 0
+    for size in (1, 5, 40, 300, 5000):
+        for _ in range(60):
+            x = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+            y = np.unique(np.r_[x[: len(x) - rng.integers(0, 1 + len(x) // 4)], rng.integers(0, 2**63, rng.integers(0, 1 + size // 4)).astype(np.uint64)])
+            maps = [np.frombuffer(near_sets.bitmap(v), np.uint64)[None, :] for v in (x, y)]
+            shared = len(np.intersect1d(x, y))
+            similar = 5 * shared >= 4 * (len(x) + len(y) - shared)
+            may = bool(near_sets._overlap(*maps, np.array([len(x)]), np.array([len(y)]))[0])
+            assert may or not similar
+            passed += may and not similar and size <= 300
+    assert passed < 60
+
+
 def test_components_of_a_long_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (5, 5)], "a long, b long")
     got = {r.node: r.root for r in components(chain).collect()}
