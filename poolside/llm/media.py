@@ -353,8 +353,10 @@ def image_links(contents: DataFrame, *, distance: int = 12, agree: int = 4, smal
     crowded = both.where("crowded").select(F.col("a").alias("key"), F.col("b").alias("node"), F.col("at_a").alias("place"), F.col("at_b").alias("rest"))
     links = checkpointed(linked(found, agree=agree))
     if not crowded.isEmpty():
+        # roots belong to pictures, so each picture's rows travel as one to them; they are no more than six times its corners
+        pictures = checkpointed(crowded.groupBy("node").agg(F.collect_list(F.struct("key", "place", "rest")).alias("rows")))
         for most in (leaders, None):
-            rooted = crowded.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+            rooted = pictures.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root"), F.explode("rows").alias("row")).select("row.*", "node", "root")
             found = found.unionByName(checkpointed(matched(rooted, distance=distance, small=small, leaders=most)).drop("crowded"))
             links = checkpointed(linked(found, agree=agree))
     return links
