@@ -6,8 +6,10 @@ sufficient prefix: shingles are ordered by how often the documents have them, an
 the rarest of each window is joined. Its place in both texts fixes where the window would
 start, which bounds by position and length rule out at once; what is left is compared word by word.
 
-Only numbers are joined for all documents. Words are looked up again for the stretches
-of :data:`STRETCH` words in which a candidate starts.
+Documents are read once for a block of windows and are not shuffled: of their places only
+those with a shingle of the block are kept, with the words around them. Benchmarks of any
+size are taken in blocks of at most :data:`BLOCK_WINDOWS` windows, whose shingles (eight
+numbers of eight bytes a window) are broadcast.
 """
 
 from __future__ import annotations
@@ -17,8 +19,10 @@ from pyspark.sql import functions as F
 
 from .common import fresh_path, mark_of
 
-#: Words of a window, of a shingle, and of the stretches in which candidates are verified.
-WINDOW, SHINGLE, STRETCH = 10, 3, 64
+#: Words of a window and of a shingle.
+WINDOW, SHINGLE = 10, 3
+#: Windows whose shingles are broadcast together, about 64 MB with Spark's hash table.
+BLOCK_WINDOWS = 250_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What separates words: all of ASCII but digits and letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -55,47 +59,59 @@ def occurrences(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", tex
     the second (doc_id, mark, doc_words). mark is a digest of the text.
     """
     spark = docs.sparkSession
-    keyed = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), mark_of(F.col(f"`{text_col}`")).alias("mark"), F.col(f"`{text_col}`").alias("text"))
-    windows.write.parquet(path := fresh_path(spark, "windows"))
-    windows = spark.read.parquet(path)
-    # all shingles of all windows, each of the width that its window has room for
+    worded = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), mark_of(F.col(f"`{text_col}`")).alias("mark"), words_of(F.col(f"`{text_col}`")).alias("words"))
+    blocks = -(-windows.count() // BLOCK_WINDOWS) or 1
+    windows.withColumn("block", F.pmod(F.xxhash64("wid"), F.lit(blocks))).write.parquet(path := fresh_path(spark, "windows"))
+    found = rows = None
+    for block in range(blocks):
+        own = spark.read.parquet(path).where(F.col("block") == block).drop("block")
+        matches = _matches(worded, own)
+        rows = matches.where("at = -1").select("doc_id", "mark", "doc_words") if rows is None else rows
+        hits = _verified(matches.where("at >= 0"), own)
+        found = hits if found is None else found.unionByName(hits)
+    return found, rows
+
+
+def _own_shingles(windows: DataFrame) -> DataFrame:
+    """(wid, n_words, offset, shingle): all shingles of all windows, each as wide as its window has room for."""
+    out = None
+    for s in range(1, SHINGLE + 1):
+        some = windows.where(F.least("n_words", F.lit(SHINGLE)) == s)
+        part = some.select("wid", "n_words", F.inline_outer(_shingles(F.split("window", " "), s))).withColumnRenamed("at", "offset")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _matches(worded: DataFrame, windows: DataFrame) -> DataFrame:
+    """(doc_id, mark, doc_words, at, shingle, since, near): where documents have any shingle of the windows, with the words around it.
+
+    Each row of the documents has one row more, with -1 as its place. One pass over the
+    texts; the shingles of a block are few enough to be broadcast, so nothing is shuffled.
+    """
+    spark = worded.sparkSession
+    # inline_outer, for inline() brings a filter along, which would split the text again for each word
     widths = [r[0] for r in windows.select(F.least("n_words", F.lit(SHINGLE))).distinct().collect()]  # at most SHINGLE numbers
-    parts = [
-        windows.where(F.least("n_words", F.lit(SHINGLE)) == s).select("wid", "n_words", F.inline_outer(_shingles(F.split("window", " "), s))).withColumnRenamed("at", "offset")
-        for s in widths
-    ]
-    own = parts[0] if parts else windows.select("wid", "n_words", F.lit(0).alias("offset"), F.lit(0).cast("long").alias("shingle"))
-    for p in parts[1:]:
-        own = own.unionByName(p)
-    asked = own.select("shingle").union(spark.range(1).select(F.lit(FIRST).cast("long"))).distinct()
-    # one pass over the documents: at which places they have any of these shingles
-    # (inline_outer, for inline() brings a filter along, which would split the text again for each word)
-    counted = keyed.select("doc_id", "mark", words_of(F.col("text")).alias("words"))
-    lists = [_shingles(F.col("words"), s) for s in widths]
     first = F.array(F.struct(F.lit(-1).alias("at"), F.lit(FIRST).cast("long").alias("shingle")))
-    placed = counted.select("doc_id", "mark", F.size("words").alias("doc_words"), F.concat(first, *lists).alias("places"))
-    matches = placed.select("doc_id", "mark", "doc_words", F.inline_outer("places")).join(asked, "shingle")
+    placed = worded.select("doc_id", "mark", "words", F.concat(first, *(_shingles(F.col("words"), s) for s in widths)).alias("places"))
+    each = placed.select("doc_id", "mark", "words", F.size("words").alias("doc_words"), F.inline_outer("places"))
+    asked = _own_shingles(windows).select("shingle").union(spark.range(1).select(F.lit(FIRST).cast("long"))).distinct()
+    since = F.greatest(F.col("at") - (WINDOW - SHINGLE), F.lit(0))
+    near = F.when(F.col("at") >= 0, F.slice("words", since + 1, 2 * WINDOW - SHINGLE))
+    matches = each.join(F.broadcast(asked), "shingle").select("doc_id", "mark", "doc_words", "at", "shingle", since.alias("since"), near.alias("near"))
     matches.write.parquet(path := fresh_path(spark, "matches"))
-    matches = spark.read.parquet(path)
-    rows = matches.where("at = -1").select("doc_id", "mark", "doc_words")
-    found = matches.where("at >= 0")
-    # the rarest shingle of each window; a window with one that no document has goes here
-    often = found.groupBy("shingle").agg(F.count(F.lit(1)).alias("times"))
-    rarest = own.join(often, "shingle", "left").groupBy("wid", "n_words").agg(F.min_by(F.struct("shingle", "offset", "times"), F.struct(F.coalesce("times", F.lit(0)), "shingle", "offset")).alias("p"))
-    prefixes = rarest.where("p.times IS NOT NULL").select("wid", "n_words", "p.shingle", "p.offset")
-    candidates = found.join(prefixes, "shingle").select("doc_id", "mark", "doc_words", (F.col("at") - F.col("offset")).alias("start"), "n_words", "wid")
-    candidates = candidates.where("start >= 0 AND start + n_words <= doc_words").drop("doc_words").distinct()
-    candidates = candidates.withColumn("stretch", F.expr(f"start DIV {STRETCH}"))
-    candidates.write.parquet(path := fresh_path(spark, "candidates"))
-    candidates = spark.read.parquet(path)
-    # the words of the stretches that have candidates
-    where = candidates.groupBy("doc_id", "mark").agg(F.collect_set("stretch").alias("stretches"))
-    known = _same(keyed, where, ["doc_id", "mark"]).select("doc_id", "mark", "stretches", words_of(F.col("text")).alias("words"))
-    cut = known.select("doc_id", "mark", "words", F.explode("stretches").alias("stretch"))
-    cut = cut.select("doc_id", "mark", "stretch", F.slice("words", F.col("stretch") * STRETCH + 1, STRETCH + WINDOW - 1).alias("words"))
-    both = _same(candidates.join(windows.select("wid", "window"), "wid"), cut, ["doc_id", "mark", "stretch"])
-    there = F.concat_ws(" ", F.slice("words", F.col("start") - F.col("stretch") * STRETCH + 1, F.col("n_words")))
-    return both.where(there == F.col("window")).select("doc_id", "mark", "start", "n_words", "wid").distinct(), rows
+    return spark.read.parquet(path)
+
+
+def _verified(matches: DataFrame, windows: DataFrame) -> DataFrame:
+    """The occurrences among the places of each window's rarest shingle."""
+    own = _own_shingles(windows)
+    often = matches.groupBy("shingle").agg(F.count(F.lit(1)).alias("times"))
+    rarest = own.join(often, "shingle", "left").groupBy("wid").agg(F.min_by(F.struct("shingle", "offset", "times"), F.struct(F.coalesce("times", F.lit(0)), "shingle", "offset")).alias("p"))
+    # a window goes here if there is a shingle that no document has
+    prefixes = rarest.where("p.times IS NOT NULL").select("wid", "p.shingle", "p.offset").join(windows, "wid")
+    candidates = matches.join(prefixes, "shingle").withColumn("start", F.col("at") - F.col("offset")).where("start >= 0 AND start + n_words <= doc_words")
+    there = F.concat_ws(" ", F.slice("near", F.col("start") - F.col("since") + 1, F.col("n_words")))
+    return candidates.where(there == F.col("window")).select("doc_id", "mark", "start", "n_words", "wid").distinct()
 
 
 def _same(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
