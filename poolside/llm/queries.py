@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, line_quality, media, packing, pii, simhash, sstable, suffixes, toxicity, urls
+from . import align, bpe, decontaminate, line_quality, media, packing, pii, ranked_search, simhash, sstable, suffixes, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +61,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_table(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(_table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
 def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
@@ -71,10 +80,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    found = (op1_simhash, op2_suffix_dedup, op3_token_shards, op4_toxicity, op5_bpe, op6_media, op7_url_filter, op8_pii, op9_line_quality, op10_packing, op13_decontamination, pipeline)
+    found = (op1_simhash, op2_suffix_dedup, op3_token_shards, op4_toxicity, op5_bpe, op6_media, op7_url_filter, op8_pii, op9_line_quality, op10_packing, op11_ranked_search, op12_alignment, op13_decontamination, pipeline)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
     """The others' results cannot be written in SQL; tests/llm holds them against brute force."""
-    return {"op13_decontamination": decontaminate.ORACLE}
+    return {"op11_ranked_search": ranked_search.ORACLE, "op13_decontamination": decontaminate.ORACLE}
