@@ -11,6 +11,7 @@ boilerplate and all others as content; bad documents have no content.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -175,7 +176,8 @@ def fit_field(documents: list[tuple[np.ndarray, int]], steps: int = 80, rate: fl
             ahead = np.logaddexp.reduce(move[None] + (scores[:, t + 1] + backward[:, t + 1])[:, None, :], axis=2)
             backward[:, t] = np.where(here[:, t + 1][:, None], ahead, 0)
         total = np.logaddexp.reduce(forward[:, 0] + backward[:, 0], axis=1)
-        node = np.exp(forward + backward - total[:, None, None]) * here[:, :, None]
+        # padded places have other sums than their text: they are left out before exp(), not after
+        node = np.exp(np.where(here[:, :, None], forward + backward - total[:, None, None], -np.inf))
         lengths = here.sum(axis=1)
         w = weight / lengths
         target = np.stack([here & (gold == 0), here & (gold == 1)], axis=2).astype(float)
@@ -194,6 +196,8 @@ def fit_field(documents: list[tuple[np.ndarray, int]], steps: int = 80, rate: fl
             m = moments[2 * k] = 0.9 * m + 0.1 * g
             v = moments[2 * k + 1] = 0.99 * v + 0.01 * g * g
             p += rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+    if not (np.isfinite(emit).all() and np.isfinite(move).all()):
+        raise ArithmeticError("the field's weights are not finite")
     return LineField(emit, move)
 
 
@@ -207,10 +211,18 @@ def content_share(text: bytes, field: LineField) -> float:
     return float((sizes * labels).sum() / sizes.sum())
 
 
-def train(docs: DataFrame, labels: DataFrame, *, sample: int = 1000, seed: int = 11, id_col: str = "doc_id", text_col: str = "text") -> LineField:
-    """Fit the field to at most ``sample`` labelled documents, all lines of each.
+def window_of(text: bytes, lines: list[bytes], most: int) -> list[bytes]:
+    """At most ``most`` consecutive lines, from a place that the text's hash chooses."""
+    first = zlib.crc32(text) % (len(lines) - most + 1) if len(lines) > most else 0
+    return lines[first : first + most]
 
-    Rows are chosen by a seeded hash of their id. Only line features come to the driver.
+
+def train(docs: DataFrame, labels: DataFrame, *, sample: int = 1000, most_lines: int = 160, seed: int = 11, id_col: str = "doc_id", text_col: str = "text") -> LineField:
+    """Fit the field to at most ``sample`` labelled documents and ``most_lines`` consecutive lines of each.
+
+    Rows are chosen by a seeded hash of their id, lines of longer documents by a hash of the
+    text, so both bounds together bound the driver's memory and time whatever the longest
+    document. Only line features come to the driver.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("label")).where("label in (0, 1)")
     picked = known.orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id", "label").limit(sample)
@@ -218,7 +230,10 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = 1000, seed: int =
 
     def look(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            found = [line_features([x for x in t.encode().split(b"\n") if x.strip()]) for t in frame["text"]]
+            found = []
+            for text in (t.encode() for t in frame["text"]):
+                features = line_features([x for x in text.split(b"\n") if x.strip()])
+                found.append(np.array(window_of(text, list(features), most_lines), features.dtype).reshape(-1, FEATURES))
             yield pd.DataFrame({"label": frame["label"], "lines": [f.astype(np.uint8).tobytes() for f in found]})
 
     seen = sorted((bytes(r["lines"]), r["label"]) for r in rows.mapInPandas(look, "label int, lines binary").collect())
