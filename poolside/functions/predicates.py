@@ -73,10 +73,13 @@ def timed_relay(seconds: Column) -> Column:
     return seconds > 0
 
 
-def acceptable_status(status: Column, seconds: Column) -> Column:
-    """FL9: blank with a time, or a no-time status with zero."""
-    s = F.upper(blank_status(status))
-    return F.coalesce((s.isNull() & (seconds > 0)) | (s.isin(*NO_TIME_STATUSES) & (seconds == 0)), F.lit(False))
+def acceptable_status(status: Column, seconds: Column, no_time_allowed: Column | None = None) -> Column:
+    """FL9: any time above zero, with or without a status; zero only with a no-time status, and where the source may say so."""
+    s = F.upper(F.trim(blank_status(status)))
+    zero = (seconds == 0) & s.isin(*NO_TIME_STATUSES)
+    if no_time_allowed is not None:
+        zero = zero & no_time_allowed
+    return F.coalesce((seconds > 0) | zero, F.lit(False))
 
 
 def rankable(status: Column, seconds: Column) -> Column:
@@ -99,9 +102,9 @@ def not_loaded(incoming: DataFrame, ledger: DataFrame, keys: list[str]) -> DataF
     return incoming.join(ledger.select(*keys).distinct(), keys, "left_anti")
 
 
-def plausible(day: Column, today: Column, age: Column) -> Column:
-    """FL14"""
-    return (day <= today) & age.between(0, 120)
+def plausible(day: Column, today: Column, birth_year: Column) -> Column:
+    """FL14: not in the future, of somebody born after 1800 and not after that year."""
+    return (day <= today) & (birth_year > 1800) & (birth_year <= F.year(day))
 
 
 def comparable_scope(scope: Column) -> Column:

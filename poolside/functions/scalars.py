@@ -188,11 +188,6 @@ def file_slug(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(_ascii(text), r"[^A-Za-z0-9.-]+", "_"), r"^_+|_+$", "")
 
 
-def digest(*columns: Column | str) -> Column:
-    """sha256 over the JSON of the columns, nulls included; columns are taken in the order given."""
-    return F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
-
-
 def fingerprint(*columns: Column | str) -> Column:
     """md5 over the same."""
     return F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
@@ -340,23 +335,3 @@ def relay_legs(name: Column, distance: Column, is_relay: Column) -> Column:
     legs, each = (F.regexp_extract(F.coalesce(name, F.lit("")), r"^(\d+)x(\d+)$", i).try_cast("int") for i in (1, 2))
     ok = (legs.isNotNull() == F.coalesce(is_relay, F.lit(False))) & (legs.isNull() | F.coalesce(each == distance, F.lit(False)))
     return F.struct(F.coalesce(legs, F.lit(1)).alias("legs"), distance.alias("distance"), ok.alias("consistent"))
-
-
-# FN22: keys
-
-
-def race_key(swimmer: Column, event: Column, day: Column, stage: Column, heat: Column, lane: Column) -> Column:
-    """What makes a race the same one in another source."""
-    return digest(*(c.cast("string").alias(n) for c, n in ((swimmer, "swimmer"), (event, "event"), (day, "day"), (stage, "stage"), (heat, "heat"), (lane, "lane"))))
-
-
-def identity_key(first: Column, last: Column, birth_year: Column, sex: Column) -> Column:
-    return composite_key(folded_name(first), folded_name(last), birth_year.cast("string"), sex)
-
-
-def performance_key(person: Column, event: Column, day: Column, time_cs: Column) -> Column:
-    return digest(*(c.cast("string").alias(n) for c, n in ((person, "person"), (event, "event"), (day, "day"), (time_cs, "time"))))
-
-
-def source_key(source: Column, source_id: Column) -> Column:
-    return F.concat_ws("/", source, source_id.cast("string"))

@@ -12,7 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import pick_first
-from .match import adopt
 
 OVERWRITE, KEEP_IF_NULL, NEVER, FILL_NULL, GREATEST, LEAST = "overwrite", "keep_if_null", "never", "fill_null", "greatest", "least"
 
@@ -140,6 +139,22 @@ def affected_from(dates: DataFrame, keys: list[str], day: str = "result_date") -
     return dates.groupBy(*keys).agg(F.when(unknown, F.lit(None)).otherwise(F.min(day)).alias("affected_from"))
 
 
+def affected_since(current: DataFrame, incoming: DataFrame, meets: DataFrame, keys: list[str], day: str = "result_date") -> DataFrame:
+    """A10: from when on a meet's summaries are affected: the smallest date of its stored and incoming rows together, null if one is unknown.
+
+    A meet without any row counts from its start_date; a pending_from of meets, if they have
+    that column, stays in force until its refresh, and an unknown one (null under ``pending``) stays unknown.
+    """
+    dates = current.select(*keys, F.col(day).alias("_day")).unionByName(incoming.select(*keys, F.col(day).alias("_day")))
+    found = dates.groupBy(*keys).agg(F.count_if(F.col("_day").isNull()).alias("_unknown"), F.min("_day").alias("_first"))
+    own = F.when(F.col("_unknown").isNull(), F.col("start_date")).when(F.col("_unknown") == 0, F.col("_first"))
+    out = meets.join(found, keys, "left").withColumn("affected_from", own)
+    if "pending_from" in meets.columns:
+        both = F.when(F.col("affected_from").isNotNull() & F.col("pending_from").isNotNull(), F.least("affected_from", "pending_from"))
+        out = out.withColumn("affected_from", F.when(F.coalesce("pending", F.lit(False)), both).otherwise(F.col("affected_from")))
+    return out.select(*keys, "affected_from")
+
+
 def plan_actions(incoming: DataFrame, stored: DataFrame, keys: list[str], columns: list[str], *, strength: str = "strength", held: str = "held") -> DataFrame:
     """UPS3, UPS4, ST5: what to do with each incoming row: held, insert, unchanged, protected or update.
 
@@ -185,15 +200,6 @@ def apply_snapshot(target: DataFrame, snapshot: DataFrame, scopes: DataFrame, ke
     return target.join(scopes, scope, "left_anti").unionByName(snapshot.select(*target.columns))
 
 
-def adopted_snapshot(target: DataFrame, snapshot: DataFrame, scopes: DataFrame, mapped: DataFrame, signature: list[str]) -> DataFrame:
-    """UPS7, J20: the same, with the ids of target kept by the source's map, else by signature; new rows get a hash as id."""
-    scope = scopes.columns
-    stored = target.join(scopes, scope, "left_semi")
-    known = adopt(snapshot, mapped, stored, signature)
-    named = known.withColumn("id", F.coalesce("id", F.xxhash64("source_id")))
-    return apply_snapshot(target, named, scopes, ["id"])
-
-
 def chain_status(packages: DataFrame, ledger: DataFrame, key: str = "meet_id") -> DataFrame:
     """UPS8, UPS18: what each package is to the ledger: apply, repeat, conflict, stale or gap."""
     held = ledger.select(key, F.col("revision").alias("_rev"), F.col("sha256").alias("_sha"))

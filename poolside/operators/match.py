@@ -73,21 +73,6 @@ def with_fallback(rows: DataFrame, specific: DataFrame, specific_keys: list[str]
     return rows.join(s, specific_keys, "left").join(d, default_keys, "left").withColumn(value, F.coalesce("_s", "_d")).drop("_s", "_d")
 
 
-def adopt(incoming: DataFrame, mapped: DataFrame, stored: DataFrame, signature: list[str]) -> DataFrame:
-    """Incoming rows with the stored id: by the source's id map first, else by signature; each id is used once.
-
-    A signature that several rows share, on either side, adopts none.
-    """
-    by_map = incoming.join(mapped.select("source_id", F.col("id").alias("_mapped")), "source_id", "left")
-    free = stored.join(mapped.select("id"), "id", "left_anti")
-    once = unique_only(free.select("id", *signature), signature).withColumnRenamed("id", "_signed")
-    alone = Window.partitionBy(*signature)
-    open_ = by_map.withColumn("_n", F.count_if(F.col("_mapped").isNull()).over(alone))
-    out = open_.join(once, signature, "left")
-    id_ = F.coalesce("_mapped", F.when(F.col("_n") == 1, F.col("_signed")))
-    return out.withColumn("id", id_).drop("_mapped", "_signed", "_n")
-
-
 def schedule_match(lines: DataFrame, schedule: DataFrame, keys: list[str]) -> DataFrame:
     """The one scheduled event with the line's keys and its date, or no date on the line."""
     s = schedule.select(*keys, F.col("event_id"), F.col("date").alias("_day"))

@@ -12,7 +12,7 @@ from ..functions import predicates as P
 from ..functions import scalars as S
 from ..operators import dedup, delta, match, packages, quality, rankings, resolve, summary
 from ..sources import pages as html
-from . import checks, filters  # noqa: F401  they register their queries
+from . import checks, deliveries, filters, planning  # noqa: F401  they register their queries
 from . import views as V
 from .registry import oracle_sql, queries, query  # noqa: F401
 
@@ -249,19 +249,6 @@ def snapshot_apply(spark, sf):
     return delta.apply_snapshot(rows, rows.where("l_orderkey % 10 = 3 and l_linenumber > 2"), scopes, rows.columns)
 
 
-@query("""WITH n AS (SELECT o_orderkey, o_custkey, o_orderdate, o_orderkey % 2 = 0 AS mapped, o_orderkey % 2 = 0 OR o_orderkey % 7 <> 0 AS known FROM orders WHERE o_custkey % 4 = 0 AND o_orderkey % 3 <> 0)
- SELECT o_orderkey + 1000000000 AS source_id, CASE WHEN known THEN o_orderkey END AS id FROM n UNION ALL SELECT NULL, o_orderkey FROM orders WHERE o_custkey % 4 <> 0""")
-def snapshot_ids(spark, sf):
-    """Ids kept by the source's map or by signature; what is neither is new."""
-    o = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("meet_id"), F.col("o_orderkey").alias("race"), F.lit(None).cast("long").alias("source_id"))
-    race = F.when((F.col("id") % 2 != 0) & (F.col("id") % 7 == 0), -F.col("id")).otherwise(F.col("race"))
-    snap = o.where("meet_id % 4 = 0 and id % 3 <> 0").select((F.col("id") + 1_000_000_000).alias("source_id"), "meet_id", race.alias("race"))
-    mapped = o.where("id % 2 = 0").select((F.col("id") + 1_000_000_000).alias("source_id"), "id")
-    scopes = o.where("meet_id % 4 = 0").select("meet_id").distinct()
-    out = delta.adopted_snapshot(o, snap, scopes, mapped, ["meet_id", "race"])
-    return out.select("source_id", F.when(~F.col("id").eqNullSafe(F.xxhash64("source_id")), F.col("id")).alias("id"))
-
-
 @query("""WITH k AS (SELECT * FROM lineitem WHERE l_linenumber = 1 AND l_orderkey % 2 = 0) SELECT l_orderkey, count(*) AS n FROM
  (SELECT l_orderkey FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM k) UNION ALL SELECT l_orderkey FROM k) GROUP BY 1""")
 def children_replaced(spark, sf):
