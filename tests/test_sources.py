@@ -202,26 +202,58 @@ def test_replayed_batches_change_nothing(spark, tmp_path):
 
 def test_files_over_a_limit_fail_and_are_not_dropped(spark, tmp_path):
     import gzip
-    import inspect
-    import io
-    import zipfile
-
-    import pytest
 
-    assert inspect.signature(exports.workbook_rows).parameters["most_bytes"].default == 50 * 1024 * 1024
-    zipped = io.BytesIO()
-    with zipfile.ZipFile(zipped, "w") as z:
-        space = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
-        z.writestr("xl/workbook.xml", f'<workbook {space}><sheets><sheet name="A" r:id="rId7"/></sheets></workbook>'.replace("<workbook", '<workbook xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'))
-        z.writestr("xl/_rels/workbook.xml.rels", '<Relationships><Relationship Id="rId7" Target="worksheets/other.xml"/></Relationships>')
-        z.writestr("xl/worksheets/other.xml", f'<worksheet {space}><sheetData><row r="1"><c r="A1"><v>5</v></c></row></sheetData></worksheet>')
-    content = zipped.getvalue()
-    table = spark.createDataFrame([("a.xlsx", len(content), bytearray(content))], "file_name string, length long, content binary")
-    assert [(r.sheet, r.row_no, r.cells) for r in exports.workbook_rows(table).collect()] == [("A", 1, {"A": "5"})]
-    for most in (len(content) - 1, 300):
-        with pytest.raises(Exception, match="too large"):
-            exports.workbook_rows(table, most).collect()
+    assert exports.MOST_BYTES == 50 * 1024 * 1024
     (tmp_path / "p.json.gz").write_bytes(gzip.compress(b'{"a":\n"' + b"x" * 5000 + b'"}'))
     assert len(files.snapshots(spark, f"file://{tmp_path}", "a string").collect()[0].a) == 5000
     with pytest.raises(Exception, match="unpacked limit"):
         files.snapshots(spark, f"file://{tmp_path}", "a string", 4000).collect()
+
+
+def _workbook(sheet: str, *, strings: str = "", target: str = "worksheets/other.xml", book: str = "") -> bytes:
+    import io
+    import zipfile
+
+    main = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    links = 'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    zipped = io.BytesIO()
+    with zipfile.ZipFile(zipped, "w") as z:
+        z.writestr("xl/workbook.xml", book or f'<workbook {main} {links}><workbookPr date1904="1"/><sheets><sheet name="A" sheetId="1" r:id="rId7"/></sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels", f'<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships"><Relationship Id="rId7" Target="{target}"/></Relationships>')
+        z.writestr("xl/worksheets/other.xml", f"<worksheet {main}><sheetData>{sheet}</sheetData></worksheet>")
+        z.writestr("docProps/core.xml", '<cp:coreProperties xmlns:cp="c" xmlns:dcterms="d"><dcterms:created xsi:type="x" xmlns:xsi="y">2026-03-01T10:00:00Z</dcterms:created></cp:coreProperties>')
+        if strings:
+            z.writestr("xl/sharedStrings.xml", f"<sst {main}>{strings}</sst>")
+    return zipped.getvalue()
+
+
+SWIM = '<row r="1"><c r="A1" t="inlineStr"><is><t>course</t></is></c></row><row r="2"><c r="A2" t="s"><v>1</v></c><c r="B2" t="s"><v>0</v></c><c r="C2"><v>100</v></c><c r="D2" t="inlineStr"><is><t>Freestyle</t></is></c><c r="E2" t="s"><v>2</v></c><c r="F2"><v>40000</v></c><c r="I2"><v>1:05.20</v></c><c r="N2"><v>44000</v></c><c r="O2"/></row>'
+SHARED = '<si><t>F</t></si><si><t xml:space="preserve">LCM</t></si><si><r><t>Keller, </t></r><r><t>Mia</t></r></si>'
+
+
+def test_workbooks(spark, tmp_path):
+    """SRC22 as a data source and from binary files: shared strings, relationships, problems as rows."""
+    books = {
+        "good.xlsx": _workbook(SWIM, strings=SHARED), "formula.xlsx": _workbook('<row r="1"><c r="A1"><f>1+1</f><v>2</v></c></row>'), "lost.xlsx": _workbook(SWIM, target="../evil.xml"),
+        "junk.xlsx": b"PK nothing", "nobook.xlsx": _workbook(SWIM, book="<x/>"), "large.xlsx": _workbook('<row r="1"><c r="A1"><v>' + "7" * 30_000 + "</v></c></row>"),
+    }
+    for name, content in books.items():
+        (tmp_path / name).write_bytes(content)
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    ways = [exports.read_parts(spark, f"file://{tmp_path}", 20_000), exports.parts_of(files.binary_files(spark, f"file://{tmp_path}", "*.xlsx"), 20_000)]
+    for parts in ways:
+        rows = exports.workbook_rows(parts).cache()
+        assert {r.file: r.problem for r in rows.where("problem is not null").collect()} == {"formula.xlsx": "formula", "lost.xlsx": "sheet_without_part", "junk.xlsx": "bad_workbook", "nobook.xlsx": "no_book", "large.xlsx": "too_large"}
+        good = {r.row_no: r for r in rows.where("problem is null").collect()}
+        assert set(good) == {1, 2} and good[1].cells == {"A": "course"} and good[2].epoch_1904 and good[2].created == "2026-03-01T10:00:00Z"
+        assert good[2].cells == {"A": "LCM", "B": "F", "C": "100", "D": "Freestyle", "E": "Keller, Mia", "F": "40000", "I": "1:05.20", "N": "44000"}
+        (swim,) = exports.export_swims(rows).collect()
+        assert (swim.course, swim.gender, swim.distance, swim.stroke, swim.full_name, swim.time_cs, str(swim.meet_date), str(swim.birth_date), swim.age, swim.city) == ("LCM", "F", 100, "FREE", "Keller, Mia", 6520, "2024-06-19", "2013-07-07", 11, None)
+    only = exports.read_parts(spark, f"file://{tmp_path}").where(F.col("part") == exports.BOOK).select("file", "part").collect()
+    assert {r.part for r in only} == {exports.BOOK} and len(only) == 5
+
+
+def test_printed_rows_are_read_from_the_right(spark):
+    lines = ["1. Keller, Mia 2014 1:05.20 456 SCBE", "disq. Roth, Eva Maria 2013 1:02.00 SCT", "DNS Frei, Ada 2012 SCT", "2. de la Cruz, Ana 2012 1001 SCT", "3. Nobody 2012 58.00 SCT", "x. Keller, Mia 2014 1:05.20 SCBE", "4. Keller, Mia 1:05.20 SCBE", "5. , Mia 2014 58.00 AB", "6. A, B 2014 58.00 9A", ""]
+    got = [r.r and tuple(r.r) for r in spark.createDataFrame([(i, x) for i, x in enumerate(lines)], "i int, line string").orderBy("i").select(pages._printed_row(F.col("line")).alias("r")).collect()]
+    assert got == [("1.", "Keller", "Mia", "2014", "1:05.20", "456", "SCBE"), ("disq.", "Roth", "Eva Maria", "2013", "1:02.00", None, "SCT"), ("DNS", "Frei", "Ada", "2012", None, None, "SCT"), ("2.", "de la Cruz", "Ana", "2012", None, "1001", "SCT")] + [None] * 6
