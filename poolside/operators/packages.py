@@ -8,16 +8,6 @@ from pyspark.sql import functions as F
 from .delta import set_digest
 
 
-def result_payload(results: DataFrame, meets: DataFrame, splits: DataFrame) -> DataFrame:
-    """(id, payload json) with the meet nested in it and the splits as an ordered array."""
-    kids = splits.groupBy("result_id").agg(F.array_sort(F.collect_list(F.struct("split_order", "distance", "id", "time_seconds"))).alias("s"))
-    kids = kids.select(F.col("result_id").alias("id"), F.transform("s", lambda x: F.struct(x["distance"].alias("distance"), x["time_seconds"].cast("string").alias("time_seconds"))).alias("splits"))
-    meet = meets.select(F.col("id").alias("meet_id"), F.struct("name", "city", "country_code").alias("meet"))
-    joined = results.join(meet, "meet_id").join(kids, "id", "left")
-    body = F.struct(*(c for c in sorted(results.columns) if c not in ("id", "meet_id")), "meet", "splits")
-    return joined.select("id", F.to_json(body, {"ignoreNullFields": "false"}).alias("payload"))
-
-
 def field_differs(rows: DataFrame, field: str, value: str) -> DataFrame:
     """Rows whose payload field is not the value, null-safe."""
     return rows.where(~F.get_json_object("payload", f"$.{field}").eqNullSafe(F.lit(value)))

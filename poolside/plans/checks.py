@@ -114,17 +114,6 @@ def page_breaks(spark, sf):
     return rankings.page_breaks(p, ["o_custkey"]).select("o_custkey", F.col("offset").cast("long").alias("offset"))
 
 
-@query("""SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(count(l_linenumber) AS BIGINT) AS splits, min(CAST(o_orderkey AS VARCHAR)) || '/' || min(o_orderpriority) AS place FROM orders LEFT JOIN lineitem ON l_orderkey=o_orderkey GROUP BY o_orderkey""")
-def result_payloads(spark, sf):
-    """The nested payload of each order as a result, read back from its JSON."""
-    o = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("meet_id"), F.col("o_orderpriority").alias("status"))
-    meets = V.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.lit("x").alias("city"), F.lit("SUI").alias("country_code"))
-    splits = V.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("result_id"), F.col("l_linenumber").alias("split_order"), F.col("l_partkey").alias("distance"), F.col("l_suppkey").alias("id"), F.col("l_quantity").alias("time_seconds"))
-    out = packages.result_payload(o, meets, splits)
-    body = F.from_json("payload", "status string, splits array<struct<distance: long, time_seconds: string>>")
-    return out.select(F.col("id").cast("string").alias("id"), F.coalesce(F.size(body["splits"]), F.lit(0)).cast("long").alias("splits"), F.concat_ws("/", "id", body["status"]).alias("place"))
-
-
 @query("SELECT o_orderkey FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F'")
 def payloads_that_differ(spark, sf):
     rows = V.table(spark, sf, "orders").select("o_orderkey", F.to_json(F.struct(F.col("o_orderstatus").alias("status"))).alias("payload"))

@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import snapshots
+from ..functions.canonical import canonical_json
+from ..operators import capture, snapshots
 from . import views as V
 from .registry import query
 
@@ -89,3 +90,61 @@ def snapshot_splits(spark, sf) -> DataFrame:
 def snapshot_report(spark, sf) -> DataFrame:
     """UPS7, A10: what became of each snapshot, and from when on summaries are affected."""
     return _applied(spark, sf).report
+
+
+# --- what readers get, and what they must fetch again -------------------------------------
+
+_PAYLOAD = """sp AS (SELECT l_orderkey, string_agg('{"distance":' || l_linenumber * 50 || ',"order":' || l_linenumber || ',"time_seconds":"' || CAST(l_extendedprice AS DECIMAL(10,2)) || '"}', ',' ORDER BY l_linenumber, l_linenumber * 50, l_partkey, l_suppkey) AS s FROM lineitem GROUP BY 1),
+p AS (SELECT o.*, n_name AS meet, n_regionkey AS pool, p_size, p_type, p_partkey, sp.s, CAST(o_totalprice AS DECIMAL(10,2)) AS v, CAST(o_orderdate AS DATE) AS d, CASE WHEN o_orderstatus = 'P' THEN '"DSQ"' ELSE 'null' END AS status,
+ CASE WHEN o_orderkey % 3 = 0 THEN 'null' ELSE CAST(o_orderkey % 7 AS VARCHAR) END AS heat FROM orders o JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = o_custkey % 25 JOIN part ON p_partkey = o_orderkey % 300 + 1 LEFT JOIN sp ON l_orderkey = o_orderkey)"""
+_COURSE = "CASE WHEN p_partkey % 3 > 0 THEN CAST((p_partkey % 3) * 25 AS VARCHAR) WHEN pool > 0 THEN CAST(pool * 25 AS VARCHAR) ELSE 'null' END"
+
+
+def _tables(spark, sf) -> dict[str, DataFrame]:
+    """Orders as results, lines as splits, nations as meets, parts as events, customers as swimmers."""
+    k, c = F.col("o_orderkey"), F.col("o_custkey")
+    none = lambda kind: F.lit(None).cast(kind)
+    lines = V.table(spark, sf, "lineitem")
+    return {
+        "results": V.table(spark, sf, "orders").select(
+            k.alias("id"), c.alias("swimmer_id"), (c % 25).alias("meet_id"), (k % 300 + 1).alias("event_id"), F.col("o_totalprice").cast("decimal(10,2)").alias("time_seconds"), F.to_date("o_orderdate").alias("result_date"), F.when(F.col("o_orderstatus") == "P", "DSQ").alias("status"),
+            (k % 1000).cast("int").alias("points_fina"), none("int").alias("points_rudolph"), F.lit("+0.70").alias("reaction_time"), F.when(k % 3 != 0, k % 7).cast("int").alias("heat"), F.lit(4).alias("lane"), F.lit("TIM").alias("event_round"), F.lit(False).alias("is_relay"), none("int").alias("relay_count"),
+        ),
+        "splits": lines.select(F.concat_ws("-", "l_partkey", "l_suppkey").alias("id"), F.col("l_orderkey").alias("result_id"), (F.col("l_linenumber") * 50).alias("distance"), F.col("l_extendedprice").cast("decimal(10,2)").alias("time_seconds"), F.col("l_linenumber").alias("split_order"), "l_partkey", "l_suppkey"),
+        "meets": V.table(spark, sf, "nation").select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("meet_id"), F.concat(F.lit("Cup "), "n_name").alias("name"), none("string").alias("city"), F.lit("SUI").alias("country_code"), (F.col("n_regionkey") * 25).alias("pool_length")),
+        "events": V.table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").alias("distance"), F.col("p_type").alias("stroke"), F.lit("F").alias("gender"), ((F.col("p_partkey") % 3) * 25).cast("int").alias("pool_length")),
+        "swimmers": V.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("swimmer_id"), F.col("c_acctbal").alias("balance")),
+    }
+
+
+@query(f"""WITH {_PAYLOAD} SELECT o_orderkey AS id, '{{"category":"F","course":' || {_COURSE} || ',"distance":' || p_size || ',"is_relay":false,"meet_key":"' || meet || '","payload":{{"date":"' || d || '","heat":' || heat || ',"is_relay":false,"lane":4,"meet":{{"city":null,"country":"SUI","key":"' || meet || '","name":"Cup ' || meet || '"}},"points":' || (o_orderkey % 1000)
+ || ',"points_rudolph":null,"reaction_time":"+0.70","relay_count":null,"round":"TIM","splits":[' || coalesce(s, '') || '],"status":' || status || ',"time_seconds":"' || v || '"}},"points":' || (o_orderkey % 1000) || ',"race_date":"' || d || '","source_key":"[\\"t\\", \\"' || meet || '\\", ' || o_orderkey || ']","source_result_id":' || o_orderkey
+ || ',"status":' || status || ',"stroke":"' || p_type || '","swimmer_key":"' || (SELECT c_name FROM customer WHERE c_custkey = o_custkey) || '","time_hundredths":' || CAST(v * 100 AS INT) || '}}' AS payload FROM p""")
+def result_payloads(spark, sf) -> DataFrame:
+    """The payload of each result as readers get it, as canonical JSON."""
+    t = _tables(spark, sf)
+    splits = t["splits"].withColumn("id", F.struct("l_partkey", "l_suppkey"))
+    out = capture.payloads(t["results"], t["swimmers"], t["meets"], t["events"], splits, "t")
+    return out.select("id", canonical_json(F.col("payload"), out.schema["payload"].dataType).alias("payload"))
+
+
+_KIDS = "k AS (SELECT l_orderkey AS k, l_linenumber AS n, min(l_partkey) AS p FROM lineitem GROUP BY ALL)"
+
+
+@query(f"""WITH {_KIDS} SELECT o_orderkey AS id FROM orders WHERE (o_orderkey % 97 = 0) <> (o_orderkey % 89 = 0) OR (o_orderkey % 83 = 0 AND o_orderkey % 97 <> 0 AND o_orderkey % 89 <> 0) UNION SELECT k FROM k WHERE n = 1 AND k % 31 = 0 UNION SELECT k FROM k WHERE n = 2 AND k % 37 = 0
+ UNION SELECT k FROM k WHERE n = 3 AND k % 41 = 0 UNION SELECT k + 1 FROM k WHERE n = 3 AND k % 41 = 0 UNION SELECT o_orderkey FROM orders WHERE o_orderkey % 97 <> 0 AND (o_custkey % 25 = 3 OR (o_orderkey % 300 + 1) % 211 = 0 OR o_custkey % 301 = 0)""")
+def captured_keys(spark, sf) -> DataFrame:
+    """UPS14: dirty results after changes of all five tables; null statuses and other swimmer columns change nothing."""
+    t = _tables(spark, sf)
+    lines = t["splits"].groupBy("result_id", "split_order").agg(F.min("l_partkey").alias("p"))
+    splits = lines.select(F.concat_ws("-", "result_id", "split_order").alias("id"), "result_id", "split_order", "p")
+    k, n = F.col("result_id"), F.col("split_order")
+    old = t | {"results": t["results"].where("id % 89 <> 0"), "splits": splits}
+    price = F.when(F.col("id") % 83 == 0, F.col("time_seconds") + 1).otherwise(F.col("time_seconds")).cast("decimal(10,2)")
+    moved = splits.where(~((n == 2) & (k % 37 == 0))).withColumns({"p": F.when((n == 1) & (k % 31 == 0), -F.col("p")).otherwise(F.col("p")), "result_id": F.when((n == 3) & (k % 41 == 0), k + 1).otherwise(k)})
+    new = {
+        "results": t["results"].where("id % 97 <> 0").withColumn("time_seconds", price), "splits": moved, "meets": t["meets"].where("id <> 5").withColumn("city", F.when(F.col("id") == 3, "Bern")),
+        "events": t["events"].withColumn("distance", F.when(F.col("id") % 211 == 0, -1).otherwise(F.col("distance"))),
+        "swimmers": t["swimmers"].withColumns({"balance": F.col("balance") + 1, "swimmer_id": F.when(F.col("id") % 301 == 0, F.concat("swimmer_id", F.lit("!"))).otherwise(F.col("swimmer_id"))}),
+    }
+    return capture.captured(old, new)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
+from ..operators.dedup import pick_first
+from ..operators.delta import upsert
+from ..sources.tables import PartitionedTable
+
 CHANGES = "live_id string, key string, state string, hash string"
 
 
@@ -47,21 +51,24 @@ def observations(spark: SparkSession, folder: str, schema: str, files_a_batch: i
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch).parquet(folder)
 
 
-def apply_batches(stream: DataFrame, read: Callable[[], DataFrame], write: Callable[[DataFrame, int], None], keys: list[str], checkpoint: str, order: str = "strength") -> StreamingQuery:
-    """ST2, ST4, ST5: upsert each micro-batch of what is there, then stop.
+def apply_batches(stream: DataFrame, table: PartitionedTable, keys: list[str], checkpoint: str, order: str = "strength") -> StreamingQuery:
+    """ST2, ST4, ST5: upsert each micro-batch into the partitions that it touches, then stop.
 
     Within a batch the strongest evidence of a key wins, against the stored row too;
-    late rows are never dropped. A replayed batch changes nothing, for the upsert is
-    idempotent by key.
+    late rows are never dropped. keys include the partition columns. A replayed batch
+    changes nothing, for the upsert is idempotent by key; one that was interrupted left no version.
     """
-    from ..operators.dedup import pick_first
-    from ..operators.delta import upsert
 
-    def merge(batch: DataFrame, number: int) -> None:
+    def merge(batch: DataFrame, number: int) -> None:  # noqa: ARG001
+        if batch.isEmpty():
+            return
         values = [c for c in batch.columns if c not in keys]
         best = pick_first(batch, keys, [F.desc_nulls_last(order), *(F.desc(c) for c in values)])
-        target = read()
+        if table.version() == 0:
+            table.publish(best)
+            return
+        target = table.read(partitions=best)
         weaker = best.join(target.select(*keys, F.col(order).alias("_held")), keys).where(F.col(order) < F.col("_held")).select(*keys)
-        write(upsert(target, best.join(weaker, keys, "left_anti"), keys), number)
+        table.publish(upsert(target, best.join(weaker, keys, "left_anti"), keys))
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -128,20 +128,30 @@ def test_an_empty_snapshot_clears_its_scope(spark):
 
 
 def test_only_touched_partitions_are_rewritten(spark, tmp_path):
-    import os
-
-    root = f"{tmp_path}/t"
-    table = spark.createDataFrame([(k % 4, k, 0) for k in range(40)], "part int, id int, v int")
-    tables.publish_partitions(table, root, ["part"])
-    times = lambda: {p: sorted(os.stat(f"{root}/part={p}/{f}").st_mtime_ns for f in os.listdir(f"{root}/part={p}") if f.startswith("part-")) for p in range(4) if os.path.isdir(f"{root}/part={p}")}
-    before = times()
-    old = spark.read.parquet(root).select("part", "id", "v")
-    changes = spark.createDataFrame([(2, 2, 9), (2, 99, 9)], "part int, id int, v int")
-    merged = delta.upsert(tables.touched(old, changes, ["part"]), changes, ["part", "id"])
-    tables.publish_partitions(spark.createDataFrame(merged.collect(), merged.schema), root, ["part"], gone=spark.createDataFrame([(3,)], "part int"))
-    after = times()
-    assert before[0] == after[0] and before[1] == after[1] and before[2] != after[2] and 3 not in after
-    assert {(r.id, r.v) for r in spark.read.parquet(root).where("part = 2").collect()} == {(k, 9 if k == 2 else 0) for k in range(2, 40, 4)} | {(99, 9)}
+    """SNK6: null and awkward values, versions that stay readable, an interrupted publish, and a second writer."""
+    values = ["plain", None, "a:b", "../x", "a/b=c", ""]
+    table = tables.PartitionedTable(spark, f"file://{tmp_path}/t", ["part"])
+    assert table.version() == 0
+    rows = spark.createDataFrame([(values[k % 6], k, 0) for k in range(60)], "part string, id int, v int")
+    assert table.publish(rows) == 1
+    changes = spark.createDataFrame([(None, 1, 9), ("a:b", 99, 9), ("new", 100, 9)], "part string, id int, v int")
+    merged = delta.upsert(table.read(partitions=changes), changes, ["part", "id"], null_keys_match=True)
+    assert table.publish(merged, gone=spark.createDataFrame([("../x",), ("a/b=c",)], "part string")) == 2
+    want = {(values[k % 6], k, 0) for k in range(60)}
+    assert {tuple(r) for r in table.read(1).collect()} == want and table.read(1).count() == 60
+    now = {r for r in want if r[0] not in ("../x", "a/b=c") and r != (None, 1, 0)} | {(None, 1, 9), ("a:b", 99, 9), ("new", 100, 9)}
+    assert {tuple(r) for r in table.read().collect()} == now and table.read().count() == len(now)
+    folders = {v: {r.part: r._folder for r in table.manifest(v).collect()} for v in (1, 2)}
+    assert folders[1]["plain"] == folders[2]["plain"] and folders[1][""] == folders[2][""] and folders[1][None] != folders[2][None]
+    merged.write.partitionBy("part").parquet(f"{tmp_path}/t/data/v3-x")  # a publish that never came to its end
+    assert table.version() == 2 and {tuple(r) for r in table.read().collect()} == now
+    other = tables.PartitionedTable(spark, f"file://{tmp_path}/t", ["part"])
+    other.version = lambda: 1  # it began before the second version
+    with pytest.raises(Exception, match="exists"):
+        other.publish(changes)
+    assert {tuple(r) for r in table.read().collect()} == now  # the loser has changed nothing
+    assert table.publish(changes) == 3 and table.vacuum(1) > 0
+    assert {tuple(r) for r in table.read().collect()} == {r for r in now if r[0] not in (None, "a:b", "new")} | {tuple(r) for r in changes.collect()}
 
 
 def test_observed_changes_keep_state(spark, tmp_path):
@@ -189,15 +199,16 @@ def test_population_and_package_issues(spark):
 
 def test_replayed_batches_change_nothing(spark, tmp_path):
     schema = "live_id string, key string, strength int, value string"
-    root = f"file://{tmp_path}/target"
-    tables.publish(spark.createDataFrame([], schema), root)
+    table = tables.PartitionedTable(spark, f"file://{tmp_path}/target", ["live_id"])
+    table.publish(spark.createDataFrame([("other", "1", 1, "x")], schema))
     rows = spark.createDataFrame([("m", "1", 2, "lenex"), ("m", "1", 1, "pdf"), ("m", "2", 1, "pdf")], schema)
     rows.coalesce(1).write.parquet(f"{tmp_path}/in")
     for k in range(2):
         stream = observe.observations(spark, f"{tmp_path}/in", schema)
-        observe.apply_batches(stream, lambda: tables.read(spark, root), lambda df, n: tables.publish(df, root), ["live_id", "key"], f"{tmp_path}/ck{k}").awaitTermination()
-        assert sorted(map(tuple, tables.read(spark, root).collect())) == [("m", "1", 2, "lenex"), ("m", "2", 1, "pdf")]
-    assert tables.current_version(spark, root) == 3
+        observe.apply_batches(stream, table, ["live_id", "key"], f"{tmp_path}/ck{k}").awaitTermination()
+        assert sorted(map(tuple, table.read().collect())) == [("m", "1", 2, "lenex"), ("m", "2", 1, "pdf"), ("other", "1", 1, "x")]
+    assert table.version() == 3
+    assert len({r._folder for v in (1, 3) for r in table.manifest(v).where("live_id = 'other'").collect()}) == 1
 
 
 def test_files_over_a_limit_fail_and_are_not_dropped(spark, tmp_path):
