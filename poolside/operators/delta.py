@@ -80,11 +80,12 @@ def replace_partitions(target: DataFrame, incoming: DataFrame, keys: list[str],
 def set_digest(rows: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
     """A15, UPS9, UPS12: a content hash of the multiset of rows of each key, whatever their order.
 
-    Row hashes are added up in four 64-bit parts, so a key of any size costs five numbers.
+    Four parts of 32 bits of each row's sha256 are added up as long integers, which have room
+    for two billion rows of a key; a key of any size costs five numbers.
     """
     row = F.sha2(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), 256)
-    part = lambda k: F.sum(F.conv(F.substring(row, 1 + 16 * k, 15), 16, 10).cast("decimal(38,0)"))
-    return rows.groupBy(*keys).agg(F.sha2(F.concat_ws(",", F.count(F.lit(1)), *(part(k) for k in range(4))), 256).alias("digest"))
+    part = lambda k: F.sum(F.conv(F.substring("_h", 1 + 8 * k, 8), 16, 10).cast("long"))
+    return rows.select(*keys, row.alias("_h")).groupBy(*keys).agg(F.sha2(F.concat_ws(",", F.count(F.lit(1)), *(part(k) for k in range(4))), 256).alias("digest"))
 
 
 def compare(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -219,12 +220,14 @@ def prefer_value(target: DataFrame, incoming: DataFrame, key: str, column: str,
     return target.join(better.select(key), key, "left_anti").unionByName(better.select(*target.columns))
 
 
-def pending_batch(ledger: DataFrame) -> DataFrame:
-    """UPS15: dirty meets as one batch: how many, from which date, and a digest."""
+def pending_batch(ledger: DataFrame, group: list[str] | None = None) -> DataFrame:
+    """UPS15: dirty meets as one batch (or one for each group): how many, from which date, and a digest over publisher, meet, revision and hash of each."""
+    keys = group or ["_all"]
     unknown = F.count_if(F.col("affected_from").isNull()) > 0
     dirty = ledger.where("dirty").withColumn("_all", F.lit(1))
-    counted = dirty.groupBy("_all").agg(F.count(F.lit(1)).alias("meets"), F.when(unknown, F.lit(None)).otherwise(F.min("affected_from")).alias("affected_from"))
-    return counted.join(set_digest(dirty, ["_all"], ["meet_id", "revision"]), "_all").select("meets", "affected_from", F.col("digest").alias("batch_id"))
+    counted = dirty.groupBy(*keys).agg(F.count(F.lit(1)).alias("meets"), F.when(unknown, F.lit(None)).otherwise(F.min("affected_from")).alias("affected_from"))
+    named = set_digest(dirty, keys, ["meet_key", "publisher", "revision", "sha256"])
+    return counted.join(named, keys).select(*(group or []), "meets", "affected_from", F.col("digest").alias("batch_id"))
 
 
 def to_retry(receipts: DataFrame) -> DataFrame:

@@ -15,33 +15,56 @@ def star(facts: DataFrame, dimensions: list[tuple[DataFrame, str]], how: str = "
     return facts
 
 
+def in_bands(rows: DataFrame, value: str, tolerance: float, *, around: bool = False) -> DataFrame:
+    """rows with a _band of their value, twice the tolerance wide; with ``around``, once in each of the three bands where a close value can be.
+
+    An equality on _band lets only rows near each other meet, so a key of any size makes
+    pairs in proportion to what matches, not to its square.
+    """
+    band = F.floor(F.col(value).cast("double") / (2 * tolerance))
+    return rows.withColumn("_band", F.explode(F.array(band - 1, band, band + 1)) if around else band)
+
+
 def theta_match(incoming: DataFrame, stored: DataFrame, keys: list[str], *, tolerance: float = 0.0001) -> DataFrame:
     """(row_id, id): the stored row with the same keys and heat, or both without heat, of one day and time; ambiguous ones are dropped.
 
-    The keys stay equalities, so this is a hash or merge join with a condition on top.
+    Stored rows alike in what is compared are counted first, so repeated ones are one row of the join.
     """
-    s = stored.select(*keys, "id", F.col("heat").alias("_heat"), F.col("result_date").alias("_day"), F.col("time_seconds").alias("_time"))
-    no_heat = F.col("heat").isNull() & F.col("_heat").isNull()
-    close = (F.col("result_date") == F.col("_day")) & (F.abs(F.col("time_seconds") - F.col("_time")) < tolerance)
-    pairs = incoming.join(s, keys).where((F.col("heat") == F.col("_heat")) | (no_heat & close)).select("row_id", "id")
-    return unique_only(pairs, ["row_id"])
+    alike = lambda rows, by: rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("id").alias("id"))
+    with_heat = alike(stored.where("heat IS NOT NULL"), [*keys, "heat"])
+    without = alike(stored.where("heat IS NULL"), [*keys, "result_date", "time_seconds"]).withColumnRenamed("time_seconds", "_time")
+    first = incoming.join(with_heat, [*keys, "heat"]).select("row_id", "id", "_n")
+    open_ = in_bands(incoming.where("heat IS NULL"), "time_seconds", tolerance, around=True)
+    close = open_.join(in_bands(without, "_time", tolerance), [*keys, "result_date", "_band"]).where(F.abs(F.col("time_seconds") - F.col("_time")) < tolerance)
+    pairs = first.unionByName(close.select("row_id", "id", "_n"))
+    return pairs.groupBy("row_id").agg(F.sum("_n").alias("_all"), F.min("id").alias("id")).where("_all = 1").select("row_id", "id")
 
 
 def nearest_match(incoming: DataFrame, stored: DataFrame, keys: list[str], *, value: str = "time_seconds", tolerance: float = 0.01, prefer: list[Column] | None = None) -> DataFrame:
-    """One candidate within the tolerance: by the preferences, then the nearest, then the largest id."""
-    s = stored.withColumnRenamed(value, "_v")
-    pairs = incoming.join(s, keys).withColumn("difference", F.abs(F.col(value) - F.col("_v"))).where(F.col("difference") < tolerance)
+    """One candidate within the tolerance: by the preferences, then the nearest, then the largest id.
+
+    Without preferences, of stored rows with equal keys and value only the one with the largest id takes part.
+    """
+    if not prefer:
+        stored = stored.groupBy(*keys, value).agg(F.max("id").alias("id"))
+    s = in_bands(stored.withColumnRenamed(value, "_v"), "_v", tolerance)
+    near = in_bands(incoming, value, tolerance, around=True)
+    pairs = near.join(s, [*keys, "_band"]).withColumn("difference", F.abs(F.col(value) - F.col("_v"))).where(F.col("difference") < tolerance)
     order = [p.desc_nulls_last() for p in prefer or []]
-    return pick_first(pairs, ["row_id"], [*order, F.asc("difference"), F.desc("id")]).drop("_v")
+    return pick_first(pairs, ["row_id"], [*order, F.asc("difference"), F.desc("id")]).drop("_v", "_band")
 
 
 def not_stored(incoming: DataFrame, stored: DataFrame, keys: list[str], *, value: str = "time_seconds", tolerance: float = 0.01) -> DataFrame:
-    """Incoming rows with no stored row of the same keys and about the same value."""
-    i, s = incoming.alias("i"), stored.select(*keys, value).alias("s")
-    same = F.abs(F.col(f"i.{value}") - F.col(f"s.{value}")) < tolerance
+    """Incoming rows with no stored row of the same keys and about the same value.
+
+    Each stored value stands once in each of its three bands, so the anti join stays an equality with a condition.
+    """
+    i = in_bands(incoming, value, tolerance).alias("i")
+    s = in_bands(stored.select(*keys, value).distinct(), value, tolerance, around=True).alias("s")
+    same = (F.abs(F.col(f"i.{value}") - F.col(f"s.{value}")) < tolerance) & (F.col("i._band") == F.col("s._band"))
     for k in keys:
         same = same & (F.col(f"i.{k}") == F.col(f"s.{k}"))
-    return i.join(s, same, "left_anti")
+    return i.join(s, same, "left_anti").drop("_band")
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

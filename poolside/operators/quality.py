@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .delta import compare, upsert
@@ -24,22 +24,74 @@ def nested_count(files: DataFrame, key: str, array: str) -> DataFrame:
     return files.groupBy(key).agg(F.sum(F.greatest(F.size(array), F.lit(0))).alias("n"))
 
 
+#: Age groups of a club's record categories, and the individual events that each must list.
+AGE_GROUPS = ["X_X", "X_11", *(f"{a}_{a}" for a in range(12, 19))]
+STANDARD = {"FREE": [50, 100, 200, 400, 800, 1500], "BREAST": [50, 100, 200], "BACK": [50, 100, 200], "FLY": [50, 100, 200], "IM": [200, 400]}
+SHORT_COURSE_ONLY = {"IM": [100]}
+KINDS = ["individual", "relay", "lap"]
+
+
+def standard_events(course: Column) -> Column:
+    """The keys of the events that a category of this course must list."""
+    key = lambda stroke, metres: F.lit(f"individual:1:{metres}:{stroke}")
+    every = F.array(*(key(s, m) for s, metres in STANDARD.items() for m in metres))
+    return F.when(course == "SCM", F.concat(every, F.array(*(key(s, m) for s, metres in SHORT_COURSE_ONLY.items() for m in metres)))).otherwise(every)
+
+
+def age_fits(age: Column, group: Column) -> Column:
+    """Is this age one of the group: X_X everybody, X_11 up to 11, 12_12 just 12; null and beyond 120 never."""
+    low = F.split(group, "_")[0].try_cast("int")
+    return F.coalesce(age.between(0, 120) & F.when(group == "X_X", True).when(group == "X_11", age <= 11).otherwise(age == low), F.lit(False))
+
+
 def baseline_issues(categories: DataFrame) -> DataFrame:
-    """DQ4: (category, event, issue) of record categories with holders: untied holders, no identity, wrong age."""
-    h = categories.select("category", "event", "age", F.explode("holders").alias("h"))
-    best = h.groupBy("category", "event").agg(F.min("h.time_cs").alias("best"))
-    out = h.join(best, ["category", "event"])
-    issue = F.when(F.col("h.time_cs") != F.col("best"), "holders_not_tied").when(F.col("h.full_name").isNull() | F.col("h.birth_year").isNull(), "no_identity").when(F.year("h.date") - F.col("h.birth_year") != F.col("age"), "wrong_age")
-    return out.withColumn("issue", issue).where("issue is not null").select("category", "event", "issue").distinct()
+    """DQ4: (category, event, issue) of record categories: key, course, gender, age_group, created_at, unlisted, events.
+
+    An event is a struct of key, kind, legs, distance, stroke, status and holders; a holder one of
+    full_name, first_name, last_name, birth_year, date and time_cs. Each category is judged within
+    itself by array functions; only the distinct issues are shuffled. An issue of the category itself has no event.
+    """
+    c = F.col
+    keys = F.transform("events", lambda e: e["key"])
+    whole = [
+        ("bad_category", ~(c("course").isin("SCM", "LCM") & c("gender").isin("M", "F") & c("age_group").isin(*AGE_GROUPS) & (c("key") == F.concat_ws(":", "course", "gender", "age_group")))),
+        ("no_events", F.size("events") < 1), ("repeated_event", F.size(keys) > F.size(F.array_distinct(keys))),
+        ("wrong_unlisted", ~c("unlisted").eqNullSafe(F.array_sort(F.array_except(standard_events(c("course")), keys)))),
+    ]
+    out = categories.select(c("key").alias("category"), F.lit(None).cast("string").alias("event"), F.explode(_named(whole)).alias("issue"))
+    each = categories.select("key", "age_group", F.to_date("created_at").alias("_made"), F.explode("events").alias("e"))
+    e, h = c("e"), c("e.holders")
+    single = e["kind"] != "relay"
+    year = lambda x: F.year(x["date"]) - x["birth_year"]
+    text = F.concat_ws(":", e["kind"], e["legs"], e["distance"], e["stroke"])
+    blank = lambda x: F.coalesce(F.trim(x) == "", F.lit(True))
+    own = [
+        ("bad_event", ~((e["key"] == text) & e["kind"].isin(*KINDS) & e["stroke"].isin(*STANDARD) & e["distance"].between(1, 25000) & e["legs"].between(1, 10))),
+        ("bad_state", (~single != (e["legs"] > 1)) | (e["status"] != F.when(F.size(h) > 0, "ready").otherwise("empty"))),
+        ("bad_evidence", F.exists(h, lambda x: F.coalesce((x["time_cs"] <= 0) | (x["date"] > c("_made")), F.lit(True)))),
+        ("no_identity", single & F.exists(h, lambda x: blank(x["first_name"]) | blank(x["last_name"]) | x["birth_year"].isNull())), ("no_name", F.exists(h, lambda x: blank(x["full_name"]))),
+        ("other_name", single & F.exists(h, lambda x: x["full_name"] != F.concat(x["last_name"], F.lit(", "), x["first_name"]))),
+        ("wrong_age", single & F.exists(h, lambda x: ~age_fits(year(x), c("age_group")))), ("holders_not_tied", F.size(F.array_distinct(F.transform(h, lambda x: x["time_cs"]))) > 1),
+        ("repeated_holder", F.size(h) > F.size(F.array_distinct(h))),
+    ]
+    return out.unionByName(each.select(c("key").alias("category"), e["key"].alias("event"), F.explode(_named(own)).alias("issue"))).distinct()
+
+
+def _named(rules: list[tuple[str, Column]]) -> Column:
+    """The names of the rules that are broken; a rule that cannot be judged counts as broken."""
+    return F.array_compact(F.array(*(F.when(F.coalesce(broken, F.lit(True)), name) for name, broken in rules)))
 
 
 def performance_issues(rows: DataFrame, today: str) -> DataFrame:
-    """DQ6, FL14: performance rows with their first broken rule."""
-    issue = (
-        F.when(F.col("time_cs").isNull() | (F.col("time_cs") <= 0), "bad_time").when(F.col("date").isNull() | (F.col("date") > F.lit(today).cast("date")), "bad_date")
-        .when(~F.col("course").isin("LCM", "SCM"), "bad_course").when(~(F.year("date") - F.col("birth_year")).between(4, 110), "bad_age").when(F.col("source_sha256").isNull(), "no_source")
-    )
-    return rows.withColumn("issue", issue).where("issue is not null")
+    """DQ6, FL14: performance rows with their first broken rule; what must be there and is null breaks it."""
+    c = F.col
+    present = lambda *names: F.lit(True) if not names else F.coalesce(F.length(F.trim(names[0])) > 0, F.lit(False)) & present(*names[1:])
+    rules = [
+        ("no_source", c("source_sha256").rlike("^[a-f0-9]{64}$")), ("bad_category", c("course").isin("SCM", "LCM") & c("gender").isin("F", "M") & c("stroke").isin(*STANDARD)), ("bad_time", (c("time_cs") > 0) & (c("distance") > 0)),
+        ("bad_date", c("date") <= F.lit(today).cast("date")), ("bad_age", (c("birth_year") > 1800) & (c("birth_year") <= F.year("date"))), ("no_identity", present("first_name", "last_name", "meet")),
+    ]
+    issue = F.coalesce(*(F.when(~F.coalesce(ok, F.lit(False)), name) for name, ok in rules))
+    return rows.withColumn("issue", issue).where("issue IS NOT NULL")
 
 
 def readiness(baseline: DataFrame, seen: DataFrame, key: list[str], columns: list[str], group: list[str]) -> DataFrame:

@@ -45,6 +45,49 @@ def page_breaks(pages: DataFrame, keys: list[str], total: str = "total") -> Data
     return seen.where((F.col("offset") != F.col("expected_offset")) | (F.col("_last") & (end != F.col(total) + 1))).drop("_last")
 
 
+def merged_pages(rows: DataFrame, pages: DataFrame, keys: list[str], athlete: str = "athlete_id", page_size: int = 25) -> tuple[DataFrame, DataFrame]:
+    """(each athlete's row once, (keys, offset, issue)) of lists read page by page, whose last page overlaps the one before.
+
+    pages: keys, offset, total, built; rows: keys, offset, the athlete, values. A list must not
+    change while it is read, every page must be full, an athlete met again must have the
+    same row, and each page must bring as many new athletes as it has places.
+    """
+    values = [c for c in rows.columns if c not in (*keys, "offset", athlete)]
+    by = [*keys, athlete]
+    seen = rows.withColumn("_row", F.to_json(F.struct(*sorted(values)), {"ignoreNullFields": "false"}))
+    each = seen.groupBy(*by).agg(F.min("offset").alias("offset"), F.min("_row").alias("_a"), F.max("_row").alias("_b"))
+    fresh = rows.join(each.select(*by, "offset"), [*by, "offset"], "left_semi").dropDuplicates([*by, "offset"])
+    totals = pages.groupBy(*keys).agg(F.min("total").alias("total"), F.count_distinct(F.struct("total", "built")).alias("_states"))
+    counted = rows.groupBy(*keys, "offset").agg(F.count(F.lit(1)).alias("_rows")).join(each.groupBy(*keys, "offset").agg(F.count(F.lit(1)).alias("_fresh")), [*keys, "offset"], "left")
+    due = totals.where("total > 0").select(*keys, "total", F.explode(F.sequence(F.lit(1).cast("long"), F.col("total").cast("long"), F.lit(page_size).cast("long"))).alias("offset"))
+    checked = due.join(counted.withColumn("offset", F.col("offset").cast("long")), [*keys, "offset"], "left")
+    said = lambda frame, issue: frame.select(*keys, F.col("offset").cast("long").alias("offset"), F.lit(issue).alias("issue"))
+    issues = (
+        said(totals.where("_states > 1").withColumn("offset", F.lit(None).cast("long")), "source_changed")
+        .unionByName(said(checked.where(F.coalesce("_rows", F.lit(0)) != F.least(F.lit(page_size), F.col("total"))), "incomplete_page"))
+        .unionByName(said(each.where("_a <> _b"), "conflicting_overlap").distinct())
+        .unionByName(said(checked.where(F.coalesce("_fresh", F.lit(0)) != F.least(F.lit(page_size).cast("long"), F.col("total") - F.col("offset") + 1)), "gap_or_duplicate"))
+    )
+    return fresh, issues
+
+
+def revision_issues(old: DataFrame, new: DataFrame, old_rows: DataFrame, new_rows: DataFrame) -> DataFrame:
+    """UPS10: (key, issue) of new versions of populations that must not replace the old ones.
+
+    old and new: key, captured_at, total; rows: key, athlete_id, time_cs. stale: not captured
+    later; truncated: fewer athletes; regression: an athlete gone or slower. A version equal
+    in every row is no revision and has no issue; neither has a population without an old version.
+    """
+    both = old.select("key", F.col("captured_at").alias("_then"), F.col("total").alias("_had")).join(new.select("key", "captured_at", "total"), "key")
+    regressed = athletes_regressed(old_rows, new_rows.join(both.select("key"), "key", "left_semi")).join(both.select("key"), "key", "left_semi").select("key").distinct()
+    rows = lambda r: r.select("key", F.struct("athlete_id", "time_cs").alias("r"))
+    differ = rows(old_rows).withColumn("s", F.lit(1)).unionByName(rows(new_rows).withColumn("s", F.lit(2)))
+    differ = differ.groupBy("key", "r").agg(F.count_distinct("s").alias("sides")).where("sides = 1").select("key").distinct()
+    same = both.where("captured_at = _then AND total = _had").join(differ, "key", "left_anti").select("key")
+    found = both.where("captured_at <= _then").select("key", F.lit("stale").alias("issue")).unionByName(both.where("total < _had").select("key", F.lit("truncated").alias("issue"))).unionByName(regressed.select("key", F.lit("regression").alias("issue")))
+    return found.join(same, "key", "left_anti")
+
+
 def chain_breaks(packages: DataFrame, key: str = "meet_id") -> DataFrame:
     """Revisions that do not follow the one before."""
     w = Window.partitionBy(key).orderBy("revision")

@@ -33,11 +33,21 @@ def top3(swims: DataFrame, keys: list[str], extra: list[Column] | None = None) -
 
 
 def season_points(swims: DataFrame) -> DataFrame:
-    """Event rows, and overall rows marked by distance 0 and stroke ALL."""
+    """Event rows, and overall rows marked by distance 0 and stroke ALL, from one pass over the swims.
+
+    The best three of a season are among the best three of its events, so event rows are
+    taken twice, once under the marks, and grouped again; a group is as small as a swimmer's events.
+    """
     base = ["season_end_year", "swimmer_id", "course"]
     event = top3(swims, [*base, "distance", "stroke"])
-    overall = top3(swims, base).withColumns({"distance": F.lit(0), "stroke": F.lit("ALL")})
-    return event.unionByName(overall)
+    kind = event.schema
+    marks = F.array(F.struct("distance", "stroke"), F.struct(F.lit(0).cast(kind["distance"].dataType).alias("distance"), F.lit("ALL").alias("stroke")))
+    both = event.select(*base, F.inline(marks), F.array_compact(F.array("best1", "best2", "best3")).alias("_best"), "race_count")
+    best = F.slice(F.sort_array(F.flatten(F.collect_list("_best")), asc=False), 1, 3)
+    grouped = both.groupBy(*base, "distance", "stroke").agg(best.alias("_best"), F.sum("race_count").alias("race_count"))
+    total = F.aggregate("_best", F.lit(0).cast("double"), lambda a, x: a + x)
+    at = lambda k: F.get("_best", F.lit(k - 1)).alias(f"best{k}")
+    return grouped.select(*base, "distance", "stroke", F.when(F.size("_best") > 0, total / F.size("_best")).cast(POINTS).alias("avg_points"), at(1), at(2), at(3), "race_count")
 
 
 def meet_points(swims: DataFrame, by_event: bool = False) -> DataFrame:
