@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.canonical import canonical_json, digest_of
 from .delta import set_digest
 
 
@@ -54,47 +56,77 @@ def write_packages(packages: DataFrame, folder: str, key: str = "meet_id") -> No
     packages.write.mode("append").partitionBy(key).option("compression", "gzip").json(folder)
 
 
-#: part: (unique key, {foreign key: (parent part, its key)})
+#: What makes an event, and a race, of a package.
+EVENT = ["distance", "stroke", "gender", "pool_length"]
+SIGNATURE = ["swimmer_key", "event_key", "heat", "result_date", "event_round", "is_relay", "relay_count"]
+#: part: (unique keys, {foreign key: (parent part, its key)})
 RULES = {
-    "swimmers": ("swimmer_id", {"country_code": ("countries", "code")}),
-    "events": ("key", {}),
-    "countries": ("code", {}),
-    "results": ("source_id", {"swimmer_key": ("swimmers", "swimmer_id"), "event_key": ("events", "key")}),
-    "splits": ("source_split_id", {"source_result_id": ("results", "source_id")}),
+    "countries": ([["code"]], {}),
+    "swimmers": ([["swimmer_id"]], {"country_code": ("countries", "code")}),
+    "aliases": ([["source_country_code", "source_swimmer_id"]], {"swimmer_key": ("swimmers", "swimmer_id"), "source_country_code": ("countries", "code")}),
+    "events": ([["key"]], {}),
+    "results": ([["source_id"], SIGNATURE], {"swimmer_key": ("swimmers", "swimmer_id"), "event_key": ("events", "key")}),
+    "splits": ([["source_result_id", "split_order"], ["source_split_id"]], {"source_result_id": ("results", "source_id")}),
 }
+#: Foreign keys that may be null.
+OPTIONAL = {("swimmers", "country_code")}
 
 
-def _strangers(values: Column, known: Column) -> Column:
-    """How many of the values that are not null are not known."""
+def _values(part: str, fields: list[str]) -> Column:
+    """The fields of each element as one string, in which null is a value."""
+    return F.transform(F.col(part), lambda x: F.to_json(F.struct(*(x[f].cast("string").alias(f) for f in fields)), {"ignoreNullFields": "false"}))
+
+
+def _strangers(values: Column, known: Column, null_is_one: bool) -> Column:
+    """How many of the values are not known; a null is a stranger only where it must not be."""
     missing = F.array_except(F.array_compact(values), F.array_compact(known))
+    count = F.size(F.filter(values, lambda v: F.array_contains(missing, v)))
+    nulls = F.size(F.filter(values, lambda v: v.isNull())) if null_is_one else F.lit(0)
     # only documents with a stranger are counted value by value
-    return F.when(F.size(missing) == 0, 0).otherwise(F.size(F.filter(values, lambda v: v.isNotNull() & F.array_contains(missing, v))))
+    return F.when(F.size(missing) == 0, 0).otherwise(count) + nulls
 
 
 def package_issues(documents: DataFrame, key: str = "meet_id") -> DataFrame:
-    """DQ1: (meet_id, part, issue, n): repeated keys and foreign keys without a parent, in nested documents.
+    """DQ1: (key, part, issue, n) of nested documents.
 
-    Each document is judged within itself with array functions; nothing is shuffled.
+    repeated_key and repeated_race: elements too many of an identity or a race's signature;
+    no_<part>: foreign keys without a parent; wrong_key: events whose key is not the digest
+    of what makes them; bad_source_id: ids of results that are not positive. Each document
+    is judged within itself by array functions; nothing is shuffled. Parts and
+    fields that a table does not have are not judged.
     """
     checks = []
-    ids = lambda part, field: F.transform(F.col(part), lambda x: x[field].cast("string"))
-    for part, (unique, foreign) in RULES.items():
-        if part not in documents.columns:
-            continue
-        fields = {f.name for f in documents.schema[part].dataType.elementType.fields}
-        if unique in fields:
-            checks.append((part, "repeated_key", F.size(part) - F.size(F.array_distinct(ids(part, unique)))))
+    kinds = {p: documents.schema[p].dataType.elementType for p in RULES if p in documents.columns}
+    for part, kind in kinds.items():
+        fields = set(kind.names)
+        unique, foreign = RULES[part]
+        for k, own in enumerate(unique):
+            if set(own) <= fields:
+                checks.append((part, "repeated_race" if own is SIGNATURE else "repeated_key", F.size(part) - F.size(F.array_distinct(_values(part, own)))))
         for field, (parent, parent_key) in foreign.items():
-            if field in fields and parent in documents.columns:
-                known = ids(parent, parent_key)
-                checks.append((part, f"no_{parent}", _strangers(ids(part, field), known)))
+            if field in fields and parent in kinds:
+                ids = lambda p, f: F.transform(F.col(p), lambda x: x[f].cast("string"))
+                checks.append((part, f"no_{parent}", _strangers(ids(part, field), ids(parent, parent_key), (part, field) not in OPTIONAL)))
+        if part == "events" and set(EVENT) <= fields:
+            event = T.StructType([kind[f] for f in EVENT])
+            digest = lambda x: digest_of(canonical_json(F.struct(*(x[f].alias(f) for f in EVENT)), event))  # noqa: E731, B023
+            checks.append((part, "wrong_key", F.size(F.filter(part, lambda x: ~x["key"].eqNullSafe(digest(x))))))
+        if part == "results" and "source_id" in fields:
+            checks.append((part, "bad_source_id", F.size(F.filter(part, lambda x: ~F.coalesce(x["source_id"].cast("long") > 0, F.lit(False))))))
     rows = F.array(*(F.struct(F.lit(p).alias("part"), F.lit(i).alias("issue"), n.alias("n")) for p, i, n in checks))
     return documents.select(key, F.explode(rows).alias("c")).select(key, "c.*").where("n > 0")
 
 
-def checksum_issues(packages: DataFrame) -> DataFrame:
-    """DQ1: packages whose payload does not have the stated hash."""
-    return packages.where(~F.sha2("payload", 256).eqNullSafe(F.col("sha256")))
+def envelope_issues(packages: DataFrame, payload: str = "payload") -> DataFrame:
+    """DQ1: packages with issues of their envelope: publisher, revision chain, or a checksum that is not the payload's canonical digest.
+
+    The payload is a struct; its digest is that of its canonical JSON, whatever the order of its fields.
+    """
+    chain = F.when(F.col("revision") == 1, F.col("previous").isNull()).otherwise(F.col("previous").rlike("^[a-f0-9]{64}$"))
+    digest = digest_of(canonical_json(F.col(payload), packages.schema[payload].dataType))
+    rules = [("bad_publisher", F.col("publisher").rlike("^[a-z0-9][a-z0-9-]{0,63}$")), ("bad_revision", F.col("revision") >= 1), ("bad_chain", chain), ("bad_checksum", F.col("sha256") == digest)]
+    broken = F.array_compact(F.array(*(F.when(~F.coalesce(ok, F.lit(False)), name) for name, ok in rules)))
+    return packages.withColumn("issues", broken).where("size(issues) > 0")
 
 
 def schema_issues(documents: DataFrame, expected: dict[str, set[str]]) -> list[str]:

@@ -87,7 +87,7 @@ _AGES = "[" + ", ".join(f"'{a}'" for a in quality.AGE_GROUPS) + "]"
  UNION ALL SELECT category, key, 'bad_event' FROM ek JOIN x USING (c) WHERE e IN (38, 39) UNION ALL SELECT category, key, 'bad_state' FROM ek JOIN x USING (c) WHERE ((kind = 'relay') <> (legs > 1)) OR e = 37
  UNION ALL SELECT DISTINCT category, key, 'bad_evidence' FROM hd WHERE t = 0 OR ry >= 2030 UNION ALL SELECT DISTINCT category, key, 'no_identity' FROM hd WHERE kind <> 'relay' AND s % 17 = 0 UNION ALL SELECT DISTINCT category, key, 'no_name' FROM hd WHERE s % 19 = 0
  UNION ALL SELECT DISTINCT category, key, 'other_name' FROM hd WHERE kind <> 'relay' AND (s % 23 = 0 OR s % 19 = 0 OR s % 17 = 0) UNION ALL SELECT DISTINCT category, key, 'wrong_age' FROM hd WHERE kind <> 'relay' AND NOT (ry - y BETWEEN 0 AND 120 AND CASE age_group WHEN 'X_X' THEN true WHEN 'X_11' THEN ry - y <= 11 WHEN 'X_9' THEN false ELSE ry - y = CAST(split_part(age_group, '_', 1) AS INT) END)
- UNION ALL SELECT category, key, 'holders_not_tied' FROM hd GROUP BY category, key, e HAVING count(DISTINCT t) > 1 UNION ALL SELECT category, key, 'repeated_holder' FROM hd GROUP BY category, key, e HAVING count(*) > count(DISTINCT (t, s, p, ry)))
+ UNION ALL SELECT category, key, 'holders_not_tied' FROM hd GROUP BY category, key, e HAVING count(DISTINCT t) > 1 UNION ALL SELECT category, key, 'repeated_holder' FROM hd GROUP BY category, key, e HAVING count(*) > count(DISTINCT (t, s, CASE WHEN s % 17 <> 0 THEN p END, y, ry)))
  SELECT DISTINCT * FROM issues""")
 def baseline_issues(spark, sf):
     """Categories of ten remainders, each with something of its own wrong; holders are the lines of small quantity."""

@@ -160,9 +160,29 @@ def default_age_groups(parsed: DataFrame) -> DataFrame:
     return one.select("file_name", "event_id", F.col("g._agegroupid").alias("age_group_id"), low.alias("age_group_min"), high.alias("age_group_max"), age_band(low, high).alias("age_group_label"))
 
 
+def with_relays(individual: DataFrame, relay_rows: DataFrame) -> DataFrame:
+    """Individual results and relay members' rows as one table; what one side does not have is null."""
+    return individual.unionByName(relay_rows, allowMissingColumns=True)
+
+
 def observation(rows: DataFrame, schedule: DataFrame) -> DataFrame:
-    """DQ9: results of each day and event with a content hash each; ambiguous says that a key has several rows."""
-    key = ["file_name", "event_id", "athlete_id", "heat_id"]
-    hashed = rows.withColumn("record_hash", F.sha2(F.to_json(F.struct("time_seconds", "status", "lane", "comment"), {"ignoreNullFields": "false"}), 256))
-    found = hashed.groupBy(*key).agg(F.min("record_hash").alias("record_hash"), (F.count(F.lit(1)) > 1).alias("ambiguous"))
-    return found.join(schedule.select("file_name", "event_id", "date"), ["file_name", "event_id"], "left")
+    """DQ9: each result with its date, its key and the hash of what it says: (file_name, key, date, record_hash, undated, ambiguous).
+
+    The key is the result's id, or else who, event, heat and lane; without either it is
+    ambiguous, and so is one that several results have. undated: the event or its day is unknown.
+    """
+    day = schedule.select("file_name", "event_id", "date").distinct()
+    known = F.coalesce("result_id", F.concat_ws("/", F.lit("by"), "athlete_id", "event_id", F.coalesce("heat_id", F.lit("")), F.coalesce(F.col("lane").cast("string"), F.lit(""))))
+    hashed = rows.select(
+        "file_name", "event_id", known.alias("key"), (F.col("result_id").isNull() & F.col("athlete_id").isNull()).alias("_nobody"),
+        F.sha2(F.to_json(F.struct("event_id", "athlete_id", "time_seconds", "status", "lane", "comment"), {"ignoreNullFields": "false"}), 256).alias("record_hash"),
+    ).join(day, ["file_name", "event_id"], "left")
+    by = hashed.groupBy("file_name", "key").agg(F.max("record_hash").alias("record_hash"), F.min("date").alias("date"), F.bool_or(F.col("date").isNull()).alias("undated"), (F.bool_or("_nobody") | (F.count(F.lit(1)) > 1)).alias("ambiguous"))
+    return by.select("file_name", "key", "date", "record_hash", "undated", "ambiguous")
+
+
+def observation_counts(observed: DataFrame, schedule: DataFrame) -> DataFrame:
+    """DQ9: for each file how many results, undated and ambiguous ones, sessions' events without a date, and events without results."""
+    by = observed.groupBy("file_name").agg(F.count(F.lit(1)).alias("results"), F.count_if("undated").alias("undated"), F.count_if("ambiguous").alias("ambiguous"))
+    planned = schedule.groupBy("file_name").agg(F.count_distinct("event_id").alias("events"), F.count_if(F.col("date").isNull()).alias("events_without_date"))
+    return planned.join(by, "file_name", "left").fillna(0, ["results", "undated", "ambiguous"])

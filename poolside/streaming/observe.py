@@ -14,35 +14,77 @@ from ..operators.dedup import pick_first
 from ..operators.delta import upsert
 from ..sources.tables import PartitionedTable
 
-CHANGES = "live_id string, key string, state string, hash string"
+CHANGES = "live_id string, observation long, key string, state string, hash string, added long, removed long, changed long, unchanged long"
 
 
 class Observed(StatefulProcessor):
-    """ST1: per watched source a map of key to hash; emits added and changed keys.
+    """ST1, DQ10: per watched source the accepted baseline and what was seen last, as maps of key to hash.
 
-    Keys that an observation lacks are not forgotten: a partial source never deletes.
+    An observation is complete: a key that it lacks was removed. One that removes
+    something, or has problems of its own (undated or ambiguous results, sessions without a date),
+    is held and does not replace the baseline, so the next one is compared with
+    what was accepted; an empty one is never accepted. A release accepts what was seen last.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.known = handle.getMapState("known", "key string", "hash string")
+        self.accepted = handle.getMapState("accepted", "key string", "hash string")
+        self.seen = handle.getMapState("seen", "key string", "hash string")
+
+    @staticmethod
+    def _all(state) -> dict[str, str]:  # noqa: ANN001
+        return {k[0]: v[0] for k, v in state.iterator()}
+
+    @staticmethod
+    def _put(state, rows: dict[str, str]) -> None:  # noqa: ANN001
+        state.clear()
+        for k, v in rows.items():
+            state.updateValue((k,), (v,))
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803, ANN001
-        for frame in rows:
-            out = []
-            for k, h in zip(frame["key"], frame["hash"], strict=True):
-                old = self.known.getValue((k,)) if self.known.containsKey((k,)) else None
-                if old is None or old[0] != h:
-                    out.append((key[0], k, "added" if old is None else "changed", h))
-                    self.known.updateValue((k,), (h,))
-            if out:
-                yield pd.DataFrame(out, columns=["live_id", "key", "state", "hash"])
+        found: dict[int, dict[str, str]] = {}
+        problems: dict[int, int] = {}
+        released: set[int] = set()
+        for frame in rows:  # one source's rows of a batch: a meet's results
+            for n, k, h, p, r in zip(frame["observation"], frame["key"], frame["hash"], frame["problems"], frame["release"], strict=True):
+                own = found.setdefault(int(n), {})
+                problems[int(n)] = problems.get(int(n), 0) + int(p or 0)
+                if r:
+                    released.add(int(n))
+                if k is not None and k == k:  # no NaN
+                    own[k] = h
+        out: list[tuple] = []
+        before = self._all(self.accepted)
+        for n in sorted(found):
+            if n in released:
+                before = self._all(self.seen)
+                self._put(self.accepted, before)
+                out.append((key[0], n, None, "released", None, 0, 0, 0, len(before)))
+                continue
+            after = found[n]
+            states = {k: "added" if k not in before else "changed" if before[k] != h else "unchanged" for k, h in after.items()} | {k: "removed" for k in before if k not in after}
+            count = lambda s: sum(v == s for v in states.values())  # noqa: E731, B023
+            added, removed, changed, unchanged = map(count, ("added", "removed", "changed", "unchanged"))
+            held = removed or problems[n]
+            decision = "held" if held else "waiting" if not after else "new" if not before else "changed" if added or changed else "unchanged"
+            out.append((key[0], n, None, decision, None, added, removed, changed, unchanged))
+            out += [(key[0], n, k, s, after.get(k), None, None, None, None) for k, s in sorted(states.items()) if s != "unchanged"]
+            self._put(self.seen, after)
+            if after and not held:
+                self._put(self.accepted, after)
+                before = after
+        yield pd.DataFrame(out, columns=[c.split()[0] for c in CHANGES.split(", ")]).astype({c: "Int64" for c in ("added", "removed", "changed", "unchanged")})
 
     def close(self) -> None:
         pass
 
 
 def observed_changes(observations: DataFrame) -> DataFrame:
-    """ST1: changes of a stream of (live_id, key, hash). Needs the RocksDB state store."""
+    """ST1: decisions and changes of a stream of (live_id, observation, key, hash, problems, release). Needs the RocksDB state store.
+
+    A row without a key stands for an observation without results, or carries its problems,
+    or releases what is held. Each observation gives a row with its decision and counts, and one
+    for each key that was added, changed or removed.
+    """
     return observations.groupBy("live_id").transformWithStateInPandas(Observed(), CHANGES, "Append", "None")
 
 

@@ -154,19 +154,99 @@ def test_only_touched_partitions_are_rewritten(spark, tmp_path):
     assert {tuple(r) for r in table.read().collect()} == {r for r in now if r[0] not in (None, "a:b", "new")} | {tuple(r) for r in changes.collect()}
 
 
-def test_observed_changes_keep_state(spark, tmp_path):
-    """ST1 over two runs of one stream with the RocksDB store; a key that is missing later is not forgotten."""
-    schema = "live_id string, key string, hash string"
+def test_observed_changes_keep_the_accepted_baseline(spark, tmp_path):
+    """ST1 over runs of one stream with the RocksDB store: a source that loses results, or is ambiguous, is held and replaces nothing until it is released."""
+    schema = "live_id string, observation long, key string, hash string, problems int, release boolean"
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-    steps = [[("m", "1", "a"), ("m", "2", "b")], [("m", "1", "a2"), ("n", "1", "x")], [("m", "2", "b"), ("m", "1", "a2")]]
-    for k, rows in enumerate(steps):
+    row = lambda n, k, h, problems=0, live="m": (live, n, k, h, problems, False)
+    steps = [
+        [row(1, "1", "a"), row(1, "2", "b"), row(1, "1", "x", live="n")], [row(2, "1", "a2")], [row(3, "1", "a2"), row(3, "2", "b"), row(4, "1", "a3"), row(4, "2", "b", 1)],
+        [row(5, None, None)], [row(6, "1", "a3")], [("m", 7, None, None, 0, True), row(8, "1", "a3")],
+    ]
+    write = lambda df, n: df.write.mode("append").parquet(f"{tmp_path}/out")
+    for rows in steps:
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
         changes = observe.observed_changes(observe.observations(spark, f"{tmp_path}/in", schema))
-        write = lambda df, n: df.write.mode("append").parquet(f"{tmp_path}/out")
         changes.writeStream.foreachBatch(write).option("checkpointLocation", f"{tmp_path}/ck").outputMode("append").trigger(availableNow=True).start().awaitTermination()
-        seen = sorted(tuple(r) for r in spark.read.parquet(f"{tmp_path}/out").collect())
-        assert len(seen) == (2, 4, 4)[k]
-    assert seen == [("m", "1", "added", "a"), ("m", "1", "changed", "a2"), ("m", "2", "added", "b"), ("n", "1", "added", "x")]
+    seen = spark.read.parquet(f"{tmp_path}/out").where("live_id = 'm'").collect()
+    decisions = {r.observation: (r.state, r.added, r.removed, r.changed, r.unchanged) for r in seen if r.key is None}
+    assert decisions == {1: ("new", 2, 0, 0, 0), 2: ("held", 0, 1, 1, 0), 3: ("changed", 0, 0, 1, 1), 4: ("held", 0, 0, 1, 1), 5: ("held", 0, 2, 0, 0), 6: ("held", 0, 1, 1, 0), 7: ("released", 0, 0, 0, 1), 8: ("unchanged", 0, 0, 0, 1)}
+    assert {(r.observation, r.key, r.state, r.hash) for r in seen if r.key and r.observation in (2, 3)} == {(2, "1", "changed", "a2"), (2, "2", "removed", None), (3, "1", "changed", "a2")}
+
+
+def test_packages_are_judged_whole(spark):
+    """DQ1: identities, races, digests of events, envelopes."""
+    from poolside.functions import canonical
+
+    event = "struct<distance:int,stroke:string,gender:string,pool_length:int,key:string>"
+    race = "struct<source_id:int,swimmer_key:string,event_key:string,heat:int,result_date:date,event_round:string,is_relay:boolean,relay_count:int>"
+    key = __import__("hashlib").sha256(b'{"distance":100,"gender":"F","pool_length":50,"stroke":"FREE"}').hexdigest()
+    good = ([("SUI",)], [("s", "SUI"), ("t", None)], [("s", "SUI", "1")], [(100, "FREE", "F", 50, key)], [(1, "s", key, None, None, "TIM", False, None), (2, "t", key, None, None, "TIM", False, None)], [(1, 1), (1, 2)])
+    bad = ([("SUI",), ("SUI",)], [("s", "AUT")], [("x", "GER", "1"), ("s", "SUI", "1"), ("s", "SUI", "1")], [(50, "FREE", "F", 50, key)], [(0, "s", key, None, None, "TIM", False, None), (5, "s", key, None, None, "TIM", False, None), (5, "?", "?", 1, None, "TIM", False, None)], [(5, 1), (5, 1), (9, 1)])
+    docs = spark.createDataFrame([(1, *good), (2, *bad)], f"meet_id int, countries array<struct<code:string>>, swimmers array<struct<swimmer_id:string,country_code:string>>, aliases array<struct<swimmer_key:string,source_country_code:string,source_swimmer_id:string>>, events array<{event}>, results array<{race}>, splits array<struct<source_result_id:int,split_order:int>>")
+    found = {(r.meet_id, r.part, r.issue): r.n for r in packages.package_issues(docs).collect()}
+    assert found == {
+        (2, "countries", "repeated_key"): 1, (2, "swimmers", "no_countries"): 1, (2, "aliases", "repeated_key"): 1, (2, "aliases", "no_swimmers"): 1, (2, "aliases", "no_countries"): 1, (2, "events", "wrong_key"): 1, (2, "results", "repeated_key"): 1,
+        (2, "results", "repeated_race"): 1, (2, "results", "no_swimmers"): 1, (2, "results", "no_events"): 1, (2, "results", "bad_source_id"): 1, (2, "splits", "repeated_key"): 1, (2, "splits", "no_results"): 1,
+    }
+    sealed = docs.where("meet_id = 1").select(F.struct("events", "countries", "meet_id").alias("payload"))
+    sealed = sealed.withColumn("sha256", canonical.digest_of(canonical.canonical_json(F.col("payload"), sealed.schema["payload"].dataType)))
+    turned = sealed.select(F.struct("payload.meet_id", "payload.countries", "payload.events").alias("payload"), "sha256")
+    envelope = lambda rows, publisher, revision, previous: rows.withColumns({"publisher": F.lit(publisher), "revision": F.lit(revision), "previous": F.lit(previous).cast("string")})
+    issues = lambda *a: [i for r in packages.envelope_issues(envelope(*a)).collect() for i in r.issues]
+    assert issues(turned, "a-b", 1, None) == [] and issues(sealed, "a", 2, "f" * 64) == []
+    assert issues(turned.withColumn("sha256", F.lit("0" * 64)), "A b", 2, None) == ["bad_publisher", "bad_chain", "bad_checksum"] and issues(turned, "a", 0, "f" * 64) == ["bad_revision"]
+
+
+def test_canonical_text_equals_that_of_the_standard_library(spark):
+    import decimal
+    import json
+
+    from poolside.functions import canonical
+
+    kind = "struct<b:struct<z:string,a:array<int>>,a:decimal(6,2),`é`:boolean,m:map<string,date>,n:string,e:array<struct<q:string>>>"
+    texts = ["plain", 'q"\\uote', "\n\r\t\f\b\x01\x1f\x7f/", "é 日本 👍 \u2028", "", None]
+    import datetime
+
+    day = datetime.date(2026, 3, 1)
+    values = [((t, [1, None]), decimal.Decimal("-1.50"), True, {"z": day, "a": None}, t, [(t,), None]) for t in texts] + [((None, None), None, None, None, None, []), (None, decimal.Decimal("0.00"), False, {}, "x", None)]
+    plain = [None if v is None else {"b": None if v[0] is None else {"z": v[0][0], "a": v[0][1]}, "a": v[1], "é": v[2], "m": v[3], "n": v[4], "e": None if v[5] is None else [None if x is None else {"q": x[0]} for x in v[5]]} for v in values]
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
+    for style, options in ((canonical.COMPACT, {"separators": (",", ":"), "ensure_ascii": False}), (canonical.SPACED, {})):
+        got = [r.t for r in table.orderBy("i").select(canonical.canonical_json(F.col("v"), table.schema["v"].dataType, style).alias("t")).collect()]
+        assert got == [json.dumps(p, sort_keys=True, default=str, **options) for p in plain]
+    with pytest.raises(TypeError):
+        canonical.canonical_json(F.lit(1.5), spark.range(1).select(F.lit(1.5).alias("x")).schema["x"].dataType)
+
+
+def test_ids_are_given_out_without_gaps(spark):
+    from poolside.operators.ids import allocate
+
+    rows = spark.createDataFrame([(None if i % 50 == 0 else f"k{i}", i) for i in range(500)], "a string, b int").repartition(7)
+    taken = spark.createDataFrame([(41,), (7,)], "id long")
+    first, second = allocate(rows, ["a", "b"], taken).collect(), allocate(rows.repartition(2), ["a", "b"], taken).collect()
+    assert sorted(r.id for r in first) == list(range(42, 542)) and {tuple(r) for r in first} == {tuple(r) for r in second}
+    assert [r.id for r in allocate(rows.limit(1), ["a", "b"], taken.limit(0)).collect()] == [1]
+
+
+def test_a_wrong_override_is_refused(spark):
+    from poolside.functions import canonical
+    from poolside.operators import planning
+
+    row = "live_id int, row_no int, source_kind string, first_name string, last_name string, birth_year int, gender string, club string, nation string, athlete_id string"
+    rows = spark.createDataFrame([(1, 1, "pdf", "Mia", "K", 2014, "F", "c", "SUI", None)], row)
+    swimmers = spark.createDataFrame([(5, "S5", " MIA", "k", 2014, "F", "SUI"), (6, "S6", "Mia", "K", 2014, "F", "AUT"), (7, "S7", "Lea", "K", 2014, "F", "SUI")], "id long, swimmer_id string, first_name string, last_name string, birth_year int, gender string, country_code string")
+    aliases = spark.createDataFrame([], "source_country_code string, source_swimmer_id string, swimmer_pk long")
+    key = rows.select(canonical.identity_key(*(F.col(c) for c in ("first_name", "last_name", "birth_year", "gender", "club"))).alias("identity_key"))
+    found = lambda pk: planning.identified(rows, swimmers, aliases, key.withColumn("swimmer_pk", F.lit(pk).cast("long"))).select("candidates", "swimmer_pk").collect()
+    assert [tuple(r) for r in found(6)] == [(1, 6)]
+    assert [tuple(r) for r in planning.identified(rows, swimmers, aliases).select("candidates", "swimmer_pk").collect()] == [(2, None)]
+    with pytest.raises(Exception, match="reviewed identity does not match"):
+        found(7)
+    inside = rows.selectExpr("*", "date'2026-03-01' AS start_date", "date'2026-03-02' AS end_date", "date'2026-03-02' AS event_date")
+    assert planning.selected_days(inside, ["2026-03-02"]).count() == 1
+    with pytest.raises(Exception, match="outside the meet"):
+        planning.selected_days(inside, ["2026-03-05"]).collect()
 
 
 def test_live_pages(spark):
