@@ -68,6 +68,12 @@ def usable(first: Column, last: Column, birth_year: Column, event: Column, secon
     return F.coalesce(first, last).isNotNull() & birth_year.isNotNull() & event.isNotNull() & seconds.isNotNull()
 
 
+def reject_counts(rows: DataFrame, *keys: str) -> DataFrame:
+    """FL7: (keys, reason, n): rows that cannot be used, each counted under the first thing that it lacks: name, birth_year, event or time."""
+    lacks = F.when(F.coalesce("first_name", "last_name").isNull(), "no_name").when(F.col("birth_year").isNull(), "no_birth_year").when(F.col("event_id").isNull(), "unknown_event").when(F.col("time_seconds").isNull(), "no_time")
+    return rows.select(*keys, lacks.alias("reason")).where("reason IS NOT NULL").groupBy(*keys, "reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 def timed_relay(seconds: Column) -> Column:
     """FL8"""
     return seconds > 0

@@ -214,6 +214,17 @@ def composite_key(*columns: Column) -> Column:
     return F.concat_ws(":", *columns)
 
 
+def population_key(distance: Column, stroke: Column, course: Column, sex: Column, age_group: Column) -> Column:
+    """FN24: distance:stroke:course:gender, and the age group unless it is everybody's (X_X)."""
+    return F.concat_ws(":", distance, stroke, course, sex, F.nullif(age_group, F.lit("X_X")))
+
+
+def category_title(sex: Column, age_group: Column) -> Column:
+    """FN24: 'Women, Open', 'Men, 11 years and younger', 'Women, 12 years'."""
+    ages = F.when(age_group == "X_X", "Open").when(age_group == "X_11", "11 years and younger").otherwise(F.concat(F.split(age_group, "_")[0], F.lit(" years")))
+    return F.concat(F.when(sex == "F", "Women").otherwise("Men"), F.lit(", "), ages)
+
+
 #: Stroke names in several languages.
 STROKE_NAMES = {
     "FREE": "free freestyle freistil libre crawl fr freestyle_relay",

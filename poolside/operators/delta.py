@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .dedup import pick_first
+from .ids import allocate
 
 OVERWRITE, KEEP_IF_NULL, NEVER, FILL_NULL, GREATEST, LEAST = "overwrite", "keep_if_null", "never", "fill_null", "greatest", "least"
 
@@ -64,6 +65,16 @@ def insert_if_absent(target: DataFrame, incoming: DataFrame, keys: list[str]) ->
     return target.unionByName(new.select(*target.columns))
 
 
+def with_dimension(dimension: DataFrame, wanted: DataFrame, keys: list[str], id_col: str = "id") -> DataFrame:
+    """SNK13: the dimension with a row and a new id for each key that it does not have; other columns of new rows are null.
+
+    Rows with a null in a key name nothing and are left out.
+    """
+    named = wanted.select(*keys).distinct().dropna(subset=keys)
+    new = allocate(named.join(dimension.select(*keys), keys, "left_anti"), keys, dimension.select(id_col), id_col)
+    return dimension.unionByName(new, allowMissingColumns=True)
+
+
 def replace_children(children: DataFrame, incoming: DataFrame, parent: str) -> DataFrame:
     """SNK5: all children of parents that have incoming ones are replaced."""
     return children.join(incoming.select(parent).distinct(), parent, "left_anti").unionByName(incoming.select(*children.columns))

@@ -125,6 +125,37 @@ def athletes_regressed(old: DataFrame, new: DataFrame) -> DataFrame:
     return o.join(n, keys, "left").where(F.col("new_cs").isNull() | (F.col("new_cs") > F.col("old_cs")))
 
 
+def provenance_issues(populations: DataFrame) -> DataFrame:
+    """DQ2: (key, issue) by what each population says of itself: key, course, gender, age_group, captured_at, built, rows, pages.
+
+    Rows: athlete_id, result_id, first_name, last_name, birth_year, date, time_cs, is_split;
+    pages: offset, source_url, sha256. Judged by array functions, nothing is shuffled.
+    """
+    from .quality import AGE_GROUPS, age_fits
+
+    c = F.col
+    blank = lambda x: F.coalesce(F.trim(x) == "", F.lit(True))
+    year = lambda r: F.year(r["date"])
+    url = lambda p, part, key=None: F.try_parse_url(p["source_url"], F.lit(part), *([F.lit(key)] if key else []))
+    digits = lambda x: F.coalesce(x.rlike(r"^\d+$"), F.lit(False))
+    page_ok = lambda p: (url(p, "PROTOCOL") == "https") & (url(p, "QUERY", "firstPlace") == p["offset"].cast("string")) & digits(url(p, "QUERY", "rankingClubId")) & p["sha256"].rlike("^[a-f0-9]{64}$")
+    rules = [
+        ("bad_category", c("course").isin("SCM", "LCM") & c("gender").isin("F", "M") & c("age_group").isin(*AGE_GROUPS)), ("bad_timestamp", c("captured_at").rlike(r"^\d{4}-\d\d-\d\dT.*(Z|[+-]\d\d:\d\d)$") & c("built").startswith("Last built ")),
+        ("bad_page", F.forall("pages", lambda p: F.coalesce(page_ok(p), F.lit(False)))),
+        ("bad_row", F.forall("rows", lambda r: digits(r["athlete_id"]) & digits(r["result_id"]) & ~blank(r["first_name"]) & ~blank(r["last_name"]) & F.coalesce((r["time_cs"] > 0) & (r["birth_year"] > 1800) & (r["birth_year"] <= year(r)), F.lit(False)) & r["is_split"].isNotNull())),
+        ("wrong_age", F.forall("rows", lambda r: age_fits(year(r) - r["birth_year"], c("age_group")))), ("future_row", F.forall("rows", lambda r: F.coalesce(r["date"] <= F.to_date(F.substring("captured_at", 1, 10)), F.lit(False)))),
+    ]
+    broken = F.array_compact(F.array(*(F.when(~F.coalesce(ok, F.lit(False)), name) for name, ok in rules)))
+    return populations.select("key", F.explode(broken).alias("issue"))
+
+
+def truncated_exports(categories: DataFrame, rows: DataFrame, key: str = "key") -> DataFrame:
+    """DQ5: categories whose rows are not as many as their source says."""
+    found = rows.groupBy(key).agg(F.count(F.lit(1)).alias("found"))
+    out = categories.select(key, "source_rows").join(found, key, "left").withColumn("found", F.coalesce("found", F.lit(0)))
+    return out.where(~F.col("found").eqNullSafe(F.col("source_rows")))
+
+
 def export_issues(rows: DataFrame, stated: DataFrame, keys: list[str], who: list[str]) -> DataFrame:
     """DQ5: stated holders that are none, and holders that are not stated."""
     true = holders(rows, keys, who=who)

@@ -13,7 +13,7 @@ from ..functions import scalars as S
 from ..operators import dedup, delta, match, packages, quality, rankings, resolve, summary
 from ..sources import pages as html
 from ..sources.shared import settled
-from . import checks, deliveries, filters, planning  # noqa: F401  they register their queries
+from . import checks, deliveries, filters, planning, upkeep  # noqa: F401  they register their queries
 from . import views as V
 from .registry import oracle_sql, queries, query  # noqa: F401
 

@@ -4,20 +4,29 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def settled(df: DataFrame) -> DataFrame:
-    """df, computed once and written to ``spark.checkpoint.dir``, for operators that use it several times.
-
-    A temporary folder is made only for local runs in which nothing is set.
-    """
-    spark = df.sparkSession
+def folder(spark: SparkSession) -> str:
+    """``spark.checkpoint.dir``; a temporary folder is made only for local runs in which nothing is set."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        named = spark.conf.get("spark.checkpoint.dir", None)
-        if named is None and not re.match(r"local(\[|$)", context.master):
+    if named is None and context.getCheckpointDir() is None:
+        if not re.match(r"local(\[|$)", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(named or "file://" + tempfile.mkdtemp(prefix="poolside-"))
+        named = "file://" + tempfile.mkdtemp(prefix="poolside-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
+    return (named or context.getCheckpointDir()).rstrip("/")
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    return f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """df, computed once and written to the shared folder, for operators that use it several times."""
+    folder(df.sparkSession)
     return df.checkpoint(eager=True)
