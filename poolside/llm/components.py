@@ -74,5 +74,5 @@ def one_of_each(docs: DataFrame, nodes: DataFrame, links: DataFrame, id_col: str
     first = nodes.groupBy("node").agg(F.min(order).alias("best"))
     best = first.join(components(links), "node", "left").groupBy(F.coalesce("root", "node")).agg(F.min("best").alias("best"))
     keys = ["unknown", "id", "mark"]
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(id_col).isNull().alias("unknown"), F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")).alias("id"), mark_of(F.col(text_col)).alias("mark"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(id_col).isNull().alias("unknown"), F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")).alias("id"), mark_of(F.col(text_col)).alias("mark"))
     return rows.join(best.select(*(f"best.{k}" for k in keys)), keys, "left_semi").dropDuplicates(keys).select("row.*")

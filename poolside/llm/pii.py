@@ -267,6 +267,10 @@ def aggregate_votes(counts: dict[int, int], rounds: int = 60) -> tuple[np.ndarra
     return patterns, post, table
 
 
+#: Counts of vote patterns are scaled down until the largest is no more than this: Newton steps then stay well conditioned beside the prior.
+LARGEST_COUNT = 1e6
+
+
 def fit_classifier(counts: dict[int, int]) -> SpanClassifier:
     """A logistic classifier trained on the posteriors, by Newton steps over the patterns."""
     every = np.arange(len(ADDED) * 3**LABELERS)
@@ -277,7 +281,8 @@ def fit_classifier(counts: dict[int, int]) -> SpanClassifier:
         table = np.full((LABELERS, 2, 3), 1 / 3)
     else:
         patterns, post, table = aggregate_votes(counts)
-        x, n = features[patterns], np.minimum(np.array([counts[p] for p in patterns.tolist()], float), 1e6)
+        n = np.array([counts[p] for p in patterns.tolist()], float)
+        x, n = features[patterns], n * min(1.0, LARGEST_COUNT / n.max())  # one factor for all, so that their weights keep their relation
         w = np.zeros(x.shape[1])
         for _ in range(40):
             p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))

@@ -19,6 +19,7 @@ import bisect
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -38,6 +39,8 @@ FOOTER = struct.Struct("<QQQQQQIIq8s")
 ENTRY = struct.Struct("<BBI")
 INDEX = struct.Struct("<QIIIQ9s")
 BITS_A_KEY, PROBES = 10, 7
+#: Text of a shard; its tokens take less.
+SHARD_BYTES = 256_000_000
 MANIFEST = "path string, shard long, documents long, tokens long, bytes long"
 
 
@@ -51,7 +54,10 @@ def key_id(key: bytes) -> int | None:
 
 
 def _probes(key: bytes, bits: int) -> list[int]:
-    h = xxhash.xxh64_intdigest(key)
+    return _places(xxhash.xxh64_intdigest(key), bits)
+
+
+def _places(h: int, bits: int) -> list[int]:
     a, b = h & 0xFFFFFFFF, (h >> 32) | 1
     return [(a + i * b) % bits for i in range(PROBES)]
 
@@ -65,7 +71,7 @@ class ShardWriter:
         self.block, self.filled, self.in_block, self.ids_in_block = [], 0, 0, 0
         self.last, self.at, self.documents, self.ids = b"", 0, 0, 0
         self.index: list[bytes] = []
-        self.keys: list[bytes] = []
+        self.hashes = array("Q")  # eight bytes a document, for the Bloom filter
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
         key = key_bytes(doc_id)
@@ -81,7 +87,7 @@ class ShardWriter:
         self.in_block += 1
         self.ids_in_block += n
         self.last = key
-        self.keys.append(key)
+        self.hashes.append(xxhash.xxh64_intdigest(key))
         if self.filled >= self.block_bytes:
             self.close_block()
 
@@ -99,10 +105,10 @@ class ShardWriter:
 
     def close(self) -> None:
         self.close_block()
-        bits = max(64, BITS_A_KEY * len(self.keys))
+        bits = max(64, BITS_A_KEY * len(self.hashes))
         bloom = np.zeros(-(-bits // 8), np.uint8)
-        for key in self.keys:
-            for p in _probes(key, bits):
+        for h in self.hashes:
+            for p in _places(h, bits):
                 bloom[p >> 3] |= 1 << (p & 7)
         index = b"".join(self.index)
         self.stream.write(index)
@@ -172,14 +178,18 @@ def write_shards(
 ) -> DataFrame:
     """Encode and write all documents; the manifest, one row for each shard file.
 
-    Shards are ranges of ids, so their order is the order of ids; rows with a null
+    There is a shard for every :data:`SHARD_BYTES` of text, and as many as Spark has shuffle
+    partitions at least. Shards are ranges of ids, so their order is the order of ids; rows with a null
     id come first, and rows with one id stay together in any order. A null text has
     the end id alone. An empty table gives an empty manifest. The manifest is
     written when all shards are, and names only files of tasks that succeeded.
     """
     spark = docs.sparkSession
     texts = keyed_texts(docs, id_col, text_col)
-    ordered = texts.repartitionByRange(shards or partitions(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
+    if shards is None:
+        total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        shards = max(partitions(spark), -(-total // SHARD_BYTES))
+    ordered = texts.repartitionByRange(shards, F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first())
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = encoder(tokenizer)

@@ -557,7 +557,7 @@ def remove_repeated(
     last = (1 << 63) - 1
     others = [docs.schema[c] for c in docs.columns if c != text_col] if carry else []
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rest = [F.struct(*(F.col(f.name) for f in others)).alias("rest")] if carry else []
+    rest = [F.struct(*(F.col(f"`{f.name}`") for f in others)).alias("rest")] if carry else []
     base = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(last)).alias("doc_id"), F.col(id_col).isNotNull().alias("known"), text.alias("text"), F.unhex(F.sha2(text, 256)).alias("sha"), *rest)
     total = keyed_texts(docs, id_col, text_col).agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # ranges follow the data, and so do chunks, up to a bound, for every chunk sends a run to every range

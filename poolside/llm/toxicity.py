@@ -244,16 +244,17 @@ def score_texts(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.7
 
 
 def reject_toxic(docs: DataFrame, model: ToxicityModel, *, threshold: float = 0.7, text_col: str = "text") -> DataFrame:
-    """The rows of docs that score below the threshold, in a filter without a shuffle."""
+    """The rows of docs that score below the threshold, in a filter without a shuffle; other columns may have any name."""
 
     width = docs.columns.index(text_col)
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # mapInArrow() looks names up, and a dot would part them
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, grammar = Lexicon(model.insults), Grammar()
         for batch in batches:
-            for rows in slices(batch, text_col):
+            for rows in slices(batch, f"c{width}"):
                 x = np.array([features(t or "", lexicon, grammar) for t in rows.column(width).to_pylist()]).reshape(-1, FEATURES)
                 yield rows.filter(pa.array(model.probability(x) < threshold))
             give_back()
 
-    return docs.mapInArrow(keep, docs.schema)
+    return plain.mapInArrow(keep, plain.schema).toDF(*docs.columns)

@@ -97,10 +97,16 @@ class UrlModel:
     rates: dict[str, DataFrame]
     base: float
 
-    def features(self, urls: DataFrame) -> DataFrame:
-        """Suffix statistics joined on, and all features in one vector."""
+    def features(self, urls: DataFrame, own: str | None = None) -> DataFrame:
+        """Suffix statistics joined on, and all features in one vector.
+
+        ``own`` names the label of rows that the statistics were counted over: it is taken
+        out of them for the row itself, so that they cannot tell it.
+        """
         for key, table in self.rates.items():
-            urls = urls.join(table, key, "left").withColumn(f"{key}_rate", F.coalesce(f"{key}_rate", F.lit(self.base)))
+            mine, one = (F.col(own), F.lit(1)) if own else (F.lit(0.0), F.lit(0))
+            rate = (F.col("_good") - mine + 5 * self.base) / (F.col("_n") - one + 5)
+            urls = urls.join(table, key, "left").withColumn(f"{key}_rate", F.coalesce(rate, F.lit(self.base))).drop("_good", "_n")
         return VectorAssembler(inputCols=[*NUMBERS, *(f"{k}_rate" for k in self.rates)], outputCol="features").transform(urls)
 
 
@@ -108,7 +114,7 @@ def train(labelled: DataFrame, *, sample: int = 50_000, trees: int = 8, depth: i
     """Fit the trees to URLs with a verdict in ``ruled``, about ``sample`` of them by a hash of the URL.
 
     Suffix statistics are the shares of allowed URLs of every suffix, domain and first
-    folder, counted over all URLs with a verdict.
+    folder, counted over all URLs with a verdict; the trees see each URL's without itself.
     """
     known = labelled.where("ruled is not null").withColumn("label", (F.col("ruled") == "allow").cast("double"))
     totals = known.agg(F.avg("label").alias("rate"), F.count("label").alias("n")).first()
@@ -117,14 +123,14 @@ def train(labelled: DataFrame, *, sample: int = 50_000, trees: int = 8, depth: i
     for key in ("suffix", "domain", "folder"):
         counted = known.groupBy(key).agg(F.sum("label").alias("good"), F.count("label").alias("n"))
         path = fresh_path(labelled.sparkSession, f"rates-{key}")  # written, so that Spark knows the size and decides on the join
-        counted.select(key, ((F.col("good") + 5 * base) / (F.col("n") + 5)).alias(f"{key}_rate")).write.parquet(path)
+        counted.select(key, F.col("good").alias("_good"), F.col("n").alias("_n")).write.parquet(path)
         rates[key] = labelled.sparkSession.read.parquet(path)
     share = min(1.0, sample / max(1, size))
     some = known.where(F.pmod(F.xxhash64("host", "path", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))
     model = UrlModel(None, rates, base)
     if not 0 < base < 1:
         return model
-    fitted = GBTClassifier(labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, stepSize=0.4, seed=seed).fit(model.features(some).select("features", "label"))
+    fitted = GBTClassifier(labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, stepSize=0.4, seed=seed).fit(model.features(some, "label").select("features", "label"))
     return UrlModel(fitted, rates, base)
 
 
