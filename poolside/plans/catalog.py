@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates as P
 from ..functions import scalars as S
+from ..functions.canonical import canonical_rows
 from ..operators import dedup, delta, match, packages, quality, rankings, resolve, summary
 from ..sources import pages as html
 from ..sources.shared import settled
@@ -252,19 +253,18 @@ def snapshot_apply(spark, sf):
     return delta.apply_snapshot(rows, rows.where("l_orderkey % 10 = 3 and l_linenumber > 2"), scopes, rows.columns)
 
 
-@query("""WITH k AS (SELECT * FROM lineitem WHERE l_linenumber = 1 AND l_orderkey % 2 = 0) SELECT l_orderkey, count(*) AS n FROM
- (SELECT l_orderkey FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM k) UNION ALL SELECT l_orderkey FROM k) GROUP BY 1""")
+@query("""WITH k AS (SELECT * FROM lineitem WHERE l_linenumber = 1 AND l_orderkey % 2 = 0) SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM lineitem WHERE l_orderkey NOT IN (SELECT l_orderkey FROM k)
+ UNION ALL SELECT l_orderkey, l_linenumber, -l_partkey, l_suppkey, l_quantity FROM k""")
 def children_replaced(spark, sf):
-    rows = V.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    return quality.counts(delta.replace_children(rows, rows.where("l_linenumber = 1 and l_orderkey % 2 = 0"), "l_orderkey"), "l_orderkey")
+    rows = V.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
+    new = rows.where("l_linenumber = 1 and l_orderkey % 2 = 0").withColumn("l_partkey", -F.col("l_partkey"))
+    return delta.replace_children(rows, new, "l_orderkey")
 
 
-@query(f"""WITH {_TWO} SELECT c_nationkey, count(*) AS n, round(sum(c_acctbal), 2) AS balance FROM
- (SELECT t.* FROM t WHERE c_nationkey NOT IN (SELECT c_nationkey FROM t GROUP BY 1 INTERSECT SELECT c_nationkey FROM i GROUP BY 1) UNION ALL SELECT * FROM i) GROUP BY 1""")
+@query(f"""WITH {_TWO} SELECT t.* FROM t WHERE c_nationkey NOT IN (SELECT c_nationkey FROM t GROUP BY 1 INTERSECT SELECT c_nationkey FROM i GROUP BY 1) UNION ALL SELECT * FROM i""")
 def partitions_replaced(spark, sf):
     target, incoming = _two_versions(spark, sf)
-    out = delta.replace_partitions(target, incoming, ["c_nationkey"], ["c_custkey", "c_name", "c_acctbal"])
-    return out.groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+    return delta.replace_partitions(target, incoming, ["c_nationkey"], ["c_custkey", "c_name", "c_acctbal"])
 
 
 _PARTS = ", ".join(f"CAST(sum(CAST(('0x' || substr(h, {1 + 8 * k}, 8)) AS BIGINT)) AS BIGINT)" for k in range(4))
@@ -501,9 +501,9 @@ def days_without_results(spark, sf):
 # --- pages and texts ---------------------------------------------------------------------
 
 
-@query(r"""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\b[^>]*href="([^"]*)"[^>]*>.*?</a>', 1)) AS href FROM pages) SELECT page_id, count(*) AS links, count(DISTINCT href) AS targets FROM a GROUP BY 1""")
+@query(r"""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\b[^>]*href="([^"]*)"[^>]*>.*?</a>', 1)) AS href FROM pages) SELECT page_id, href, count(*) AS links FROM a GROUP BY ALL""")
 def link_inventory(spark, sf):
-    return html.links(V.table(spark, sf, "pages"), ["page_id"]).groupBy("page_id").agg(F.count("href").alias("links"), F.countDistinct("href").alias("targets"))
+    return html.links(V.table(spark, sf, "pages"), ["page_id"]).groupBy("page_id", "href").agg(F.count("label").alias("links"))
 
 
 @query(r"""WITH a AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\b[^>]*href="([^"]*)"[^>]*>.*?</a>', 1)) AS href FROM pages) SELECT DISTINCT page_id, href FROM a WHERE regexp_matches(href, '^/[a-d]')""")
@@ -511,24 +511,26 @@ def result_links(spark, sf):
     return html.result_links(V.table(spark, sf, "pages"), ["page_id"], [], "^/[a-d]")
 
 
-@query(r"""WITH l AS (SELECT doc_id, generate_subscripts(s, 1) - 1 AS line_no, unnest(s) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents)),
- c AS (SELECT doc_id, line_no, last_value(CASE WHEN length(line) < 40 THEN length(line) END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS heading FROM l)
- SELECT doc_id, CAST(count(*) AS BIGINT) AS lines, CAST(sum(coalesce(heading, 0)) AS BIGINT) AS headings FROM c GROUP BY 1""")
+@query(r"""WITH l AS (SELECT doc_id, generate_subscripts(s, 1) - 1 AS line_no, unnest(s) AS line FROM (SELECT doc_id, string_split(text, chr(10)) AS s FROM documents))
+ SELECT doc_id, CAST(line_no AS INT) AS line_no, last_value(CASE WHEN length(line) < 40 THEN length(line) END IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS heading FROM l""")
 def text_carry_forward(spark, sf):
     lines = html.text_lines(V.table(spark, sf, "documents").select("doc_id", "text"), ["doc_id"])
     heading = F.when(F.length("line") < 40, F.length("line"))
-    return html.carried(lines, ["doc_id"], heading, "heading").groupBy("doc_id").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.coalesce("heading", F.lit(0))).alias("headings"))
+    return html.carried(lines, ["doc_id"], heading, "heading").select("doc_id", "line_no", F.col("heading").cast("long").alias("heading"))
 
 
 # --- nested documents and validation ---------------------------------------------------------
 
 
-@query("""SELECT o_orderkey AS meet_id, count(l_orderkey) AS results, count(DISTINCT l_partkey) AS events FROM orders LEFT JOIN lineitem ON l_orderkey=o_orderkey GROUP BY 1""")
+@query("""SELECT o_orderkey AS meet_id, '{"events":[' || coalesce(e, '') || '],"meet":{"day":"' || CAST(o_orderdate AS DATE) || '"},"meet_id":' || o_orderkey || ',"results":[' || coalesce(r, '') || ']}' AS document FROM orders
+ LEFT JOIN (SELECT l_orderkey AS k, string_agg('{"l_linenumber":' || l_linenumber || ',"l_partkey":' || l_partkey || ',"l_suppkey":' || l_suppkey || '}', ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS r FROM lineitem GROUP BY 1) a ON a.k = o_orderkey
+ LEFT JOIN (SELECT l_orderkey AS k, string_agg('{"l_partkey":' || l_partkey || '}', ',' ORDER BY l_partkey) AS e FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) GROUP BY 1) b ON b.k = o_orderkey""")
 def meet_documents(spark, sf):
-    meets = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("meet_id"), "o_orderdate")
-    rows = V.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("meet_id"), "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
+    """Whole documents, as canonical JSON."""
+    meets = V.table(spark, sf, "orders").select(F.col("o_orderkey").alias("meet_id"), F.to_date("o_orderdate").alias("day"))
+    rows = V.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("meet_id"), "l_linenumber", "l_partkey", "l_suppkey")
     docs = packages.meet_documents(meets, {"results": rows, "events": rows.select("meet_id", "l_partkey").distinct()})
-    return docs.select("meet_id", F.size("results").cast("long").alias("results"), F.size("events").cast("long").alias("events"))
+    return docs.select("meet_id", canonical_rows(docs).alias("document"))
 
 
 @query("""SELECT o_orderkey AS id, md5(concat_ws('|', n, o_orderstatus)) AS fingerprint FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON l_orderkey=o_orderkey WHERE n IS NOT NULL""")

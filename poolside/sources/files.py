@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gzip
 import io
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -53,18 +54,28 @@ def with_counts(register: DataFrame, athletes: DataFrame, results: DataFrame) ->
 
 
 def snapshots(spark: SparkSession, folder: str, schema: str, most_bytes: int = 256 << 20) -> DataFrame:
-    """SRC15: gzip JSON packages with a fixed schema; one of more unpacked bytes fails the read."""
+    """SRC15: (file_name, problem, columns of schema) of gzip JSON packages; one of more unpacked bytes, or that is no gzip JSON, is a row with a problem.
 
-    def over(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    Each file is read once, on the executor, and unpacked no further than the bound.
+    """
+
+    def unpack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            large = []
             for name, content in zip(frame["file_name"], frame["content"], strict=True):
-                with gzip.open(io.BytesIO(content)) as f:
-                    if len(f.read(most_bytes + 1)) > most_bytes:
-                        large.append(name)
-            yield pd.DataFrame({"file_name": large}, dtype=object)
-
-    large = binary_files(spark, folder, "*.json.gz", recursive=False).select("file_name", "content").mapInPandas(over, "file_name string").first()
-    if large:
-        raise ValueError(f"package exceeds its unpacked limit: {large['file_name']}")
-    return spark.read.schema(schema).option("pathGlobFilter", "*.json.gz").option("multiLine", "true").json(folder)
+                text, problem = None, None
+                try:
+                    with gzip.open(io.BytesIO(content)) as f:
+                        data = f.read(most_bytes + 1)
+                    if len(data) > most_bytes:
+                        problem = "too_large"
+                    else:
+                        text = data.decode("utf-8")
+                except (OSError, EOFError, zlib.error, UnicodeDecodeError):
+                    problem = "bad_gzip"
+                yield pd.DataFrame({"file_name": [name], "text": [text], "problem": [problem]}, dtype=object)
+
+    found = binary_files(spark, folder, "*.json.gz", recursive=False).select("file_name", "content").mapInPandas(unpack, "file_name string, text string, problem string")
+    kind = f"{schema}, _broken string"
+    parsed = found.withColumn("_p", F.from_json("text", kind, {"columnNameOfCorruptRecord": "_broken", "mode": "PERMISSIVE"}))
+    problem = F.coalesce("problem", F.when(F.col("_p._broken").isNotNull() | F.col("_p").isNull(), "bad_json"))
+    return parsed.select("file_name", problem.alias("problem"), "_p.*").drop("_broken")

@@ -291,14 +291,17 @@ def test_replayed_batches_change_nothing(spark, tmp_path):
     assert len({r._folder for v in (1, 3) for r in table.manifest(v).where("live_id = 'other'").collect()}) == 1
 
 
-def test_files_over_a_limit_fail_and_are_not_dropped(spark, tmp_path):
+def test_packages_over_a_limit_are_rows_with_a_problem(spark, tmp_path):
     import gzip
 
     assert exports.MOST_BYTES == 50 * 1024 * 1024
     (tmp_path / "p.json.gz").write_bytes(gzip.compress(b'{"a":\n"' + b"x" * 5000 + b'"}'))
-    assert len(files.snapshots(spark, f"file://{tmp_path}", "a string").collect()[0].a) == 5000
-    with pytest.raises(Exception, match="unpacked limit"):
-        files.snapshots(spark, f"file://{tmp_path}", "a string", 4000).collect()
+    (tmp_path / "q.json.gz").write_bytes(gzip.compress(b'{"a": "small"}'))
+    (tmp_path / "r.json.gz").write_bytes(b"no gzip")
+    (tmp_path / "s.json.gz").write_bytes(gzip.compress(b'{"a": '))
+    read = lambda most: {r.file_name: (r.problem, r.a and len(r.a)) for r in files.snapshots(spark, f"file://{tmp_path}", "a string", most).collect()}
+    assert read(1 << 20) == {"p.json.gz": (None, 5000), "q.json.gz": (None, 5), "r.json.gz": ("bad_gzip", None), "s.json.gz": ("bad_json", None)}
+    assert read(4000) == {"p.json.gz": ("too_large", None), "q.json.gz": (None, 5), "r.json.gz": ("bad_gzip", None), "s.json.gz": ("bad_json", None)}
 
 
 def _workbook(sheet: str, *, strings: str = "", target: str = "worksheets/other.xml", book: str = "") -> bytes:
