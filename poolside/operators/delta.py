@@ -124,24 +124,28 @@ def oldest(dirty: DataFrame, n: int, order: str = "id") -> DataFrame:
     return dirty.orderBy(order).limit(n)
 
 
-def refresh_fingerprints(projection: DataFrame, payloads: DataFrame, dirty: DataFrame, key: str = "id") -> tuple[DataFrame, DataFrame]:
+def refresh_fingerprints(projection: DataFrame, payloads: DataFrame, dirty: DataFrame, key: str = "id", by: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """UPS13: (next projection, report) for dirty keys. Gone keys leave, changed ones are replaced, equal ones stay.
 
     projection: key, fingerprint. payloads: the same, computed from the current tables.
+    The report counts processed, changed and removed keys, for each value of the
+    columns ``by`` of dirty, if any are named.
     """
-    ids = dirty.select(key).distinct()
-    now = payloads.join(ids, key, "left_semi").select(key, F.col("fingerprint").alias("_new"))
+    ids = dirty.select(key, *(by or [])).distinct()
+    asked = ids.select(key).distinct()
+    now = payloads.join(asked, key, "left_semi").select(key, F.col("fingerprint").alias("_new"))
     old = projection.select(key, F.col("fingerprint").alias("_old"))
     seen = ids.join(now, key, "left").join(old, key, "left")
     action = (
         F.when(F.col("_new").isNull() & F.col("_old").isNotNull(), "removed").when(F.col("_new").isNull(), "absent")
         .when(F.col("_new").eqNullSafe(F.col("_old")), "unchanged").otherwise("changed")
     )
-    actions = seen.select(key, "_new", action.alias("action"))
+    actions = seen.select(*ids.columns, "_new", action.alias("action"))
     replaced = actions.where("action in ('changed', 'removed')")
     kept = projection.join(replaced.select(key), key, "left_anti")
-    out = kept.unionByName(actions.where("action = 'changed'").select(key, F.col("_new").alias("fingerprint")), allowMissingColumns=True)
-    report = actions.agg(F.count(F.lit(1)).alias("processed"), F.count_if(F.col("action") == "changed").alias("changed"), F.count_if(F.col("action") == "removed").alias("removed"))
+    changed = actions.where("action = 'changed'").select(key, F.col("_new").alias("fingerprint")).distinct()
+    out = kept.unionByName(changed, allowMissingColumns=True)
+    report = actions.groupBy(*(by or [])).agg(F.count(F.lit(1)).alias("processed"), F.count_if(F.col("action") == "changed").alias("changed"), F.count_if(F.col("action") == "removed").alias("removed"))
     return out, report
 
 

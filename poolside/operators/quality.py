@@ -94,12 +94,19 @@ def performance_issues(rows: DataFrame, today: str) -> DataFrame:
     return rows.withColumn("issue", issue).where("issue IS NOT NULL")
 
 
-def readiness(baseline: DataFrame, seen: DataFrame, key: list[str], columns: list[str], group: list[str]) -> DataFrame:
-    """DQ10: held, waiting, new, changed or unchanged for each group, with the counts behind it."""
+def readiness(baseline: DataFrame, seen: DataFrame, key: list[str], columns: list[str], group: list[str], problems: DataFrame | None = None) -> DataFrame:
+    """DQ10: held, waiting, new, changed or unchanged for each group, with the counts behind it.
+
+    What removes something is held, and what has ``problems`` (group, problems: undated or ambiguous
+    results, sessions without a date) too.
+    """
     states = compare(baseline, seen, [*group, *key], columns)
     by = states.groupBy(*group).agg(*(F.count_if(F.col("state") == s).alias(s) for s in ("added", "removed", "changed", "unchanged")))
+    if problems is not None:
+        by = by.join(problems.select(*group, "problems"), group, "full").fillna(0, ["added", "removed", "changed", "unchanged", "problems"])
+    held = (F.col("removed") > 0) if problems is None else (F.col("removed") > 0) | (F.col("problems") > 0)
     total = F.col("added") + F.col("changed") + F.col("unchanged")
-    decision = F.when(F.col("removed") > 0, "held").when(total == 0, "waiting").when((F.col("changed") == 0) & (F.col("unchanged") == 0), "new").when(F.col("added") + F.col("changed") > 0, "changed").otherwise("unchanged")
+    decision = F.when(held, "held").when(total == 0, "waiting").when((F.col("changed") == 0) & (F.col("unchanged") == 0), "new").when(F.col("added") + F.col("changed") > 0, "changed").otherwise("unchanged")
     return by.withColumn("decision", decision)
 
 

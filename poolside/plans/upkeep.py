@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates as P
 from ..functions import scalars as S
-from ..operators import dedup, delta, match, packages, rankings, resolve
+from ..operators import dedup, delta, match, packages, quality, rankings, resolve
 from ..sources import files, shared, tables
 from . import views as V
 from .registry import query
@@ -153,3 +153,37 @@ def manifest_table(spark, sf):
     changes = rows.where("c_custkey % 5 = 0 and (part is null or part in ('a:b/c', 'n3'))").withColumn("c_name", F.concat("c_name", F.lit("!")))
     table.publish(delta.upsert(table.read(partitions=changes), changes, ["part", "c_custkey"], null_keys_match=True), gone=rows.where("part = 'n4'").select("part").distinct())
     return table.read().withColumn("old_version", F.lit(1)).unionByName(table.read(1).withColumn("old_version", F.lit(0)))
+
+
+@query("""WITH b AS (SELECT user_id, event_id, event_type FROM events WHERE user_id % 4 > 0 AND event_id % 3 > 0), n AS (SELECT user_id, event_id, CASE WHEN user_id % 7 = 0 AND event_id % 5 = 0 THEN 'other' ELSE event_type END AS event_type FROM events WHERE user_id % 6 > 0 OR event_id % 3 > 0),
+ s AS (SELECT user_id, CASE WHEN b.event_id IS NULL THEN 'a' WHEN n.event_id IS NULL THEN 'r' WHEN b.event_type IS DISTINCT FROM n.event_type THEN 'c' ELSE 'u' END AS s FROM (SELECT *, event_id AS e FROM b) b FULL JOIN (SELECT *, event_id AS e FROM n) n USING (user_id, e)),
+ c AS (SELECT user_id, count(*) FILTER (WHERE s = 'a') AS added, count(*) FILTER (WHERE s = 'r') AS removed, count(*) FILTER (WHERE s = 'c') AS changed, count(*) FILTER (WHERE s = 'u') AS unchanged FROM s GROUP BY 1), p AS (SELECT DISTINCT user_id, 2 AS problems FROM events WHERE user_id % 11 = 0)
+ SELECT user_id, added, removed, changed, unchanged, CASE WHEN removed > 0 OR problems > 0 THEN 'held' WHEN added + changed + unchanged = 0 THEN 'waiting' WHEN changed + unchanged = 0 THEN 'new' WHEN added + changed > 0 THEN 'changed' ELSE 'unchanged' END AS decision FROM c LEFT JOIN p USING (user_id)""")
+def readiness_with_problems(spark, sf):
+    """DQ10: sources with undated or ambiguous results are held although nothing is gone."""
+    e = V.table(spark, sf, "events").select("user_id", "event_id", "event_type")
+    seen = e.where("user_id % 6 > 0 or event_id % 3 > 0").withColumn("event_type", F.when((F.col("user_id") % 7 == 0) & (F.col("event_id") % 5 == 0), "other").otherwise(F.col("event_type")))
+    problems = e.where("user_id % 11 = 0").select("user_id").distinct().withColumn("problems", F.lit(2).cast("long"))
+    out = quality.readiness(e.where("user_id % 4 > 0 and event_id % 3 > 0"), seen, ["event_id"], ["event_type"], ["user_id"], problems)
+    return out.select("user_id", "added", "removed", "changed", "unchanged", "decision")
+
+
+@query("""WITH i AS (SELECT o_orderkey AS row_id, o_custkey AS k, o_totalprice AS v FROM orders), c AS (SELECT o_orderkey AS id, o_custkey AS k, o_totalprice + 100.0 * (o_orderkey % 5) AS v, o_orderstatus = 'F' AS f, o_orderkey % 2 = 0 AS e FROM orders)
+ SELECT row_id, id FROM i JOIN c USING (k) WHERE abs(i.v - c.v) < 5000 QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY f DESC, e DESC, abs(i.v - c.v), id DESC) = 1""")
+def preferred_match(spark, sf):
+    """Of the candidates within the tolerance the one that the preferences name."""
+    o = V.table(spark, sf, "orders")
+    i = o.select(F.col("o_orderkey").alias("row_id"), F.col("o_custkey").alias("k"), F.col("o_totalprice").alias("v"))
+    c = o.select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("k"), (F.col("o_totalprice") + 100.0 * (F.col("o_orderkey") % 5)).alias("v"), (F.col("o_orderstatus") == "F").alias("f"), (F.col("o_orderkey") % 2 == 0).alias("e"))
+    return match.nearest_match(i, c, ["k"], value="v", tolerance=5000, prefer=[F.col("f"), F.col("e")]).select("row_id", "id")
+
+
+@query("""WITH p AS (SELECT c_custkey AS k, md5(c_name || CASE WHEN c_custkey % 7 = 0 THEN '?' ELSE '' END) AS f, c_nationkey FROM customer WHERE c_custkey % 3 > 0), n AS (SELECT c_custkey AS k, md5(c_name) AS f FROM customer WHERE c_custkey % 10 > 0), d AS (SELECT c_custkey AS k, c_nationkey FROM customer WHERE c_custkey % 2 = 0),
+ a AS (SELECT d.c_nationkey, CASE WHEN n.f IS NULL AND p.f IS NOT NULL THEN 'removed' WHEN n.f IS NULL THEN 'absent' WHEN n.f IS NOT DISTINCT FROM p.f THEN 'unchanged' ELSE 'changed' END AS action FROM d LEFT JOIN n USING (k) LEFT JOIN p USING (k))
+ SELECT c_nationkey, count(*) AS processed, count(*) FILTER (WHERE action = 'changed') AS changed, count(*) FILTER (WHERE action = 'removed') AS removed FROM a GROUP BY 1""")
+def fingerprint_reports(spark, sf):
+    """UPS13: what a refresh of the dirty keys did, for each nation's keys."""
+    c = V.table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), "c_name", "c_nationkey")
+    old = c.where("id % 3 > 0").select("id", F.md5(F.concat("c_name", F.when(F.col("id") % 7 == 0, "?").otherwise(""))).alias("fingerprint"))
+    new = c.where("id % 10 > 0").select("id", F.md5("c_name").alias("fingerprint"))
+    return delta.refresh_fingerprints(old, new, c.where("id % 2 = 0").select("id", "c_nationkey"), by=["c_nationkey"])[1]

@@ -47,6 +47,28 @@ def test_meet_documents(spark):
     assert lenex.default_age_groups(parsed).count() == 2 and lenex.events(parsed).count() == 2
 
 
+def test_observations_and_all_results_of_documents(spark, tmp_path):
+    """DQ9, U6, SNK8: what a document says, result by result, with what is doubtful; relays beside individual rows; packages on disk."""
+    twice = MEET.replace('resultid="1" swimtime="00:01:05.20" heatid="2" lane="4"', 'swimtime="00:01:05.20" heatid="2" lane="4"').replace('eventid="1" resultid="3"', 'eventid="9" resultid="3"')
+    table = spark.createDataFrame([("a.xml", bytearray(MEET.encode())), ("b.xml", bytearray(twice.encode()))], "file_name string, content binary")
+    parsed = lenex.parse(lenex.unpack(table))
+    schedule = lenex.events(parsed)
+    both = lenex.with_relays(lenex.results(parsed), lenex.relays(parsed))
+    assert {(r.file_name, r.is_relay): r.n for r in both.groupBy("file_name", "is_relay").agg(F.count("*").alias("n")).collect()} == {("a.xml", False): 1, ("a.xml", True): 2, ("b.xml", False): 1, ("b.xml", True): 2}
+    seen = lenex.observation(both, schedule)
+    got = {(r.file_name, r.key): (r.undated, r.ambiguous) for r in seen.collect()}
+    assert got == {("a.xml", "1"): (False, False), ("a.xml", "3"): (False, True), ("b.xml", "by/5/1/2/4"): (False, False), ("b.xml", "3"): (True, True)}
+    counts = {r.file_name: (r.events, r.results, r.undated, r.ambiguous, r.events_without_date) for r in lenex.observation_counts(seen, schedule).collect()}
+    assert counts == {"a.xml": (1, 2, 0, 1, 0), "b.xml": (1, 2, 1, 1, 0)}
+    docs = spark.createDataFrame([("m1", 3), ("m2", 4)], "meet_id string, n int")
+    sent = packages.packaged(docs, spark.createDataFrame([("m2", 6, "x")], "meet_id string, revision int, sha256 string"))
+    packages.write_packages(sent, f"{tmp_path}/out")
+    back = {r.meet_id: (r.revision, r.previous, r.payload) for r in spark.read.json(f"{tmp_path}/out").collect()}
+    assert back == {"m1": (1, None, '{"meet_id":"m1","n":3}'), "m2": (7, "x", '{"meet_id":"m2","n":4}')}
+    assert packages.schema_issues(docs, {"n": {"x"}, "meet_id": set()}) == ["n"]
+    assert [r.d and float(r.d) for r in spark.createDataFrame([(" 1.50 ",), ("x",), (None,)], "t string").select(scalars.safe_decimal(F.col("t")).alias("d")).collect()] == [1.5, None, None]
+
+
 def test_record_lists(spark):
     documents = spark.createDataFrame([("r.xml", LISTS)], "file_name string, xml string")
     rows = records.record_rows(documents)
