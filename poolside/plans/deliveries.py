@@ -132,7 +132,7 @@ _KIDS = "k AS (SELECT l_orderkey AS k, l_linenumber AS n, min(l_partkey) AS p FR
 
 
 @query(f"""WITH {_KIDS} SELECT o_orderkey AS id FROM orders WHERE (o_orderkey % 97 = 0) <> (o_orderkey % 89 = 0) OR (o_orderkey % 83 = 0 AND o_orderkey % 97 <> 0 AND o_orderkey % 89 <> 0) UNION SELECT k FROM k WHERE n = 1 AND k % 31 = 0 UNION SELECT k FROM k WHERE n = 2 AND k % 37 = 0
- UNION SELECT k FROM k WHERE n = 3 AND k % 41 = 0 UNION SELECT k + 1 FROM k WHERE n = 3 AND k % 41 = 0 UNION SELECT o_orderkey FROM orders WHERE o_orderkey % 97 <> 0 AND (o_custkey % 25 = 3 OR (o_orderkey % 300 + 1) % 211 = 0 OR o_custkey % 301 = 0)""")
+ UNION SELECT k FROM k WHERE n = 3 AND k % 41 = 0 UNION SELECT k + 1 FROM k WHERE n = 3 AND k % 41 = 0 UNION SELECT o_orderkey FROM orders WHERE o_orderkey % 97 <> 0 AND (o_custkey % 25 = 3 OR o_orderkey % 300 + 1 IN (SELECT p_partkey FROM part WHERE p_partkey % 211 = 0) OR o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 301 = 0))""")
 def captured_keys(spark, sf) -> DataFrame:
     """UPS14: dirty results after changes of all five tables; null statuses and other swimmer columns change nothing."""
     t = _tables(spark, sf)
@@ -141,7 +141,7 @@ def captured_keys(spark, sf) -> DataFrame:
     k, n = F.col("result_id"), F.col("split_order")
     old = t | {"results": t["results"].where("id % 89 <> 0"), "splits": splits}
     price = F.when(F.col("id") % 83 == 0, F.col("time_seconds") + 1).otherwise(F.col("time_seconds")).cast("decimal(10,2)")
-    moved = splits.where(~((n == 2) & (k % 37 == 0))).withColumns({"p": F.when((n == 1) & (k % 31 == 0), -F.col("p")).otherwise(F.col("p")), "result_id": F.when((n == 3) & (k % 41 == 0), k + 1).otherwise(k)})
+    moved = splits.where(~((n == 2) & (k % 37 == 0))).withColumns({"p": F.when((n == 1) & (k % 31 == 0), -1 - F.col("p")).otherwise(F.col("p")), "result_id": F.when((n == 3) & (k % 41 == 0), k + 1).otherwise(k)})
     new = {
         "results": t["results"].where("id % 97 <> 0").withColumn("time_seconds", price), "splits": moved, "meets": t["meets"].where("id <> 5").withColumn("city", F.when(F.col("id") == 3, "Bern")),
         "events": t["events"].withColumn("distance", F.when(F.col("id") % 211 == 0, -1).otherwise(F.col("distance"))),
