@@ -91,46 +91,60 @@ def with_features(urls: DataFrame, url: str = "url") -> DataFrame:
     return out.withColumns({"suffix": F.substring_index(host, ".", -1), "domain": F.substring_index(host, ".", -2), "folder": F.regexp_extract(path, r"\A/([^/]*)", 1)})
 
 
+#: Statistics are counted by so many folds of the URLs.
+FOLDS = 10
+
+
 @dataclass(frozen=True)
 class UrlModel:
     trees: GBTClassificationModel | None  # none: the only label seen
-    rates: dict[str, DataFrame]
+    rates: dict[str, DataFrame]  # by key: (key, _fold, _good, _n), fold null for all folds together
     base: float
 
-    def features(self, urls: DataFrame, own: str | None = None) -> DataFrame:
+    def features(self, urls: DataFrame, *, out_of_fold: bool = False) -> DataFrame:
         """Suffix statistics joined on, and all features in one vector.
 
-        ``own`` names the label of rows that the statistics were counted over: it is taken
-        out of them for the row itself, so that they cannot tell it.
+        ``out_of_fold`` is for the rows that were counted: each gets the statistics of the folds
+        that it is not in, so that they do not hold its own label.
         """
+        urls = urls.withColumn("_fold", fold_of())
         for key, table in self.rates.items():
-            mine, one = (F.col(own), F.lit(1)) if own else (F.lit(0.0), F.lit(0))
-            rate = (F.col("_good") - mine + 5 * self.base) / (F.col("_n") - one + 5)
-            urls = urls.join(table, key, "left").withColumn(f"{key}_rate", F.coalesce(rate, F.lit(self.base))).drop("_good", "_n")
+            every = table.where("_fold IS NULL").drop("_fold")
+            urls = urls.join(every, key, "left")
+            good, n = F.col("_good"), F.col("_n")
+            if out_of_fold:
+                urls = urls.join(table.where("_fold IS NOT NULL").withColumnsRenamed({"_good": "_own_good", "_n": "_own_n"}), [key, "_fold"], "left")
+                good, n = good - F.coalesce("_own_good", F.lit(0.0)), n - F.coalesce("_own_n", F.lit(0))
+            urls = urls.withColumn(f"{key}_rate", F.coalesce((good + 5 * self.base) / (n + 5), F.lit(self.base))).drop("_good", "_n", "_own_good", "_own_n")
         return VectorAssembler(inputCols=[*NUMBERS, *(f"{k}_rate" for k in self.rates)], outputCol="features").transform(urls)
 
 
+def fold_of() -> Column:
+    return F.pmod(F.xxhash64("host", "path", F.lit(29)), F.lit(FOLDS))
+
+
 def train(labelled: DataFrame, *, sample: int = 50_000, trees: int = 8, depth: int = 3, seed: int = 3) -> UrlModel:
     """Fit the trees to URLs with a verdict in ``ruled``, about ``sample`` of them by a hash of the URL.
 
     Suffix statistics are the shares of allowed URLs of every suffix, domain and first
-    folder, counted over all URLs with a verdict; the trees see each URL's without itself.
+    folder, counted over all URLs with a verdict; the trees see each URL's without the fold that it is in.
     """
     known = labelled.where("ruled is not null").withColumn("label", (F.col("ruled") == "allow").cast("double"))
     totals = known.agg(F.avg("label").alias("rate"), F.count("label").alias("n")).first()
     base, size = totals["rate"] if totals["rate"] is not None else 1.0, totals["n"]
     rates = {}
     for key in ("suffix", "domain", "folder"):
-        counted = known.groupBy(key).agg(F.sum("label").alias("good"), F.count("label").alias("n"))
+        by_fold = known.withColumn("_fold", fold_of()).groupBy(key, "_fold").agg(F.sum("label").alias("_good"), F.count("label").alias("_n"))
+        every = by_fold.groupBy(key).agg(F.sum("_good").alias("_good"), F.sum("_n").alias("_n")).withColumn("_fold", F.lit(None).cast("long"))
         path = fresh_path(labelled.sparkSession, f"rates-{key}")  # written, so that Spark knows the size and decides on the join
-        counted.select(key, F.col("good").alias("_good"), F.col("n").alias("_n")).write.parquet(path)
+        by_fold.unionByName(every).write.parquet(path)
         rates[key] = labelled.sparkSession.read.parquet(path)
     share = min(1.0, sample / max(1, size))
     some = known.where(F.pmod(F.xxhash64("host", "path", F.lit(seed)), F.lit(1_000_000)) < int(share * 1_000_000))
     model = UrlModel(None, rates, base)
     if not 0 < base < 1:
         return model
-    fitted = GBTClassifier(labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, stepSize=0.4, seed=seed).fit(model.features(some, "label").select("features", "label"))
+    fitted = GBTClassifier(labelCol="label", featuresCol="features", maxIter=trees, maxDepth=depth, stepSize=0.4, seed=seed).fit(model.features(some, out_of_fold=True).select("features", "label"))
     return UrlModel(fitted, rates, base)
 
 

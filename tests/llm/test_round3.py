@@ -263,7 +263,6 @@ def test_a_url_rate_does_not_tell_its_own_label(spark):
     from poolside.llm import urls
 
     ruled = urls.with_features(urls.with_rule(urls.with_parts(spark.createDataFrame([(i, f"https://h{i}.{'org' if i % 2 else 'com'}/{'x' if i % 2 else 'de'}/{i}") for i in range(60)], "page_id long, url string")), urls.RULES)).where("ruled is not null")
-    labelled = ruled.withColumn("label", (F.col("ruled") == "allow").cast("double"))
     model = urls.train(ruled)
-    seen, blind = (({r.url: r["domain_rate"] for r in model.features(labelled, own).collect()}) for own in (None, "label"))
+    seen, blind = (({r.url: r["domain_rate"] for r in model.features(ruled, out_of_fold=own).collect()}) for own in (False, True))
     assert len({round(v, 6) for v in blind.values()}) == 1 and len({round(v, 6) for v in seen.values()}) == 2
