@@ -67,11 +67,11 @@ def snapshot_ids(spark, sf) -> DataFrame:
     return _applied(spark, sf).ledger
 
 
-@query(f"""WITH {_SNAPSHOTS} SELECT id, meet_key, event_round, heat, time_seconds, comment FROM r WHERE meet_key NOT IN (SELECT meet_key FROM good) AND id NOT IN (SELECT target FROM named)
- UNION ALL SELECT named.target, named.meet_key, named.event_round, named.heat, named.time_seconds, r.comment FROM named LEFT JOIN r ON r.id=named.target""")
+@query(f"""WITH {_SNAPSHOTS} SELECT id, meet_key, event_round, heat, CAST(time_seconds AS DECIMAL(14,2)) AS time_seconds, comment FROM r WHERE meet_key NOT IN (SELECT meet_key FROM good) AND id NOT IN (SELECT target FROM named)
+ UNION ALL SELECT named.target, named.meet_key, named.event_round, named.heat, CAST(named.time_seconds AS DECIMAL(14,2)), r.comment FROM named LEFT JOIN r ON r.id=named.target""")
 def snapshot_results(spark, sf) -> DataFrame:
     """UPS7: all results after snapshots; what they lack of a meet is gone, columns that they lack are kept."""
-    return _applied(spark, sf).results.select("id", "meet_key", "event_round", "heat", "time_seconds", "comment")
+    return _applied(spark, sf).results.select("id", "meet_key", "event_round", "heat", F.col("time_seconds").cast("decimal(14,2)").alias("time_seconds"), "comment")
 
 
 @query(f"""WITH {_SNAPSHOTS}, gone AS (SELECT id FROM r WHERE meet_key IN (SELECT meet_key FROM good) UNION SELECT target FROM named)
