@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.canonical import canonical_rows, digest_of, identity_key, race_key
 from ..functions.predicates import acceptable_status
 from ..functions.scalars import canonical_swimmer_id, folded_name
-from ..sources.shared import settled
+from .match import null_safe
 
 #: Reasons that no review of identities can set aside.
 SEVERE = ["previously_imported_races_missing", "receipt_result_mismatch", "event_number_or_identity_changed", "duplicate_race_identity", "ambiguous_existing_race", "invalid_time"]
@@ -27,11 +27,43 @@ def _named(rows: DataFrame) -> DataFrame:
     return rows.withColumns({"_first": folded_name(F.col("first_name")), "_last": folded_name(F.col("last_name"))})
 
 
-def _same(a: str, b: str, columns: list[str]) -> Column:
-    on = F.lit(True)
-    for c in columns:
-        on = on & F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}"))
-    return on
+def _matches(rows: DataFrame, swimmers: DataFrame, aliases: DataFrame, overrides: DataFrame | None) -> DataFrame:
+    """rows with candidates and _who, the struct of the one swimmer's id and swimmer_id (null: none or several).
+
+    Swimmers are counted by identity before they meet rows, so a name that many swimmers
+    and many rows have makes no pairs.
+    """
+    who = F.struct(F.col("id").alias("id"), F.col("swimmer_id").alias("swimmer_id"))
+    known = _named(swimmers).select(F.col("id").alias("_pk"), *_WHO, F.col("country_code").alias("_country"), who.alias("_is"))
+    counted = lambda keys: known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_is").alias("_any"))
+    by_name = counted([*_WHO, "_country"]).withColumn("_abroad", F.lit(False)).unionByName(counted(_WHO).withColumns({"_country": F.lit(None).cast("string"), "_abroad": F.lit(True)}))
+    lenex = F.coalesce(F.col("source_kind") == "lenex", F.lit(False))
+    anywhere = F.coalesce(F.col("source_kind") != "lenex", F.lit(False))
+    named = _named(rows).withColumns({"_abroad": anywhere, "_country": F.when(~anywhere, F.col("nation"))})
+    out = _with(named, by_name, [*_WHO, "_abroad", "_country"])
+    # swimmers of an alias that bear the row's name in its own nation
+    alias = aliases.select(F.col("source_country_code").alias("nation"), F.col("source_swimmer_id").alias("athlete_id"), F.col("swimmer_pk").alias("_pk")).distinct()
+    own = alias.join(known, "_pk").where("_country = nation").groupBy("nation", "athlete_id", *_WHO).agg(F.count(F.lit(1)).alias("_hits"), F.min("_is").alias("_own"))
+    out = _with(out, own.where("athlete_id IS NOT NULL"), ["nation", "athlete_id", *_WHO])
+    one = lenex & F.coalesce(F.col("_hits") == 1, F.lit(False))
+    n, is_ = F.when(one, 1).otherwise(F.coalesce("_n", F.lit(0))), F.when(one, F.col("_own")).when(F.col("_n") == 1, F.col("_any"))
+    helpers = ["_n", "_any", "_hits", "_own", "_abroad", "_country"]
+    if overrides is None:
+        return out.withColumns({"candidates": n, "_who": is_}).drop(*helpers)
+    fixed = overrides.select("identity_key", F.col("swimmer_pk").alias("_pk")).join(known, "_pk", "left")
+    fixed = fixed.select("identity_key", F.col("_pk").alias("_fixed"), "_is", *(F.col(c).alias(f"_o{c}") for c in _WHO))
+    out = out.withColumn("identity_key", identity_key(*(F.col(c) for c in ("first_name", "last_name", "birth_year", "gender", "club")))).join(fixed, "identity_key", "left")
+    agrees = F.col("_is").isNotNull()
+    for c in _WHO:
+        agrees = agrees & F.col(c).eqNullSafe(F.col(f"_o{c}"))
+    wrong = F.raise_error(F.concat(F.lit("reviewed identity does not match name, birth year and gender: "), F.col("identity_key"))).cast(swimmers.select(who.alias("w")).schema["w"].dataType)
+    chosen = F.when(F.col("_fixed").isNull(), is_).when(agrees, F.col("_is")).otherwise(wrong)
+    return out.withColumns({"candidates": F.when(F.col("_fixed").isNotNull(), 1).otherwise(n), "_who": chosen}).drop("identity_key", *helpers, "_fixed", "_is", *(f"_o{c}" for c in _WHO))
+
+
+def _with(rows: DataFrame, table: DataFrame, keys: list[str]) -> DataFrame:
+    """A left join on keys where nulls are equal; the table's keys are dropped."""
+    return null_safe(rows, table, keys, "left")
 
 
 def identified(rows: DataFrame, swimmers: DataFrame, aliases: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
@@ -41,29 +73,7 @@ def identified(rows: DataFrame, swimmers: DataFrame, aliases: DataFrame, overrid
     birth year and gender. Rows of LENEX files are looked for in their own nation,
     and the one candidate that the source's alias names decides.
     """
-    known = _named(swimmers).select(F.col("id").alias("_pk"), *_WHO, F.col("country_code").alias("_country"))
-    named = _named(rows)
-    pairs = named.alias("r").join(known.alias("s"), _same("r", "s", _WHO)).select(*(F.col(f"r.{c}").alias(c) for c in [*ROW, "source_kind", "nation", "athlete_id"]), "_pk", "_country")
-    lenex = F.col("source_kind") == "lenex"
-    pairs = pairs.where(~lenex | F.col("_country").eqNullSafe(F.col("nation")))
-    alias = aliases.select(F.col("source_country_code").alias("nation"), F.col("source_swimmer_id").alias("athlete_id"), F.col("swimmer_pk").alias("_pk"), F.lit(True).alias("_hit"))
-    pairs = pairs.join(alias, ["nation", "athlete_id", "_pk"], "left")
-    hit = lenex & F.coalesce("_hit", F.lit(False))
-    by = pairs.groupBy(*ROW).agg(F.count(F.lit(1)).alias("_n"), F.min("_pk").alias("_any"), F.count_if(hit).alias("_hits"), F.min(F.when(hit, F.col("_pk"))).alias("_own"))
-    out = named.join(by, ROW, "left")
-    one = F.coalesce(F.col("_hits") == 1, F.lit(False))
-    n, pk = F.when(one, 1).otherwise(F.coalesce("_n", F.lit(0))), F.when(one, F.col("_own")).when(F.col("_n") == 1, F.col("_any"))
-    if overrides is None:
-        return out.withColumns({"candidates": n, "swimmer_pk": pk}).drop("_n", "_any", "_hits", "_own")
-    fixed = overrides.select("identity_key", F.col("swimmer_pk").alias("_pk")).join(known, "_pk", "left")
-    fixed = fixed.select("identity_key", F.col("_pk").alias("_fixed"), *(F.col(c).alias(f"_o{c}") for c in _WHO))
-    out = out.withColumn("identity_key", identity_key(*(F.col(c) for c in ("first_name", "last_name", "birth_year", "gender", "club")))).join(fixed, "identity_key", "left")
-    agrees = F.lit(True)
-    for c in _WHO:
-        agrees = agrees & F.col(c).eqNullSafe(F.col(f"_o{c}"))
-    wrong = F.raise_error(F.concat(F.lit("reviewed identity does not match name, birth year and gender: "), F.col("identity_key"))).cast("long")
-    chosen = F.when(F.col("_fixed").isNull(), pk).when(agrees, F.col("_fixed")).otherwise(wrong)
-    return out.withColumns({"candidates": F.when(F.col("_fixed").isNotNull(), 1).otherwise(n), "swimmer_pk": chosen}).drop("identity_key", "_n", "_any", "_hits", "_own", "_fixed", *(f"_o{c}" for c in _WHO))
+    return _matches(rows, swimmers, aliases, overrides).withColumn("swimmer_pk", F.col("_who.id")).drop("_who")
 
 
 def build_plan(rows: DataFrame, payload: list[str], swimmers: DataFrame, aliases: DataFrame, events: DataFrame, results: DataFrame, ledger: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
@@ -72,49 +82,52 @@ def build_plan(rows: DataFrame, payload: list[str], swimmers: DataFrame, aliases
     Actions are insert, update, unchanged, protected (a printed list never overrides what
     another source said, or a row with reaction time or splits) and held, with the first
     reason that applies. Of several rows of one race none is applied. Rows are named by live_id
-    and row_no; payload names the columns whose change makes an update.
+    and row_no; payload names the columns whose change makes an update. Events are few and are
+    broadcast. Whatever rows meet is grouped first, so no join multiplies them, and each
+    join shuffles the rows once.
     """
-    seen = identified(rows, swimmers, aliases, overrides).withColumn("payload_hash", digest_of(canonical_rows(rows, payload)))
-    ids = swimmers.select(F.col("id").alias("swimmer_pk"), F.col("swimmer_id").alias("_swimmer"))
+    seen = _matches(rows, swimmers, aliases, overrides).withColumn("swimmer_pk", F.col("_who.id"))
     new = canonical_swimmer_id(*(F.col(c) for c in ("nation", "gender", "birth_year", "first_name", "last_name")))
-    seen = seen.join(ids, "swimmer_pk", "left").withColumn("swimmer_key", F.coalesce("_swimmer", new)).drop("_swimmer")
+    # a LENEX row whose race an earlier printed list gave to somebody else of that name
+    prior = _named(ledger.where("source_kind = 'pdf'")).groupBy("live_id", *EVENT, *_WHO).agg(F.min("race_key").alias("_least"), F.max("race_key").alias("_most"))
+    seen = _with(seen, prior, ["live_id", *EVENT, *_WHO]).withColumn("swimmer_key", F.coalesce("_who.swimmer_id", new))
     seen = seen.withColumn("race_key", race_key(F.col("swimmer_key"), *(F.col(c) for c in EVENT), F.col("is_relay")))
-    seen = settled(seen)
     pdf, lenex = F.col("source_kind") == "pdf", F.col("source_kind") == "lenex"
     timed = acceptable_status(F.col("status"), F.col("time_seconds"), lenex)
     identity = (
         F.when(~timed, "invalid_time").when(F.col("candidates") > 1, "ambiguous_identity").when((F.col("candidates") == 0) & pdf, "unknown_identity")
     )
-    # a LENEX row whose race an earlier printed list gave to somebody else of that name
-    prior = _named(ledger.where("source_kind = 'pdf'")).select("live_id", *EVENT, *_WHO, F.col("race_key").alias("_prior"))
-    clash = seen.where(lenex).alias("r").join(prior.alias("p"), _same("r", "p", ["live_id", *EVENT, *_WHO])).where("r.race_key <> p._prior")
-    seen = seen.join(clash.select("r.live_id", "r.row_no").distinct().withColumn("_review", F.lit(True)), ROW, "left")
-    seen = seen.withColumn("_early", F.coalesce(identity, F.when(F.col("_review"), "lenex_identity_needs_review")))
+    review = lenex & ((F.col("race_key") != F.col("_least")) | (F.col("race_key") != F.col("_most")))
+    seen = seen.withColumn("_early", F.coalesce(identity, F.when(review, "lenex_identity_needs_review"))).drop("_who", "_least", "_most", *_WHO[:2])
+    all_ = F.collect_list("result_id").over(Window.partitionBy("live_id", "race_key"))
+    receipt = ledger.select("live_id", "race_key", F.col("result_id").alias("_receipt"), all_.alias("_receipts"), F.col("payload_hash").alias("_hash"), F.col("source_kind").alias("_kind"))
+    seen = seen.join(receipt, ["live_id", "race_key"], "left").join(F.broadcast(events.select(F.col("id").alias("event_id"), *STYLE)), STYLE, "left")
     race = Window.partitionBy("live_id", "race_key", F.col("_early").isNull())
     open_ = F.col("_early").isNull()
     seen = seen.withColumns({"_times": F.when(open_, F.count(F.lit(1)).over(race)), "_nth": F.when(open_, F.row_number().over(race.orderBy("row_no")))})
-    receipt = ledger.select("live_id", "race_key", F.col("result_id").alias("_receipt"), F.col("payload_hash").alias("_hash"), F.col("source_kind").alias("_kind"))
-    seen = seen.join(receipt, ["live_id", "race_key"], "left").join(events.select(F.col("id").alias("event_id"), *STYLE), STYLE, "left")
-    stored = results.select(
-        "live_id", F.col("swimmer_id").alias("swimmer_pk"), "event_id", F.col("result_date").alias("event_date"), F.coalesce("is_relay", F.lit(False)).alias("is_relay"), F.coalesce("event_round", F.lit("TIM")).alias("event_round"),
-        F.struct(F.col("id").alias("id"), F.col("heat").alias("heat"), (F.col("reaction_time").isNotNull() | F.col("has_splits")).alias("rich")).alias("_old"),
-    )
     at = ["live_id", "swimmer_pk", "event_id", "event_date", "is_relay", "event_round"]
-    pairs = seen.where(open_).select(*ROW, *at, "_receipt", "source_kind", F.col("heat").alias("_heat")).join(stored, at)
-    fits = F.when(F.col("_receipt").isNotNull(), F.col("_old.id") == F.col("_receipt")).when(lenex & F.col("_heat").isNotNull(), F.col("_old.heat").eqNullSafe(F.col("_heat"))).otherwise(True)
-    found = pairs.where(fits).groupBy(*ROW).agg(F.count(F.lit(1)).alias("_found"), F.min("_old").alias("_old"))
-    taken = ledger.select("live_id", F.col("result_id").alias("_id")).distinct().withColumn("_taken", F.lit(True))
-    seen = seen.join(found, ROW, "left").withColumn("_id", F.col("_old.id")).join(taken, ["live_id", "_id"], "left")
+    taken = ledger.select("live_id", F.col("result_id").alias("id")).distinct().withColumn("taken", F.lit(True))
+    stored = results.join(taken, ["live_id", "id"], "left").select(
+        "live_id", F.col("swimmer_id").alias("swimmer_pk"), "event_id", F.col("result_date").alias("event_date"), F.coalesce("is_relay", F.lit(False)).alias("is_relay"), F.coalesce("event_round", F.lit("TIM")).alias("event_round"),
+        F.struct("id", "heat", (F.col("reaction_time").isNotNull() | F.col("has_splits")).alias("rich"), "taken").alias("_old"),
+    ).groupBy(*at).agg(F.collect_list("_old").alias("_stored"))
+    # a swimmer's results in one event of one day
+    seen = seen.join(stored, at, "left")
+    of_heat = F.filter("_stored", lambda x: ~F.coalesce(lenex & F.col("heat").isNotNull(), F.lit(False)) | x["heat"].eqNullSafe(F.col("heat")))
+    of_receipts = F.flatten(F.transform("_receipts", lambda r: F.filter("_stored", lambda x: x["id"] == r)))
+    seen = seen.withColumn("_fits", F.when(open_, F.when(F.col("_receipt").isNotNull(), of_receipts).otherwise(of_heat)))
+    seen = seen.withColumns({"_found": F.when(F.col("_fits").isNotNull(), F.size("_fits")), "_old": F.array_min("_fits")})
     has, known = F.coalesce("_found", F.lit(0)), F.col("_receipt").isNotNull()
     repeated = F.col("_times") > 1
     reason = F.coalesce(
         F.col("_early"), F.when(repeated & (F.col("_nth") > 1), "ambiguous_source_race"), F.when(known & (has != 1), "receipt_result_mismatch"), F.when(has > 1, "ambiguous_existing_race"),
-        F.when((has == 1) & ~known & F.coalesce("_taken", F.lit(False)), "event_number_or_identity_changed"), F.when(repeated, "ambiguous_source_race"),
+        F.when((has == 1) & ~known & F.coalesce("_old.taken", F.lit(False)), "event_number_or_identity_changed"), F.when(repeated, "ambiguous_source_race"),
     )
     action = (
         F.when(F.col("reason").isNotNull(), "held").when(_protected(pdf, has, known), "protected").when(known & (F.col("_hash") == F.col("payload_hash")), "unchanged").when(has == 1, "update").otherwise("insert")
     )
-    out = seen.withColumn("reason", reason).withColumn("action", action).withColumn("result_id", F.when(F.col("action") != "held", F.col("_id")))
+    hashed = seen.withColumn("payload_hash", digest_of(canonical_rows(rows, payload)))
+    out = hashed.withColumn("reason", reason).withColumn("action", action).withColumn("result_id", F.when(F.col("action") != "held", F.col("_old.id")))
     return out.select(*rows.columns, "swimmer_pk", "swimmer_key", "race_key", "payload_hash", "result_id", "action", "reason", open_.alias("reached"))
 
 

@@ -56,7 +56,7 @@ def _plan(spark, sf):
     swimmers = custs.select(known.alias("id"), F.concat(F.lit("W"), known).alias("swimmer_id"), F.concat(F.lit(" F"), known % 40).alias("first_name"), *swimmer(known), block(known).alias("country_code"))
     aliases = custs.where("c_custkey % 3 = 0").select(block(known).alias("source_country_code"), F.concat(F.lit("a"), known).alias("source_swimmer_id"), known.alias("swimmer_pk"))
     events = spark.createDataFrame([(1, 50), (2, 100), (3, 150)], "id int, distance long").select("id", "distance", F.lit("FREE").alias("stroke"), F.lit("F").alias("event_gender"), F.lit(50).alias("pool_length"))
-    at = base.join(events.select(F.col("id").alias("event_id"), "distance"), "distance", "left")
+    at = base.join(F.broadcast(events.select(F.col("id").alias("event_id"), "distance")), "distance", "left")
     own = [k.alias("id"), "live_id", c.alias("swimmer_id"), "event_id", F.when(k % 4 > 0, k % 6).alias("heat"), F.col("event_date").alias("result_date"), F.when(k % 2 == 0, "TIM").alias("event_round"), F.lit(None).cast("boolean").alias("is_relay"), F.when(k % 10 == 0, "+0.71").alias("reaction_time"), (k % 7 == 0).alias("has_splits")]
     more = at.where("o_orderkey % 33 = 0").select(*own).withColumns({"id": F.col("id") + 1_000_000_000, "reaction_time": F.lit(None).cast("string"), "has_splits": F.lit(False)})
     results = at.where("o_orderkey % 3 < 2").select(*own).unionByName(more)
@@ -68,10 +68,17 @@ def _plan(spark, sf):
         "live_id", race.alias("race_key"), k.alias("result_id"), "event_number", "event_date", "event_round", F.when(k % 8 == 0, "pdf").otherwise("lenex").alias("source_kind"), F.when(k % 16 == 0, C.digest_of(C.canonical_rows(base, payload))).otherwise("x").alias("payload_hash"), "first_name", "last_name", "birth_year", "gender",
     )
     reviewed = base.where("club IS NOT NULL").select(*planning._WHO[2:], "first_name", "last_name", "club").distinct()
-    reviewed = reviewed.withColumn("_f", F.trim(F.lower("first_name"))).join(swimmers.select("id", F.trim(F.lower("first_name")).alias("_f"), "last_name", "birth_year", "gender"), ["_f", "last_name", "birth_year", "gender"])
+    who = ["_f", "last_name", "birth_year", "gender"]
+    least = swimmers.withColumn("_f", F.trim(F.lower("first_name"))).groupBy(*who).agg(F.min("id").alias("id"))
+    reviewed = reviewed.withColumn("_f", F.trim(F.lower("first_name"))).join(least, who)
     reviewed = reviewed.withColumn("identity_key", C.identity_key(*(F.col(x) for x in ("first_name", "last_name", "birth_year", "gender", "club")))).groupBy("identity_key").agg(F.min("id").alias("swimmer_pk"))
-    plan = planning.build_plan(rows, payload, swimmers, aliases, events, results, ledger, reviewed)
-    return settled(plan), ledger
+    return planning.build_plan(rows, payload, swimmers, aliases, events, results, ledger, reviewed), ledger
+
+
+def _settled_plan(spark, sf):
+    """What missing races and the gate, which read the plan several times, need of it."""
+    plan, ledger = _plan(spark, sf)
+    return settled(plan.select("live_id", *planning.EVENT, "race_key", "reason", "reached")), ledger
 
 
 @query(f"WITH {_PLAN} SELECT row_no, who AS swimmer_key, race_key, action, reason, CASE WHEN action <> 'held' THEN old END AS result_id FROM plan")
@@ -83,7 +90,7 @@ def live_plan(spark, sf):
 @query(f"WITH {_PLAN} SELECT live_id, race_key FROM lost")
 def live_plan_missing(spark, sf):
     """U4: races of an earlier import that their event has no more."""
-    return planning.missing_races(*_plan(spark, sf))
+    return planning.missing_races(*_settled_plan(spark, sf))
 
 
 @query(f"""WITH {_PLAN}, n AS (SELECT live_id, count(*) FILTER (WHERE reason IS NULL) AS entries, count(*) FILTER (WHERE reason IS NOT NULL) AS held, count(*) FILTER (WHERE reason IN ({_SEVERE})) AS severe FROM plan GROUP BY 1), x AS (SELECT live_id, count(*) AS lost FROM lost GROUP BY 1),
@@ -91,7 +98,7 @@ def live_plan_missing(spark, sf):
  SELECT live_id, entries, holds, CASE WHEN severe > 0 OR lost > 0 THEN 'refused' WHEN entries = 0 THEN 'empty' ELSE 'apply' END AS verdict, CASE WHEN holds > 0 THEN 'held' WHEN entries = 0 THEN 'empty' ELSE 'apply' END AS strict FROM h""")
 def live_plan_gate(spark, sf):
     """UPS6: which meets may be applied, with holds allowed and without."""
-    plan, ledger = _plan(spark, sf)
+    plan, ledger = _settled_plan(spark, sf)
     missing = planning.missing_races(plan, ledger)
     strict = planning.gate(plan, missing).select("live_id", F.col("verdict").alias("strict"))
     return planning.gate(plan, missing, allow_held=True).join(strict, "live_id")
