@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .dedup import pick_first, unique_only
+from .dedup import pick_first
 
 
 def star(facts: DataFrame, dimensions: list[tuple[DataFrame, str]], how: str = "inner") -> DataFrame:
@@ -97,10 +97,15 @@ def with_fallback(rows: DataFrame, specific: DataFrame, specific_keys: list[str]
 
 
 def schedule_match(lines: DataFrame, schedule: DataFrame, keys: list[str]) -> DataFrame:
-    """The one scheduled event with the line's keys and its date, or no date on the line."""
-    s = schedule.select(*keys, F.col("event_id"), F.col("date").alias("_day"))
-    pairs = lines.join(s, keys).where(F.col("date").isNull() | (F.col("date") == F.col("_day")))
-    return unique_only(pairs, ["row_id"]).withColumn("date", F.coalesce("date", "_day")).drop("_day")
+    """The one scheduled event with the line's keys and its date, or no date on the line.
+
+    Events are counted by keys and date first, so lines of a crowded key make no pairs.
+    """
+    counted = lambda by, day: schedule.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("event_id").alias("event_id"), *day)
+    dated = lines.where("date IS NOT NULL").join(counted([*keys, "date"], []), [*keys, "date"])
+    others = lines.where("date IS NULL").drop("date").join(counted(keys, [F.min("date").alias("date")]), keys)
+    pairs = dated.unionByName(others).withColumn("_all", F.sum("_n").over(Window.partitionBy("row_id")))
+    return pairs.where("_all = 1").drop("_n", "_all")
 
 
 def with_children(parents: DataFrame, children: DataFrame, key: str, order: list[str], values: list[str], name: str = "splits") -> DataFrame:

@@ -38,3 +38,14 @@ def test_a_name_of_many_swimmers_makes_no_pairs_in_plans(spark):
     # printed lists count all nations; a7 is Austrian, a8 names two; without a nation nobody is found
     assert (got[3], got[4], got[7], got[8], got[10]) == ((300, None), (1, 4), (150, None), (150, None), (0, None))
     assert most_joined(found) <= 300
+
+
+def test_lines_of_a_crowded_key_make_no_pairs(spark):
+    from poolside.operators import match
+
+    events = [(1, 1, "2026-01-01"), (2, 2, None), (3, 3, "2026-01-02"), (3, 4, "2026-01-03")] + [(0, 100 + i, "2026-01-01") for i in range(200)]
+    schedule = spark.createDataFrame(events, "size int, event_id long, date string").withColumn("date", F.to_date("date"))
+    lines = [(1, 1, None), (2, 1, "2026-01-02"), (3, 2, None), (4, 3, None), (5, 3, "2026-01-03"), (6, 1, None), (6, 3, None), (7, 1, None), (7, 2, "2026-01-01")] + [(100 + i, 0, None) for i in range(200)]
+    found = match.schedule_match(spark.createDataFrame(lines, "row_id long, size int, date string").withColumn("date", F.to_date("date")), schedule, ["size"])
+    assert sorted((r.row_id, r.event_id, str(r.date)) for r in found.collect()) == [(1, 1, "2026-01-01"), (3, 2, "None"), (5, 4, "2026-01-03"), (7, 1, "2026-01-01")]
+    assert most_joined(found) <= len(lines)
