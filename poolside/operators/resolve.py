@@ -54,25 +54,27 @@ def candidates(athletes: DataFrame, swimmers: DataFrame, aliases: DataFrame | No
     country, and an alias among several decides. Unknown athletes of printed lists are held, for a
     list does not say enough to make a swimmer of them.
     """
-    rows = athletes.withColumns({"_row": F.monotonically_increasing_id(), "_key": _name_key()})
-    known = swimmers.select("swimmer_id", _name_key().alias("_key"), "birth_year", "gender", F.col("country_code").alias("_country"))
-    lenex = F.col("source_kind") == "lenex"
-    pairs = rows.select("_row", "_key", "birth_year", "gender", "source_kind", "country_code", "source_swimmer_id").join(known, ["_key", "birth_year", "gender"])
-    pairs = pairs.where(~lenex | (F.col("country_code") == F.col("_country")))
+    by = ["_key", "birth_year", "gender"]
+    anywhere = F.coalesce(F.col("source_kind") != "lenex", F.lit(False))
+    rows = athletes.withColumns({"_key": _name_key(), "_abroad": anywhere, "_place": F.when(anywhere, F.lit("")).otherwise(F.col("country_code"))})
+    known = swimmers.select("swimmer_id", _name_key().alias("_key"), "birth_year", "gender", F.col("country_code").alias("_place"))
+    # swimmers are counted by identity before they meet athletes, so no name makes pairs
+    counted = lambda keys: known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_all"), F.min("swimmer_id").alias("_any"))
+    there = counted([*by, "_place"]).withColumn("_abroad", F.lit(False)).unionByName(counted(by).withColumns({"_place": F.lit(""), "_abroad": F.lit(True)}))
+    out = rows.join(there, [*by, "_place", "_abroad"], "left")
     if aliases is not None:
-        a = aliases.select("source_swimmer_id", F.col("source_country_code").alias("country_code"), "swimmer_id", F.lit(True).alias("_alias"))
-        pairs = pairs.join(a, ["source_swimmer_id", "country_code", "swimmer_id"], "left")
+        a = aliases.select("source_swimmer_id", F.col("source_country_code").alias("country_code"), "swimmer_id").distinct()
+        own = a.join(known, "swimmer_id").where("_place = country_code")
+        own = own.groupBy("source_swimmer_id", "country_code", *by).agg(F.count(F.lit(1)).alias("_hits"), F.min("swimmer_id").alias("_hit"))
+        out = out.join(own, ["source_swimmer_id", "country_code", *by], "left")
     else:
-        pairs = pairs.withColumn("_alias", F.lit(None).cast("boolean"))
-    hit = lenex & F.coalesce("_alias", F.lit(False))
-    by = pairs.groupBy("_row").agg(F.count(F.lit(1)).alias("_all"), F.min("swimmer_id").alias("_any"), F.count_if(hit).alias("_hits"), F.min(F.when(hit, F.col("swimmer_id"))).alias("_hit"))
-    out = rows.join(by, "_row", "left")
-    one = F.col("_hits") == 1
+        out = out.withColumns({"_hits": F.lit(0), "_hit": F.lit(None).cast(swimmers.schema["swimmer_id"].dataType)})
+    one = (F.col("source_kind") == "lenex") & (F.col("_hits") == 1)
     n = F.when(one, 1).otherwise(F.coalesce("_all", F.lit(0)))
     route = F.when(n == 1, "link").when((n == 0) & (F.col("source_kind") != "pdf"), "create").otherwise("hold")
     reason = F.when(route == "hold", F.when(n == 0, "unknown_identity").otherwise("ambiguous_identity"))
     found = F.when(n == 1, F.when(one, F.col("_hit")).otherwise(F.col("_any")))
-    return out.withColumns({"candidates": n, "route": route, "reason": reason, "swimmer_id": found}).drop("_row", "_key", "_all", "_any", "_hits", "_hit")
+    return out.withColumns({"candidates": n, "route": route, "reason": reason, "swimmer_id": found}).drop("_abroad", "_place", "_key", "_all", "_any", "_hits", "_hit")
 
 
 def alias_conflicts(claims: DataFrame) -> DataFrame:

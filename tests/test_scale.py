@@ -49,3 +49,17 @@ def test_lines_of_a_crowded_key_make_no_pairs(spark):
     found = match.schedule_match(spark.createDataFrame(lines, "row_id long, size int, date string").withColumn("date", F.to_date("date")), schedule, ["size"])
     assert sorted((r.row_id, r.event_id, str(r.date)) for r in found.collect()) == [(1, 1, "2026-01-01"), (3, 2, "None"), (5, 4, "2026-01-03"), (7, 1, "2026-01-01")]
     assert most_joined(found) <= len(lines)
+
+
+def test_a_name_of_many_swimmers_makes_no_pairs_among_candidates(spark):
+    from poolside.operators import resolve
+
+    who = [F.lit("Mia").alias("first_name"), F.lit("K").alias("last_name"), F.lit(2014).alias("birth_year"), F.lit("F").alias("gender")]
+    swimmers = spark.range(300).select(F.concat(F.lit("S"), "id").alias("swimmer_id"), *who, F.when(F.col("id") % 2 == 0, "SUI").otherwise("AUT").alias("country_code"))
+    kind = F.when(F.col("id") % 3 == 0, "pdf").otherwise("lenex")
+    athletes = spark.range(300).select("id", F.col("id").cast("string").alias("source_swimmer_id"), kind.alias("source_kind"), *who, F.when(F.col("id") % 5 > 0, "SUI").otherwise("GER").alias("country_code"))
+    aliases = spark.createDataFrame([("SUI", "4", "S4"), ("SUI", "7", "S7")], "source_country_code string, source_swimmer_id string, swimmer_id string")
+    found = resolve.candidates(athletes, swimmers, aliases)
+    got = {r.id: (r.candidates, r.route, r.swimmer_id) for r in found.collect()}
+    assert (got[3], got[4], got[7], got[10]) == ((300, "hold", None), (1, "link", "S4"), (150, "hold", None), (0, "create", None))
+    assert most_joined(found) <= 300
