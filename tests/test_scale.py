@@ -63,3 +63,13 @@ def test_a_name_of_many_swimmers_makes_no_pairs_among_candidates(spark):
     got = {r.id: (r.candidates, r.route, r.swimmer_id) for r in found.collect()}
     assert (got[3], got[4], got[7], got[10]) == ((300, "hold", None), (1, "link", "S4"), (150, "hold", None), (0, "create", None))
     assert most_joined(found) <= 300
+
+
+def test_set_digests_are_of_all_sorted_hashes(spark):
+    from poolside.operators import delta
+    from poolside.plans import catalog
+
+    hashes = sorted(hashlib.sha256(f'{{"a":{a}}}'.encode()).hexdigest() for a in (3, 1, 1))
+    rows = spark.createDataFrame([(1, 3), (1, 1), (1, 1)], "meet_id int, a int")
+    assert [r.digest for r in delta.sorted_digest(rows, ["meet_id"], ["a"]).collect()] == [hashlib.sha256(",".join(hashes).encode()).hexdigest()]
+    assert "string_agg(h, ',' ORDER BY h)" in catalog.oracle_sql()["set_digests"]
