@@ -116,9 +116,14 @@ def refresh_health(ledger: DataFrame, outcomes: DataFrame) -> DataFrame:
 
 
 def days_without_results(meets: DataFrame, results: DataFrame, key: str = "meet_id") -> DataFrame:
-    """DQ12: scheduled days on which no result is dated."""
-    days = meets.select(key, F.explode(F.sequence("start_date", "end_date")).alias("day"))
-    return days.join(results.select(key, F.col("result_date").alias("day")), [key, "day"], "left_anti")
+    """DQ12: scheduled days on which no result is dated.
+
+    Each meet's dated days are gathered first, so only meets are joined, never their days.
+    """
+    dated = results.groupBy(key).agg(F.collect_set("result_date").alias("_dated"))
+    scheduled = F.sequence("start_date", "end_date")
+    open_ = F.coalesce(F.array_except(scheduled, "_dated"), scheduled)  # without any result, all
+    return meets.join(dated, key, "left").select(key, F.explode(open_).alias("day"))
 
 
 def projection_ready(contract: DataFrame, dirty: DataFrame) -> DataFrame:

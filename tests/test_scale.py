@@ -73,3 +73,16 @@ def test_set_digests_are_of_all_sorted_hashes(spark):
     rows = spark.createDataFrame([(1, 3), (1, 1), (1, 1)], "meet_id int, a int")
     assert [r.digest for r in delta.sorted_digest(rows, ["meet_id"], ["a"]).collect()] == [hashlib.sha256(",".join(hashes).encode()).hexdigest()]
     assert "string_agg(h, ',' ORDER BY h)" in catalog.oracle_sql()["set_digests"]
+
+
+def test_days_without_results_join_meets_only(spark):
+    from poolside.operators import quality
+
+    meets = spark.createDataFrame([(1, "2026-01-01", "2026-01-03"), (2, "2020-01-01", "2026-01-01"), (3, "2026-01-01", "2026-01-02")], "meet_id int, a string, b string")
+    meets = meets.select("meet_id", F.to_date("a").alias("start_date"), F.to_date("b").alias("end_date"))
+    results = spark.createDataFrame([(1, "2026-01-02"), (1, "2026-01-02"), (1, None), (2, "2020-01-01")], "meet_id int, d string").select("meet_id", F.to_date("d").alias("result_date"))
+    found = quality.days_without_results(meets, results)
+    days = [(r.meet_id, str(r.day)) for r in found.collect()]
+    assert len(days) == len(set(days)) == 2 + 2192 + 2
+    assert {d for d in days if d[0] != 2} == {(1, "2026-01-01"), (1, "2026-01-03"), (3, "2026-01-01"), (3, "2026-01-02")} and (2, "2020-01-01") not in days
+    assert most_joined(found) <= 3
