@@ -86,3 +86,14 @@ def test_days_without_results_join_meets_only(spark):
     assert len(days) == len(set(days)) == 2 + 2192 + 2
     assert {d for d in days if d[0] != 2} == {(1, "2026-01-01"), (1, "2026-01-03"), (3, "2026-01-01"), (3, "2026-01-02")} and (2, "2020-01-01") not in days
     assert most_joined(found) <= 3
+
+
+def test_results_are_dealt_to_as_many_tasks_as_they_need(spark, monkeypatch):
+    from poolside.plans import views
+
+    monkeypatch.setattr(views, "RESULTS_A_TASK", 400)
+    sf = "/root/testdata/sf0.001"
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").count()
+    swims = views.valid_swims(spark, sf, by_swimmer=True)
+    assert swims.rdd.getNumPartitions() >= lines // 400 > 4
+    assert swims.count() == views.valid_swims(spark, sf).count()
