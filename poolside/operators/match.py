@@ -16,13 +16,18 @@ def star(facts: DataFrame, dimensions: list[tuple[DataFrame, str]], how: str = "
 
 
 def in_bands(rows: DataFrame, value: str, tolerance: float, *, around: bool = False) -> DataFrame:
-    """rows with a _band of their value, twice the tolerance wide; with ``around``, once in each of the three bands where a close value can be.
+    """rows with a _band of their value, twice the tolerance wide; with ``around``, once in each band where a close value can be.
+
+    That is the value's own band and the one beside its nearer end; near the middle, where rounding
+    could mistake the end, both neighbours.
 
     An equality on _band lets only rows near each other meet, so a key of any size makes
     pairs in proportion to what matches, not to its square.
     """
-    band = F.floor(F.col(value).cast("double") / (2 * tolerance))
-    return rows.withColumn("_band", F.explode(F.array(band - 1, band, band + 1)) if around else band)
+    at = F.col(value).cast("double") / (2 * tolerance)
+    band = F.floor(at)
+    near = F.array_compact(F.array(band, F.when(at - band < 0.51, band - 1), F.when(at - band > 0.49, band + 1)))
+    return rows.withColumn("_band", F.explode(near) if around else band)
 
 
 def theta_match(incoming: DataFrame, stored: DataFrame, keys: list[str], *, tolerance: float = 0.0001) -> DataFrame:
@@ -36,7 +41,7 @@ def theta_match(incoming: DataFrame, stored: DataFrame, keys: list[str], *, tole
     first = incoming.join(with_heat, [*keys, "heat"]).select("row_id", "id", "_n")
     open_ = in_bands(incoming.where("heat IS NULL"), "time_seconds", tolerance, around=True)
     close = open_.join(in_bands(without, "_time", tolerance), [*keys, "result_date", "_band"]).where(F.abs(F.col("time_seconds") - F.col("_time")) < tolerance)
-    pairs = first.unionByName(close.select("row_id", "id", "_n"))
+    pairs = first.unionByName(close.select("row_id", "id", "_n")).withColumn("id", F.when(F.col("_n") == 1, F.col("id")))  # ids of others are not sent
     return pairs.groupBy("row_id").agg(F.sum("_n").alias("_all"), F.min("id").alias("id")).where("_all = 1").select("row_id", "id")
 
 
@@ -57,7 +62,7 @@ def nearest_match(incoming: DataFrame, stored: DataFrame, keys: list[str], *, va
 def not_stored(incoming: DataFrame, stored: DataFrame, keys: list[str], *, value: str = "time_seconds", tolerance: float = 0.01) -> DataFrame:
     """Incoming rows with no stored row of the same keys and about the same value.
 
-    Each stored value stands once in each of its three bands, so the anti join stays an equality with a condition.
+    Each stored value stands once in each of its bands, so the anti join stays an equality with a condition.
     """
     i = in_bands(incoming, value, tolerance).alias("i")
     s = in_bands(stored.select(*keys, value).distinct(), value, tolerance, around=True).alias("s")

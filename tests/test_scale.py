@@ -97,3 +97,16 @@ def test_results_are_dealt_to_as_many_tasks_as_they_need(spark, monkeypatch):
     swims = views.valid_swims(spark, sf, by_swimmer=True)
     assert swims.rdd.getNumPartitions() >= lines // 400 > 4
     assert swims.count() == views.valid_swims(spark, sf).count()
+
+
+def test_values_stand_in_two_bands_and_lose_no_close_one(spark):
+    from poolside.operators import match
+
+    values = [i / 100 + d for i in range(0, 400, 3) for d in (-0.005, -0.0049, 0.0, 0.0049, 0.005, 0.0051, 0.0099)] + [-3.333, 99999.99, 99999.985]
+    rows = spark.createDataFrame(list(enumerate(values)), "id int, v double")
+    around = match.in_bands(rows, "v", 0.01, around=True)
+    assert around.count() < 2.2 * len(values)
+    close = around.alias("a").join(match.in_bands(rows, "v", 0.01).alias("b"), "_band").where("abs(a.v - b.v) < 0.01").selectExpr("a.id AS x", "b.id AS y")
+    found = [tuple(r) for r in close.collect()]
+    assert len(found) == len(set(found))
+    assert set(found) == {(i, j) for i, a in enumerate(values) for j, b in enumerate(values) if abs(a - b) < 0.01}
