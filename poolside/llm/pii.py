@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed_texts, map_slices
+from .common import give_back, keyed_texts, map_slices, slices
 
 KINDS = ("email", "ip", "card", "phone")
 ADDED = ("secret", "national_id", "local_phone", "spoken_email", "iban")
@@ -361,12 +361,22 @@ def redacted(text: str, model: SpanClassifier) -> str:
     return "".join([*out, text[at:]])
 
 
+def redacted_batches(batches: Iterator[pa.Array], model: SpanClassifier) -> Iterator[pa.Array]:
+    """Redacted texts, null where they are null. Texts become Python strings in slices of two megabytes, whatever a batch holds."""
+    for texts in batches:
+        done = [pa.array([], pa.string())]
+        for part in slices(pa.RecordBatch.from_arrays([texts], ["text"]), "text"):
+            done.append(pa.array([None if t is None else redacted(t, model) for t in part.column(0).to_pylist()], pa.string()))
+        yield pa.concat_arrays(done)
+        give_back()
+
+
 def redact(docs: DataFrame, model: SpanClassifier | None = None, *, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """docs with personal data replaced in the text; null texts stay null, all else is as it was."""
     model = model or fit_classifier(count_votes(docs, id_col=id_col, text_col=text_col))
 
-    @F.pandas_udf("string")
-    def clean(texts):  # noqa: ANN001, ANN202
-        return texts.map(lambda t: None if t is None else redacted(t, model))
+    @F.arrow_udf("string")
+    def clean(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        return redacted_batches(batches, model)
 
     return docs.withColumn(text_col, clean(F.col(text_col)))

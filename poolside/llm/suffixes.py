@@ -538,6 +538,7 @@ def remove_repeated(
     crowd: int = 20_000,
     keep_text: bool = False,
     carry: bool = False,
+    whole_characters: bool = False,
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
@@ -551,7 +552,9 @@ def remove_repeated(
     of ``length`` bytes, which are combined in each chunk, so that a passage found
     almost everywhere is spread over many ranges. The table of texts is written
     once, bucketed by chunk, and read again without a shuffle. ``keep_text`` adds what is
-    left of each text, ``carry`` the other columns of docs in a struct.
+    left of each text, ``carry`` the other columns of docs in a struct. With
+    ``whole_characters`` what is left of a character of which bytes were removed is not
+    in ``kept``; its digest is that of all remaining bytes.
     """
     spark = docs.sparkSession
     last = (1 << 63) - 1
@@ -632,7 +635,7 @@ def remove_repeated(
         schema = T.StructType(schema.fields[:-1])
     schema = schema.add("known", "boolean")
     if carry:
-        schema = schema.add("rest", T.StructType(others))
+        schema = schema.add("rest", texts.schema["rest"].dataType)  # as read back: every field may be null
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         """Every row of a chunk: leaders without their spans, copies without anything."""
@@ -650,7 +653,7 @@ def remove_repeated(
                 kept, removed, runs_ = without(text, spans[where[k] : where[k + 1]])
             else:
                 kept, removed, runs_ = text, 0, 0
-            rows.append((struct.unpack(">q", key[:8])[0], len(text), removed, runs_, hashlib.sha256(kept).hexdigest(), kept if keep_text else None))
+            rows.append((struct.unpack(">q", key[:8])[0], len(text), removed, runs_, hashlib.sha256(kept).hexdigest(), None if not keep_text else kept.decode("utf-8", "ignore").encode() if whole_characters else kept))
         out = columns(rows, [c.split()[0] for c in RESULT.split(", ")], [pa.int64()] * 4 + [pa.string(), pa.binary()])
         out = out if keep_text else out.drop_columns(["kept"])
         out = out.append_column("known", left["known"])
