@@ -23,7 +23,10 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays; groups are linked by a Jaccard similarity of 0.8 or more of their 5-word shingles."""
+    """One document of each group stays; groups are linked by a Jaccard similarity of 0.8 or more of their 5-word shingles.
+
+    SimHash prints of these shingles give the candidates, which are verified; an exact filter adds the pairs that the prints miss.
+    """
     return near_sets.first_of_each_group(docs)
 
 
@@ -32,13 +35,8 @@ def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
     A cut inside a character drops the rest of that character.
     """
-    cut = suffixes.remove_repeated(docs, keep_text=True, carry=True).where((F.col("n_removed") < F.col("n_bytes")) | (F.col("n_bytes") == 0))
-
-    @F.pandas_udf("string")
-    def decoded(texts):  # noqa: ANN001, ANN202
-        return texts.map(lambda b: b.decode("utf-8", "ignore"))
-
-    rows = cut.select(decoded("kept").alias("text"), "rest.*")
+    cut = suffixes.remove_repeated(docs, keep_text=True, carry=True, whole_characters=True).where((F.col("n_removed") < F.col("n_bytes")) | (F.col("n_bytes") == 0))
+    rows = cut.select(F.col("kept").cast("string").alias("text"), "rest.*")
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return rows.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -18,6 +18,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -142,6 +143,27 @@ def slices(batch: pa.RecordBatch, size_of: str, limit: int = SLICE_BYTES) -> Ite
     yield batch.slice(start)
 
 
+def groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """The columns in blocks that end with a group; rows come sorted by the first column."""
+    parts: list[list[np.ndarray]] = []
+    for batch in batches:
+        new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if not len(new[0]):
+            continue
+        change = np.flatnonzero(new[0][1:] != new[0][:-1])
+        cut = int(change[-1]) + 1 if len(change) else 0
+        if not cut and parts and parts[-1][0][-1] != new[0][0]:
+            yield [np.concatenate(x) for x in zip(*parts, strict=True)]
+            parts = []
+        if cut:
+            parts.append([c[:cut] for c in new])
+            yield [np.concatenate(x) for x in zip(*parts, strict=True)]
+            parts = []
+        parts.append([c[cut:] for c in new])
+    if parts:
+        yield [np.concatenate(x) for x in zip(*parts, strict=True)]
+
+
 def utf8_values(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of a string column."""
     return column.cast(pa.binary()).to_pylist()

@@ -1,6 +1,11 @@
-"""Near-duplicates by the Jaccard similarity of word shingles, found without loss.
+"""Near-duplicates by the Jaccard similarity of word shingles: SimHash, then what it misses.
 
-Texts are sets of hashed shingles; equal sets are one node. Two sets of similarity s
+Texts are sets of hashed shingles; equal sets are one node. Wide SimHash prints give
+candidates, by small balls in each block of their bits (``simhash.block_links``), and
+candidates are compared exactly. At a similarity of 0.8 prints of any length miss some
+pairs, so all pairs of sets that are not connected yet go through a filter without loss:
+
+Two sets of similarity s
 or more share a shingle among the first few of each in any one order of all shingles
 (prefix filter; Chaudhuri et al., 2006), and the place of the first shared one bounds
 what they can share in all (Xiao et al., 2008). So does a bitmap of each set: every
@@ -24,9 +29,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, fresh_path, give_back, keyed_texts, map_slices, mark_of, partitions, utf8_values
+from .common import checkpointed, fresh_path, give_back, groups, keyed_texts, map_slices, mark_of, partitions, utf8_values
 from .components import components, least_labels, one_of_each
-from .simhash import LOWER
+from .simhash import LOWER, block_links, wide_print
 
 #: Similarity of near-duplicates, as a fraction.
 LEAST = (4, 5)
@@ -79,19 +84,20 @@ def prefix_length(size: int) -> int:
 
 
 def nodes_of(texts: DataFrame, words: int) -> DataFrame:
-    """(doc_id, mark, node, bitmap) of each row; mark is a digest of the text."""
+    """(doc_id, mark, node, bitmap, print) of each row; mark is a digest of the text, print the wide SimHash of its shingles."""
 
     def setup():
         known = _Words()
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             sets = [shingle_set(t, words, known) for t in utf8_values(batch.column(1))]
-            nodes, maps = pa.array([node_of(s) for s in sets], pa.int64()), pa.array([bitmap(s) for s in sets], pa.binary())
-            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), nodes, maps], ["doc_id", "mark", "node", "bitmap"])
+            nodes = pa.array([node_of(s) for s in sets], pa.int64())
+            maps, prints = (pa.array([f(s) for s in sets], pa.binary()) for f in (bitmap, wide_print))
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), nodes, maps, prints], ["doc_id", "mark", "node", "bitmap", "print"])
 
         return run
 
-    return map_slices(texts.withColumn("mark", mark_of(F.col("text"))), setup, "doc_id long, mark binary, node long, bitmap binary")
+    return map_slices(texts.withColumn("mark", mark_of(F.col("text"))), setup, "doc_id long, mark binary, node long, bitmap binary, print binary")
 
 
 def packed_texts(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -176,32 +182,11 @@ def prefixes(texts: DataFrame, words: int, common: tuple[np.ndarray, np.ndarray]
     return map_slices(texts, setup, ROWS)
 
 
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """The columns in blocks that end with a group; rows come sorted by the first column."""
-    parts: list[list[np.ndarray]] = []
-    for batch in batches:
-        new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
-        if not len(new[0]):
-            continue
-        change = np.flatnonzero(new[0][1:] != new[0][:-1])
-        cut = int(change[-1]) + 1 if len(change) else 0
-        if not cut and parts and parts[-1][0][-1] != new[0][0]:
-            yield [np.concatenate(x) for x in zip(*parts, strict=True)]
-            parts = []
-        if cut:
-            parts.append([c[:cut] for c in new])
-            yield [np.concatenate(x) for x in zip(*parts, strict=True)]
-            parts = []
-        parts.append([c[cut:] for c in new])
-    if parts:
-        yield [np.concatenate(x) for x in zip(*parts, strict=True)]
-
-
 def met(rows: DataFrame) -> DataFrame:
     """Rows of shingles at which two or more nodes meet, with their count ``n``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shingle, node, size, place in _groups(batches):
+        for shingle, node, size, place in groups(batches):
             new = np.r_[True, (shingle[1:] != shingle[:-1]) | (node[1:] != node[:-1])]
             shingle, node, size, place = shingle[new], node[new], size[new], place[new]
             start = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
@@ -232,11 +217,11 @@ def _overlap(x: np.ndarray, y: np.ndarray, sx: np.ndarray, sy: np.ndarray) -> np
     return (a + b) * np.minimum(sx - only_x, sy - only_y) >= a * (sx + sy)
 
 
-def proposed(rows: DataFrame, *, small: int, leaders: int | None, turn: int = 0) -> DataFrame:
+def proposed(rows: DataFrame, *, small: int, leaders: int | None) -> DataFrame:
     """(a, b), a < b: pairs of nodes of different roots that meet at a shingle and can be similar.
 
     rows: (shingle, node, size, place, bitmap, root). With ``leaders``, groups of over
-    ``small`` nodes pair each node only with so many of them, others in each ``turn``.
+    ``small`` nodes pair each node only with so many of them.
     """
 
     def of_group(node, size, place, maps, root) -> Iterator[np.ndarray]:  # noqa: ANN001
@@ -244,10 +229,10 @@ def proposed(rows: DataFrame, *, small: int, leaders: int | None, turn: int = 0)
         if root.min() == root.max():
             return
         if leaders is not None and len(node) > small:
-            mixed = ((node.view(np.uint64) + np.uint64(turn)) * _MIX) >> np.uint64(20)
+            mixed = (node.view(np.uint64) * _MIX) >> np.uint64(20)
             lead = np.argsort(mixed, kind="stable")[:leaders]
         maps = np.frombuffer(b"".join(maps), np.uint64).reshape(-1, MAP_WORDS)
-        step = max(1, 2_000_000 // len(lead))
+        step = max(1, 200_000 // len(lead))
         for at in range(0, len(node), step):
             x = slice(at, at + step)
             ok = (root[x][:, None] != root[lead][None, :]) & _fit(size[x][:, None], place[x][:, None], size[lead][None, :], place[lead][None, :])
@@ -264,7 +249,7 @@ def proposed(rows: DataFrame, *, small: int, leaders: int | None, turn: int = 0)
         return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(out[:, k])) for k in range(2)], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shingle, *rest in _groups(batches):
+        for shingle, *rest in groups(batches):
             ends = [*(np.flatnonzero(shingle[1:] != shingle[:-1]) + 1).tolist(), len(shingle)]
             found, size, start = [np.zeros((0, 2), np.int64)], 0, 0
             for end in ends:
@@ -306,20 +291,21 @@ def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, words: int) -
 def similar_links(texts: DataFrame, nodes: DataFrame, *, words: int = 5, small: int = 32, leaders: int = 16, sample: int = 5_000) -> DataFrame:
     """(a, b): links between nodes whose similarity is LEAST or more, enough of them to connect all such pairs.
 
-    Groups of over ``small`` nodes first pair their nodes with leaders, twice; what is
-    connected then need not be compared again. All other pairs of the group are, so
-    no pair of different components is left out.
+    SimHash comes first, then the sets that meet at a shingle of their prefixes, but for
+    those that are connected already. Groups of over ``small`` nodes first pair their nodes
+    with leaders. All other pairs of the group follow, so no pair of different
+    components is left out.
     """
-    maps = nodes.select("node", "bitmap").dropDuplicates(["node"])
+    rooted = lambda rows, links: rows.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    links = verified(block_links(nodes.select("node", "print").dropDuplicates(["node"])), texts, nodes, words)
+    maps = rooted(nodes.select("node", "bitmap").dropDuplicates(["node"]), links)
     # Parquet, in order of node: each bitmap is stored once for all rows of its node
     met(prefixes(texts, words, common_shingles(texts, words, sample))).join(maps, "node").sortWithinPartitions("node").write.parquet(path := fresh_path(texts.sparkSession, "near-rows"))
     rows = texts.sparkSession.read.parquet(path)
-    links = verified(proposed(rows.withColumn("root", F.col("node")), small=small, leaders=leaders), texts, nodes, words)
-    crowded = rows.where(F.col("n") > small)
+    links = links.unionByName(verified(proposed(rows, small=small, leaders=leaders), texts, nodes, words))
+    crowded = rows.where(F.col("n") > small).drop("root")
     if not crowded.isEmpty():
-        for turn, most in ((1, leaders), (2, None)):
-            rooted = crowded.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-            links = links.unionByName(verified(proposed(rooted, small=small, leaders=most, turn=turn), texts, nodes, words))
+        links = links.unionByName(verified(proposed(rooted(crowded, links), small=small, leaders=None), texts, nodes, words))
     return links
 
 
