@@ -274,21 +274,21 @@ def _in_group(node: np.ndarray, place: np.ndarray, rest: np.ndarray, root: np.nd
 
 
 def matched(rows: DataFrame, *, distance: int, small: int, leaders: int | None, keep_crowded: bool = False) -> DataFrame:
-    """(crowded false, a, b, at_a, at_b): corners of contents a < b that share a key, differ in at most ``distance`` bits, and have different roots.
+    """(crowded false, a, b, at_a, at_b, lead 0): corners of contents a < b that share a key, differ in at most ``distance`` bits, and have different roots.
 
     rows: (key, node, place, rest), and ``root``, else each node is its own. A match is
     given once, in the first table that both are in. With ``leaders``, keys of over
     ``small`` rows match each corner only with those of one content of each root, of at
     most so many roots: the ones whose mixed names are smallest, so that keys with the
     same contents have the same leaders. ``keep_crowded`` gives the rows of such keys besides, as
-    (crowded true, key, node, place, rest).
+    (crowded true, key, node, place, rest, lead); lead is one node of the key, the same for all its rows.
     """
     has_root = "root" in rows.columns
 
     def batch_of(found: list[np.ndarray], crowded: bool) -> pa.RecordBatch:
-        out = np.concatenate([np.zeros((0, 4), np.int64), *found])
-        out = out if crowded else np.unique(out, axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(out), crowded)), *(pa.array(np.ascontiguousarray(out[:, k])) for k in range(4))], names=["crowded", "a", "b", "at_a", "at_b"])
+        out = np.concatenate([np.zeros((0, 5 if crowded else 4), np.int64), *found])
+        out = out if crowded else np.pad(np.unique(out, axis=0), ((0, 0), (0, 1)))
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(out), crowded)), *(pa.array(np.ascontiguousarray(out[:, k])) for k in range(5))], names=["crowded", "a", "b", "at_a", "at_b", "lead"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in _blocks(batches):
@@ -305,7 +305,9 @@ def matched(rows: DataFrame, *, distance: int, small: int, leaders: int | None,
                     found.append(pairs)
                     size += len(pairs)
                 if many and keep_crowded:
-                    kept.append(np.stack([key[own], node[own], place[own], rest[own]], axis=1))
+                    mixed = (node[own].view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)
+                    lead = np.full(len(mixed), node[own][np.argmin(mixed)])
+                    kept.append(np.stack([key[own], node[own], place[own], rest[own], lead], axis=1))
                 if size > 100_000:
                     yield batch_of(found, False)
                     found, size = [], 0
@@ -315,7 +317,7 @@ def matched(rows: DataFrame, *, distance: int, small: int, leaders: int | None,
 
     picked = rows.select("key", "node", "place", "rest", *(["root"] if has_root else []))
     dealt = picked.repartition(partitions(rows.sparkSession), "key").sortWithinPartitions("key")
-    return dealt.mapInArrow(run, "crowded boolean, a long, b long, at_a long, at_b long")
+    return dealt.mapInArrow(run, "crowded boolean, a long, b long, at_a long, at_b long, lead long")
 
 
 def linked(matches: DataFrame, *, agree: int = 4) -> DataFrame:
@@ -346,18 +348,23 @@ def image_links(contents: DataFrame, *, distance: int = 12, agree: int = 4, smal
 
     Keys of over ``small`` rows are first matched with leaders, twice; what is connected
     then need not be compared again. All other pairs are, and their matches are
-    counted together with those found before, so no link between components is lost.
+    counted together with those found before, so no link between components is lost. A
+    key all of whose pictures are connected has no such pair, and its rows go no further.
     """
     both = checkpointed(matched(tabled(contents), distance=distance, small=small, leaders=leaders, keep_crowded=True))
-    found = both.where("not crowded").drop("crowded")
-    crowded = both.where("crowded").select(F.col("a").alias("key"), F.col("b").alias("node"), F.col("at_a").alias("place"), F.col("at_b").alias("rest"))
+    found = both.where("not crowded").drop("crowded", "lead")
+    crowded = both.where("crowded").select(F.col("a").alias("key"), F.col("b").alias("node"), F.col("at_a").alias("place"), F.col("at_b").alias("rest"), "lead")
     links = checkpointed(linked(found, agree=agree))
     if not crowded.isEmpty():
-        # roots belong to pictures, so each picture's rows travel as one to them; they are no more than six times its corners
-        pictures = checkpointed(crowded.groupBy("node").agg(F.collect_list(F.struct("key", "place", "rest")).alias("rows")))
+        # one row for each picture and lead: pictures of a key are connected if each is connected with its lead
+        pictures = checkpointed(crowded.groupBy("node", "lead").agg(F.collect_set("key").alias("keys")))
         for most in (leaders, None):
-            rooted = pictures.join(components(links), "node", "left").select("node", F.coalesce("root", "node").alias("root"), F.explode("rows").alias("row")).select("row.*", "node", "root")
-            found = found.unionByName(checkpointed(matched(rooted, distance=distance, small=small, leaders=most)).drop("crowded"))
+            roots = checkpointed(components(links))
+            of = lambda c, r: roots.select(F.col("node").alias(c), F.col("root").alias(r))  # noqa: E731, B023
+            apart = pictures.join(of("node", "root"), "node", "left").join(of("lead", "its"), "lead", "left").where(F.coalesce("root", "node") != F.coalesce("its", "lead"))
+            open_rows = checkpointed(crowded.drop("lead").join(apart.select(F.explode("keys").alias("key")).distinct(), "key", "left_semi"))
+            rooted = open_rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+            found = found.unionByName(checkpointed(matched(rooted, distance=distance, small=small, leaders=most)).drop("crowded", "lead"))
             links = checkpointed(linked(found, agree=agree))
     return links
 
