@@ -635,7 +635,7 @@ def remove_repeated(
         schema = T.StructType(schema.fields[:-1])
     schema = schema.add("known", "boolean")
     if carry:
-        schema = schema.add("rest", texts.schema["rest"].dataType)  # as read back: every field may be null
+        schema = schema.add("rest", loosened(texts.schema["rest"].dataType))  # columns come back from Python as ones that may be null, whatever the table says
 
     def cut(left: pa.Table, right: pa.Table) -> pa.Table:
         """Every row of a chunk: leaders without their spans, copies without anything."""
@@ -663,6 +663,17 @@ def remove_repeated(
     return done.withColumn("doc_id", F.when(F.col("known"), F.col("doc_id"))).drop("known")
 
 
+def loosened(kind: T.DataType) -> T.DataType:
+    """A type of which every part may be null."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, loosened(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(loosened(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(loosened(kind.keyType), loosened(kind.valueType))
+    return kind
+
+
 def range_splitters(texts: DataFrame, sampler: Sampler, ranges: int, sample: int = 400) -> list[bytes]:
     """Boundaries of equal shares of anchors, from a sample of at most ``sample`` texts and 200 anchors of each.
 
