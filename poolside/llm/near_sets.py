@@ -39,6 +39,10 @@ _MIX, _LAST = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 ROWS = "shingle long, node long, size int, place int"
 #: 64-bit words of a set's bitmap. Larger sets share bits, which makes the bound weaker, never wrong.
 MAP_WORDS = 16
+#: Sets of more shingles have a second bitmap that grows with them.
+LARGE = 512
+#: Candidates of SimHash are verified if their prints differ in at most so many of 512 bits; at a similarity of 0.8 it is 78 on average.
+FAR = 128
 
 
 class _Words(dict):
@@ -79,12 +83,21 @@ def bitmap(shingles: np.ndarray) -> bytes:
     return np.packbits(bits).tobytes()
 
 
+def large_bitmap(shingles: np.ndarray) -> bytes | None:
+    """For a large set, the bits that its shingles hash to among two to four times as many; else None."""
+    if len(shingles) <= LARGE:
+        return None
+    bits = np.zeros(1 << (2 * len(shingles) - 1).bit_length(), np.uint8)
+    bits[(shingles >> np.uint64(20)) % np.uint64(len(bits))] = 1
+    return np.packbits(bits).tobytes()
+
+
 def prefix_length(size: int) -> int:
     return size + (LEAST[0] * size) // -LEAST[1] + 1 if size else 0
 
 
 def nodes_of(texts: DataFrame, words: int) -> DataFrame:
-    """(doc_id, mark, node, bitmap, print) of each row; mark is a digest of the text, print the wide SimHash of its shingles."""
+    """(doc_id, mark, node, size, bitmap, large, print) of each row; mark is a digest of the text, print the wide SimHash of its shingles."""
 
     def setup():
         known = _Words()
@@ -92,12 +105,13 @@ def nodes_of(texts: DataFrame, words: int) -> DataFrame:
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             sets = [shingle_set(t, words, known) for t in utf8_values(batch.column(1))]
             nodes = pa.array([node_of(s) for s in sets], pa.int64())
-            maps, prints = (pa.array([f(s) for s in sets], pa.binary()) for f in (bitmap, wide_print))
-            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), nodes, maps, prints], ["doc_id", "mark", "node", "bitmap", "print"])
+            sizes = pa.array([len(s) for s in sets], pa.int32())
+            maps = [pa.array([f(s) for s in sets], pa.binary()) for f in (bitmap, large_bitmap, wide_print)]
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), nodes, sizes, *maps], ["doc_id", "mark", "node", "size", "bitmap", "large", "print"])
 
         return run
 
-    return map_slices(texts.withColumn("mark", mark_of(F.col("text"))), setup, "doc_id long, mark binary, node long, bitmap binary, print binary")
+    return map_slices(texts.withColumn("mark", mark_of(F.col("text"))), setup, "doc_id long, mark binary, node long, size int, bitmap binary, large binary, print binary")
 
 
 def packed_texts(texts: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -183,16 +197,15 @@ def prefixes(texts: DataFrame, words: int, common: tuple[np.ndarray, np.ndarray]
 
 
 def met(rows: DataFrame) -> DataFrame:
-    """Rows of shingles at which two or more nodes meet, with their count ``n``."""
+    """Rows of shingles that have a partner there, by size and place, with the count ``n`` of such rows of the shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shingle, node, size, place in groups(batches):
             new = np.r_[True, (shingle[1:] != shingle[:-1]) | (node[1:] != node[:-1])]
             shingle, node, size, place = shingle[new], node[new], size[new], place[new]
-            start = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]])
-            n = np.diff(np.r_[start, len(shingle)])
-            n = np.repeat(n, n)
-            keep = n > 1
+            group = np.cumsum(np.r_[False, shingle[1:] != shingle[:-1]])
+            keep = _partnered(group, size, place)
+            n = np.bincount(group[keep], minlength=group[-1] + 1)[group]
             yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (shingle, node, size, place, n.astype(np.int32))], ["shingle", "node", "size", "place", "n"])
         give_back()
 
@@ -200,6 +213,31 @@ def met(rows: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, ROWS + ", n int")
 
 
+def _partnered(group: np.ndarray, size: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Whether each row has another of its group that ``_fit`` could accept. Groups are numbered from 0, ascending.
+
+    A row fits sets of up to some size, its reach, and so must the other row reach it. Rows
+    with a place so late that they do not reach their own size fit smaller sets only.
+    Every row with a partner is kept; some without one may be.
+    """
+    a, b = LEAST
+    s = size.astype(np.int64)
+    reach = ((a + b) * (s - place) - a * s) // a
+    order = np.lexsort((s, group))
+    base = group[order].astype(np.int64) << 32  # keeps groups apart
+    at, to = base + s[order], base + reach[order]
+    most = np.maximum.accumulate(to)
+    late = to < at
+    i = np.where(late, np.searchsorted(at, to, "right"), np.arange(len(at)))  # rows before i are smaller, and in reach
+    found = (i > 0) & (most[i - 1] >= at)
+    other = found | ~late
+    after = np.r_[at[other], np.iinfo(np.int64).max][np.cumsum(other)]
+    found |= ~late & (after <= to)
+    out = np.empty(len(s), bool)
+    out[order] = found
+    return out
+
+
 def _fit(sx: np.ndarray, px: np.ndarray, sy: np.ndarray, py: np.ndarray) -> np.ndarray:
     """Whether two sets can be similar enough if this is the first shingle that they share."""
     a, b = LEAST
@@ -267,6 +305,43 @@ def proposed(rows: DataFrame, *, small: int, leaders: int | None) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def _beside(pairs: DataFrame, nodes: DataFrame, columns: list[str], how: str) -> DataFrame:
+    """Pairs with columns of both nodes, as ``x`` and ``y``."""
+    of = lambda n, s: nodes.select(F.col("node").alias(n), F.struct(*columns).alias(s))
+    return pairs.join(of("a", "x"), "a", how).join(of("b", "y"), "b", how).select("a", "b", "x", "y")
+
+
+def alike(pairs: DataFrame, prints: DataFrame) -> DataFrame:
+    """Pairs of nodes of (node, print) whose wide prints are not FAR apart; those that share a block by chance are, and their number grows with the square of the input."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (np.frombuffer(b"".join(batch.column(c).field(0).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("x", "y"))
+                yield batch.select(["a", "b"]).filter(pa.array(np.bitwise_count(x ^ y).sum(axis=1) <= FAR))
+
+    return _beside(pairs, prints, ["print"], "inner").mapInArrow(run, "a long, b long")
+
+
+def possible(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs but those of large sets whose large bitmaps show that they share too little. nodes: (node, size, large)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
+                if x is None or y is None:
+                    keep.append(True)
+                    continue
+                m, n = (np.frombuffer(v["large"], np.uint64) for v in (x, y))
+                words = min(len(m), len(n))  # of powers of two, so the longer one folds to the shorter
+                m, n = (np.bitwise_or.reduce(v.reshape(-1, words), axis=0)[None, :] for v in (m, n))
+                keep.append(bool(_overlap(m, n, np.array([x["size"]]), np.array([y["size"]]))[0]))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return _beside(pairs, nodes.where("large IS NOT NULL").dropDuplicates(["node"]), ["size", "large"], "left").mapInArrow(run, "a long, b long")
+
+
 def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
     """The pairs (a, b) whose sets have the similarity."""
 
@@ -297,15 +372,17 @@ def similar_links(texts: DataFrame, nodes: DataFrame, *, words: int = 5, small:
     components is left out.
     """
     rooted = lambda rows, links: rows.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    links = verified(block_links(nodes.select("node", "print").dropDuplicates(["node"])), texts, nodes, words)
+    prints = nodes.select("node", "print").dropDuplicates(["node"])
+    links = verified(alike(block_links(prints), prints), texts, nodes, words)
+    large = nodes.select("node", "size", "large")
     maps = rooted(nodes.select("node", "bitmap").dropDuplicates(["node"]), links)
     # Parquet, in order of node: each bitmap is stored once for all rows of its node
     met(prefixes(texts, words, common_shingles(texts, words, sample))).join(maps, "node").sortWithinPartitions("node").write.parquet(path := fresh_path(texts.sparkSession, "near-rows"))
     rows = texts.sparkSession.read.parquet(path)
-    links = links.unionByName(verified(proposed(rows, small=small, leaders=leaders), texts, nodes, words))
+    links = links.unionByName(verified(possible(proposed(rows, small=small, leaders=leaders), large), texts, nodes, words))
     crowded = rows.where(F.col("n") > small).drop("root")
     if not crowded.isEmpty():
-        links = links.unionByName(verified(proposed(rooted(crowded, links), small=small, leaders=None), texts, nodes, words))
+        links = links.unionByName(verified(possible(proposed(rooted(crowded, links), small=small, leaders=None), large), texts, nodes, words))
     return links
 
 
