@@ -35,19 +35,30 @@ class Applied:
 
 def resolved(results: DataFrame, ledger: DataFrame, scopes: DataFrame, incoming: DataFrame) -> DataFrame:
     """Incoming with the stored id as ``target``: by the ledger, else by signature, else null."""
-    mapped = incoming.join(ledger.select(*SOURCE, F.col("target_id").alias("_mapped")), SOURCE, "left")
+    return _named_by(_races(results, scopes), ledger, incoming)
+
+
+def _races(results: DataFrame, scopes: DataFrame) -> DataFrame:
+    """The stored races of the meets in scopes, with their smallest id and how many rows each has."""
     stored = results.join(scopes.select("meet_key").distinct(), "meet_key", "left_semi")
-    by_race = stored.groupBy("meet_key", *SIGNATURE).agg(F.min("id").alias("_signed"))
-    both = null_safe(mapped, by_race, ["meet_key", *SIGNATURE], "left")
+    return stored.groupBy("meet_key", *SIGNATURE).agg(F.min("id").alias("_signed"), F.count(F.lit(1)).alias("_times"))
+
+
+def _named_by(races: DataFrame, ledger: DataFrame, incoming: DataFrame) -> DataFrame:
+    mapped = incoming.join(ledger.select(*SOURCE, F.col("target_id").alias("_mapped")), SOURCE, "left")
+    both = null_safe(mapped, races.drop("_times"), ["meet_key", *SIGNATURE], "left")
     return both.withColumn("target", F.coalesce("_mapped", "_signed")).drop("_mapped", "_signed")
 
 
 def refusals(results: DataFrame, ledger: DataFrame, scopes: DataFrame, incoming: DataFrame) -> DataFrame:
     """(publisher, meet_key, reason): why snapshots cannot be applied."""
+    races = settled(_races(results, scopes))
+    return _refused(races, settled(_named_by(races, ledger, incoming)), ledger, scopes)
+
+
+def _refused(races: DataFrame, found: DataFrame, ledger: DataFrame, scopes: DataFrame) -> DataFrame:
     wanted = scopes.select(*MEET).distinct()
-    found = settled(resolved(results, ledger, scopes, incoming))
     incoming = found.drop("target")
-    stored = results.join(wanted.select("meet_key").distinct(), "meet_key", "left_semi")
     repeated = lambda rows, keys: rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     owner = ledger.select("meet_key", F.col("publisher").alias("_other")).union(wanted.select("meet_key", "publisher")).distinct()
     said = {
@@ -55,7 +66,7 @@ def refusals(results: DataFrame, ledger: DataFrame, scopes: DataFrame, incoming:
         "outside_the_scope": incoming.join(wanted, MEET, "left_anti"),
         "repeated_source_id": incoming.join(repeated(incoming.where("source_id IS NOT NULL"), SOURCE), SOURCE),
         "repeated_race": repeated(incoming, [*MEET, *SIGNATURE]),
-        "ambiguous_stored_race": wanted.join(repeated(stored, ["meet_key", *SIGNATURE]), "meet_key"),
+        "ambiguous_stored_race": wanted.join(races.where("_times > 1"), "meet_key"),
         "source_id_of_another_meet": incoming.join(ledger.select(*SOURCE, F.col("meet_key").alias("_meet")), SOURCE).where("_meet <> meet_key"),
         "two_sources_for_one_result": found.join(repeated(found.where("target IS NOT NULL"), ["target"]), "target"),
         "meet_of_another_publisher": wanted.join(owner, "meet_key").where("_other <> publisher"),
@@ -76,18 +87,23 @@ def apply_snapshots(results: DataFrame, splits: DataFrame, ledger: DataFrame, sc
     signature, values; columns of results that it lacks keep what is stored.
     incoming_splits: publisher, source_id, values.
     """
-    refused = settled(refusals(results, ledger, scopes, incoming))
+    races = settled(_races(results, scopes))
+    sent = settled(_named_by(races, ledger, incoming))
+    refused = settled(_refused(races, sent, ledger, scopes))
     why = refused.groupBy(*MEET).agg(F.array_join(F.sort_array(F.collect_set("reason")), ",").alias("_why"))
     good = scopes.join(refused, MEET, "left_anti")
-    found = settled(resolved(results, ledger, good, incoming.join(good, MEET, "left_semi")))
-    new = allocate(found.where("target IS NULL").drop("target"), SOURCE, results.select("id").union(ledger.select("target_id")), "target")
-    named = settled(found.where("target IS NOT NULL").unionByName(new))
+    found = settled(sent.join(good, MEET, "left_semi"))
+    added = allocate(found.where("target IS NULL").drop("target"), SOURCE, results.select("id").union(ledger.select("target_id")), "target")
+    named = settled(found.where("target IS NOT NULL").unionByName(added))
     stored = results.join(good.select("meet_key"), "meet_key", "left_semi")
     kept = [c for c in results.columns if c != "id" and c not in incoming.columns]
-    before = results.select(F.col("id").alias("target"), *(F.col(c).alias(f"_{c}") for c in kept))
-    rows = named.join(before, "target", "left").select(*(F.col("target" if c == "id" else f"_{c}" if c in kept else c).alias(c) for c in results.columns))
     ids = named.select(F.col("target").alias("id"))
-    others = results.join(good.select("meet_key"), "meet_key", "left_anti").join(ids, "id", "left_anti")
+    # one join by id: new rows with what they keep of the old one, and old rows that no snapshot replaces
+    emptied = good.select("meet_key", F.lit(True).alias("_is_emptied")).distinct()
+    old = results.join(emptied, "meet_key", "left").select(F.col("id").alias("_id"), "_is_emptied", *(F.col(c).alias(f"_{c}") for c in results.columns if c != "id"))
+    both = old.join(named, F.col("_id") == F.col("target"), "full_outer").where("target IS NOT NULL OR _is_emptied IS NULL")
+    new = lambda c: F.col("target" if c == "id" else f"_{c}" if c in kept else c)
+    next_results = both.select(*(F.when(F.col("target").isNotNull(), new(c)).otherwise(F.col(f"_{c}")).alias(c) for c in results.columns))
     moved = incoming_splits.join(named.select(*SOURCE, F.col("target").alias("result_id")), SOURCE)
     gone = stored.select("id").union(ids).distinct().withColumnRenamed("id", "result_id")
     next_splits = splits.join(gone, "result_id", "left_anti").unionByName(moved.select(*splits.columns))
@@ -100,4 +116,4 @@ def apply_snapshots(results: DataFrame, splits: DataFrame, ledger: DataFrame, sc
     for frame in (counted(named, "results"), counted(moved.join(named.select(*SOURCE, "meet_key"), SOURCE), "splits"), counted(deleted, "deleted")):
         report = report.join(frame, MEET, "left")
     report = report.fillna(0, ["results", "splits", "deleted"]).join(since, MEET, "left")
-    return Applied(others.unionByName(rows.select(*results.columns)), next_splits, next_ledger, report)
+    return Applied(next_results, next_splits, next_ledger, report)

@@ -42,16 +42,17 @@ def _applied(spark, sf) -> snapshots.Applied:
     c, k = F.col("o_custkey"), F.col("o_orderkey")
     first = o.groupBy("o_custkey").agg(F.min("o_orderkey").alias("first"), F.min(F.to_date("o_orderdate")).alias("start_date"))
     day, odd, price = F.to_date("o_orderdate"), c % 25 == 7, F.col("o_totalprice").cast("decimal(12,2)")
-    b = o.join(first, "o_custkey").select(
-        k.alias("k"), c.alias("c"), "first", "start_date", price.alias("v"), F.concat(F.lit("M"), c).alias("meet_key"), F.when(odd, 0).otherwise(k).alias("swimmer_key"), F.when(odd, 1).otherwise(k % 5).alias("event_key"),
+    row = [
+        k.alias("k"), c.alias("c"), price.alias("v"), F.concat(F.lit("M"), c).alias("meet_key"), F.when(odd, 0).otherwise(k).alias("swimmer_key"), F.when(odd, 1).otherwise(k % 5).alias("event_key"),
         F.when((k % 3 != 0) & ~odd, k % 4).alias("heat"), F.when(odd, F.lit("1995-01-01").cast("date")).when(k % 13 != 0, day).alias("result_date"), F.lit("TIM").alias("event_round"), ((k % 11 == 0) & ~odd).alias("is_relay"), F.lit(None).cast("int").alias("relay_count"),
-    )
+    ]
+    b = o.join(first, "o_custkey").select(*row, "first")
+    scopes = first.where("o_custkey % 4 = 0").select(F.lit("A").alias("publisher"), F.concat(F.lit("M"), "o_custkey").alias("meet_key"), "start_date")
     c, k = F.col("c"), F.col("k")
-    results = b.select(k.alias("id"), "meet_key", *snapshots.SIGNATURE, F.col("v").alias("time_seconds"), F.lit("old").alias("comment"))
+    results = o.select(*row).select(k.alias("id"), "meet_key", *snapshots.SIGNATURE, F.col("v").alias("time_seconds"), F.lit("old").alias("comment"))
     ledger = b.where("k % 2 = 0").select(
         F.when(c % 44 == 16, "B").otherwise("A").alias("publisher"), F.concat(F.lit("S"), k).alias("source_id"), F.when(c % 28 == 12, F.concat(F.lit("M"), c + 1)).otherwise(F.col("meet_key")).alias("meet_key"), F.when(c % 20 == 8, F.col("first")).otherwise(k).alias("target_id"),
     )
-    scopes = b.where("c % 4 = 0").select(F.lit("A").alias("publisher"), "meet_key", "start_date").distinct()
     source = F.when(c % 68 == 24, F.concat(F.lit("X"), c)).when((c % 52 != 4) | (k != F.col("first")), F.concat(F.lit("S"), k))
     sent = b.where("c % 4 = 0 and k % 3 <> 1").withColumns({"publisher": F.lit("A"), "source_id": source, "event_round": F.when(k % 7 == 0, "FIN").otherwise(F.col("event_round")), "time_seconds": F.col("v") + 1})
     lines = V.table(spark, sf, "lineitem").select("l_orderkey", (F.col("l_linenumber") * 50).alias("distance"), F.col("l_extendedprice").alias("time_seconds"), F.col("l_linenumber").alias("split_order"))
