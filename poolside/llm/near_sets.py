@@ -364,25 +364,28 @@ def verified(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, words: int) -
 
 
 def similar_links(texts: DataFrame, nodes: DataFrame, *, words: int = 5, small: int = 32, leaders: int = 16, sample: int = 5_000) -> DataFrame:
-    """(a, b): links between nodes whose similarity is LEAST or more, enough of them to connect all such pairs.
+    """(a, b): links that connect what pairs of nodes whose similarity is LEAST or more connect, and nothing else.
 
     SimHash comes first, then the sets that meet at a shingle of their prefixes, but for
-    those that are connected already. Groups of over ``small`` nodes first pair their nodes
+    those that are connected already. What one step has connected goes on as a link from
+    each node to its root, so later steps have no more links than nodes and new pairs. Groups of over ``small`` nodes first pair their nodes
     with leaders. All other pairs of the group follow, so no pair of different
     components is left out.
     """
-    rooted = lambda rows, links: rows.join(components(links), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = lambda rows, roots: rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    and_roots = lambda links, roots: roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links)
     prints = nodes.select("node", "print").dropDuplicates(["node"])
-    links = verified(alike(block_links(prints), prints), texts, nodes, words)
+    roots = components(verified(alike(block_links(prints), prints), texts, nodes, words))
     large = nodes.select("node", "size", "large")
-    maps = rooted(nodes.select("node", "bitmap").dropDuplicates(["node"]), links)
+    maps = rooted(nodes.select("node", "bitmap").dropDuplicates(["node"]), roots)
     # Parquet, in order of node: each bitmap is stored once for all rows of its node
     met(prefixes(texts, words, common_shingles(texts, words, sample))).join(maps, "node").sortWithinPartitions("node").write.parquet(path := fresh_path(texts.sparkSession, "near-rows"))
     rows = texts.sparkSession.read.parquet(path)
-    links = links.unionByName(verified(possible(proposed(rows, small=small, leaders=leaders), large), texts, nodes, words))
+    links = and_roots(verified(possible(proposed(rows, small=small, leaders=leaders), large), texts, nodes, words), roots)
     crowded = rows.where(F.col("n") > small).drop("root")
     if not crowded.isEmpty():
-        links = links.unionByName(verified(possible(proposed(rooted(crowded, links), small=small, leaders=None), large), texts, nodes, words))
+        roots = components(links)
+        links = and_roots(verified(possible(proposed(rooted(crowded, roots), small=small, leaders=None), large), texts, nodes, words), roots)
     return links
 
 
