@@ -110,3 +110,20 @@ def test_values_stand_in_two_bands_and_lose_no_close_one(spark):
     found = [tuple(r) for r in close.collect()]
     assert len(found) == len(set(found))
     assert set(found) == {(i, j) for i, a in enumerate(values) for j, b in enumerate(values) if abs(a - b) < 0.01}
+
+
+def test_set_digests_count_rows_with_nulls_in_code_and_sql(spark, tmp_path):
+    import duckdb
+
+    from poolside.plans import catalog
+
+    lines = [(1, 1, 5), (2, 1, 5), (2, 2, None), (3, 1, 5), (3, None, 2), (4, None, None), (5, None, None), (5, None, None), (6, 7, None), (None, 1, 5), (None, 1, None)]
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long").write.parquet(f"{tmp_path}/lineitem.parquet")
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW lineitem AS SELECT * FROM '{tmp_path}/lineitem.parquet/*.parquet'")
+        want = con.execute(catalog.oracle_sql()["set_digests"]).fetchall()
+    found = {r.meet_id: r.digest for r in catalog.queries()["set_digests"](spark, str(tmp_path)).collect()}
+    text = lambda v: "null" if v is None else v
+    hashes = {k: sorted(hashlib.sha256(f'{{"l_linenumber":{text(n)},"l_partkey":{text(p)}}}'.encode()).hexdigest() for m, n, p in lines if m == k) for k, _, _ in lines}
+    assert dict(want) == found == {k: hashlib.sha256(",".join(h).encode()).hexdigest() for k, h in hashes.items()}
+    assert len(set(found.values())) == len(found) == 7
